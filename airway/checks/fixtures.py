@@ -40,9 +40,12 @@ def pick(k: Column, options: list[str]) -> Column:
 class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def events(self) -> DataFrame:
         """Events with their counter ``k``, hour and position."""
@@ -200,6 +203,7 @@ class Fixtures:
             F.lit(', "6422": '), F.col("lat").cast("string"), F.lit(', "6423": '), F.col("lon").cast("string"), F.lit("}"),
         )
         return self.events().select(
+            "event_id",
             F.col("user_id").alias("device_id"),
             payload.alias("dynamic_data"),
             F.when(n % 10 != 0, F.col("event_type")).alias("error_data"),

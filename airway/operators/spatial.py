@@ -19,26 +19,26 @@ METRES_PER_DEGREE = EARTH_RADIUS_M * math.pi / 180.0
 
 
 class CellGrid:
-    """Global grid of cells with edges of ``edge_m`` metres of latitude."""
+    """Global grid of cells with edges of ``edge_m`` metres of latitude. Methods
+    give SQL text."""
 
     def __init__(self, edge_m: float):
         self.columns = max(1, math.floor(360.0 * METRES_PER_DEGREE / edge_m))
         self.degrees = 360.0 / self.columns
 
-    def column_of(self, lon: Column) -> Column:
-        return F.floor((lon + F.lit(180.0)) / F.lit(self.degrees))
+    def column_of(self, lon: str) -> str:
+        return f"floor(({lon} + 180.0D) / {self.degrees!r}D)"
 
-    def row_of(self, lat: Column) -> Column:
-        return F.floor((lat + F.lit(90.0)) / F.lit(self.degrees))
+    def row_of(self, lat: str) -> str:
+        return f"floor(({lat} + 90.0D) / {self.degrees!r}D)"
 
-    def key(self, column: Column, row: Column) -> Column:
-        return row * F.lit(self.columns) + F.pmod(column, F.lit(self.columns))
+    def key(self, column: str, row: str) -> str:
+        return f"{row} * {self.columns} + pmod({column}, {self.columns})"
 
-    def west(self, column: Column) -> Column:
-        return column * F.lit(self.degrees) - F.lit(180.0)
-
-    def south(self, row: Column) -> Column:
-        return row * F.lit(self.degrees) - F.lit(90.0)
+    def farther_edge(self, index: str, offset: float, place: str) -> str:
+        """Degrees from ``place`` to the farther edge of a column or row of cells."""
+        near = f"{index} * {self.degrees!r}D - {offset!r}D - {place}"
+        return f"greatest(abs({near}), abs({near} + {self.degrees!r}D))"
 
 
 def covering_cells(centers: DataFrame, grid: CellGrid, radius_m: float, lon: str, lat: str) -> DataFrame:
@@ -46,26 +46,31 @@ def covering_cells(centers: DataFrame, grid: CellGrid, radius_m: float, lon: str
     (the whole cell lies within the circle, so its points need no distance test)."""
     reach = (math.ceil(radius_m) + 1.0) / EARTH_RADIUS_M
     reach_deg = math.degrees(reach) + 1e-9
-    x, y = F.col(lon), F.col(lat)
-    near_pole = F.abs(y) + F.lit(reach_deg) >= F.lit(90.0)
-    squeeze = F.least(F.lit(1.0), F.lit(math.sin(reach)) / F.cos(F.radians(y)))
-    half_width = F.when(near_pole, F.lit(180.0)).otherwise(F.degrees(F.asin(squeeze)) + F.lit(1e-9))
-    first_column = grid.column_of(x - half_width)
-    last_column = F.least(grid.column_of(x + half_width), first_column + F.lit(grid.columns - 1))
-    # Every corner closer than the radius means the whole cell is: on a small
-    # lon/lat rectangle the farthest point from any center is a corner.
-    corners = [
-        haversine_m(grid.west(F.col("_cx") + F.lit(i)), grid.south(F.col("_cy") + F.lit(j)), x, y)
-        for i in (0, 1)
-        for j in (0, 1)
-    ]
+    half_width = (
+        f"if(abs({lat}) + {reach_deg!r}D >= 90.0D, 180.0D,"
+        f" degrees(asin(least(1.0D, {math.sin(reach)!r}D / cos(radians({lat}))))) + 1e-9D)"
+    )
+    first = grid.column_of(f"{lon} - _half")
+    last = grid.column_of(f"{lon} + _half")
+    # Farthest latitude and longitude of the cell and its widest parallel bound
+    # the distance of every point in it from above.
+    south = f"(_cy * {grid.degrees!r}D - 90.0D)"
+    widest = f"greatest(cos(radians({south})), cos(radians({south} + {grid.degrees!r}D)))"
+    high = grid.farther_edge("_cy", 90.0, lat)
+    wide = f"least({grid.farther_edge('_cx', 180.0, lon)}, 180.0D)"
+    chord = (
+        f"pow(sin(radians({high}) / 2.0D), 2.0D)"
+        f" + cos(radians({lat})) * {widest} * pow(sin(radians({wide}) / 2.0D), 2.0D)"
+    )
+    safe = math.sin(max(radius_m - 1.0, 0.0) / (2.0 * EARTH_RADIUS_M)) ** 2
+    rows = f"sequence({grid.row_of(f'{lat} - {reach_deg!r}D')}, {grid.row_of(f'{lat} + {reach_deg!r}D')})"
     return (
-        centers.where(x.isNotNull() & y.isNotNull())
-        .withColumn("_cx", F.explode(F.sequence(first_column, last_column)))
-        .withColumn("_cy", F.explode(F.sequence(grid.row_of(y - F.lit(reach_deg)), grid.row_of(y + F.lit(reach_deg)))))
-        .withColumn("_inside", F.greatest(*corners) < F.lit(math.ceil(radius_m) - 1))
-        .withColumn("_cell", grid.key(F.col("_cx"), F.col("_cy")))
-        .drop("_cx", "_cy")
+        centers.where(f"{lon} IS NOT NULL AND {lat} IS NOT NULL")
+        .withColumn("_half", F.expr(half_width))
+        .withColumn("_cx", F.expr(f"explode(sequence({first}, least({last}, {first} + {grid.columns - 1})))"))
+        .withColumn("_cy", F.expr(f"explode({rows})"))
+        .withColumns({"_inside": F.expr(f"{chord} < {safe!r}D"), "_cell": F.expr(grid.key("_cx", "_cy"))})
+        .drop("_half", "_cx", "_cy")
     )
 
 
@@ -87,14 +92,14 @@ def radius_join(
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     grid = CellGrid(radius_m / cells_per_radius)
     cells = covering_cells(centers, grid, radius_m, *center_xy)
-    px, py = F.col(point_xy[0]), F.col(point_xy[1])
-    placed = points.where(px.isNotNull() & py.isNotNull()).withColumn(
-        "_cell", grid.key(grid.column_of(px), grid.row_of(py))
+    x, y = point_xy
+    placed = points.where(f"{x} IS NOT NULL AND {y} IS NOT NULL").withColumn(
+        "_cell", F.expr(grid.key(grid.column_of(x), grid.row_of(y)))
     )
     # About (2k+2)^2 cells per center, twice that up to 60 degrees of latitude.
     copies = 2 * (2 * cells_per_radius + 2) ** 2
     pairs = lookup_join(placed, cells, "_cell", size_of=centers, copies=copies)
-    close = haversine_m(px, py, *center_xy) < F.lit(radius_m)
+    close = haversine_m(x, y, *center_xy) < F.lit(radius_m)
     return pairs.where(F.col("_inside") | close).drop("_cell", "_inside")
 
 

@@ -89,7 +89,7 @@ def gps_from_partitions(gps: DataFrame, hours: HourRange) -> DataFrame:
         "sim_card",
         F.col("lon").try_cast("double").alias("lon"),
         F.col("lat").try_cast("double").alias("lat"),
-        F.to_timestamp(slot, F.lit("yyyy-MM-dd HH")).alias("published_at"),
+        F.to_timestamp(slot, "yyyy-MM-dd HH").alias("published_at"),
     )
 
 
