@@ -24,7 +24,7 @@ def upsert(new: DataFrame, old: DataFrame, keys: list[str], order: list[str] | N
     """``old`` with rows of ``new`` replacing those of the same key; among new
     rows of one key the last by ``order`` stays."""
     latest = one_per_key(new.select(*old.columns), keys, order, last=True)
-    kept = old.join(latest.select(*keys), keys, "left_anti")
+    kept = lookup_join(old, latest.select(*keys), keys, "left_anti", size_of=new)
     return kept.select(*old.columns).unionByName(latest)
 
 

@@ -20,6 +20,7 @@ from airway.operators.merging import (
     upsert,
 )
 from airway.operators.spatial import RADIUS_M, idw, radius_join, radius_summary, spread_to_centers
+from airway.sources.sinks import staged
 
 # Station levels with a portrait, the wind sites, and the features
 # in the order they are written.
@@ -278,6 +279,11 @@ def portrait_diff(new: DataFrame, stored: DataFrame) -> DataFrame:
     return difference(explode_payload(new, keep), explode_payload(stored, keep))
 
 
+def run_backfill(t: PortraitTables, hours: HourRange, stored: DataFrame, **options) -> DataFrame:
+    """Compute the portraits of the hours once, then :func:`backfill`."""
+    return backfill(staged(station_portrait(t, hours, **options), "portrait"), stored)
+
+
 def backfill(new: DataFrame, stored: DataFrame) -> DataFrame:
     """``stored`` after replacing every hour that has a difference by ``new``."""
     changed = portrait_diff(new, stored).select("published_at").distinct()

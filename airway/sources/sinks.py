@@ -3,20 +3,46 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airway.operators.joining import lookup_join
 from airway.operators.merging import upsert
 from airway.session import work_root
 from airway.sources.scans import HOUR_KEYS, read_partitioned
 
+# Fixed value: size merged files aim at.
+MERGED_FILE_BYTES = 256_000_000
+
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared work folder."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the work folder and read back: cuts the lineage of
+    a frame that is used several times."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def file_size(spark: SparkSession, target_bytes: int) -> Iterator[None]:
+    """Let gathered writes aim at files of about this size."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(target_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_partitions(
     df: DataFrame, path: str, keys: tuple[str, ...] = HOUR_KEYS, overwrite: bool = False
 ) -> None:
@@ -34,9 +60,15 @@ def write_partitions(
     )
 
 
-def insert_positional(df: DataFrame, table: str, columns: list[str], overwrite: bool = False) -> None:
-    """Insert by position: ``columns`` in the table's order, partition columns last."""
-    df.select(*columns).write.insertInto(table, overwrite=overwrite)
+def insert_positional(
+    df: DataFrame, table: str, columns: list[str], keys: tuple[str, ...] = (), overwrite: bool = False
+) -> None:
+    """Insert by position: ``columns`` in the table's order, partition columns
+    (``keys``) last. Rows of a partition are brought together first."""
+    rows = df.select(*columns)
+    if keys:
+        rows = rows.hint("rebalance", *[F.col(k) for k in keys])
+    rows.write.insertInto(table, overwrite=overwrite)
 
 
 def create_partitioned_table(spark: SparkSession, table: str, schema: str, keys: tuple[str, ...], path: str) -> None:
@@ -58,19 +90,25 @@ def upsert_partitions(
     """
     spark = new.sparkSession
     stored = read_partitioned(spark, path, partitions)
+    new = staged(new.select(*stored.columns), "new")
     touched = new.select(*partitions).distinct()
-    affected = stored.join(touched, list(partitions), "left_semi")
-    staged = staging_path(spark, "upsert")
-    write_partitions(upsert(new, affected.select(*stored.columns), keys, order), staged, partitions, overwrite=True)
-    write_partitions(read_partitioned(spark, staged, partitions), path, partitions, overwrite=True)
+    # The range of the first partition column prunes the scan at run time.
+    lead = F.col(partitions[0])
+    span = touched.agg(F.min(lead).alias("low"), F.max(lead).alias("high"))
+    near = stored.where((lead >= span.select("low").scalar()) & (lead <= span.select("high").scalar()))
+    affected = lookup_join(near, touched, list(partitions), "left_semi").select(*stored.columns)
+    work = staging_path(spark, "upsert")
+    write_partitions(upsert(new, affected, keys, order), work, partitions, overwrite=True)
+    write_partitions(read_partitioned(spark, work, partitions), path, partitions, overwrite=True)
 
 
 def compact(
     spark: SparkSession,
     source: str,
     target: str,
-    pick,
+    pick: Callable[[DataFrame], DataFrame],
     partitions: tuple[str, ...] = HOUR_KEYS,
+    target_bytes: int = MERGED_FILE_BYTES,
 ) -> int:
     """Rewrite the picked partitions of ``source`` into ``target`` (which may be
     the same path) with few files; returns the row count.
@@ -80,11 +118,12 @@ def compact(
     overwritten, never appended to, so a repeated run cannot double rows.
     """
     chosen = pick(read_partitioned(spark, source, partitions))
-    staged = staging_path(spark, "compact")
-    write_partitions(chosen, staged, partitions, overwrite=True)
-    copy = read_partitioned(spark, staged, partitions)
-    expected, written = chosen.count(), copy.count()
-    if expected != written:
-        raise RuntimeError(f"staged {written} of {expected} rows; {target} left as it was")
-    write_partitions(copy, target, partitions, overwrite=True)
+    work = staging_path(spark, "compact")
+    with file_size(spark, target_bytes):
+        write_partitions(chosen, work, partitions, overwrite=True)
+        copy = read_partitioned(spark, work, partitions)
+        expected, written = chosen.count(), copy.count()
+        if expected != written:
+            raise RuntimeError(f"staged {written} of {expected} rows; {target} left as it was")
+        write_partitions(copy, target, partitions, overwrite=True)
     return written
