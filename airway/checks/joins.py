@@ -18,7 +18,7 @@ from airway.checks.fixtures import (
     with_fx,
 )
 from airway.checks.registry import check
-from airway.functions.records import json_merge, json_merge_patch, json_number
+from airway.functions.records import json_columns, json_merge, json_merge_patch
 from airway.operators.hours import HourRange
 from airway.operators.joining import lookup_join
 from airway.operators.merging import (
@@ -30,7 +30,7 @@ from airway.operators.merging import (
     merge_payloads,
     rows_of_frequent_keys,
 )
-from airway.operators.spatial import idw, radius_join, radius_summary, rect_join, spread_to_centers
+from airway.operators.spatial import idw, radius_join, radius_summary, rect_join, sites_of, spread_to_centers
 from airway.operators.trajectory import boundaries, neighbours, stays
 from airway.plans import portrait as P
 
@@ -39,6 +39,11 @@ PLACE = ["grid_id", "station_code", "station_name"]
 GROUP = "g AS grid_id, station_code, station_name"
 
 
+def hourly(per_site: DataFrame, stations: DataFrame) -> DataFrame:
+    spread = spread_to_centers(per_site, stations, PLACE)
+    return spread.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 def moving(fx: Fixtures) -> DataFrame:
     return fx.events().where(F.col("value") > 10).select("user_id", "event_id", "lon", "lat", "ts", "k")
 
@@ -92,9 +97,9 @@ def distinct_pairs_skip_nulls(fx: Fixtures) -> DataFrame:
 )
 def congestion_near_stations(fx: Fixtures) -> DataFrame:
     """Mean of a numeric text, malformed text counting as null."""
-    points = P.at_point(fx.congestion(), "grid_center_coord").withColumn("index", json_number("data", "index"))
+    points = json_columns(P.at_point(fx.congestion(), "grid_center_coord"), "data", {"index": "index"})
     mean = F.avg("index").try_cast("decimal(10,6)").alias("traffic_index")
-    return radius_summary(points.drop("data", "published_at"), fx.sites(), PLACE, [mean])
+    return radius_summary(points.drop("published_at"), fx.sites(), PLACE, [mean])
 
 
 @check(
@@ -105,8 +110,8 @@ def congestion_near_stations(fx: Fixtures) -> DataFrame:
         hour_at AS published_at FROM near GROUP BY ALL"""),
 )
 def weather_near_stations(fx: Fixtures) -> DataFrame:
-    found = P.weather_features(fx.weather(), fx.sites(), ALL_HOURS)
-    return found.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+    sites = fx.sites()
+    return hourly(P.weather_features(fx.weather(), sites_of(sites), ALL_HOURS), sites)
 
 
 DUST_SQL = with_fx("ev st cell", f"""
@@ -119,8 +124,7 @@ DUST_SQL = with_fx("ev st cell", f"""
 @check("A5 J3 F9 F26", DUST_SQL)
 def dust_near_stations(fx: Fixtures) -> DataFrame:
     sites = fx.sites()
-    found = P.dust_feature(fx.dust(), P.cell_sites(fx.cells(), sites), sites, ALL_HOURS)
-    return found.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+    return hourly(P.dust_feature(fx.dust(), P.cell_sites(fx.cells(), sites_of(sites)), ALL_HOURS), sites)
 
 
 _V1, _V2 = sql_point("c_custkey"), sql_point("c_custkey + 7")
@@ -142,8 +146,9 @@ FLOW_BODY = f"""road AS (SELECT c_custkey AS id, c_mktsegment || '-' || c_nation
     FROM mean GROUP BY ALL""",
 )
 def road_flow_near_stations(fx: Fixtures) -> DataFrame:
-    found = P.flow_feature(fx.road_flow(), fx.section_feature(), fx.road_division(), fx.sites(), ALL_HOURS)
-    return found.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+    sites = fx.sites()
+    near = P.section_sites(fx.road_division(), sites_of(sites))
+    return hourly(P.flow_feature(fx.road_flow(), fx.section_feature(), near, ALL_HOURS), sites)
 
 
 @check(
@@ -154,8 +159,7 @@ def road_flow_near_stations(fx: Fixtures) -> DataFrame:
 )
 def earthwork_near_stations(fx: Fixtures) -> DataFrame:
     sites = fx.sites()
-    found = P.earth_feature(fx.earthwork(), P.cell_sites(fx.cells(), sites), sites, ALL_HOURS)
-    return found.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+    return hourly(P.earth_feature(fx.earthwork(), P.cell_sites(fx.cells(), sites_of(sites)), ALL_HOURS), sites)
 
 
 _WLON, _WLAT = sql_site("event_id % 25")
@@ -174,8 +178,8 @@ WIND_VALUE = """coalesce(CAST(CAST(sum(v / nullif(d * d, 0)) / sum(1.0::DOUBLE /
     SELECT grid_id, station_code, station_name, hour_at AS published_at, {WIND_VALUE} AS wind_speed FROM weighed GROUP BY ALL""",
 )
 def wind_at_stations(fx: Fixtures) -> DataFrame:
-    found = P.wind_feature(fx.station_weather(), fx.sites(), ALL_HOURS, WIND_SITES)
-    return found.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+    sites = fx.sites()
+    return hourly(P.wind_feature(fx.station_weather(), sites_of(sites), ALL_HOURS, WIND_SITES), sites)
 
 
 _NLON, _NLAT = sql_site("n_nationkey")
@@ -490,5 +494,5 @@ def latest_forecast_digit(fx: Fixtures) -> DataFrame:
 )
 def cells_of_stations(fx: Fixtures) -> DataFrame:
     sites = fx.sites()
-    near = P.cell_sites(fx.cells(), sites)
+    near = P.cell_sites(fx.cells(), sites_of(sites))
     return spread_to_centers(near, sites, ["station_code"]).select(F.col("grid_id").alias("cell"), "station_code")

@@ -61,8 +61,7 @@ def rows_with_nonzero_metrics(fx: Fixtures) -> DataFrame:
     quoted = F.when(n % 11 == 0, F.concat(F.lit('"'), F.col("value"), F.lit('"'))).otherwise(F.col("value").cast("string"))
     text = F.concat(F.lit('{"a":'), F.col("k"), F.lit(',"b":'), quoted, F.lit(',"c":'), n % 7, F.lit("}"))
     parsed = F.from_json("text", "a double, b double, c double")
-    rows = fx.events().withColumn("text", text).withColumn("p", parsed)
-    return rows.where(all_nonzero([F.col("p.a"), F.col("p.b"), F.col("p.c")])).select("event_id")
+    return fx.events().withColumn("text", text).where(all_nonzero(parsed, ["a", "b", "c"])).select("event_id")
 
 
 @check("P11", "SELECT event_id, event_type FROM events WHERE event_id % 10 <> 0 AND event_id % 4 <> 0")

@@ -20,8 +20,8 @@ _TLON, _TLAT = sql_site("user_id")
 )
 def json_members_as_numbers(fx: Fixtures) -> DataFrame:
     """Members read as numbers, quoted or not; a JSON null is null."""
-    numbers = records.json_numbers("dynamic_data", ["6423", "6422", "6420"])
-    return fx.obd().withColumns(numbers).select("event_id", F.col("6423").alias("lon"), F.col("6422").alias("lat"), F.col("6420").alias("oil"))
+    members = {"lon": "6423", "lat": "6422", "oil": "6420"}
+    return records.json_columns(fx.obd(), "dynamic_data", members).select("event_id", *members)
 
 
 @check(

@@ -12,7 +12,7 @@ from airway.checks.joins import PORTRAIT_NEW, portraits_new, portraits_old
 from airway.checks.registry import check
 from airway.operators.hours import HourRange
 from airway.plans import feeds, portrait, tracks
-from airway.sources import scans, sinks
+from airway.sources import scans, sinks, staging
 
 _SIX = "lpad(CAST(hour(ts) // 6 * 6 AS VARCHAR), 2, '0')"
 
@@ -26,7 +26,7 @@ def _six_hourly(fx: Fixtures) -> DataFrame:
 
 
 def _fresh(fx: Fixtures, name: str) -> str:
-    return sinks.staging_path(fx.spark, name)
+    return staging.staging_path(fx.spark, name)
 
 
 def _table(fx: Fixtures, schema: str, keys: tuple[str, ...]) -> str:

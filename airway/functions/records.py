@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,10 +16,16 @@ def json_number(c, name: str) -> Column:
     return F.get_json_object(_col(c), f"$.{name}").try_cast("double")
 
 
-def json_texts(c, names: list[str]) -> Column:
-    """Several members as strings in one parse: a struct column."""
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return F.from_json(_col(c), schema)
+def json_columns(df: DataFrame, payload: str, members: dict[str, str], keep_payload: bool = False) -> DataFrame:
+    """Add a double column per ``{column: member}`` of a JSON object, quoted or
+    not; null when absent or no number.
+
+    A generator parses each text once, however many filters use the columns."""
+    raw = {column: f"_json_{column}" for column in members}
+    kept = [c for c in df.columns if c not in members]
+    parsed = df.select(*kept, F.json_tuple(payload, *members.values()).alias(*raw.values()))
+    out = [F.col(r).try_cast("double").alias(column) for column, r in raw.items()]
+    return parsed.select(*[c for c in kept if keep_payload or c != payload], *out)
 
 
 def json_doubles(c, names: list[str]) -> Column:
@@ -28,17 +34,12 @@ def json_doubles(c, names: list[str]) -> Column:
     return F.from_json(_col(c), schema)
 
 
-def json_numbers(c, names: list[str]) -> dict[str, Column]:
-    """Members as doubles, quoted or not, from one shared parse."""
-    parsed = json_texts(c, names)
-    return {n: parsed[n].try_cast("double") for n in names}
-
-
 def json_sum(c, names: list[str]) -> Column:
     """Sum of members, a missing one counting as zero."""
+    parsed = F.from_json(_col(c), T.StructType([T.StructField(n, T.StringType()) for n in names]))
     total = F.lit(0.0)
-    for number in json_numbers(c, names).values():
-        total = total + F.coalesce(number, F.lit(0.0))
+    for name in names:
+        total = total + F.coalesce(parsed[name].try_cast("double"), F.lit(0.0))
     return total
 
 

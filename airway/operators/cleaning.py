@@ -28,12 +28,19 @@ def within(c: Column | str, start: str, end: str, closed: bool = False) -> Colum
     return (c >= F.lit(start)) & ((c <= F.lit(end)) if closed else (c < F.lit(end)))
 
 
-def all_nonzero(numbers: Iterable[Column]) -> Column:
-    """True when every number is present and not zero."""
-    result = F.lit(True)
-    for number in numbers:
-        result = result & F.coalesce(number != F.lit(0.0), F.lit(False))
-    return result
+def all_nonzero(record: Column, names: Iterable[str]) -> Column:
+    """True when every named field of a struct is present and not zero.
+
+    The struct is bound once by a lambda, so a filter does not repeat the
+    expression that makes it (a JSON parse) for each field."""
+
+    def check(r: Column) -> Column:
+        result = F.lit(True)
+        for name in names:
+            result = result & F.coalesce(r[name] != F.lit(0.0), F.lit(False))
+        return result
+
+    return F.exists(F.array(record), check)
 
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None, last: bool = False) -> DataFrame:

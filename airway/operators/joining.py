@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Parquet bytes on disk are this much smaller than rows in memory, at a guess
-# on the safe side.
+# Rows take about this many times their Parquet bytes in memory, and a broadcast
+# may take this many times spark.sql.autoBroadcastJoinThreshold (160 MB by default).
 MEMORY_PER_DISK_BYTE = 4
+THRESHOLDS_IN_MEMORY = 16
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -16,10 +17,10 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, copies: int = 1) -> bool:
-    """Whether ``df``, each row grown to ``copies`` rows, stays within a memory
-    bound derived from ``spark.sql.autoBroadcastJoinThreshold``."""
+    """Whether ``df``, each row grown to ``copies`` rows, stays within the memory
+    bound. A threshold of -1 turns broadcasts off here too."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return limit > 0 and estimated_bytes(df) * copies <= limit * MEMORY_PER_DISK_BYTE
+    return estimated_bytes(df) * copies * MEMORY_PER_DISK_BYTE <= limit * THRESHOLDS_IN_MEMORY
 
 
 def lookup_join(
@@ -33,8 +34,10 @@ def lookup_join(
     """Join ``facts`` to ``lookup`` without shuffling ``facts`` when the lookup is small.
 
     ``size_of`` names the frame the lookup was grown from by ``copies`` rows per
-    row (an ``explode`` does not show in Catalyst's estimate). Beyond the bound
-    the join is a sort-merge join, whose hot keys adaptive execution splits.
+    row (an ``explode`` does not show in Catalyst's estimate). A lookup that is
+    small but does not look it, like the few keys left by a filter on counts, is
+    best staged first. Beyond the bound the join is a sort-merge join, whose hot
+    keys adaptive execution splits over several tasks.
     """
     if fits_broadcast(size_of if size_of is not None else lookup, copies):
         return facts.join(F.broadcast(lookup), on, how)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from airway.functions.records import json_map, json_merge_patch
 from airway.operators.cleaning import one_per_key
 from airway.operators.joining import lookup_join
+from airway.sources.staging import staged
 
 
 def difference(new: DataFrame, old: DataFrame) -> DataFrame:
@@ -76,9 +77,12 @@ def frequent_keys(df: DataFrame, key: str, more_than: int) -> DataFrame:
 
 
 def rows_of_frequent_keys(df: DataFrame, key: str, more_than: int, counted: DataFrame | None = None) -> DataFrame:
-    """Rows whose key is frequent in ``counted`` (by default in ``df`` itself)."""
-    counted = df if counted is None else counted
-    return lookup_join(df, frequent_keys(counted, key, more_than), key, "left_semi")
+    """Rows whose key is frequent in ``counted`` (by default in ``df`` itself).
+
+    The keys are staged first: they are few, and only their true size lets the
+    rows stay where they are instead of being shuffled by key."""
+    keys = staged(frequent_keys(df if counted is None else counted, key, more_than), "frequent")
+    return lookup_join(df, keys, key, "left_semi")
 
 
 def latest_rows(df: DataFrame, by: str, time: str) -> DataFrame:

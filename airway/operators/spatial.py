@@ -103,6 +103,26 @@ def radius_join(
     return pairs.where(F.col("_inside") | close).drop("_cell", "_inside")
 
 
+# Columns of a location that one or more centers share.
+SITE = ["center_lon", "center_lat"]
+
+
+def sites_of(centers: DataFrame) -> DataFrame:
+    """Distinct locations of centers with ``lon`` and ``lat``."""
+    return centers.select(F.col("lon").alias(SITE[0]), F.col("lat").alias(SITE[1])).distinct()
+
+
+def site_summary(
+    points: DataFrame,
+    sites: DataFrame,
+    aggregates: list[Column],
+    by: list[str] | None = None,
+    radius_m: float = RADIUS_M,
+) -> DataFrame:
+    """Aggregate the points around each location, per ``by`` value."""
+    return radius_join(points, sites, radius_m).groupBy(*SITE, *(by or [])).agg(*aggregates)
+
+
 def radius_summary(
     points: DataFrame,
     centers: DataFrame,
@@ -116,18 +136,13 @@ def radius_summary(
     ``centers`` has ``lon``, ``lat`` and the unique ``keys``. Centers at one
     spot share their work: pairs are formed per distinct location only.
     """
-    by = by or []
-    sites = centers.select(F.col("lon").alias("center_lon"), F.col("lat").alias("center_lat")).distinct()
-    pairs = radius_join(points, sites, radius_m)
-    per_site = pairs.groupBy("center_lon", "center_lat", *by).agg(*aggregates)
-    return spread_to_centers(per_site, centers, keys)
+    return spread_to_centers(site_summary(points, sites_of(centers), aggregates, by, radius_m), centers, keys)
 
 
 def spread_to_centers(per_site: DataFrame, centers: DataFrame, keys: list[str]) -> DataFrame:
     """Give each center the rows of its location."""
-    labels = centers.select(*keys, F.col("lon").alias("center_lon"), F.col("lat").alias("center_lat"))
-    joined = lookup_join(per_site, labels, ["center_lon", "center_lat"])
-    return joined.select(*keys, *[c for c in per_site.columns if c not in ("center_lon", "center_lat")])
+    labels = centers.select(*keys, F.col("lon").alias(SITE[0]), F.col("lat").alias(SITE[1]))
+    return lookup_join(per_site, labels, SITE).select(*keys, *[c for c in per_site.columns if c not in SITE])
 
 
 # Rectangle columns.
@@ -191,6 +206,10 @@ def idw(
     A sample less than a metre away has no weight; no usable sample gives
     ``default``. Samples at one spot are summed first. A null value still
     weighs in the denominator, as in ``sum(v * w) / sum(w)``.
+
+    Centers often are a short list times many hours, made by a single task; they
+    are spread by the grouping columns before the join, which saves the shuffle
+    of the aggregation.
     """
     spots = samples.groupBy(*on, F.col("lon").alias("_lon"), F.col("lat").alias("_lat")).agg(
         F.sum(value).alias("_total"), F.count("*").alias("_n")
@@ -199,7 +218,7 @@ def idw(
     weight = F.try_divide(F.lit(1.0), metres * metres)
     mean = F.try_divide(F.sum(F.col("_total") * F.col("_w")), F.sum(F.col("_n") * F.col("_w")))
     return (
-        lookup_join(centers, spots, on, "left", size_of=samples)
+        lookup_join(centers.repartition(*keys, *on), spots, on, "left", size_of=samples)
         .withColumn("_w", weight)
         .groupBy(*keys, *on)
         .agg(F.coalesce(mean.try_cast("decimal(8,2)").cast("double"), F.lit(default)).alias(value))

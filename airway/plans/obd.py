@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-from airway.functions.records import json_doubles, json_texts
+from airway.functions.records import json_columns, json_doubles
 from airway.operators.cleaning import all_nonzero
 from airway.operators.merging import rows_of_frequent_keys
 
@@ -17,8 +17,7 @@ KEPT = ["device_id", "dynamic_data", "error_data", "published_at"]
 
 def running(payload: str = "dynamic_data") -> Column:
     """All activity codes are JSON numbers other than zero."""
-    parsed = json_doubles(payload, ACTIVITY_CODES)
-    return all_nonzero([parsed[code] for code in ACTIVITY_CODES])
+    return all_nonzero(json_doubles(payload, ACTIVITY_CODES), ACTIVITY_CODES)
 
 
 def running_rows(obd: DataFrame) -> DataFrame:
@@ -37,9 +36,8 @@ def active_count_first(obd: DataFrame, more_than: int = ACTIVE_ROWS) -> DataFram
 
 def flatten(obd: DataFrame) -> DataFrame:
     """Position and oil level as doubles; a row with any null column is dropped."""
-    parsed = json_texts("dynamic_data", list(FLAT_CODES.values()))
-    numbers = {name: parsed[code].try_cast("double") for name, code in FLAT_CODES.items()}
-    return obd.withColumns(numbers).na.drop().select("device_id", *FLAT_CODES, "published_at")
+    parsed = json_columns(obd, "dynamic_data", FLAT_CODES, keep_payload=True)
+    return parsed.na.drop().select("device_id", *FLAT_CODES, "published_at")
 
 
 def metric_projection(obd: DataFrame) -> DataFrame:

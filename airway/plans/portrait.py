@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airway.functions.records import json_number, json_numbers, json_sum, pair_item, pair_texts
+from airway.functions.records import json_columns, json_sum, pair_item, pair_texts
 from airway.functions.times import HOUR_START, leading_digit
 from airway.operators.cleaning import one_per_key
 from airway.operators.hours import HourRange, into_slots
@@ -19,8 +19,8 @@ from airway.operators.merging import (
     latest_value,
     upsert,
 )
-from airway.operators.spatial import RADIUS_M, idw, radius_join, radius_summary, spread_to_centers
-from airway.sources.sinks import staged
+from airway.operators.spatial import RADIUS_M, SITE, idw, radius_join, site_summary, sites_of, spread_to_centers
+from airway.sources.staging import staged
 
 # Station levels with a portrait, the wind sites, and the features
 # in the order they are written.
@@ -34,6 +34,7 @@ FEATURES = [
 
 STATION_KEYS = ["grid_id", "station_code", "station_name"]
 KEYS = [*STATION_KEYS, "published_at"]
+SITE_KEYS = [*SITE, "published_at"]
 
 
 @dataclass
@@ -57,7 +58,7 @@ class PortraitTables:
 
 def at_point(df: DataFrame, coord: str) -> DataFrame:
     """Replace a JSON coordinate by double ``lon`` and ``lat``."""
-    return df.withColumns(json_numbers(coord, ["lon", "lat"])).drop(coord)
+    return json_columns(df, coord, {"lon": "lon", "lat": "lat"})
 
 
 def portrait_stations(stations: DataFrame, levels: list[str] = LEVELS) -> DataFrame:
@@ -100,40 +101,33 @@ def _hourly(df: DataFrame, hours: HourRange) -> DataFrame:
     )
 
 
-def truck_features(points: DataFrame, stations: DataFrame, radius_m: float = RADIUS_M) -> DataFrame:
-    """Distinct vehicles and track points around each station."""
-    return radius_summary(
-        points,
-        stations,
-        STATION_KEYS,
-        [
-            F.count_distinct("plate_num", "sim_card").alias("truck_num"),
-            F.count("*").alias("truck_trajectory"),
-        ],
-        ["published_at"],
-        radius_m,
-    )
+def truck_features(points: DataFrame, sites: DataFrame, radius_m: float = RADIUS_M) -> DataFrame:
+    """Distinct vehicles and track points around each location."""
+    aggregates = [
+        F.count_distinct("plate_num", "sim_card").alias("truck_num"),
+        F.count("*").alias("truck_trajectory"),
+    ]
+    return site_summary(points, sites, aggregates, ["published_at"], radius_m)
 
 
-def traffic_index(congestion: DataFrame, stations: DataFrame, hours: HourRange) -> DataFrame:
-    points = at_point(_hourly(congestion, hours), "grid_center_coord").withColumn("index", json_number("data", "index"))
+def traffic_index(congestion: DataFrame, sites: DataFrame, hours: HourRange) -> DataFrame:
+    points = json_columns(at_point(_hourly(congestion, hours), "grid_center_coord"), "data", {"index": "index"})
     mean = F.avg("index").try_cast("decimal(10,6)").alias("traffic_index")
-    return radius_summary(points.drop("data"), stations, STATION_KEYS, [mean], ["published_at"])
+    return site_summary(points, sites, [mean], ["published_at"])
 
 
-def weather_features(weather: DataFrame, stations: DataFrame, hours: HourRange) -> DataFrame:
+def weather_features(weather: DataFrame, sites: DataFrame, hours: HourRange) -> DataFrame:
     names = ["rainfall", "humidity", "solar_radiation"]
-    points = at_point(_hourly(weather, hours), "grid_center_coord").withColumns(json_numbers("data", names))
+    points = json_columns(at_point(_hourly(weather, hours), "grid_center_coord"), "data", {n: n for n in names})
     means = [F.avg(n).try_cast("decimal(8,2)").alias(n) for n in names]
-    return radius_summary(points.drop("data"), stations, STATION_KEYS, means, ["published_at"])
+    return site_summary(points, sites, means, ["published_at"])
 
 
-def cell_sites(cells: DataFrame, stations: DataFrame, radius_m: float = RADIUS_M) -> DataFrame:
-    """Which station locations each grid cell centre is near. It does not depend
-    on the hour, so the hourly tables join it by cell id."""
-    sites = stations.select(F.col("lon").alias("center_lon"), F.col("lat").alias("center_lat")).distinct()
+def cell_sites(cells: DataFrame, sites: DataFrame, radius_m: float = RADIUS_M) -> DataFrame:
+    """Which locations each grid cell centre is near. It does not depend on the
+    hour, so the hourly tables join it by cell id."""
     centres = at_point(cells.select("id", "center_coord"), "center_coord").where(F.col("id").isNotNull())
-    return radius_join(centres, sites, radius_m).select(F.col("id").alias("grid_id"), "center_lon", "center_lat")
+    return radius_join(centres, sites, radius_m).select(F.col("id").alias("grid_id"), *SITE)
 
 
 def dust_per_cell(dust: DataFrame) -> DataFrame:
@@ -142,25 +136,16 @@ def dust_per_cell(dust: DataFrame) -> DataFrame:
     return listed.groupBy("grid_id", "published_at").agg(F.sum(F.round(pair_item(F.col("_pair"), 0))).alias("dust"))
 
 
-def dust_feature(dust: DataFrame, near: DataFrame, stations: DataFrame, hours: HourRange) -> DataFrame:
+def dust_feature(dust: DataFrame, near: DataFrame, hours: HourRange) -> DataFrame:
     per_cell = dust_per_cell(_hourly(dust, hours))
-    per_site = (
-        lookup_join(per_cell, near, "grid_id")
-        .groupBy("center_lon", "center_lat", "published_at")
-        .agg(F.sum("dust").try_cast("int").alias("dust_index"))
-    )
-    return spread_to_centers(per_site, stations, STATION_KEYS)
+    total = F.sum("dust").try_cast("int").alias("dust_index")
+    return lookup_join(per_cell, near, "grid_id").groupBy(*SITE_KEYS).agg(total)
 
 
-def earth_feature(earthwork: DataFrame, near: DataFrame, stations: DataFrame, hours: HourRange) -> DataFrame:
+def earth_feature(earthwork: DataFrame, near: DataFrame, hours: HourRange) -> DataFrame:
     rows = _hourly(earthwork, hours).select("grid_id", "truck_num", "published_at")
     per_cell = rows.groupBy("grid_id", "published_at").agg(F.sum("truck_num").alias("earth_num"))
-    per_site = (
-        lookup_join(per_cell, near, "grid_id")
-        .groupBy("center_lon", "center_lat", "published_at")
-        .agg(F.sum("earth_num").alias("earth_num"))
-    )
-    return spread_to_centers(per_site, stations, STATION_KEYS)
+    return lookup_join(per_cell, near, "grid_id").groupBy(*SITE_KEYS).agg(F.sum("earth_num").alias("earth_num"))
 
 
 def section_vertices(road_division: DataFrame) -> DataFrame:
@@ -171,24 +156,18 @@ def section_vertices(road_division: DataFrame) -> DataFrame:
     ).select("id", "roadname", pair_item(pair, 0).alias("lon"), pair_item(pair, 1).alias("lat"))
 
 
-def section_sites(road_division: DataFrame, stations: DataFrame, radius_m: float = RADIUS_M) -> DataFrame:
-    """Which station locations each road section passes; hour-independent."""
-    sites = stations.select(F.col("lon").alias("center_lon"), F.col("lat").alias("center_lat")).distinct()
+def section_sites(road_division: DataFrame, sites: DataFrame, radius_m: float = RADIUS_M) -> DataFrame:
+    """Which locations each road section passes; hour-independent."""
     pairs = radius_join(section_vertices(road_division), sites, radius_m)
-    return pairs.select("id", "roadname", "center_lon", "center_lat").distinct()
+    return pairs.select("id", "roadname", *SITE).distinct()
 
 
-def flow_feature(
-    road_flow: DataFrame,
-    section_feature: DataFrame,
-    road_division: DataFrame,
-    stations: DataFrame,
-    hours: HourRange,
-) -> DataFrame:
-    """Greatest flow per section, mean per road name, summed per station.
+def flow_feature(road_flow: DataFrame, section_feature: DataFrame, near: DataFrame, hours: HourRange) -> DataFrame:
+    """Greatest flow per section, mean per road name, summed per location; ``near``
+    comes from :func:`section_sites`.
 
     The greatest flow of a section does not depend on which of its vertices is
-    near, so it is taken per section and hour before any station is joined. The
+    near, so it is taken per section and hour before any location is joined. The
     sum is rounded to 1e-6 before it is cut to an integer, so that the order of
     addition cannot change the result."""
     flows = _hourly(road_flow, hours).withColumn("flow", json_sum("data", VEHICLE_CLASSES))
@@ -198,64 +177,58 @@ def flow_feature(
         .groupBy("id", "published_at")
         .agg(F.max("flow").alias("flow"))
     )
-    place = ["center_lon", "center_lat", "published_at"]
-    per_road = (
-        lookup_join(per_section, section_sites(road_division, stations), "id")
-        .groupBy("roadname", *place)
-        .agg(F.avg("flow").alias("flow"))
-    )
-    per_site = per_road.groupBy(*place).agg(F.round(F.sum("flow"), 6).try_cast("int").alias("traffic_flow"))
-    return spread_to_centers(per_site, stations, STATION_KEYS)
+    per_road = lookup_join(per_section, near, "id").groupBy("roadname", *SITE_KEYS).agg(F.avg("flow").alias("flow"))
+    return per_road.groupBy(*SITE_KEYS).agg(F.round(F.sum("flow"), 6).try_cast("int").alias("traffic_flow"))
 
 
 def wind_feature(
-    station_weather: DataFrame, stations: DataFrame, hours: HourRange, sites: list[str] | None = None
+    station_weather: DataFrame, sites: DataFrame, hours: HourRange, names: list[str] | None = None
 ) -> DataFrame:
-    """Distance-weighted wind at each station and hour; 0 without data."""
-    rows = _hourly(station_weather, hours).where(F.col("station_name").isin(sites or WIND_SITES))
-    samples = at_point(rows, "station_coord").select(
-        "lon", "lat", "published_at", json_number("data", "wind_speed").alias("wind_speed")
-    )
-    slots = stations.withColumn("published_at", F.explode(hours.slots()))
-    return idw(slots, samples, ["published_at"], STATION_KEYS, "wind_speed")
+    """Distance-weighted wind at each location and hour; 0 without data."""
+    rows = _hourly(station_weather, hours).where(F.col("station_name").isin(names or WIND_SITES))
+    samples = json_columns(at_point(rows, "station_coord"), "data", {"wind_speed": "wind_speed"})
+    slots = sites.select(*SITE, F.col(SITE[0]).alias("lon"), F.col(SITE[1]).alias("lat"), F.explode(hours.slots()).alias("published_at"))
+    return idw(slots, samples, ["published_at"], SITE, "wind_speed")
 
 
-def daily_diffusion(forecast: DataFrame) -> DataFrame:
-    """Leading digit of the latest forecast of each day."""
+def daily_diffusion(forecast: DataFrame, day: str = "forecast_date") -> DataFrame:
+    """Leading character of the latest forecast of each day."""
     digit = F.substring("diffusion_conditions", 1, 1)
-    return latest_value(forecast, "forecast_date", "published_at", digit, "diffusion")
+    return latest_value(forecast, day, "published_at", digit, "diffusion")
 
 
-def portrait_features(
-    t: PortraitTables, hours: HourRange, levels: list[str] = LEVELS, wind_sites: list[str] | None = None
+def site_features(
+    t: PortraitTables, stations: DataFrame, hours: HourRange, wind_sites: list[str] | None = None
 ) -> DataFrame:
-    """All eleven feature columns per station and publication hour."""
-    stations = portrait_stations(t.stations, levels)
-    near = cell_sites(t.cells, stations)
+    """All eleven feature columns per station location and publication hour.
+
+    Which cells and road sections are near which location does not depend on the
+    hour; these two small mappings are staged before the hourly tables are read.
+    """
+    sites = sites_of(stations)
+    near = staged(cell_sites(t.cells, sites), "cell-sites")
+    roads = staged(section_sites(t.road_division, sites), "road-sites")
     from_partitions = "publish_date" in t.gps.columns
     points = (gps_from_partitions if from_partitions else gps_in_slots)(t.gps, hours)
     joined = assemble(
         [
-            truck_features(points, stations),
-            flow_feature(t.road_flow, t.section_feature, t.road_division, stations, hours),
-            traffic_index(t.congestion, stations, hours),
-            weather_features(t.weather, stations, hours),
-            dust_feature(t.dust, near, stations, hours),
-            wind_feature(t.station_weather, stations, hours, wind_sites),
-            earth_feature(t.earthwork, near, stations, hours),
+            truck_features(points, sites),
+            flow_feature(t.road_flow, t.section_feature, roads, hours),
+            traffic_index(t.congestion, sites, hours),
+            weather_features(t.weather, sites, hours),
+            dust_feature(t.dust, near, hours),
+            wind_feature(t.station_weather, sites, hours, wind_sites),
+            earth_feature(t.earthwork, near, hours),
         ],
-        KEYS,
+        SITE_KEYS,
     )
     joined = joined.withColumn("_day", F.date_format("published_at", "yyyy-MM-dd"))
     first, last = hours.published
-    day = F.col("forecast_date").cast("string")
-    wanted = t.forecast.withColumn("forecast_date", F.substring(day, 1, 10)).where(
-        F.col("forecast_date").between(first[:10], last[:10])
-    )
-    daily = daily_diffusion(wanted).withColumnRenamed("forecast_date", "_day")
+    day = F.substring(F.col("forecast_date").cast("string"), 1, 10)
+    wanted = t.forecast.withColumn("_day", day).where(F.col("_day").between(first[:10], last[:10]))
     diffusion = leading_digit(F.coalesce("diffusion", F.lit("0")))
-    return lookup_join(joined, daily, "_day", "left").withColumn("diffusion_conditions", diffusion).drop(
-        "_day", "diffusion"
+    return lookup_join(joined, daily_diffusion(wanted, "_day"), "_day", "left").withColumn(
+        "diffusion_conditions", diffusion
     )
 
 
@@ -267,10 +240,15 @@ def station_portrait(
     t: PortraitTables, hours: HourRange, levels: list[str] = LEVELS, wind_sites: list[str] | None = None
 ) -> DataFrame:
     """``grid_id, station_code, station_name, data, published_at`` for every
-    station and hour of the range, in one job."""
-    return portrait_features(t, hours, levels, wind_sites).select(
-        *STATION_KEYS, feature_json().alias("data"), F.date_format("published_at", HOUR_START).alias("published_at")
+    station and hour of the range, in one job.
+
+    Features are computed and written as JSON per location; stations that share
+    one are told apart only at the end."""
+    stations = portrait_stations(t.stations, levels)
+    per_site = site_features(t, stations, hours, wind_sites).select(
+        *SITE, feature_json().alias("data"), F.date_format("published_at", HOUR_START).alias("published_at")
     )
+    return spread_to_centers(per_site, stations, STATION_KEYS)
 
 
 def portrait_diff(new: DataFrame, stored: DataFrame) -> DataFrame:

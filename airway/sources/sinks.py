@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -11,26 +10,13 @@ from pyspark.sql import functions as F
 
 from airway.operators.joining import lookup_join
 from airway.operators.merging import upsert
-from airway.session import work_root
 from airway.sources.scans import HOUR_KEYS, read_partitioned
+from airway.sources.staging import staged, staging_path
 
 # Fixed value: size merged files aim at.
 MERGED_FILE_BYTES = 256_000_000
 
 
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared work folder."""
-    return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the work folder and read back: cuts the lineage of
-    a frame that is used several times."""
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @contextmanager
 def file_size(spark: SparkSession, target_bytes: int) -> Iterator[None]:
     """Let gathered writes aim at files of about this size."""
