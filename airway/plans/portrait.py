@@ -244,7 +244,7 @@ def station_portrait(
 
     Features are computed and written as JSON per location; stations that share
     one are told apart only at the end."""
-    stations = portrait_stations(t.stations, levels)
+    stations = staged(portrait_stations(t.stations, levels), "stations")
     per_site = site_features(t, stations, hours, wind_sites).select(
         *SITE, feature_json().alias("data"), F.date_format("published_at", HOUR_START).alias("published_at")
     )
