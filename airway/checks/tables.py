@@ -155,7 +155,7 @@ def window_copied_by_upsert(fx: Fixtures) -> DataFrame:
     sinks.write_partitions(portraits_old(fx).withColumn("hour", hour), path, ("hour",))
     window = portraits_new(fx).where(within("published_at", "1970-01-01 06:00:00", "1970-01-01 15:00:00"))
     sinks.upsert_partitions(window.withColumn("hour", hour), path, portrait.KEYS, ("hour",))
-    return scans.read_partitioned(fx.spark, path, ("hour",))
+    return scans.read_partitioned(fx.spark, path)
 
 
 @check(
@@ -192,6 +192,31 @@ def compacted_partitions(fx: Fixtures) -> DataFrame:
     return counted.withColumn("files", F.when(merged, F.col("_files"))).drop("_files")
 
 
+@check(
+    "C7 K6 S5",
+    with_fx("ev", """SELECT user_id AS device_id, lon, lat, value AS oil, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS published_at FROM ev
+        WHERE event_id % 13 <> 0 AND event_id % 10 <> 0"""),
+)
+def diagnostics_as_files_arrive(fx: Fixtures) -> DataFrame:
+    """Landed files flattened and upserted in two runs; the second run finds all
+    rows of the first again and replaces them."""
+    from airway.plans import obd
+    from airway.streaming.hourly import upsert_new_files
+
+    landed, target, progress = (_fresh(fx, n) for n in ("landed", "flat", "progress"))
+    rows = fx.obd()
+
+    def flat(batch: DataFrame) -> DataFrame:
+        return obd.flatten(batch).withColumn("publish_date", F.substring("published_at", 1, 10))
+
+    for part in (rows.where(F.col("event_id") % 2 == 0), rows):
+        part.write.mode("append").parquet(landed)
+        upsert_new_files(
+            fx.spark, landed, rows.schema, flat, target, progress, ["device_id", "published_at"], ("publish_date",)
+        )
+    return scans.read_partitioned(fx.spark, target).drop("publish_date")
+
+
 def _broken_lines(fx: Fixtures) -> DataFrame:
     """CSV lines with two unquoted JSON fields; some are cut short, some end
     without a time."""

@@ -42,18 +42,23 @@ class Tables:
         return self(name).where(within(time, start, end))
 
 
-def read_partitioned(spark: SparkSession, root: str, keys: tuple[str, ...] = HOUR_KEYS) -> DataFrame:
+def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
     """A partitioned Parquet dataset with its partition columns as text, so that
     hour ``00`` is not read as the number 0."""
-    found = spark.read.parquet(root).schema
-    fields = [T.StructField(f.name, T.StringType()) if f.name in keys else f for f in found]
-    return spark.read.schema(T.StructType(fields)).parquet(root)
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.parquet(root)
+    finally:
+        spark.conf.set(key, before)
 
 
 def read_hours(spark: SparkSession, root: str, hours: HourRange) -> DataFrame:
     """Rows of the hour partitions in the range. Absent partitions give no rows.
 
     The predicates are on partition columns only, so other folders are not read.
+    The root is still listed; a catalog table (:class:`Tables`) saves that.
     """
     slot = F.concat_ws(" ", *HOUR_KEYS)
     first, last = hours.first, hours.last

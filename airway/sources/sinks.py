@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airway.operators.cleaning import one_per_key
 from airway.operators.joining import lookup_join
 from airway.operators.merging import upsert
 from airway.sources.scans import HOUR_KEYS, read_partitioned
@@ -57,10 +59,33 @@ def insert_positional(
     rows.write.insertInto(table, overwrite=overwrite)
 
 
+# Fixed value: rows per insert batch of a database sink.
+JDBC_BATCH_ROWS = 20_000
+
+
+def append_jdbc(df: DataFrame, options: Mapping[str, str], writers: int = 8) -> None:
+    """Append to a database table in batches over a bounded number of connections.
+
+    For a keyed upsert let the target be a landing table that the database merges
+    by its unique key."""
+    settings = {"batchsize": str(JDBC_BATCH_ROWS), "numPartitions": str(writers), **options}
+    df.write.format("jdbc").options(**settings).mode("append").save()
+
+
 def create_partitioned_table(spark: SparkSession, table: str, schema: str, keys: tuple[str, ...], path: str) -> None:
     spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet PARTITIONED BY ({', '.join(keys)}) LOCATION '{path}'")
 
 
+def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The dataset at ``path``, or None before its first write."""
+    try:
+        return read_partitioned(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def upsert_partitions(
     new: DataFrame,
     path: str,
@@ -75,8 +100,12 @@ def upsert_partitions(
     read; a run that dies in between can be repeated.
     """
     spark = new.sparkSession
-    stored = read_partitioned(spark, path, partitions)
-    new = staged(new.select(*stored.columns), "new")
+    new = staged(new, "new")
+    stored = stored_or_none(spark, path)
+    if stored is None:
+        write_partitions(one_per_key(new, keys, order, last=True), path, partitions)
+        return
+    new = new.select(*stored.columns)
     touched = new.select(*partitions).distinct()
     # The range of the first partition column prunes the scan at run time.
     lead = F.col(partitions[0])
@@ -85,7 +114,7 @@ def upsert_partitions(
     affected = lookup_join(near, touched, list(partitions), "left_semi").select(*stored.columns)
     work = staging_path(spark, "upsert")
     write_partitions(upsert(new, affected, keys, order), work, partitions, overwrite=True)
-    write_partitions(read_partitioned(spark, work, partitions), path, partitions, overwrite=True)
+    write_partitions(read_partitioned(spark, work), path, partitions, overwrite=True)
 
 
 def compact(
@@ -103,11 +132,11 @@ def compact(
     columns. Partitions that do not exist are simply not there. Staging is
     overwritten, never appended to, so a repeated run cannot double rows.
     """
-    chosen = pick(read_partitioned(spark, source, partitions))
+    chosen = pick(read_partitioned(spark, source))
     work = staging_path(spark, "compact")
     with file_size(spark, target_bytes):
         write_partitions(chosen, work, partitions, overwrite=True)
-        copy = read_partitioned(spark, work, partitions)
+        copy = read_partitioned(spark, work)
         expected, written = chosen.count(), copy.count()
         if expected != written:
             raise RuntimeError(f"staged {written} of {expected} rows; {target} left as it was")

@@ -74,6 +74,15 @@ def test_partition_scan_prunes_and_tolerates_gaps(spark):
     assert "publish_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_upsert_scan_is_pruned_by_touched_partitions(spark):
+    path = staging.staging_path(spark, "t")
+    sinks.write_partitions(table(spark), path)
+    stored = scans.read_partitioned(spark, path)
+    touched = staging.staged(table(spark).where("hour = '07'"), "n").agg(F.min("hour").alias("low"))
+    plan = plan_of(stored.where(F.col("hour") >= touched.select("low").scalar()))
+    assert "subquery" in plan.split("PartitionFilters: [")[1].split("]")[0].lower()
+
+
 @pytest.fixture
 def small_splits(spark):
     """Read small files with several tasks, as large files would be."""

@@ -87,6 +87,35 @@ def test_hot_cell_without_broadcast(spark, no_broadcast):
     assert rows(found.groupBy("c").count()) == rows(naive.groupBy("c").count())
 
 
+def test_hot_key_is_split_over_tasks(spark, no_broadcast):
+    """Beyond the broadcast bound adaptive execution splits the hot cell."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        points = spark.range(0, 60000, 1, 8).select(
+            F.col("id").alias("p"),
+            F.when(F.col("id") % 3 == 0, 104.0).otherwise(60.0 + F.col("id") * 0.001).alias("lon"),
+            F.lit(30.0).alias("lat"),
+        )
+        centers = frame(spark, [(i, 60.0 + i, 30.0) for i in range(50)], "c long, center_lon double, center_lat double")
+        found = radius_join(points, centers)
+        # 20000 points at the hot spot, the others within 5 km of a center each degree.
+        assert found.where("c = 44").count() >= 20000
+        found.write.format("noop").mode("overwrite").save()
+        assert len(found.collect()) == found.count()
+        assert "skewed" in plan_of(found)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_joins_are_equi_joins(spark, no_broadcast):
     points = frame(spark, [(1, 104.0, 30.0)], "p long, lon double, lat double")
     centers = frame(spark, [(1, 104.0, 30.0)], "c long, center_lon double, center_lat double")
