@@ -213,8 +213,8 @@ class Fixtures:
     def rects(self) -> DataFrame:
         k = F.col("s_suppkey")
         west = F.lit(103.9) + (k % 10).cast("double") * F.lit(0.04)
-        south = F.lit(30.5) + F.floor((k % 100) / 10).cast("double") * F.lit(0.04)
-        return self.raw("supplier").where(k < 100).select(
+        south = F.lit(30.5) + F.floor(k / 10).cast("double") * F.lit(0.04)
+        return self.raw("supplier").select(
             (F.lit(1) + k).alias("grid_id"),
             west.alias("bottom_left_lon"),
             south.alias("bottom_left_lat"),
@@ -307,7 +307,7 @@ FX = {
     "cell": f"SELECT p_partkey AS id, {sql_point('p_partkey')[0]} AS lon, {sql_point('p_partkey')[1]} AS lat FROM part",
     "rect": """SELECT *, bl_lon + 0.04::DOUBLE AS tr_lon, bl_lat + 0.04::DOUBLE AS tr_lat FROM (SELECT 1 + s_suppkey AS grid_id,
         103.9::DOUBLE + (s_suppkey % 10)::DOUBLE * 0.04::DOUBLE AS bl_lon,
-        30.5::DOUBLE + floor((s_suppkey % 100) / 10)::DOUBLE * 0.04::DOUBLE AS bl_lat FROM supplier WHERE s_suppkey < 100)""",
+        30.5::DOUBLE + floor(s_suppkey / 10)::DOUBLE * 0.04::DOUBLE AS bl_lat FROM supplier)""",
 }
 
 

@@ -84,6 +84,8 @@ def station_portrait_from_partitions(fx: Fixtures) -> DataFrame:
     return portrait.station_portrait(tables, ALL_HOURS, wind_sites=WIND_SITES)
 
 
+NOON = "1970-01-01 12:00:00"
+_EARLY = f"published_at < '{NOON}'"
 _TEXT = """'{"a":' || a || ',"b":"' || b || '","c":' || c || '}'"""
 _OLD_TEXT = _TEXT.replace("|| a ||", "|| old_a ||")
 
@@ -91,10 +93,10 @@ _OLD_TEXT = _TEXT.replace("|| a ||", "|| old_a ||")
 @check(
     "C3 U2 A11 F5 K6",
     f"""WITH p AS ({PORTRAIT_NEW}),
-    changed AS (SELECT DISTINCT published_at FROM p WHERE id % 7 = 0 OR id % 5 = 0)
+    changed AS (SELECT DISTINCT published_at FROM p WHERE grid_id < 4 OR id % 5 = 0)
     SELECT grid_id, station_code, station_name, {_TEXT} AS data, published_at FROM p WHERE published_at IN (SELECT * FROM changed)
     UNION ALL SELECT grid_id, station_code, station_name, {_OLD_TEXT}, published_at FROM p
-        WHERE published_at NOT IN (SELECT * FROM changed) AND id % 7 <> 0""",
+        WHERE published_at NOT IN (SELECT * FROM changed) AND grid_id >= 4""",
 )
 def portrait_backfill(fx: Fixtures) -> DataFrame:
     """Hours with any difference are replaced, the others stay as stored."""
@@ -104,12 +106,11 @@ def portrait_backfill(fx: Fixtures) -> DataFrame:
 @check(
     "K6",
     f"""WITH p AS ({PORTRAIT_NEW}) SELECT grid_id, station_code, station_name, published_at,
-        CASE WHEN id % 7 = 0 OR id % 2 = 0 THEN {_TEXT} ELSE {_OLD_TEXT} END AS data FROM p WHERE id % 7 <> 0 OR id % 2 = 0""",
+        CASE WHEN {_EARLY} THEN {_TEXT} ELSE {_OLD_TEXT} END AS data FROM p WHERE grid_id >= 4 OR {_EARLY}""",
 )
 def keyed_upsert(fx: Fixtures) -> DataFrame:
     """New rows come in two versions per key; the later one stays."""
-    code = F.col("station_code").cast("bigint")
-    some = portraits_new(fx).where(code % 2 == 0)
+    some = portraits_new(fx).where(F.col("published_at") < NOON)
     versions = some.withColumn("data", F.lit("{}")).withColumn("seq", F.lit(1)).unionByName(some.withColumn("seq", F.lit(2)))
     stored = portraits_old(fx).withColumn("seq", F.lit(0))
     return upsert(versions, stored, portrait.KEYS, ["seq"]).drop("seq")
@@ -118,13 +119,12 @@ def keyed_upsert(fx: Fixtures) -> DataFrame:
 @check(
     "K7 J10",
     f"""WITH p AS ({PORTRAIT_NEW}) SELECT grid_id, station_code, station_name, published_at, CAST(old_a AS INTEGER) AS a, b,
-        CAST(c AS INTEGER) AS c, CASE WHEN id % 2 = 0 THEN 1 END AS e FROM p WHERE id % 7 <> 0
-    UNION ALL SELECT grid_id, station_code, station_name, published_at, 0, NULL, NULL, 1 FROM p WHERE id % 7 = 0 AND id % 2 = 0""",
+        CAST(c AS INTEGER) AS c, CASE WHEN {_EARLY} THEN 1 END AS e FROM p WHERE grid_id >= 4
+    UNION ALL SELECT grid_id, station_code, station_name, published_at, 0, NULL, NULL, 1 FROM p WHERE grid_id < 4 AND {_EARLY}""",
 )
 def json_merging_upsert(fx: Fixtures) -> DataFrame:
     """On a key conflict stored members win and new ones are added."""
-    code = F.col("station_code").cast("bigint")
-    new = portraits_new(fx).where(code % 2 == 0).withColumn("data", F.lit('{"a":0,"e":1}'))
+    new = portraits_new(fx).where(F.col("published_at") < NOON).withColumn("data", F.lit('{"a":0,"e":1}'))
     merged = upsert_json(new, portraits_old(fx), portrait.KEYS, "data")
     return merged.withColumn("_d", F.from_json("data", "a int, b string, c int, e int")).select(*portrait.KEYS, "_d.*")
 

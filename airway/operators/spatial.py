@@ -19,26 +19,33 @@ METRES_PER_DEGREE = EARTH_RADIUS_M * math.pi / 180.0
 
 
 class CellGrid:
-    """Global grid of cells with edges of ``edge_m`` metres of latitude. Methods
-    give SQL text."""
+    """Global grid whose cells are ``edge_m`` metres high and about as wide at any
+    latitude: rows nearer to a pole have fewer columns. Methods give SQL text."""
 
     def __init__(self, edge_m: float):
         self.columns = max(1, math.floor(360.0 * METRES_PER_DEGREE / edge_m))
         self.degrees = 360.0 / self.columns
 
-    def column_of(self, lon: str) -> str:
-        return f"floor(({lon} + 180.0D) / {self.degrees!r}D)"
-
     def row_of(self, lat: str) -> str:
         return f"floor(({lat} + 90.0D) / {self.degrees!r}D)"
 
-    def key(self, column: str, row: str) -> str:
-        return f"{row} * {self.columns} + pmod({column}, {self.columns})"
+    def columns_in(self, row: str) -> str:
+        middle = f"radians(({row} + 0.5D) * {self.degrees!r}D - 90.0D)"
+        return f"greatest(1L, floor({self.columns} * cos({middle})))"
+
+    def key(self, row: str, columns: str, column: str) -> str:
+        return f"{row} * {self.columns} + pmod({column}, {columns})"
 
-    def farther_edge(self, index: str, offset: float, place: str) -> str:
-        """Degrees from ``place`` to the farther edge of a column or row of cells."""
-        near = f"{index} * {self.degrees!r}D - {offset!r}D - {place}"
-        return f"greatest(abs({near}), abs({near} + {self.degrees!r}D))"
+    def place(self, points: DataFrame, lon: str, lat: str) -> DataFrame:
+        """Add the ``_cell`` of each point; rows without a position are dropped."""
+        column = f"least(floor(pmod({lon} + 180.0D, 360.0D) * _columns / 360.0D), _columns - 1)"
+        return (
+            points.where(f"{lon} IS NOT NULL AND {lat} IS NOT NULL")
+            .withColumn("_row", F.expr(self.row_of(lat)))
+            .withColumn("_columns", F.expr(self.columns_in("_row")))
+            .withColumn("_cell", F.expr(self.key("_row", "_columns", column)))
+            .drop("_row", "_columns")
+        )
 
 
 def covering_cells(centers: DataFrame, grid: CellGrid, radius_m: float, lon: str, lat: str) -> DataFrame:
@@ -50,27 +57,31 @@ def covering_cells(centers: DataFrame, grid: CellGrid, radius_m: float, lon: str
         f"if(abs({lat}) + {reach_deg!r}D >= 90.0D, 180.0D,"
         f" degrees(asin(least(1.0D, {math.sin(reach)!r}D / cos(radians({lat}))))) + 1e-9D)"
     )
-    first = grid.column_of(f"{lon} - _half")
-    last = grid.column_of(f"{lon} + _half")
+    rows = f"sequence({grid.row_of(f'{lat} - {reach_deg!r}D')}, {grid.row_of(f'{lat} + {reach_deg!r}D')})"
+    first = f"floor(({lon} - _half + 180.0D) * _columns / 360.0D)"
+    last = f"floor(({lon} + _half + 180.0D) * _columns / 360.0D)"
     # Farthest latitude and longitude of the cell and its widest parallel bound
     # the distance of every point in it from above.
-    south = f"(_cy * {grid.degrees!r}D - 90.0D)"
-    widest = f"greatest(cos(radians({south})), cos(radians({south} + {grid.degrees!r}D)))"
-    high = grid.farther_edge("_cy", 90.0, lat)
-    wide = f"least({grid.farther_edge('_cx', 180.0, lon)}, 180.0D)"
+    south = f"(_row * {grid.degrees!r}D - 90.0D)"
+    north = f"({south} + {grid.degrees!r}D)"
+    west = "(_column * 360.0D / _columns - 180.0D)"
+    east = "((_column + 1) * 360.0D / _columns - 180.0D)"
+    widest = f"greatest(cos(radians({south})), cos(radians({north})))"
+    high = f"greatest(abs({south} - {lat}), abs({north} - {lat}))"
+    wide = f"least(greatest(abs({west} - {lon}), abs({east} - {lon})), 180.0D)"
     chord = (
         f"pow(sin(radians({high}) / 2.0D), 2.0D)"
         f" + cos(radians({lat})) * {widest} * pow(sin(radians({wide}) / 2.0D), 2.0D)"
     )
     safe = math.sin(max(radius_m - 1.0, 0.0) / (2.0 * EARTH_RADIUS_M)) ** 2
-    rows = f"sequence({grid.row_of(f'{lat} - {reach_deg!r}D')}, {grid.row_of(f'{lat} + {reach_deg!r}D')})"
     return (
         centers.where(f"{lon} IS NOT NULL AND {lat} IS NOT NULL")
         .withColumn("_half", F.expr(half_width))
-        .withColumn("_cx", F.expr(f"explode(sequence({first}, least({last}, {first} + {grid.columns - 1})))"))
-        .withColumn("_cy", F.expr(f"explode({rows})"))
-        .withColumns({"_inside": F.expr(f"{chord} < {safe!r}D"), "_cell": F.expr(grid.key("_cx", "_cy"))})
-        .drop("_half", "_cx", "_cy")
+        .withColumn("_row", F.expr(f"explode({rows})"))
+        .withColumn("_columns", F.expr(grid.columns_in("_row")))
+        .withColumn("_column", F.expr(f"explode(sequence({first}, least({last}, {first} + _columns - 1)))"))
+        .withColumns({"_inside": F.expr(f"{chord} < {safe!r}D"), "_cell": F.expr(grid.key("_row", "_columns", "_column"))})
+        .drop("_half", "_row", "_columns", "_column")
     )
 
 
@@ -92,14 +103,11 @@ def radius_join(
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     grid = CellGrid(radius_m / cells_per_radius)
     cells = covering_cells(centers, grid, radius_m, *center_xy)
-    x, y = point_xy
-    placed = points.where(f"{x} IS NOT NULL AND {y} IS NOT NULL").withColumn(
-        "_cell", F.expr(grid.key(grid.column_of(x), grid.row_of(y)))
-    )
-    # About (2k+2)^2 cells per center, twice that up to 60 degrees of latitude.
-    copies = 2 * (2 * cells_per_radius + 2) ** 2
+    placed = grid.place(points, *point_xy)
+    # About (2k+2)^2 cells per center, and not three times as many even at a pole.
+    copies = 3 * (2 * cells_per_radius + 2) ** 2
     pairs = lookup_join(placed, cells, "_cell", size_of=centers, copies=copies)
-    close = haversine_m(x, y, *center_xy) < F.lit(radius_m)
+    close = haversine_m(*point_xy, *center_xy) < F.lit(radius_m)
     return pairs.where(F.col("_inside") | close).drop("_cell", "_inside")
 
 
