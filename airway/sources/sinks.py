@@ -21,14 +21,20 @@ MERGED_FILE_BYTES = 256_000_000
 
 @contextmanager
 def file_size(spark: SparkSession, target_bytes: int) -> Iterator[None]:
-    """Let gathered writes aim at files of about this size."""
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(target_bytes))
+    """Let gathered writes aim at files of about this size, and read such files
+    whole."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes,
+        "spark.sql.files.maxPartitionBytes": 2 * target_bytes,
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def write_partitions(
@@ -40,8 +46,18 @@ def write_partitions(
     a large one is split by size rather than left to a single task.
     """
     gathered = df.hint("rebalance", *[F.col(k) for k in keys])
+    _write(gathered, path, keys, overwrite)
+
+
+def replace_from(copy: DataFrame, path: str, keys: tuple[str, ...] = HOUR_KEYS) -> None:
+    """Replace the partitions present in a staged dataset. Its files hold whole
+    partitions already, so they are copied as they are, without a shuffle."""
+    _write(copy, path, keys, overwrite=True)
+
+
+def _write(df: DataFrame, path: str, keys: tuple[str, ...], overwrite: bool) -> None:
     (
-        gathered.write.mode("overwrite" if overwrite else "append")
+        df.write.mode("overwrite" if overwrite else "append")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
@@ -113,8 +129,9 @@ def upsert_partitions(
     near = stored.where((lead >= span.select("low").scalar()) & (lead <= span.select("high").scalar()))
     affected = lookup_join(near, touched, list(partitions), "left_semi").select(*stored.columns)
     work = staging_path(spark, "upsert")
-    write_partitions(upsert(new, affected, keys, order), work, partitions, overwrite=True)
-    write_partitions(read_partitioned(spark, work), path, partitions, overwrite=True)
+    with file_size(spark, MERGED_FILE_BYTES):
+        write_partitions(upsert(new, affected, keys, order), work, partitions, overwrite=True)
+        replace_from(read_partitioned(spark, work), path, partitions)
 
 
 def compact(
@@ -140,5 +157,5 @@ def compact(
         expected, written = chosen.count(), copy.count()
         if expected != written:
             raise RuntimeError(f"staged {written} of {expected} rows; {target} left as it was")
-        write_partitions(copy, target, partitions, overwrite=True)
+        replace_from(copy, target, partitions)
     return written
