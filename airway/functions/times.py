@@ -30,12 +30,13 @@ def leading_digit(c) -> Column:
 
 
 def epoch_seconds(c) -> Column:
-    return F.timestamp_seconds(_col(c))
+    """Epoch seconds, number or text, as a time stamp."""
+    return F.timestamp_seconds(_col(c).try_cast("bigint"))
 
 
 def epoch_text(c) -> Column:
     """Epoch seconds as ``yyyy-MM-dd HH:mm:ss``."""
-    return F.date_format(F.timestamp_seconds(_col(c)), STAMP)
+    return F.date_format(epoch_seconds(c), STAMP)
 
 
 def stamp_day(c) -> Column:

@@ -57,9 +57,9 @@ class HourRange:
 def into_slots(df: DataFrame, time: str, hours: HourRange, name: str = "published_at") -> DataFrame:
     """Rows of the window with the publication hour of each slot they fall in."""
     rows = df.where(hours.in_window(time))
-    hour = F.date_trunc("hour", F.col(time))
+    hour = F.date_trunc("hour", F.col(time).try_cast("timestamp"))
     if hours.span == 1:
-        return rows.withColumn(name, plus_hours(hour, hours.ahead))
+        return rows.withColumn(name, plus_hours(hour, hours.ahead)).where(F.col(name).isNotNull())
     back = F.explode(F.sequence(F.lit(0), F.lit(hours.span - 1)))
     first, last = (F.to_timestamp(F.lit(t)) for t in (hours.first, hours.last))
     return (

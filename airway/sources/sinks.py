@@ -13,7 +13,7 @@ from airway.operators.cleaning import one_per_key
 from airway.operators.joining import lookup_join
 from airway.operators.merging import upsert
 from airway.sources.scans import HOUR_KEYS, read_partitioned
-from airway.sources.staging import staged, staging_path
+from airway.sources.staging import staged_at, staging_path, unstage
 
 # Fixed value: size merged files aim at.
 MERGED_FILE_BYTES = 256_000_000
@@ -116,22 +116,29 @@ def upsert_partitions(
     read; a run that dies in between can be repeated.
     """
     spark = new.sparkSession
-    new = staged(new, "new")
+    landed, work = (staging_path(spark, name) for name in ("new", "upsert"))
+    new = staged_at(new, landed)
     stored = stored_or_none(spark, path)
-    if stored is None:
-        write_partitions(one_per_key(new, keys, order, last=True), path, partitions)
-        return
-    new = new.select(*stored.columns)
+    with file_size(spark, MERGED_FILE_BYTES):
+        if stored is None:
+            write_partitions(one_per_key(new, keys, order, last=True), path, partitions)
+        else:
+            new = new.select(*stored.columns)
+            merged = upsert(new, _touched(stored, new, partitions), keys, order)
+            write_partitions(merged, work, partitions, overwrite=True)
+            replace_from(read_partitioned(spark, work), path, partitions)
+    for staged in (landed, work):
+        unstage(spark, staged)
+
+
+def _touched(stored: DataFrame, new: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    """Stored rows of the partitions that occur in ``new``. The range of the first
+    partition column prunes the scan at run time."""
     touched = new.select(*partitions).distinct()
-    # The range of the first partition column prunes the scan at run time.
     lead = F.col(partitions[0])
     span = touched.agg(F.min(lead).alias("low"), F.max(lead).alias("high"))
     near = stored.where((lead >= span.select("low").scalar()) & (lead <= span.select("high").scalar()))
-    affected = lookup_join(near, touched, list(partitions), "left_semi").select(*stored.columns)
-    work = staging_path(spark, "upsert")
-    with file_size(spark, MERGED_FILE_BYTES):
-        write_partitions(upsert(new, affected, keys, order), work, partitions, overwrite=True)
-        replace_from(read_partitioned(spark, work), path, partitions)
+    return lookup_join(near, touched, list(partitions), "left_semi").select(*stored.columns)
 
 
 def compact(
@@ -158,4 +165,5 @@ def compact(
         if expected != written:
             raise RuntimeError(f"staged {written} of {expected} rows; {target} left as it was")
         replace_from(copy, target, partitions)
+    unstage(spark, work)
     return written

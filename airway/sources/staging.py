@@ -17,6 +17,15 @@ def staging_path(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the work folder and read back. Cuts the lineage of a
     frame that is used several times, and lets Catalyst see its true size."""
-    path = staging_path(df.sparkSession, name)
+    return staged_at(df, staging_path(df.sparkSession, name))
+
+
+def staged_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstage(spark: SparkSession, path: str) -> None:
+    """Remove a staged table that is no longer read."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
