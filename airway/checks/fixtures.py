@@ -49,15 +49,17 @@ class Fixtures:
 
     def events(self) -> DataFrame:
         """Events with their counter ``k``, hour and position."""
-        lon, lat = point_of(F.col("event_id"))
-        return self.raw("events").withColumns(
-            {
-                "k": F.get_json_object("props", "$.k").cast("int"),
-                "hour_at": F.date_format("ts", "yyyy-MM-dd HH:00:00"),
-                "lon": lon,
-                "lat": lat,
-            }
-        )
+        if "placed events" not in self._read:
+            lon, lat = point_of(F.col("event_id"))
+            self._read["placed events"] = self.raw("events").withColumns(
+                {
+                    "k": F.get_json_object("props", "$.k").cast("int"),
+                    "hour_at": F.date_format("ts", "yyyy-MM-dd HH:00:00"),
+                    "lon": lon,
+                    "lat": lat,
+                }
+            )
+        return self._read["placed events"]
 
     def stations(self) -> DataFrame:
         k = F.col("s_suppkey")
@@ -301,9 +303,12 @@ FX = {
     "st": f"""SELECT s_nationkey AS grid_id, CAST(s_suppkey AS VARCHAR) AS station_code, s_name AS station_name,
         {sql_pick('s_suppkey', LEVELS)} AS station_level, {sql_pick('s_suppkey', KINDS)} AS station_type,
         {sql_pick('s_suppkey', DISTRICTS)} AS district_code, {_SLON} AS lon, {_SLAT} AS lat FROM supplier""",
-    "ps": "SELECT * FROM st WHERE station_level IN ('nation', 'province', 'city')",
     "near": f"""SELECT a.*, s.grid_id AS g, s.station_code, s.station_name FROM ev a JOIN st s
         ON {sql_metres('a.lon', 'a.lat', 's.lon', 's.lat')} < 5000""",
+    "obd": """SELECT event_id, user_id AS device_id, lon, lat, CASE WHEN event_id % 13 <> 0 THEN value END AS oil, k AS m6413,
+        CASE WHEN event_id % 11 <> 0 THEN value END AS m6415, event_id % 7 AS m6411,
+        CASE WHEN event_id % 10 <> 0 THEN event_type END AS error_data, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS published_at FROM ev""",
+    "csv": """SELECT *, CASE WHEN event_id % 17 = 0 THEN 'short' WHEN event_id % 19 = 0 THEN 'no time' END AS fault FROM ev""",
     "cell": f"SELECT p_partkey AS id, {sql_point('p_partkey')[0]} AS lon, {sql_point('p_partkey')[1]} AS lat FROM part",
     "rect": """SELECT *, bl_lon + 0.04::DOUBLE AS tr_lon, bl_lat + 0.04::DOUBLE AS tr_lat FROM (SELECT 1 + s_suppkey AS grid_id,
         103.9::DOUBLE + (s_suppkey % 10)::DOUBLE * 0.04::DOUBLE AS bl_lon,
@@ -311,8 +316,16 @@ FX = {
 }
 
 
+# Stations with a portrait: ``allst`` before ``st`` narrows the latter.
+FX["allst"] = FX["st"]
+_PORTRAIT_ST = "SELECT * FROM allst WHERE station_level IN ('nation', 'province', 'city')"
+
+
 def with_fx(names: str, body: str) -> str:
     """SQL text with the named fixtures in front, in order."""
+    if "allst" in names.split():
+        listed = {**FX, "st": _PORTRAIT_ST}
+        return "WITH " + ",\n".join(f"{n} AS ({listed[n]})" for n in names.split()) + "\n" + body
     return "WITH " + ",\n".join(f"{n} AS ({FX[n]})" for n in names.split()) + "\n" + body
 
 

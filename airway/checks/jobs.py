@@ -29,9 +29,7 @@ _G = "g AS grid_id, station_code, station_name, hour_at"
 
 
 def _portrait_sql(truck: str) -> str:
-    stations = with_fx("ev st", "").rstrip().replace(
-        "FROM supplier)", "FROM supplier WHERE s_suppkey % 4 < 3)"
-    )
+    stations = with_fx("ev allst st", "").rstrip()
     near = f"""near AS (SELECT a.*, s.grid_id AS g, s.station_code, s.station_name FROM ev a JOIN st s
         ON {sql_metres('a.lon', 'a.lat', 's.lon', 's.lat')} < 5000)"""
     cells = with_fx("cell", "").strip()[5:]
@@ -144,14 +142,14 @@ def grid_entry_and_exit(fx: Fixtures) -> DataFrame:
     return found.orderBy("published_at_in", "sim_card")
 
 
-_RUNNING = "k <> 0 AND event_id % 11 <> 0 AND value <> 0 AND event_id % 7 <> 0 AND event_id % 10 <> 0"
-_STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+_RUNNING = "m6413 <> 0 AND m6415 <> 0 AND m6411 <> 0 AND error_data IS NOT NULL"
+_OBD = "device_id, error_data, published_at"
 
 
 @check(
     "C5 P10 P11 A8 J7 F4",
-    with_fx("ev", f"""SELECT user_id AS device_id, event_type AS error_data, {_STAMP} AS published_at FROM ev WHERE {_RUNNING}
-        AND user_id IN (SELECT user_id FROM ev WHERE {_RUNNING} GROUP BY user_id HAVING count(*) > {ACTIVE_ROWS - 15})"""),
+    with_fx("ev obd", f"""SELECT {_OBD} FROM obd WHERE {_RUNNING} AND device_id IN
+        (SELECT device_id FROM obd WHERE {_RUNNING} GROUP BY device_id HAVING count(*) > {ACTIVE_ROWS - 15})"""),
 )
 def active_devices_filter_first(fx: Fixtures) -> DataFrame:
     return obd.active_filter_first(fx.obd(), ACTIVE_ROWS - 15).drop("dynamic_data")
@@ -159,8 +157,8 @@ def active_devices_filter_first(fx: Fixtures) -> DataFrame:
 
 @check(
     "C6 A8 J7 P10 P11",
-    with_fx("ev", f"""SELECT user_id AS device_id, event_type AS error_data, {_STAMP} AS published_at FROM ev WHERE {_RUNNING}
-        AND user_id IN (SELECT user_id FROM ev GROUP BY user_id HAVING count(*) > {ACTIVE_ROWS})"""),
+    with_fx("ev obd", f"""SELECT {_OBD} FROM obd WHERE {_RUNNING} AND device_id IN
+        (SELECT device_id FROM obd GROUP BY device_id HAVING count(*) > {ACTIVE_ROWS})"""),
 )
 def active_devices_count_first(fx: Fixtures) -> DataFrame:
     return obd.active_count_first(fx.obd(), ACTIVE_ROWS).drop("dynamic_data")
@@ -168,8 +166,7 @@ def active_devices_count_first(fx: Fixtures) -> DataFrame:
 
 @check(
     "C7 F3 F27 P11 S5",
-    with_fx("ev", f"""SELECT user_id AS device_id, lon, lat, value AS oil, {_STAMP} AS published_at FROM ev
-        WHERE event_id % 13 <> 0 AND event_id % 10 <> 0"""),
+    with_fx("ev obd", """SELECT device_id, lon, lat, oil, published_at FROM obd WHERE oil IS NOT NULL AND error_data IS NOT NULL"""),
 )
 def diagnostics_flattened(fx: Fixtures) -> DataFrame:
     return obd.flatten(fx.obd())

@@ -163,7 +163,8 @@ def earthwork_near_stations(fx: Fixtures) -> DataFrame:
 
 
 _WLON, _WLAT = sql_site("event_id % 25")
-WIND_BODY = f"""wind AS (SELECT hour_at, {_WLON} AS lon, {_WLAT} AS lat, k % 13 AS v FROM ev WHERE event_id % 25 < 12),
+WIND_BODY = f"""wind AS (SELECT hour_at, {_WLON} AS lon, {_WLAT} AS lat, k % 13 AS v FROM ev
+        WHERE 'NATION_' || (event_id % 25) IN ({", ".join(f"'{n}'" for n in WIND_SITES)})),
     hours AS (SELECT strftime(unnest(generate_series(TIMESTAMP '{FIRST_HOUR}', TIMESTAMP '{LAST_HOUR}', INTERVAL 1 HOUR)),
         '%Y-%m-%d %H:%M:%S') AS hour_at),
     slot AS (SELECT s.*, h.hour_at FROM st s, hours h),

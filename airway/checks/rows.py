@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from airway.checks.fixtures import Fixtures, with_fx
 from airway.checks.registry import check
+from airway.functions.records import json_doubles
 from airway.operators.cleaning import all_nonzero, blank_marks, null_columns, one_per_key, within
 from airway.plans import obd
 from airway.plans.feeds import station_dimension
@@ -54,17 +55,14 @@ def dimension_filtered_by_hidden_columns(fx: Fixtures) -> DataFrame:
     return chosen.withColumn("p", point).select("station_name", "grid_id", "station_code", "station_level", "p.lon", "p.lat")
 
 
-@check("P10", with_fx("ev", "SELECT event_id FROM ev WHERE k <> 0 AND event_id % 11 <> 0 AND value <> 0 AND event_id % 7 <> 0"))
+@check("P10", with_fx("ev obd", "SELECT event_id FROM obd WHERE m6413 <> 0 AND m6415 <> 0 AND m6411 <> 0"))
 def rows_with_nonzero_metrics(fx: Fixtures) -> DataFrame:
     """A quoted metric is no number and drops the row."""
-    n = F.col("event_id")
-    quoted = F.when(n % 11 == 0, F.concat(F.lit('"'), F.col("value"), F.lit('"'))).otherwise(F.col("value").cast("string"))
-    text = F.concat(F.lit('{"a":'), F.col("k"), F.lit(',"b":'), quoted, F.lit(',"c":'), n % 7, F.lit("}"))
-    parsed = F.from_json("text", "a double, b double, c double")
-    return fx.events().withColumn("text", text).where(all_nonzero(parsed, ["a", "b", "c"])).select("event_id")
+    return fx.obd().where(all_nonzero(json_doubles("dynamic_data", obd.ACTIVITY_CODES), obd.ACTIVITY_CODES)).select("event_id")
 
 
-@check("P11", "SELECT event_id, event_type FROM events WHERE event_id % 10 <> 0 AND event_id % 4 <> 0")
+@check("P11", """SELECT event_id, event_type FROM (SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN event_type END AS event_type,
+    CASE WHEN event_id % 4 <> 0 THEN event_id END AS hidden FROM events) WHERE event_type IS NOT NULL AND hidden IS NOT NULL""")
 def rows_without_nulls(fx: Fixtures) -> DataFrame:
     """Every column counts, also one that is not kept."""
     n = F.col("event_id")

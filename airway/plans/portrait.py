@@ -20,6 +20,7 @@ from airway.operators.merging import (
     upsert,
 )
 from airway.operators.spatial import RADIUS_M, SITE, idw, radius_join, site_summary, sites_of, spread_to_centers
+from airway.sources.scans import in_hours
 from airway.sources.staging import staged
 
 # Station levels with a portrait, the wind sites, and the features
@@ -80,10 +81,7 @@ def gps_in_slots(gps: DataFrame, hours: HourRange) -> DataFrame:
 def gps_from_partitions(gps: DataFrame, hours: HourRange) -> DataFrame:
     """Moving vehicles of the date/hour partitions of each publication hour, one
     row per vehicle and moment."""
-    first, last = hours.published
-    slot = F.concat_ws(" ", "publish_date", "hour")
-    wanted = F.col("publish_date").between(first[:10], last[:10]) & slot.between(first[:13], last[:13])
-    moving = gps.where(wanted & (F.col("speed") > 0))
+    moving = in_hours(gps, *hours.published).where(F.col("speed") > 0)
     columns = ["plate_num", "up_time", "publish_date", "hour", "sim_card", "lon", "lat"]
     single = one_per_key(moving.select(*columns), columns[:4])
     return single.select(
@@ -91,7 +89,7 @@ def gps_from_partitions(gps: DataFrame, hours: HourRange) -> DataFrame:
         "sim_card",
         F.col("lon").try_cast("double").alias("lon"),
         F.col("lat").try_cast("double").alias("lat"),
-        F.to_timestamp(slot, "yyyy-MM-dd HH").alias("published_at"),
+        F.to_timestamp(F.concat_ws(" ", "publish_date", "hour"), "yyyy-MM-dd HH").alias("published_at"),
     )
 
 

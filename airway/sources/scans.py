@@ -42,28 +42,34 @@ class Tables:
         return self(name).where(within(time, start, end))
 
 
-def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
+def read_partitioned(spark: SparkSession, root: str, skip_unreadable: bool = False) -> DataFrame:
     """A partitioned Parquet dataset with its partition columns as text, so that
-    hour ``00`` is not read as the number 0."""
+    hour ``00`` is not read as the number 0. ``skip_unreadable`` leaves out files
+    that are broken or vanish instead of failing."""
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
     before = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        return spark.read.parquet(root)
+        skip = {"ignoreCorruptFiles": skip_unreadable, "ignoreMissingFiles": skip_unreadable}
+        return spark.read.options(**skip).parquet(root)
     finally:
         spark.conf.set(key, before)
 
 
-def read_hours(spark: SparkSession, root: str, hours: HourRange) -> DataFrame:
+def in_hours(df: DataFrame, first: str, last: str) -> DataFrame:
+    """Rows of the date/hour partitions from ``first`` to ``last`` inclusive. The
+    predicates are on partition columns only, so other folders are not read."""
+    slot = F.concat_ws(" ", *HOUR_KEYS)
+    day = F.col(HOUR_KEYS[0]).between(first[:10], last[:10])
+    return df.where(day & slot.between(first[:13], last[:13]))
+
+
+def read_hours(spark: SparkSession, root: str, hours: HourRange, skip_unreadable: bool = False) -> DataFrame:
     """Rows of the hour partitions in the range. Absent partitions give no rows.
 
-    The predicates are on partition columns only, so other folders are not read.
     The root is still listed; a catalog table (:class:`Tables`) saves that.
     """
-    slot = F.concat_ws(" ", *HOUR_KEYS)
-    first, last = hours.first, hours.last
-    day = F.col("publish_date").between(first[:10], last[:10])
-    return read_partitioned(spark, root).where(day & slot.between(first[:13], last[:13]))
+    return in_hours(read_partitioned(spark, root, skip_unreadable), hours.first, hours.last)
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -74,6 +74,18 @@ def test_partition_scan_prunes_and_tolerates_gaps(spark):
     assert "publish_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_unreadable_files_can_be_skipped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_partitions(table(spark), path)
+    broken = tmp_path / "t" / "publish_date=2024-01-01" / "hour=23"
+    broken.mkdir(exist_ok=True)
+    (broken / "part-x.parquet").write_text("no parquet")
+    hours = HourRange("2024-01-01 00:00:00", "2024-01-01 23:00:00")
+    assert scans.read_hours(spark, path, hours, skip_unreadable=True).count() == 600
+    with pytest.raises(Exception, match="(?i)parquet"):
+        scans.read_hours(spark, path, hours).select(F.sum("id")).collect()
+
+
 def test_upsert_scan_is_pruned_by_touched_partitions(spark):
     path = staging.staging_path(spark, "t")
     sinks.write_partitions(table(spark), path)
