@@ -6,14 +6,29 @@ rows at chunk edges are compared across chunks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_SECONDS = 3600
 
 
-def _chunk(time: str, seconds: int) -> Column:
-    return F.floor(F.unix_timestamp(F.col(time)) / F.lit(seconds))
+def _in_chunks(df: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
+    """Rows with key and time, and the ``_chunk`` of the time, which rises with it.
+
+    A time without zone is counted on its own calendar, so that no clock change
+    of the session zone can reorder chunks. Text is read as such a time."""
+    kind = df.schema[time].dataType
+    if isinstance(kind, T.StringType):
+        df = df.withColumn(time, F.col(time).try_cast("timestamp_ntz"))
+        kind = T.TimestampNTZType()
+    at = F.col(time)
+    if isinstance(kind, T.TimestampNTZType):
+        clock = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+        passed = F.unix_date(at.cast("date")).cast("bigint") * 86400 + clock
+    else:
+        passed = F.unix_timestamp(at)
+    return df.where(F.col(key).isNotNull() & at.isNotNull()).withColumn("_chunk", F.floor(passed / F.lit(seconds)))
 
 
 def neighbours(
@@ -28,7 +43,7 @@ def neighbours(
     the track, null at its ends. Rows without key or time are left out."""
     order = [time, *(tie_break or [])]
     lag, lead = f"{value}_lag", f"{value}_lead"
-    chunked = df.where(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn("_chunk", _chunk(time, chunk_seconds))
+    chunked = _in_chunks(df, key, time, chunk_seconds)
     inner = Window.partitionBy(key, "_chunk").orderBy(*order)
     marked = chunked.withColumns(
         {
@@ -86,11 +101,7 @@ def stays(
     chunk edges are then glued along the vehicle.
     """
     order = [time, *(tie_break or [])]
-    chunked = (
-        df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        .select(key, place, *order)
-        .withColumn("_chunk", _chunk(time, chunk_seconds))
-    )
+    chunked = _in_chunks(df.select(*dict.fromkeys([key, place, *order])), key, time, chunk_seconds)
     inner = Window.partitionBy(key, "_chunk").orderBy(*order)
     starts = F.lag(F.lit(True)).over(inner).isNull() | ~F.lag(place).over(inner).eqNullSafe(F.col(place))
     runs = (

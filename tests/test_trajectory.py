@@ -69,3 +69,22 @@ def test_every_point_is_in_one_stay(spark):
     data = track(3, n=500)
     found = stays(spark.createDataFrame(data, SCHEMA), "car", "at", "place", ["seq"], 500)
     assert sum(r["points"] for r in found.collect()) == len(data)
+
+
+def test_clock_change_of_the_session_zone_does_not_matter(spark):
+    """Times around a spring gap, in chunks shorter than the gap."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start = datetime(2024, 3, 10, 0, 30)
+        data = [("a", start + timedelta(minutes=10 * i), i, i // 4 % 3) for i in range(40)]
+        found = stays(spark.createDataFrame(data, SCHEMA), "car", "at", "place", ["seq"], 600)
+        assert rows(found, "car", "place", "at_in", "at_out", "points") == brute_stays(data)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_time_as_text(spark):
+    data = [("a", str(START + timedelta(seconds=i)), 7) for i in range(5)] + [("a", "never", 7)]
+    found = stays(spark.createDataFrame(data, "car string, at string, place int"), "car", "at", "place", chunk_seconds=2)
+    assert rows(found, "points") == [(5,)]
