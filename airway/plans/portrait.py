@@ -21,6 +21,7 @@ from airway.operators.merging import (
 )
 from airway.operators.spatial import RADIUS_M, SITE, idw, radius_join, site_summary, sites_of, spread_to_centers
 from airway.sources.scans import in_hours
+from airway.sources.sinks import stored_or_none, upsert_partitions
 from airway.sources.staging import staged
 
 # Station levels with a portrait, the wind sites, and the features
@@ -260,6 +261,20 @@ def run_backfill(t: PortraitTables, hours: HourRange, stored: DataFrame, **optio
     return backfill(staged(station_portrait(t, hours, **options), "portrait"), stored)
 
 
+def backfill_partitions(t: PortraitTables, hours: HourRange, path: str, **options) -> None:
+    """Compute the portraits of the hours and rewrite, in a dataset partitioned by
+    ``publish_date``, those of the hours that differ from what is stored."""
+    day = F.substring("published_at", 1, 10).alias("publish_date")
+    new = staged(station_portrait(t, hours, **options).select("*", day), "portrait")
+    stored = stored_or_none(new.sparkSession, path)
+    if stored is not None:
+        first, last = hours.published
+        known = stored.where(F.col("publish_date").between(first[:10], last[:10]) & F.col("published_at").between(first, last))
+        changed = portrait_diff(new, known).select("published_at").distinct()
+        new = lookup_join(new, changed, "published_at", "left_semi")
+    upsert_partitions(new, path, KEYS, ("publish_date",))
+
+
 def backfill(new: DataFrame, stored: DataFrame) -> DataFrame:
     """``stored`` after replacing every hour that has a difference by ``new``."""
     changed = portrait_diff(new, stored).select("published_at").distinct()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from airway.operators.cleaning import one_per_key
 from airway.operators.joining import lookup_join
-from airway.operators.merging import upsert
+from airway.operators.merging import upsert, upsert_json
 from airway.sources.scans import HOUR_KEYS, read_partitioned
 from airway.sources.staging import staged_at, staging_path, unstage
 
@@ -108,9 +108,11 @@ def upsert_partitions(
     keys: list[str],
     partitions: tuple[str, ...] = HOUR_KEYS,
     order: list[str] | None = None,
+    payload: str | None = None,
 ) -> None:
     """Keyed upsert into a partitioned dataset; only touched partitions are
-    rewritten. The keys must determine the partition.
+    rewritten. The keys must determine the partition. With ``payload`` the JSON
+    objects of a key met again are merged, stored members winning.
 
     The result is staged first, since a path cannot be overwritten while it is
     read; a run that dies in between can be repeated.
@@ -118,17 +120,24 @@ def upsert_partitions(
     spark = new.sparkSession
     landed, work = (staging_path(spark, name) for name in ("new", "upsert"))
     new = staged_at(new, landed)
+    if new.isEmpty():
+        unstage(spark, landed)
+        return
     stored = stored_or_none(spark, path)
     with file_size(spark, MERGED_FILE_BYTES):
         if stored is None:
             write_partitions(one_per_key(new, keys, order, last=True), path, partitions)
         else:
             new = new.select(*stored.columns)
-            merged = upsert(new, _touched(stored, new, partitions), keys, order)
+            affected = _touched(stored, new, partitions)
+            if payload:
+                merged = upsert_json(new, affected, keys, payload, order)
+            else:
+                merged = upsert(new, affected, keys, order)
             write_partitions(merged, work, partitions, overwrite=True)
             replace_from(read_partitioned(spark, work), path, partitions)
-    for staged in (landed, work):
-        unstage(spark, staged)
+    for folder in (landed, work):
+        unstage(spark, folder)
 
 
 def _touched(stored: DataFrame, new: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
@@ -154,16 +163,18 @@ def compact(
 
     ``pick`` narrows the frame to partitions, e.g. by a predicate on partition
     columns. Partitions that do not exist are simply not there. Staging is
-    overwritten, never appended to, so a repeated run cannot double rows.
+    overwritten, never appended to, so a repeated run cannot double rows; it is
+    removed only after the target is written.
     """
     chosen = pick(read_partitioned(spark, source))
     work = staging_path(spark, "compact")
     with file_size(spark, target_bytes):
         write_partitions(chosen, work, partitions, overwrite=True)
-        copy = read_partitioned(spark, work)
-        expected, written = chosen.count(), copy.count()
+        copy = stored_or_none(spark, work)
+        expected, written = chosen.count(), copy.count() if copy else 0
         if expected != written:
             raise RuntimeError(f"staged {written} of {expected} rows; {target} left as it was")
-        replace_from(copy, target, partitions)
+        if copy:
+            replace_from(copy, target, partitions)
     unstage(spark, work)
     return written

@@ -148,3 +148,22 @@ def test_backfill_replaces_whole_hours_with_a_difference(spark):
     assert rows(portrait.portrait_diff(new, old)) == [("h1", "b", "B", "x", "3")]
     assert rows(portrait.backfill(new, old), "data", "published_at") == [('{"x":1.0}', "h1"), ('{"x":1}', "h2"), ('{"x":3}', "h1")]
     assert portrait.portrait_diff(new, new).isEmpty()
+
+
+def test_json_upsert_into_partitions(spark):
+    path = staging.staging_path(spark, "t")
+    schema = "k int, data string, publish_date string, hour string"
+    old = spark.createDataFrame([(1, '{"a":1}', "d", "01"), (2, '{"a":2}', "d", "02")], schema)
+    new = spark.createDataFrame([(1, '{"a":9,"b":1}', "d", "01"), (3, "{}", "d", "01")], schema)
+    sinks.upsert_partitions(old, path, ["k", "hour"])
+    sinks.upsert_partitions(new, path, ["k", "hour"], payload="data")
+    sinks.upsert_partitions(new.limit(0), path, ["k", "hour"])
+    got = {r["k"]: json.loads(r["data"]) for r in scans.read_partitioned(spark, path).collect()}
+    assert got == {1: {"a": 1, "b": 1}, 2: {"a": 2}, 3: {}}
+
+
+def test_compacting_no_partition_changes_nothing(spark):
+    path = staging.staging_path(spark, "t")
+    sinks.write_partitions(table(spark), path)
+    assert sinks.compact(spark, path, path, lambda df: df.where("publish_date = '1999-01-01'")) == 0
+    assert scans.read_partitioned(spark, path).count() == 600

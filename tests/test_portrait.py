@@ -1,9 +1,11 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from airway.operators.hours import HourRange
 from airway.plans import portrait
+from airway.sources import scans, staging
 from tests.helpers import rows
 
 HOURLY = {
@@ -109,6 +111,27 @@ def test_look_ahead_publishes_later(spark):
     assert (at, data["truck_num"]) == ("2024-01-01 10:00:00", 2)
 
 
+def test_backfill_writes_only_hours_that_differ(spark):
+    path = staging.staging_path(spark, "portraits")
+    hours = HourRange(H8, "2024-01-02 08:00:00")
+    gps = [("p", "s", HERE, 5, "2024-01-01 08:10:00")]
+
+    def files():
+        found = scans.read_partitioned(spark, path).select("publish_date", "_metadata.file_path").distinct()
+        return {(r[0], r[1]) for r in found.collect()}
+
+    portrait.backfill_partitions(tables(spark, gps=gps), hours, path)
+    first = files()
+    assert {day for day, _ in first} == {"2024-01-01", "2024-01-02"}
+    portrait.backfill_partitions(tables(spark, gps=gps), hours, path)
+    assert files() == first
+    late = [*gps, ("q", "s", HERE, 5, "2024-01-02 07:00:00")]
+    portrait.backfill_partitions(tables(spark, gps=late), hours, path)
+    assert {day for day, _ in files() - first} == {"2024-01-02"}
+    stored = scans.read_partitioned(spark, path)
+    assert stored.count() == 50 and stored.where(F.col("data").contains("truck_num")).count() == 4
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_backfill_run_is_stable(spark, request, broadcast):
     if not broadcast:
