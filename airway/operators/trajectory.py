@@ -78,13 +78,14 @@ def boundaries(
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Rows where a stay begins (``enters``) or ends (``leaves``)."""
-    near = neighbours(df, key, time, place, tie_break, chunk_seconds)
-    here = F.col(place)
-    return (
-        near.withColumn("enters", ~here.eqNullSafe(F.col(f"{place}_lag")) | F.col(f"{place}_lag").isNull())
-        .withColumn("leaves", ~here.eqNullSafe(F.col(f"{place}_lead")) | F.col(f"{place}_lead").isNull())
-        .where(F.col("enters") | F.col("leaves"))
-    )
+    # A struct is null only where there is no row, not where the place is null.
+    spot = df.withColumn("_spot", F.struct(F.col(place).alias("at")))
+    near = neighbours(spot, key, time, "_spot", tie_break, chunk_seconds)
+    flags = {
+        "enters": ~F.col("_spot").eqNullSafe(F.col("_spot_lag")),
+        "leaves": ~F.col("_spot").eqNullSafe(F.col("_spot_lead")),
+    }
+    return near.withColumns(flags).where(F.col("enters") | F.col("leaves")).drop("_spot", "_spot_lag", "_spot_lead")
 
 
 def stays(

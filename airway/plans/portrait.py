@@ -20,7 +20,7 @@ from airway.operators.merging import (
     upsert,
 )
 from airway.operators.spatial import RADIUS_M, SITE, idw, radius_join, site_summary, sites_of, spread_to_centers
-from airway.sources.scans import in_hours
+from airway.sources.scans import in_hours, slot_text
 from airway.sources.sinks import stored_or_none, upsert_partitions
 from airway.sources.staging import staged
 
@@ -90,7 +90,7 @@ def gps_from_partitions(gps: DataFrame, hours: HourRange) -> DataFrame:
         "sim_card",
         F.col("lon").try_cast("double").alias("lon"),
         F.col("lat").try_cast("double").alias("lat"),
-        F.to_timestamp(F.concat_ws(" ", "publish_date", "hour"), "yyyy-MM-dd HH").alias("published_at"),
+        F.to_timestamp(slot_text(), "yyyy-MM-dd HH").alias("published_at"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,7 @@ class Tables:
 
     def __call__(self, name: str) -> DataFrame:
         if name in self.paths:
-            return self.spark.read.parquet(self.paths[name])
+            return read_partitioned(self.spark, self.paths[name])
         if name in self.jdbc:
             return self.spark.read.format("jdbc").options(**self.jdbc[name]).load()
         return self.spark.table(name)
@@ -56,12 +56,17 @@ def read_partitioned(spark: SparkSession, root: str, skip_unreadable: bool = Fal
         spark.conf.set(key, before)
 
 
+def slot_text() -> Column:
+    """``yyyy-MM-dd HH`` of the partition columns, be they text or typed."""
+    day, hour = HOUR_KEYS
+    return F.concat_ws(" ", day, F.lpad(F.col(hour).cast("string"), 2, "0"))
+
+
 def in_hours(df: DataFrame, first: str, last: str) -> DataFrame:
     """Rows of the date/hour partitions from ``first`` to ``last`` inclusive. The
     predicates are on partition columns only, so other folders are not read."""
-    slot = F.concat_ws(" ", *HOUR_KEYS)
     day = F.col(HOUR_KEYS[0]).between(first[:10], last[:10])
-    return df.where(day & slot.between(first[:13], last[:13]))
+    return df.where(day & slot_text().between(first[:13], last[:13]))
 
 
 def read_hours(spark: SparkSession, root: str, hours: HourRange, skip_unreadable: bool = False) -> DataFrame:

@@ -74,6 +74,17 @@ def test_partition_scan_prunes_and_tolerates_gaps(spark):
     assert "publish_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_typed_partition_columns_are_understood(spark):
+    path = staging.staging_path(spark, "t")
+    sinks.write_partitions(table(spark), path)
+    inferred = spark.read.parquet(path)
+    assert dict(inferred.dtypes)["hour"] == "int"
+    resolved = scans.Tables(spark, {"t": path})("t")
+    assert dict(resolved.dtypes)["hour"] == "string"
+    picked = [scans.in_hours(df, "2024-01-01 01:00:00", "2024-01-01 08:00:00").count() for df in (inferred, resolved)]
+    assert picked[0] == picked[1] > 0
+
+
 def test_unreadable_files_can_be_skipped(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_partitions(table(spark), path)

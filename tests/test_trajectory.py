@@ -59,6 +59,15 @@ def test_neighbours_do_not_depend_on_chunks(spark, chunk):
     assert rows(found, "seq", "place_lag", "place_lead") == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("chunk", [30, 3600])
+def test_boundaries_are_the_ends_of_stays(spark, chunk):
+    data = track(4)
+    found = boundaries(spark.createDataFrame(data, SCHEMA), "car", "at", "place", ["seq"], chunk)
+    stays_of = brute_stays(data)
+    assert rows(found.where("enters"), "car", "place", "at") == sorted(((s[0], s[1], s[2]) for s in stays_of), key=repr)
+    assert rows(found.where("leaves"), "car", "place", "at") == sorted(((s[0], s[1], s[3]) for s in stays_of), key=repr)
+
+
 def test_single_point_enters_and_leaves(spark):
     df = spark.createDataFrame([("a", START, 1, 0), (None, START, 2, 0), ("b", None, 3, 0)], SCHEMA)
     assert rows(boundaries(df, "car", "at", "place"), "car", "enters", "leaves") == [("a", True, True)]
