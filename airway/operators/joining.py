@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows take about this many times their Parquet bytes in memory, and a broadcast
@@ -26,7 +26,7 @@ def fits_broadcast(df: DataFrame, copies: int = 1) -> bool:
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
-    on: list[str] | str,
+    on: list[str] | str | Column,
     how: str = "inner",
     size_of: DataFrame | None = None,
     copies: int = 1,

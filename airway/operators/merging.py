@@ -21,11 +21,18 @@ def difference(new: DataFrame, old: DataFrame) -> DataFrame:
     return both.groupBy(*columns).agg(F.max("_stored").alias("_stored")).where(F.col("_stored") == 0).drop("_stored")
 
 
+def _same_key(keys: list[str], prefix: str) -> Column:
+    """Key columns equal those carrying the prefix; null equals null, so that a
+    repeated upsert finds its own rows."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
+
+
 def upsert(new: DataFrame, old: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """``old`` with rows of ``new`` replacing those of the same key; among new
     rows of one key the last by ``order`` stays."""
     latest = one_per_key(new.select(*old.columns), keys, order, last=True)
-    kept = lookup_join(old, latest.select(*keys), keys, "left_anti", size_of=new)
+    replaced = latest.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    kept = lookup_join(old, replaced, _same_key(keys, "_new_"), "left_anti", size_of=new)
     return kept.select(*old.columns).unionByName(latest)
 
 
@@ -33,19 +40,14 @@ def upsert_json(new: DataFrame, old: DataFrame, keys: list[str], payload: str, o
     """Upsert that merges the JSON payload on a key conflict: stored members
     win, new members are added, other columns keep their stored value."""
     latest = one_per_key(new.select(*old.columns), keys, order, last=True)
-    fresh = latest.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in old.columns if c not in keys], F.lit(True).alias("_is_new"))
-    stored = old.withColumn("_is_old", F.lit(True))
-    joined = stored.join(fresh, keys, "full")
-    merged = F.when(
-        F.col("_is_old") & F.col("_is_new"), json_merge_patch(f"_new_{payload}", payload)
-    ).otherwise(F.coalesce(F.col(payload), F.col(f"_new_{payload}")))
+    fresh = latest.select(*[F.col(c).alias(f"_new_{c}") for c in old.columns], F.lit(True).alias("_is_new"))
+    joined = old.withColumn("_is_old", F.lit(True)).join(fresh, _same_key(keys, "_new_"), "full")
 
     def pick(c: str) -> Column:
-        if c in keys:
-            return F.col(c)
+        stored = F.col(c)
         if c == payload:
-            return merged.alias(c)
-        return F.when(F.col("_is_old"), F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c)
+            stored = F.when(F.col("_is_new"), json_merge_patch(f"_new_{c}", c)).otherwise(stored)
+        return F.when(F.col("_is_old"), stored).otherwise(F.col(f"_new_{c}")).alias(c)
 
     return joined.select(*[pick(c) for c in old.columns])
 

@@ -27,6 +27,16 @@ def test_upsert_is_idempotent(spark, request, broadcast):
     assert rows(upsert(new, once, ["k"], ["seq"])) == rows(once)
 
 
+def test_null_keys_are_found_again(spark):
+    old = spark.createDataFrame([(None, "a", '{"x":1}'), (1, None, '{"x":2}')], "k int, l string, data string")
+    new = spark.createDataFrame([(None, "a", '{"x":5}'), (None, None, '{"x":6}')], "k int, l string, data string")
+    once = upsert(new, old, ["k", "l"])
+    assert rows(once) == [(1, None, '{"x":2}'), (None, "a", '{"x":5}'), (None, None, '{"x":6}')]
+    assert rows(upsert(new, once, ["k", "l"])) == rows(once)
+    merged = upsert_json(new, old, ["k", "l"], "data")
+    assert rows(merged) == [(1, None, '{"x":2}'), (None, "a", '{"x":1}'), (None, None, '{"x":6}')]
+
+
 def test_json_upsert_keeps_stored_members(spark):
     old = spark.createDataFrame([(1, '{"a":1,"b":2}', "s")], "k int, data string, at string")
     new = spark.createDataFrame([(1, '{"a":9,"c":3}', "n"), (2, '{"a":5}', "n")], "k int, data string, at string")
