@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airway.functions.geo import haversine_m, wgs84_to_gcj02
-from airway.operators.spatial import idw, radius_join, radius_summary, rect_join
+from airway.operators.spatial import CellGrid, covering_cells, idw, radius_join, radius_summary, rect_join
 from tests.helpers import metres, plan_of, rows
 
 
@@ -50,6 +50,16 @@ def test_radius_join_equals_all_pairs(spark, request, region, broadcast):
     assert want and got == sorted(want, key=repr)
 
 
+def test_cells_per_center_are_bounded_up_to_the_pole(spark):
+    """The bound that the broadcast check relies on."""
+    latitudes = [i / 2 for i in range(179)] + [89.5 + i * 0.005 for i in range(101)]
+    centers = frame(spark, [(i, 10.123, y) for i, y in enumerate(latitudes)], "i int, x double, y double")
+    cells = covering_cells(centers, CellGrid(5000 / 4), 5000, "x", "y")
+    counts = cells.groupBy("i").agg(F.count("*").alias("n"), F.count_distinct("_cell").alias("d"))
+    assert counts.where("n <> d").isEmpty()
+    assert counts.agg(F.max("n")).first()[0] <= 3 * (2 * 4 + 2) ** 2
+
+
 def test_radius_is_strict_in_whole_metres(spark):
     # 5000 m and 4999 m north of the center, and null coordinates.
     degree = 3.141592653589793 * 6371393 / 180
