@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -21,25 +20,8 @@ def local_session(cores: str | int = "*", app: str = "airway", partitions: int =
 
 
 def work_root(spark: SparkSession) -> str:
-    """Folder for checkpoints and staged tables.
-
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only a local session without that setting gets a folder of its own.
-    """
+    """Shared folder for staged tables: ``spark.checkpoint.dir``, or where that is
+    unset a folder below the warehouse, which all executors share as well."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     root = root or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_root()
-
-
-_LOCAL_ROOT: str | None = None
-
-
-def _local_root() -> str:
-    global _LOCAL_ROOT
-    if _LOCAL_ROOT is None:
-        _LOCAL_ROOT = tempfile.mkdtemp(prefix="airway-")
-    return _LOCAL_ROOT
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/airway-work").rstrip("/")
