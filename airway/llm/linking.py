@@ -82,24 +82,23 @@ def link(postings: DataFrame, sets: DataFrame, percent: int, k: int, least_share
 
     ``postings``: staged ``bucket, node, size, own`` (``own``: how many values only this
     node has; the nodes with the fewest lie in the middle of their group and lead it).
-    ``sets``: staged ``node, size, sketch, items``. ``least_share``: union-sketch estimates
-    below it are dropped before the full sets are fetched. Returns ``node, root``.
+    ``sets``: staged ``node, size, sketch, items``. Pairs whose union-sketch estimate is
+    below ``least_share`` are dropped before the full sets are fetched. Returns ``node, root``.
     """
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        def side(name: str, column: str) -> DataFrame:
-            return sets.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col(column).alias(f"{column}_{name}"))
+    def side(name: str, column: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col(column).alias(f"{column}_{name}"))
 
-        share = union_sketch_share(F.col("sketch_a"), F.col("sketch_b"), k)
-        near = pairs.join(side("b", "sketch"), "b").join(side("a", "sketch"), "a").where(share >= least_share).select("a", "b")
-        near = work.stage(near, "near")
-        full = near.join(side("b", "items"), "b").join(side("a", "items"), "a")
+    def verified(pairs: DataFrame) -> DataFrame:
+        full = pairs.join(side("b", "items"), "b").join(side("a", "items"), "a")
         inter = F.size(F.array_intersect("items_a", "items_b"))
-        return full.where(similar(inter, F.col("size_a"), F.col("size_b"), percent)).select("a", "b")
+        links = full.where(similar(inter, F.col("size_a"), F.col("size_b"), percent)).select("a", "b")
+        return work.stage(links, "links")
 
     def pair(x: Column, y: Column) -> list[Column]:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
+    close = union_sketch_share(F.col("sketch_a"), F.col("sketch_b"), k) >= least_share
     member = F.struct("node", "size")
     leaders = postings.groupBy("bucket").agg(
         F.min(F.struct("own", "node", "size")).alias("center"), F.min(member).alias("low"), F.max(member).alias("high")
@@ -108,18 +107,23 @@ def link(postings: DataFrame, sets: DataFrame, percent: int, k: int, least_share
     led = postings.join(leaders.where("low.node <> high.node").select("bucket", ends.alias("ends")), "bucket")
     fitting = F.filter("ends", lambda e: (e["node"] != F.col("node")) & sizes_allow(e["size"], F.col("size"), percent))
     tries = led.select("node", F.explode(fitting).alias("leader")).select(*pair(F.col("node"), F.col("leader.node"))).distinct()
-    first = work.stage(checked(tries), "links")
+    near = tries.join(side("b", "sketch"), "b").join(side("a", "sketch"), "a").where(close).select("a", "b")
+    first = verified(work.stage(near, "near"))
     roots = components(first, work)
 
-    placed = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = work.stage(placed, "placed")
+    # Lists that still mix components. A pair meets in the first list it shares only.
+    placed = work.stage(postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
-    left = work.stage(placed.join(mixed, "bucket", "left_semi").select("bucket", "node", "size", "root"), "left")
-    right = left.withColumnsRenamed({"node": "node_2", "size": "size_2", "root": "root_2"})
-    meet = (left["bucket"] == right["bucket"]) & (left["root"] < right["root_2"])
-    meet = meet & sizes_allow(left["size"], right["size_2"], percent)
-    rest = left.join(right, meet).select(*pair(F.col("node"), F.col("node_2"))).distinct()
-    second = work.stage(checked(rest), "links")
+    open_rows = work.stage(placed.join(mixed, "bucket", "left_semi").select("bucket", "node", "root"), "open")
+    lists = open_rows.groupBy("node").agg(F.collect_set("bucket").alias("lists"))
+    known = sets.select("node", "size", "sketch").join(lists, "node")
+    left = open_rows.join(known, "node").select([F.col(c).alias(f"{c}_a") for c in ("bucket", "node", "root", "size", "lists", "sketch")])
+    right = left.select([F.col(c).alias(f"{c[:-1]}b") for c in left.columns])
+    meet = (F.col("bucket_a") == F.col("bucket_b")) & (F.col("root_a") < F.col("root_b"))
+    meet = meet & sizes_allow(F.col("size_a"), F.col("size_b"), percent)
+    meet = meet & (F.array_min(F.array_intersect("lists_a", "lists_b")) == F.col("bucket_a")) & close
+    rest = left.join(right, meet).select(*pair(F.col("node_a"), F.col("node_b")))
+    second = verified(work.stage(rest, "near"))
     if second.isEmpty():
         return roots
     return components(first.unionByName(second), work)

@@ -1,8 +1,9 @@
 """Near-duplicate documents from bottom-k sketches of word shingles.
 
 Every text becomes the set of its hashed shingles; its k smallest hashes are its sketch.
-Texts of one set are one node. Inverted lists of the retained values give candidates,
-the union of two sketches estimates their similarity, and the full sets decide.
+Texts of one set are one node. Nodes that share too few of their retained values with
+any other are done. For the others, larger sketches make inverted lists, which give
+candidates; the union of two sketches estimates their similarity; full sets decide.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airway.llm.batches import as_bytes, map_batches, space_words
@@ -20,9 +21,13 @@ from airway.sources.staging import Work, session_work
 
 WIDTH = 5
 PERCENT = 85
+# Values retained of every text, and of texts that have possible partners: those their
+# similarity is estimated from, and those that lists are made of.
 SKETCH = 48
+ESTIMATE = 96
+LISTED = 256
 # Standard errors by which a sketch may fall short of the similarity it is drawn from.
-SLACK = 6.0
+SLACK = 5.0
 
 
 def shingle_set(words: list[bytes], width: int = WIDTH) -> np.ndarray:
@@ -85,27 +90,45 @@ def full_sets(docs: DataFrame, id_column: str, text: str, width: int, members: D
     return found.dropDuplicates(["node"])
 
 
-def postings_of(nodes: DataFrame, k: int, percent: int, work: Work) -> DataFrame:
+def _need(size: Column, k: int, percent: int) -> Column:
+    """Retained values that two similar sets share at least, given the size of either.
+    Exact where both sketches are whole sets; above that ``SLACK`` standard errors below
+    the mean."""
+    p = percent / 100
+    held = F.least(size, F.lit(k))
+    loose = F.floor(held * p - SLACK * F.sqrt(held * p * (1 - p)))
+    return F.greatest(F.when(size <= int(k * p), F.ceil(size * percent / 100)).otherwise(loose), F.lit(1))
+
+
+def with_partners(nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Nodes of which enough retained values occur in other nodes too. A value of one
+    node names it by its least node, so no join is needed to count them."""
+    values = nodes.select("node", F.explode("sketch").alias("bucket"))
+    single = values.groupBy("bucket").agg(F.count("*").alias("df"), F.min("node").alias("node")).where("df = 1")
+    own = single.groupBy("node").agg(F.count("*").alias("own"))
+    held = F.least("size", F.lit(k))
+    enough = held - F.coalesce("own", F.lit(0)) >= _need(F.col("size"), k, percent)
+    return nodes.join(own, "node", "left").where(enough).drop("own")
+
+
+def postings_of(sets: DataFrame, k: int, percent: int) -> DataFrame:
     """``bucket, node, size, own``: each node under its rarest retained values.
 
-    Two similar sets share at least ``need`` retained values, so among the rarest
+    Two similar sets share at least ``need`` of them, so among the rarest
     ``held - need + 1`` of either there is a shared one. Values of a single node count
-    towards these but need no list. ``need`` is exact where both sketches are whole sets;
-    above that it lies ``SLACK`` standard errors below the mean."""
-    values = nodes.select("node", "size", F.explode("sketch").alias("bucket"))
+    towards these but need no list."""
+    values = sets.select("node", "size", F.explode(F.slice("items", 1, k)).alias("bucket"))
     shared = values.groupBy("bucket").agg(F.count("*").alias("df")).where("df > 1")
-    held, p = F.least("size", F.lit(k)), percent / 100
-    loose = F.floor(held * p - SLACK * F.sqrt(held * p * (1 - p)))
-    need = F.greatest(F.when(F.col("size") <= int(k * p), F.ceil(F.col("size") * percent / 100)).otherwise(loose), F.lit(1))
+    held = F.least("size", F.lit(k))
     ranked = (
         values.join(shared, "bucket")
         .groupBy("node", "size")
         .agg(F.sort_array(F.collect_list(F.struct("df", "bucket"))).alias("lists"))
         .withColumn("own", held - F.size("lists"))
-        .withColumn("first", F.greatest(held - need + 1 - F.col("own"), F.lit(0)).cast("int"))
+        .withColumn("first", F.greatest(held - _need(F.col("size"), k, percent) + 1 - F.col("own"), F.lit(0)).cast("int"))
     )
     rarest = ranked.where("first > 0").select("node", "size", "own", F.explode(F.slice("lists", 1, F.col("first"))).alias("l"))
-    return work.stage(rarest.select(F.col("l.bucket").alias("bucket"), "node", "size", "own"), "postings")
+    return rarest.select(F.col("l.bucket").alias("bucket"), "node", "size", "own")
 
 
 def near_duplicates(
@@ -134,12 +157,12 @@ def near_duplicates(
         .agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("sketch").alias("sketch")),
         "nodes",
     )
-    postings = postings_of(nodes, k, percent, work)
-    members = work.stage(postings.select("node").distinct().join(nodes.select("node", "rep"), "node"), "members")
-    sets = work.stage(full_sets(docs, id_column, text, width, members, k), "sets")
+    members = work.stage(with_partners(nodes, k, percent).select("node", "rep"), "members")
+    sets = work.stage(full_sets(docs, id_column, text, width, members, ESTIMATE), "sets")
+    postings = work.stage(postings_of(sets, LISTED, percent), "postings")
     p = percent / 100
-    least_share = p - SLACK * (p * (1 - p) / k) ** 0.5
-    roots = link(postings, sets, percent, k, least_share, work)
+    least_share = p - SLACK * (p * (1 - p) / ESTIMATE) ** 0.5
+    roots = link(postings, sets, percent, ESTIMATE, least_share, work)
     reps = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = reps.groupBy("root").agg(F.min("rep").alias("low"))
     least = reps.join(lowest, "root").select("node", F.col("low").alias("root"))
