@@ -35,11 +35,18 @@ def sizes_allow(size_a: Column, size_b: Column, percent: int) -> Column:
     return F.lit(100) * F.least(size_a, size_b) >= F.lit(percent) * F.greatest(size_a, size_b)
 
 
-def union_sketch_share(a: Column, b: Column, k: int) -> Column:
-    """Share of the k smallest values of two sketches' union that both sketches hold:
-    an estimate of the Jaccard similarity, exact where both sketches are whole sets."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, k)
-    return F.size(F.array_intersect(both, F.array_intersect(a, b))) / F.size(both)
+def estimate_allows(a: str, b: str, percent: int, k: int, slack: float) -> Column:
+    """Whether the sketches of sides ``a`` and ``b`` leave room for the similarity.
+
+    The share of the k smallest values of both sketches' union that both sketches hold
+    estimates the Jaccard similarity; it may fall ``slack`` standard errors short. Where
+    both sketches are whole sets the share over the whole union is exact."""
+    x, y = F.col(f"sketch_{a}"), F.col(f"sketch_{b}")
+    whole = F.greatest(f"size_{a}", f"size_{b}") <= k
+    both = F.slice(F.sort_array(F.array_union(x, y)), F.lit(1), F.when(whole, 2 * k).otherwise(k))
+    share = F.size(F.array_intersect(both, F.array_intersect(x, y))) / F.size(both)
+    p = percent / 100
+    return share >= F.when(whole, p - 1e-9).otherwise(p - slack * (p * (1 - p) / k) ** 0.5)
 
 
 def components(edges: DataFrame, work: Work) -> DataFrame:
@@ -77,13 +84,13 @@ def components(edges: DataFrame, work: Work) -> DataFrame:
     return work.stage(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
 
 
-def link(postings: DataFrame, sets: DataFrame, percent: int, k: int, least_share: float, work: Work) -> DataFrame:
+def link(postings: DataFrame, sets: DataFrame, percent: int, k: int, slack: float, work: Work) -> DataFrame:
     """Components of nodes whose sets reach ``percent`` similarity and share a list.
 
     ``postings``: staged ``bucket, node, size, own`` (``own``: how many values only this
     node has; the nodes with the fewest lie in the middle of their group and lead it).
-    ``sets``: staged ``node, size, sketch, items``. Pairs whose union-sketch estimate is
-    below ``least_share`` are dropped before the full sets are fetched. Returns ``node, root``.
+    ``sets``: staged ``node, size, sketch, items``. Pairs whose sketches of ``k`` values
+    rule the similarity out are dropped before the full sets are fetched. Returns ``node, root``.
     """
 
     def side(name: str, column: str) -> DataFrame:
@@ -98,7 +105,7 @@ def link(postings: DataFrame, sets: DataFrame, percent: int, k: int, least_share
     def pair(x: Column, y: Column) -> list[Column]:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    close = union_sketch_share(F.col("sketch_a"), F.col("sketch_b"), k) >= least_share
+    close = estimate_allows("a", "b", percent, k, slack)
     member = F.struct("node", "size")
     leaders = postings.groupBy("bucket").agg(
         F.min(F.struct("own", "node", "size")).alias("center"), F.min(member).alias("low"), F.max(member).alias("high")

@@ -24,7 +24,7 @@ PERCENT = 85
 # Values retained of every text, and of texts that have possible partners: those their
 # similarity is estimated from, and those that lists are made of.
 SKETCH = 48
-ESTIMATE = 96
+ESTIMATE = 192
 LISTED = 256
 # Standard errors by which a sketch may fall short of the similarity it is drawn from.
 SLACK = 5.0
@@ -160,9 +160,7 @@ def near_duplicates(
     members = work.stage(with_partners(nodes, k, percent).select("node", "rep"), "members")
     sets = work.stage(full_sets(docs, id_column, text, width, members, ESTIMATE), "sets")
     postings = work.stage(postings_of(sets, LISTED, percent), "postings")
-    p = percent / 100
-    least_share = p - SLACK * (p * (1 - p) / ESTIMATE) ** 0.5
-    roots = link(postings, sets, percent, ESTIMATE, least_share, work)
+    roots = link(postings, sets, percent, ESTIMATE, SLACK, work)
     reps = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = reps.groupBy("root").agg(F.min("rep").alias("low"))
     least = reps.join(lowest, "root").select("node", F.col("low").alias("root"))

@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airway.llm.decontamination import find_benchmark, hit_words
+from airway.llm.html_extraction import extract_main_text
+from airway.llm.mixing import mix_sources
 from airway.llm.near_dedup import near_duplicates
+from airway.llm.quality_model import score_quality
+from airway.llm.quality_rules import judge_quality
+from airway.llm.secret_scan import find_secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +31,61 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Poisson replication to the target shares: every copy of every document."""
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op4_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factorisation machine fitted on rows that are not held out, over all documents."""
+    found = score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern and entropy spans of every text, with a digest of the pattern spans."""
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"] != "entropy")), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        count("entropy"),
+    )
+
+
+def op7_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wu-Manber search for all benchmark windows in all documents."""
+    found = find_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages, site templates removed."""
+    return extract_main_text(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted limits and Jensen-Shannon distances to the references of the languages."""
+    return judge_quality(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 # Words of a text as SQL lists: lower-cased A-Z, cut at ASCII white space.
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -52,5 +113,70 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_near_duplicates": op1_near_duplicates}
-SQL: dict[str, str] = {"op1_near_duplicates": _OP1_SQL}
+_OP3_SQL = """
+WITH RECURSIVE sizes AS (
+  SELECT source, sum(coalesce(length(text), 0))::BIGINT AS chars FROM documents GROUP BY source),
+shares AS (
+  SELECT source, CASE WHEN chars > 0 THEN sqrt(chars) / sum(sqrt(chars)) OVER () * (sum(chars) OVER ())::DOUBLE / chars
+    ELSE 0 END AS rate FROM sizes),
+means AS (
+  SELECT source, floor(rate / 16)::INT AS parts, rate - floor(rate / 16)::INT * 16 AS mean FROM shares
+  UNION ALL SELECT '#full', 0, 16.0),
+steps AS (
+  SELECT source, 0 AS k, mean, exp(-mean) AS p, exp(-mean) AS cdf FROM means
+  UNION ALL
+  SELECT source, k + 1, mean, p * mean / (k + 1), cdf + p * mean / (k + 1) FROM steps WHERE k < 80),
+tables AS (SELECT source, list(cdf ORDER BY k) AS cdf FROM steps GROUP BY source),
+keyed AS (
+  SELECT d.*, m.parts, t.cdf, f.cdf AS full_cdf, coalesce(d.doc_id::VARCHAR, md5(d.text), '') AS key
+  FROM documents d JOIN means m ON d.source IS NOT DISTINCT FROM m.source
+  JOIN tables t ON d.source IS NOT DISTINCT FROM t.source JOIN tables f ON f.source = '#full'),
+counted AS (
+  SELECT *, len(list_filter(cdf, lambda c: c <= ('0x' || substr(md5('mix-1|0|' || key), 1, 13))::BIGINT / 4503599627370496.0))
+    + coalesce(list_sum(list_transform(range(1, parts + 1), lambda i: len(list_filter(full_cdf,
+        lambda c: c <= ('0x' || substr(md5('mix-1|' || i || '|' || key), 1, 13))::BIGINT / 4503599627370496.0)))), 0) AS n
+  FROM keyed),
+copies AS (
+  SELECT doc_id, text, lang, source, n_chars, key, unnest(range(1, n::INT + 1))::INT AS copy FROM counted)
+SELECT doc_id, text, lang, source, n_chars, copy,
+  ('0x' || substr(md5('mix-1|order|' || copy || '|' || key), 1, 13))::BIGINT / 4503599627370496.0 AS place
+FROM copies
+"""
+
+_OP7_SQL = f"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+    SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+    FROM item_words WHERE len(w) > 0)),
+places AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+    FROM doc_words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT doc_id, item_id, p.n, i FROM places p JOIN windows x ON p.n = x.n AND p.s = x.s),
+hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_near_duplicates,
+        op3_source_mixture,
+        op4_quality_scores,
+        op5_secrets,
+        op7_benchmark_hits,
+        op8_main_text,
+        op10_quality_rules,
+    )
+}
+SQL: dict[str, str] = {"op1_near_duplicates": _OP1_SQL, "op3_source_mixture": _OP3_SQL, "op7_benchmark_hits": _OP7_SQL}
