@@ -100,15 +100,15 @@ def _need(size: Column, k: int, percent: int) -> Column:
     return F.greatest(F.when(size <= int(k * p), F.ceil(size * percent / 100)).otherwise(loose), F.lit(1))
 
 
-def with_partners(nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Nodes of which enough retained values occur in other nodes too. A value of one
-    node names it by its least node, so no join is needed to count them."""
-    values = nodes.select("node", F.explode("sketch").alias("bucket"))
-    single = values.groupBy("bucket").agg(F.count("*").alias("df"), F.min("node").alias("node")).where("df = 1")
+def with_partners(nodes: DataFrame, values: str, held: Column, need: Column) -> DataFrame:
+    """Nodes of whose ``held`` values at least ``need`` occur in other nodes too; ``own``
+    counts the others. A value of one node names it by its least node, so counting them
+    takes no join."""
+    listed = nodes.select("node", F.explode(values).alias("bucket"))
+    single = listed.groupBy("bucket").agg(F.count("*").alias("df"), F.min("node").alias("node")).where("df = 1")
     own = single.groupBy("node").agg(F.count("*").alias("own"))
-    held = F.least("size", F.lit(k))
-    enough = held - F.coalesce("own", F.lit(0)) >= _need(F.col("size"), k, percent)
-    return nodes.join(own, "node", "left").where(enough).drop("own")
+    found = nodes.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    return found.where(held - F.col("own") >= need)
 
 
 def postings_of(sets: DataFrame, k: int, percent: int) -> DataFrame:
@@ -157,7 +157,9 @@ def near_duplicates(
         .agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("sketch").alias("sketch")),
         "nodes",
     )
-    members = work.stage(with_partners(nodes, k, percent).select("node", "rep"), "members")
+    held = F.least("size", F.lit(k))
+    paired = with_partners(nodes, "sketch", held, _need(F.col("size"), k, percent))
+    members = work.stage(paired.select("node", "rep"), "members")
     sets = work.stage(full_sets(docs, id_column, text, width, members, ESTIMATE), "sets")
     postings = work.stage(postings_of(sets, LISTED, percent), "postings")
     roots = link(postings, sets, percent, ESTIMATE, SLACK, work)

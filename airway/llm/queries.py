@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from airway.llm.decontamination import find_benchmark, hit_words
 from airway.llm.html_extraction import extract_main_text
+from airway.llm.license_scan import find_licenses
 from airway.llm.mixing import mix_sources
 from airway.llm.near_dedup import near_duplicates
+from airway.llm.paragraph_dedup import repeated_paragraphs
 from airway.llm.quality_model import score_quality
 from airway.llm.quality_rules import judge_quality
 from airway.llm.secret_scan import find_secrets
+from airway.llm.token_counts import count_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +34,11 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs named licence notices, with their family."""
+    return find_licenses(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poisson replication to the target shares: every copy of every document."""
     return mix_sources(_table(spark, sf_dir, "documents"))
@@ -63,6 +71,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs that repeat, in one document or several."""
+    found = repeated_paragraphs(_table(spark, sf_dir, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "start": "start_at", "end": "end_at", "first_id": "first_doc_id"})
+
+
 def op7_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wu-Manber search for all benchmark windows in all documents."""
     found = find_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -81,6 +95,11 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the unigram scores of a public vocabulary."""
+    return count_tokens(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted limits and Jensen-Shannon distances to the references of the languages."""
     return judge_quality(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -143,6 +162,31 @@ SELECT doc_id, text, lang, source, n_chars, copy,
 FROM copies
 """
 
+_OP6_SQL = f"""
+WITH RECURSIVE lines AS (
+  SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)),
+paragraphs AS (
+  SELECT doc_id, i - 1 AS paragraph, length(lines[i]) AS n, coalesce(list_sum(list_transform(lines[1:i - 1], lambda x: length(x) + 1)), 0) AS start_at,
+    {_SPACE_WORDS.format(_LOWER.replace("text", "lines[i]"))} AS w
+  FROM lines),
+long AS (SELECT *, row_number() OVER (ORDER BY doc_id, paragraph) AS id FROM paragraphs WHERE len(w) >= 25),
+shingles AS (
+  SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS i FROM long)),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+shared AS (
+  SELECT a.id AS a, b.id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.id <> b.id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b
+  WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+reach AS (
+  SELECT id, id AS r FROM long UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.r = links.a),
+firsts AS (SELECT id, min(r) AS first, count(*) AS n FROM reach GROUP BY id)
+SELECT p.doc_id, p.paragraph::INT AS paragraph, p.start_at::BIGINT AS start_at, (p.start_at + p.n)::BIGINT AS end_at,
+  f.doc_id AS first_doc_id, f.paragraph::INT AS first_paragraph, p.id <> f.id AS removed
+FROM long p JOIN firsts ON firsts.id = p.id AND firsts.n > 1 JOIN long f ON f.id = firsts.first
+"""
+
 _OP7_SQL = f"""
 WITH doc_words AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
@@ -171,12 +215,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_duplicates,
+        op2_licenses,
         op3_source_mixture,
         op4_quality_scores,
         op5_secrets,
+        op6_repeated_paragraphs,
         op7_benchmark_hits,
         op8_main_text,
+        op9_token_counts,
         op10_quality_rules,
     )
 }
-SQL: dict[str, str] = {"op1_near_duplicates": _OP1_SQL, "op3_source_mixture": _OP3_SQL, "op7_benchmark_hits": _OP7_SQL}
+SQL: dict[str, str] = {
+    "op1_near_duplicates": _OP1_SQL,
+    "op3_source_mixture": _OP3_SQL,
+    "op6_repeated_paragraphs": _OP6_SQL,
+    "op7_benchmark_hits": _OP7_SQL,
+}
