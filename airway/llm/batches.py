@@ -30,6 +30,17 @@ def code_points(text: bytes) -> int:
     return len(text.decode("utf-8", "replace"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many leading underscores as make it unlike any column."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def as_bytes(column: str, name: str | None = None):
     """A text column as its UTF-8 bytes; null stays null."""
     return F.col(column).cast("binary").alias(name or column)

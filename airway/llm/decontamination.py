@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airway.llm.batches import as_bytes, map_batches, plain_words
+from airway.llm.batches import as_bytes, fresh, map_batches, plain_words
 from airway.llm.linking import semi_join
 from airway.sources.staging import Work, session_work
 
@@ -184,5 +184,6 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str =
     and empty texts stay. A row is judged by its text, whatever its id."""
     work = options.pop("work", None) or session_work(docs.sparkSession)
     found = find_benchmark(docs, benchmark, id_column, text, work=work, **options)
-    gone = work.stage(found.where("size(hits) > 0").select(F.col("print").alias("_print")).distinct(), "contaminated")
-    return semi_join(docs, gone, F.xxhash64(text) == F.col("_print"), "left_anti")
+    (mark,) = fresh(docs, "_print")
+    gone = work.stage(found.where("size(hits) > 0").select(F.col("print").alias(mark)).distinct(), "contaminated")
+    return semi_join(docs, gone, F.xxhash64(text) == F.col(mark), "left_anti")

@@ -63,14 +63,16 @@ _DROPPED_NAMES = _COMMENT_NAMES | frozenset(
     "promotion recommended related share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar "
     "widget".split()
 )
+# Blocks that are a menu if most of their text is links.
+_LISTS = frozenset("ul ol div p table section".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Element:
-    __slots__ = ("tag", "names", "role", "hidden", "parent", "parts", "mark")
+    __slots__ = ("tag", "names", "role", "hidden", "parent", "parts", "mark", "size", "linked")
 
     def __init__(self, tag: str, parent: Element | None, raw: str = ""):
-        self.tag, self.parent, self.parts, self.mark = tag, parent, [], 0
+        self.tag, self.parent, self.parts, self.mark, self.size, self.linked = tag, parent, [], 0, 0, 0
         self.names, self.role, self.hidden = frozenset(), "", False
         if raw and not raw.isspace():
             for m in _ATTRIBUTE.finditer(raw):
@@ -145,8 +147,16 @@ def parse(page: str) -> Element:
     return root
 
 
-def _text_size(element: Element) -> int:
-    return sum(len(x) for e in element.within() if not e.hidden for x in e.parts if isinstance(x, str) and not x.isspace())
+def measure(root: Element) -> None:
+    """Set on every element the characters of text in it, and how many of them are links."""
+    for e in reversed(list(root.within())):
+        e.size = e.linked = 0
+        for x in e.parts:
+            if isinstance(x, str):
+                e.size += 0 if x.isspace() else len(x)
+            elif not x.hidden:
+                e.size += x.size
+                e.linked += x.size if x.tag == "a" else x.linked
 
 
 def _is_article(e: Element) -> bool:
@@ -167,12 +177,7 @@ def _furniture(e: Element, in_article: bool, holds_article: bool, whole: int) ->
     if found <= {"header", "banner", "notice"} and in_article and any(x.tag in _HEADINGS for x in e.within()):
         return False
     # A wrapper named for one of its parts ("with-sidebar") holds most of the page.
-    return bool(found & _COMMENT_NAMES) or 2 * _text_size(e) <= whole
-
-
-def _linked_share(e: Element) -> float:
-    whole = _text_size(e)
-    return sum(_text_size(x) for x in e.within() if x.tag == "a") / whole if whole else 0.0
+    return bool(found & _COMMENT_NAMES) or 2 * e.size <= whole
 
 
 def main_elements(root: Element) -> tuple[list[Element], bool]:
@@ -184,7 +189,8 @@ def main_elements(root: Element) -> tuple[list[Element], bool]:
             while up is not None and id(up) not in holds:
                 holds.add(id(up))
                 up = up.parent
-    whole = _text_size(root)
+    measure(root)
+    whole = root.size
     marked: list[Element] = []
 
     def clean(e: Element, in_article: bool, below_article: bool) -> None:
@@ -204,18 +210,20 @@ def main_elements(root: Element) -> tuple[list[Element], bool]:
             here.parts = kept
 
     clean(root, False, False)
+    measure(root)
     if marked:
         mains = [e for e in marked if e.tag == "main" or e.role == "main"]
         for m in mains:  # an article inside <main> that holds most of it is the article
             inner = [x for x in m.within() if x is not m and _is_article(x)]
-            if inner and 2 * sum(map(_text_size, inner)) > _text_size(m):
+            if inner and 2 * sum(x.size for x in inner) > m.size:
                 marked[marked.index(m) : marked.index(m) + 1] = inner
         order = {id(e): i for i, e in enumerate(root.within())}
-        unique = sorted({id(e): e for e in marked}.values(), key=lambda e: order[id(e)])
-        return [e for e in unique if not any(id(u) in {id(x) for x in unique} for u in _above(e))], True
+        unique = {id(e): e for e in marked}
+        outer = [e for e in unique.values() if not any(id(u) in unique for u in _above(e))]
+        return sorted(outer, key=lambda e: order[id(e)]), True
     for e in list(root.within()):
         e.parts = [
-            x for x in e.parts if isinstance(x, str) or x.tag not in ("ul", "ol", "div", "p", "table", "section") or _linked_share(x) <= 0.6
+            x for x in e.parts if isinstance(x, str) or x.tag not in _LISTS or 10 * x.linked <= 6 * x.size
         ]
     return [root], False
 
@@ -228,7 +236,7 @@ def _above(e: Element) -> Iterator[Element]:
 
 def mark_subtrees(top: Element) -> set[int]:
     """Hash every element below ``top`` by its tag, text and children; returns the hashes
-    of those that hold text."""
+    of the blocks that hold text (words inside a sentence are no template)."""
     found = set()
     order = list(top.within())
     texts: dict[int, bool] = {}
@@ -243,7 +251,7 @@ def mark_subtrees(top: Element) -> set[int]:
                 some = some or texts[id(x)]
                 digest.update(x.mark.to_bytes(8, "big"))
         e.mark, texts[id(e)] = digest.intdigest(), some
-        if some and e is not top:
+        if some and e is not top and e.tag in _BLOCK:
             found.add(e.mark)
     return {m - (1 << 64) if m >> 63 else m for m in found}
 

@@ -195,8 +195,9 @@ def fit(paragraphs: list[list[bytes]], seed: int = 5) -> LicenseModel:
     return model
 
 
-def corpus_paragraphs(docs: DataFrame, id_column: str, text: str, sample: int, work: Work) -> list[list[bytes]]:
+def corpus_paragraphs(docs: DataFrame, text: str, sample: int, work: Work) -> list[list[bytes]]:
     """One paragraph each of at most ``sample`` documents, the first by a hash of the text."""
+    docs, text = docs.select(F.col(text).alias("text")), "text"
     print_of = F.xxhash64(text)
     first = work.stage(docs.where(F.length(text) > 0).select(print_of.alias("_print")).distinct().orderBy("_print").limit(sample), "sample")
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 0)
@@ -223,7 +224,7 @@ def find_licenses(
     texts have no paragraphs; lines without words are passed over. Rows are judged by
     themselves: repeated rows and rows without id give their own rows."""
     work = work or session_work(docs.sparkSession)
-    model = fit(corpus_paragraphs(docs, id_column, text, sample, work))
+    model = fit(corpus_paragraphs(docs, text, sample, work))
 
     def start():
         single = {g[0] for g in model.places if len(g) == 1}

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airway.llm.batches import fresh
 from airway.sources.staging import Work, session_work
 
 SEED = "mix-1"
@@ -75,28 +76,31 @@ def mix_sources(
 ) -> DataFrame:
     """Rows of ``docs`` repeated to the target shares of sources, counted in characters,
     in a global random order; runs a job for the rates. Adds ``copy`` (1 and up) and
-    ``place`` (the hashed number that orders the rows).
+    ``place`` (the hashed number that orders the rows) in place of columns so named.
 
     The mixture holds about ``epochs`` times the corpus's characters. Null is a source of
     its own. A source without characters has rate 0, so its rows are left out; null and
     empty texts of other sources take part. Rows that are alike in id draw alike, so
     repeated rows repeat alike; rows without id draw by their text."""
     work = work or session_work(docs.sparkSession)
-    table = rates(docs, source, text, targets, epochs, work)
-    whole = F.floor(F.col("rate") / F.lit(PART)).cast("int")
-    table = table.withColumn("_parts", whole).withColumn("_rest", poisson_table(F.col("rate") - whole * F.lit(PART)))
-    table = table.withColumn("_full", F.when(whole > 0, poisson_table(F.lit(PART))).otherwise(F.array().cast("array<double>")))
+    origin, rate, parts, rest, full, count = fresh(docs, "_source", "_rate", "_parts", "_rest", "_full", "_count")
+    table = rates(docs, source, text, targets, epochs, work).withColumnsRenamed({"_source": origin, "rate": rate})
+    whole = F.floor(F.col(rate) / F.lit(PART)).cast("int")
+    table = table.withColumn(parts, whole).withColumn(rest, poisson_table(F.col(rate) - whole * F.lit(PART)))
+    table = table.withColumn(full, F.when(whole > 0, poisson_table(F.lit(PART))).otherwise(F.array().cast("array<double>")))
     # One row a source, staged: only its true size lets Spark send it to the documents.
     table = work.stage(table, "rates")
     key = F.coalesce(F.col(id_column).cast("string"), F.md5(text), F.lit(""))
-    joined = docs.join(table, F.col(source).eqNullSafe(F.col("_source")))
-    rest = _at_or_below(F.col("_rest"), uniform(F.lit(seed), F.lit("0"), key))
-    parts = F.aggregate(
-        F.sequence(F.lit(0), F.col("_parts")),
+    joined = docs.join(table, F.col(source).eqNullSafe(F.col(origin)))
+    first = _at_or_below(F.col(rest), uniform(F.lit(seed), F.lit("0"), key))
+    more = F.aggregate(
+        F.sequence(F.lit(0), F.col(parts)),
         F.lit(0),
-        lambda n, i: n + F.when(i > 0, _at_or_below(F.col("_full"), uniform(F.lit(seed), i.cast("string"), key))).otherwise(0),
+        lambda n, i: n + F.when(i > 0, _at_or_below(F.col(full), uniform(F.lit(seed), i.cast("string"), key))).otherwise(0),
     )
-    counted = joined.withColumn("_count", rest + F.when(F.col("_parts") > 0, parts).otherwise(0)).where("_count > 0")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count")))).drop("_count", "_source", "rate", "_parts", "_rest", "_full")
-    placed = copies.withColumn("place", uniform(F.lit(seed), F.lit("order"), F.col("copy").cast("string"), key))
-    return placed.repartition(F.col("place"), F.col("copy")).sortWithinPartitions("place", "copy")
+    counted = joined.withColumn(count, first + F.when(F.col(parts) > 0, more).otherwise(0)).where(F.col(count) > 0)
+    kept = [F.col(c) for c in docs.columns if c.lower() not in ("copy", "place")]
+    copies = counted.select(*kept, key.alias(origin), F.explode(F.sequence(F.lit(1), F.col(count))).alias("copy"))
+    place = uniform(F.lit(seed), F.lit("order"), F.col("copy").cast("string"), F.col(origin))
+    placed = copies.withColumn("place", place).drop(origin)
+    return placed.repartition("place", "copy").sortWithinPartitions("place", "copy")

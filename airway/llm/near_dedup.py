@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airway.llm.batches import as_bytes, map_batches, space_words
+from airway.llm.batches import as_bytes, fresh, map_batches, space_words
 from airway.llm.linking import link, semi_join
 from airway.sources.staging import Work, session_work
 
@@ -177,6 +177,7 @@ def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: st
     kept id and text are that document and stay."""
     work = options.pop("work", None) or session_work(docs.sparkSession)
     found = near_duplicates(docs, id_column, text, work=work, **options)
-    gone = work.stage(found.where("id <> root").select(F.col("id").alias("_id"), F.col("print").alias("_print")).distinct(), "gone")
-    here = (F.col(id_column) == F.col("_id")) & (F.xxhash64(text) == F.col("_print"))
+    key, mark = fresh(docs, "_id", "_print")
+    gone = work.stage(found.where("id <> root").select(F.col("id").alias(key), F.col("print").alias(mark)).distinct(), "gone")
+    here = (F.col(id_column) == F.col(key)) & (F.xxhash64(text) == F.col(mark))
     return semi_join(docs, gone, here, "left_anti")

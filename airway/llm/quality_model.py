@@ -160,7 +160,8 @@ def train(
 
         return run
 
-    found = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("_id")).select("_id", "_label", as_bytes(text))
+    texts = docs.select(F.col(id_column).alias("_id"), as_bytes(text, "_text"))
+    found = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text")
     schema = "id long, label int, buckets array<long>, values array<double>, stats array<double>"
     table = map_batches(found, start, schema).toArrow().sort_by([("id", "ascending")])
     columns = [table.column(c).combine_chunks() for c in ("buckets", "values", "stats")]
