@@ -7,6 +7,7 @@ computed once from the nodes above it, so words with one beginning share that wo
 
 from __future__ import annotations
 
+import gc
 import math
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from airway.llm.batches import as_bytes, map_batches
 
 SPACE = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-# A task forgets its trie when it has this many nodes (about 100 MB); counts stay the same.
+# A task forgets its trie when it has this many nodes (about 150 MB); counts stay the same.
 TRIE_NODES = 300_000
 
 
@@ -38,42 +39,57 @@ def zipf_scores(pieces: list[str]) -> dict[str, float]:
 
 
 class PrefixTrie:
-    """Best segmentations of all prefixes of the words put in. A node is
-    ``[score, tokens, children]``. A character that no piece holds is as many tokens as
-    its UTF-8 bytes, each scored worse than any piece; equal scores go to fewer tokens."""
+    """Best segmentations of all prefixes of the words put in.
+
+    A node is ``[score, tokens, children, open]``; ``open`` lists the pieces that have
+    begun and may go on: the score and tokens before them and their place in the trie of
+    pieces. So a new node looks at pieces that can still match, not at all lengths. A
+    character that no piece holds is as many tokens as its UTF-8 bytes, each scored worse
+    than any piece; equal scores go to fewer tokens."""
 
     def __init__(self, pieces: dict[str, float]):
-        self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
         self.unknown = min(pieces.values(), default=0.0) - 10.0
+        self.starts: dict = {}
+        for piece, score in pieces.items():
+            place = self.starts
+            for char in piece:
+                place = place.setdefault(char, {})
+            place[""] = score
         self.clear()
 
     def clear(self) -> None:
         # The counts of whole words, by their bytes: the terminal nodes.
-        self.root: list = [0.0, 0, {}]
+        self.root: list = [0.0, 0, {}, ()]
         self.nodes = 1
         self.counts: dict[bytes, int] = {}
 
     def tokens(self, word: str) -> int:
         """Tokens of the best segmentation."""
-        node, path = self.root, [self.root]
-        pieces, longest = self.pieces, self.longest
-        for end, char in enumerate(word, 1):
+        node, starts = self.root, self.starts
+        for char in word:
             below = node[2].get(char)
             if below is None:
-                size = len(char.encode("utf-8", "surrogatepass"))
-                best, count = node[0] + self.unknown * size, node[1] + size
-                for start in range(max(0, end - longest), end):
-                    score = pieces.get(word[start:end])
-                    if score is not None:
-                        before = path[start]
-                        score += before[0]
-                        if score > best or score == best and before[1] + 1 < count:
-                            best, count = score, before[1] + 1
-                below = node[2][char] = [best, count, {}]
+                best, count = None, 0
+                going = []
+                place = starts.get(char)
+                if place is not None:
+                    going.append((node[0], node[1], place))
+                    if "" in place:
+                        best, count = node[0] + place[""], node[1] + 1
+                for before, tokens, place in node[3]:
+                    place = place.get(char)
+                    if place is not None:
+                        going.append((before, tokens, place))
+                        if "" in place:
+                            score = before + place[""]
+                            if best is None or score > best or score == best and tokens + 1 < count:
+                                best, count = score, tokens + 1
+                if best is None:
+                    size = len(char.encode("utf-8", "surrogatepass"))
+                    best, count = node[0] + self.unknown * size, node[1] + size
+                below = node[2][char] = [best, count, {}, going]
                 self.nodes += 1
             node = below
-            path.append(node)
         return node[1]
 
 
@@ -97,6 +113,14 @@ def count_tokens(
         trie = PrefixTrie(known)
 
         def work(columns):
+            # A trie has no cycles; looking for some takes longer than making it.
+            gc.disable()
+            try:
+                return counted(columns)
+            finally:
+                gc.enable()
+
+        def counted(columns):
             words_of, tokens_of = [], []
             for raw in columns[1]:
                 words, total = (raw or b"").split(), 0
