@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,27 +50,51 @@ def json_map(c) -> Column:
     return F.from_json(_col(c), T.MapType(T.StringType(), T.StringType()))
 
 
+def _object_merge(patching: bool):
+    """Merging of two JSON objects, as a function on Arrow batches: Spark's maps refuse
+    a repeated member, and no expression goes down to members of any depth."""
+
+    def number(text: str):
+        value = float(text)
+        return int(value) if value.is_integer() and abs(value) < 1e15 else value
+
+    def parsed(text) -> dict:
+        try:
+            value = json.loads(text, parse_float=number) if text else {}
+        except ValueError:
+            value = {}
+        return value if isinstance(value, dict) else {}
+
+    def merged(base: dict, patch: dict) -> dict:
+        kept = {k: v for k, v in base.items() if k not in patch}
+        for name, value in patch.items():
+            if patching and isinstance(value, dict):
+                below = base.get(name)
+                kept[name] = merged(below if isinstance(below, dict) else {}, value)
+            elif not patching or value is not None:
+                kept[name] = value
+        return kept
+
+    def work(base: pd.Series, patch: pd.Series) -> pd.Series:
+        made = [merged(parsed(a), parsed(b)) for a, b in zip(base, patch, strict=True)]
+        return pd.Series([json.dumps(m, ensure_ascii=False, separators=(",", ":")) for m in made], dtype=object)
+
+    work.__annotations__ = {"base": pd.Series, "patch": pd.Series, "return": pd.Series}
+    return F.pandas_udf(work, "string")
+
+
 def json_merge(base, patch) -> Column:
     """One object holding the members of both; the patch wins on a shared name.
 
-    Values are kept as JSON values (numbers stay numbers)."""
-    values = T.MapType(T.StringType(), T.VariantType())
-    left, right = F.from_json(_col(base), values), F.from_json(_col(patch), values)
-    empty = F.from_json(F.lit("{}"), values)
-    left, right = F.coalesce(left, empty), F.coalesce(right, empty)
-    kept = F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k))
-    return F.to_json(F.map_concat(kept, right))
+    Values are kept as JSON values (numbers stay numbers). Of a member that an object
+    has twice the last one counts; text that is no object counts as an empty one."""
+    return _object_merge(False)(_col(base), _col(patch))
 
 
 def json_merge_patch(base, patch) -> Column:
-    """Like :func:`json_merge`, and a member that is null in the patch is removed."""
-    values = T.MapType(T.StringType(), T.VariantType())
-    left, right = F.from_json(_col(base), values), F.from_json(_col(patch), values)
-    empty = F.from_json(F.lit("{}"), values)
-    left, right = F.coalesce(left, empty), F.coalesce(right, empty)
-    kept = F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k))
-    added = F.map_filter(right, lambda _, v: v.isNotNull() & ~F.is_variant_null(v))
-    return F.to_json(F.map_concat(kept, added))
+    """JSON merge patch: like :func:`json_merge`, but objects are merged at any depth
+    and a member that is null in the patch is removed."""
+    return _object_merge(True)(_col(base), _col(patch))
 
 
 def all_fields_json(columns: list[str]) -> Column:

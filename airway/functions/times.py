@@ -1,4 +1,5 @@
-"""Time text and hour-slot expressions. Session time zone decides the calendar."""
+"""Time text and hour-slot expressions. The session time zone decides the calendar
+unless a zone is given."""
 
 from __future__ import annotations
 
@@ -19,6 +20,12 @@ def day_of_text(c) -> Column:
     return F.substring(_col(c), 1, 10)
 
 
+def in_zone(seconds: Column, zone: str) -> Column:
+    """Epoch seconds (with fraction) on the clock of ``zone``, whatever the session's."""
+    clock = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), clock)
+
+
 def hour_of(c) -> Column:
     """Two-character hour of a time stamp."""
     return F.date_format(_col(c), "HH")
@@ -34,8 +41,10 @@ def epoch_seconds(c) -> Column:
     return F.timestamp_seconds(_col(c).try_cast("bigint"))
 
 
-def epoch_text(c) -> Column:
-    """Epoch seconds as ``yyyy-MM-dd HH:mm:ss``."""
+def epoch_text(c, zone: str | None = None) -> Column:
+    """Epoch seconds as ``yyyy-MM-dd HH:mm:ss`` in ``zone`` (else the session's)."""
+    if zone:
+        return F.date_format(in_zone(_col(c).try_cast("bigint"), zone), STAMP)
     return F.date_format(epoch_seconds(c), STAMP)
 
 
@@ -44,9 +53,12 @@ def stamp_day(c) -> Column:
     return F.date_format(F.try_to_timestamp(_col(c), F.lit(STAMP)), "yyyy-MM-dd")
 
 
-def dotnet_hour(c) -> Column:
-    """``/Date(1675310400000)/`` as text, floored to the hour."""
-    millis = F.regexp_extract(_col(c), r"(\d+)", 1).try_cast("bigint")
+def dotnet_hour(c, zone: str | None = None) -> Column:
+    """``/Date(1675310400000)/`` as text, floored to the hour, in ``zone`` (else the
+    session's). Times before 1970 are negative."""
+    millis = F.regexp_extract(_col(c), r"(-?\d+)", 1).try_cast("bigint")
+    if zone:
+        return F.date_format(in_zone(millis / F.lit(1000), zone), HOUR_START)
     return F.date_format(F.timestamp_millis(millis), HOUR_START)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The mark a feed puts where a measurement is missing.
@@ -43,15 +43,20 @@ def all_nonzero(record: Column, names: Iterable[str]) -> Column:
     return F.exists(F.array(record), check)
 
 
+def _sortable(df: DataFrame, column: str) -> Column:
+    """The column, or its JSON text where its type has no order (maps)."""
+    kind = df.schema[column].dataType
+    ordered = "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
+    return F.col(column) if ordered else F.to_json(F.struct(column))
+
+
 def one_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None, last: bool = False) -> DataFrame:
     """One whole row per key: the first (or last) by ``order``, remaining columns
-    breaking ties. An aggregation, so copies merge before the shuffle."""
+    breaking ties. Spark keeps one row per key and task before the shuffle."""
     order = order or []
     rest = [c for c in df.columns if c not in keys and c not in order]
-    picked = F.struct(*order, *rest)
-    chosen = (F.max if last else F.min)(picked).alias("_row")
     if not order and not rest:
         return df.select(*keys).distinct()
-    return df.groupBy(*keys).agg(chosen).select(
-        *[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns]
-    )
+    by = [_sortable(df, c) for c in [*order, *rest]]
+    window = Window.partitionBy(*keys).orderBy(*[c.desc() if last else c.asc() for c in by])
+    return df.withColumn("_place", F.row_number().over(window)).where("_place = 1").drop("_place")

@@ -33,12 +33,11 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` without shuffling ``facts`` when the lookup is small.
 
-    ``size_of`` names the frame the lookup was grown from by ``copies`` rows per
-    row (an ``explode`` does not show in Catalyst's estimate). A lookup that is
-    small but does not look it, like the few keys left by a filter on counts, is
-    best staged first. Beyond the bound the join is a sort-merge join, whose hot
-    keys adaptive execution splits over several tasks.
+    A lookup whose known size fits is broadcast. Otherwise the join is left as it is:
+    adaptive execution still broadcasts a side that turns out small (a frame without
+    statistics, the few keys left by a filter on counts) and splits hot keys of one
+    that does not. ``size_of`` names the frame the lookup was grown from by ``copies``
+    rows per row (an ``explode`` does not show in Catalyst's estimate).
     """
-    if fits_broadcast(size_of if size_of is not None else lookup, copies):
-        return facts.join(F.broadcast(lookup), on, how)
-    return facts.join(lookup.hint("merge"), on, how)
+    fits = fits_broadcast(size_of if size_of is not None else lookup, copies)
+    return facts.join(F.broadcast(lookup) if fits else lookup, on, how)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,17 +35,24 @@ class FeedSpec:
     code_prefix: str = ""
     station_type: str | None = None
 
+    def in_zone(self, zone: str) -> FeedSpec:
+        """The spec for a feed whose epoch times are read on the clock of ``zone``."""
+        if self.time is not dotnet_hour:
+            raise ValueError("this feed's times are text and carry no epoch")
+        return replace(self, time=partial(dotnet_hour, zone=zone))
 
-_METALS = {"CO": "co", "O3": "o3", "PM2_5": "pm2_5", "NO2": "no2", "SO2": "so2", "PM10": "pm10"}
+
+# Feed field names and the columns they become.
+_GASES_AND_DUST = {"CO": "co", "O3": "o3", "PM2_5": "pm2_5", "NO2": "no2", "SO2": "so2", "PM10": "pm10"}
 
 REGIONAL = FeedSpec(
-    renames={"UniqueCode": "station_code", "TimePoint": "published_at", **_METALS},
+    renames={"UniqueCode": "station_code", "TimePoint": "published_at", **_GASES_AND_DUST},
     time=dotnet_hour,
     marked=["co", "o3", "pm2_5", "no2", "so2", "pm10"],
     missing=["aqi", *WEATHER],
 )
 DISTRICT = FeedSpec(
-    renames={"StationCode": "station_code", "TimePoint": "published_at", "AQI": "aqi", **_METALS},
+    renames={"StationCode": "station_code", "TimePoint": "published_at", "AQI": "aqi", **_GASES_AND_DUST},
     time=iso_stamp,
     marked=MEASURES,
     missing=WEATHER,

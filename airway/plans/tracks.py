@@ -35,14 +35,14 @@ TRACK = [
 ]
 
 
-def import_track(track: DataFrame) -> DataFrame:
+def import_track(track: DataFrame, zone: str | None = None) -> DataFrame:
     """Raw track rows (point_x, point_y, epoch up_time) as track-table rows with
-    shifted six-decimal coordinates and partition columns."""
+    shifted six-decimal coordinates and partition columns, on the clock of ``zone``."""
     single = one_per_key(track, ["plate_num", "up_time"]).withColumnsRenamed(
         {"point_x": "raw_lon", "point_y": "raw_lat"}
     )
     lon, lat = wgs84_to_gcj02("raw_lon", "raw_lat")
-    stamp = epoch_text("up_time")
+    stamp = epoch_text("up_time", zone)
     return single.withColumns(
         {
             "lon": six_decimals(lon),
