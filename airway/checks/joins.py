@@ -355,10 +355,33 @@ def stay_boundaries(fx: Fixtures) -> DataFrame:
     return found.select("event_id", "enters", "leaves")
 
 
-@check("O1", "SELECT event_id, value FROM events WHERE event_type = 'error' ORDER BY value, event_id")
+@check("O1", "SELECT event_id, value FROM events ORDER BY value, event_id")
 def rows_in_order(fx: Fixtures) -> DataFrame:
-    rows = fx.raw("events").where(F.col("event_type") == "error")
-    return rows.select("event_id", "value").orderBy("value", "event_id")
+    return fx.raw("events").select("event_id", "value").orderBy("value", "event_id")
+
+
+@check("A10", "SELECT max(ts) AS newest, max(value) AS greatest FROM events WHERE event_type = 'error'")
+def newest_under_a_filter(fx: Fixtures) -> DataFrame:
+    return fx.raw("events").where(F.col("event_type") == "error").agg(F.max("ts").alias("newest"), F.max("value").alias("greatest"))
+
+
+@check(
+    "W1 W2",
+    """WITH t AS (SELECT event_id, CASE WHEN event_id % 11 > 0 THEN user_id % 7 END AS car,
+            CASE WHEN event_id % 13 > 0 THEN ts END AS seen, 1 + (hour(ts) // 3) % 3 AS place FROM events)
+       SELECT event_id, lag(place) OVER w AS place_lag, lead(place) OVER w AS place_lead FROM t
+       WHERE car IS NOT NULL AND seen IS NOT NULL WINDOW w AS (PARTITION BY car ORDER BY seen, event_id)
+       UNION ALL SELECT event_id, NULL, NULL FROM t WHERE car IS NULL OR seen IS NULL""",
+)
+def neighbours_with_rows_on_no_track(fx: Fixtures) -> DataFrame:
+    """Rows without vehicle, and rows whose time text is none, stay without neighbours."""
+    rows = fx.track_points().select(
+        "event_id",
+        F.when(F.col("event_id") % 11 > 0, F.col("sim_card")).alias("car"),
+        F.when(F.col("event_id") % 13 > 0, F.col("published_at_raw").cast("string")).otherwise("no time").alias("at"),
+        F.col("grid_id").alias("place"),
+    )
+    return neighbours(rows, "car", "at", "place", ["event_id"]).select("event_id", "place_lag", "place_lead")
 
 
 @check(

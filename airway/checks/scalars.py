@@ -149,6 +149,21 @@ def dotnet_date_to_hour(fx: Fixtures) -> DataFrame:
     return fx.raw("events").select("event_id", times.dotnet_hour(text).alias("hour_at"))
 
 
+@check(
+    "F14 F16",
+    """SELECT event_id, strftime(ts - INTERVAL 60 YEAR + INTERVAL 8 HOUR, '%Y-%m-%d %H:00:00') AS hour_at,
+        strftime(date_trunc('second', ts) + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS stamp FROM events""",
+)
+def epochs_of_an_eastern_feed(fx: Fixtures) -> DataFrame:
+    """Epochs, some before 1970, on a clock eight hours east of the session's."""
+    old = F.unix_timestamp(F.date_trunc("second", F.col("ts") - F.expr("INTERVAL 60 YEAR"))) * 1000
+    text = F.concat(F.lit("/Date("), old.cast("string"), F.lit(")/"))
+    rows = fx.raw("events").select("event_id", text.alias("at"), F.unix_timestamp("ts").alias("epoch"))
+    return rows.select(
+        "event_id", times.dotnet_hour("at", "+08:00").alias("hour_at"), times.epoch_text("epoch", "+08:00").alias("stamp")
+    )
+
+
 @check("F17", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp FROM events")
 def iso_to_stamp(fx: Fixtures) -> DataFrame:
     return fx.raw("events").select("event_id", times.iso_stamp(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("stamp"))
@@ -205,8 +220,7 @@ def distances(fx: Fixtures) -> DataFrame:
 @check(
     "F23 F24 J1",
     with_fx("ev st", f"""SELECT s.station_code, count(*) AS points FROM ev e JOIN st s
-        ON {sql_metres('e.lon', 'e.lat', 's.lon', 's.lat')} < 2000
-        WHERE e.event_type = 'signup' GROUP BY ALL"""),
+        ON {sql_metres('e.lon', 'e.lat', 's.lon', 's.lat')} < 2000 GROUP BY ALL"""),
 )
 def distance_in_sql_text(fx: Fixtures) -> DataFrame:
     """The distance function called from SQL on joined rows."""
@@ -214,7 +228,7 @@ def distance_in_sql_text(fx: Fixtures) -> DataFrame:
 
     geo.register_sql_functions(fx.spark)
     centers = fx.sites().select("station_code", F.col("lon").alias("center_lon"), F.col("lat").alias("center_lat"))
-    points = fx.events().where(F.col("event_type") == "signup").select("event_id", "lon", "lat")
+    points = fx.events().select("event_id", "lon", "lat")
     pairs = radius_join(points, centers, 5000)
     close = pairs.where(F.expr("distance(lon, lat, center_lon, center_lat) < 2000 AND dis2(lon, lat, center_lon, center_lat) < 4000000"))
     return close.groupBy("station_code").agg(F.count("*").alias("points"))

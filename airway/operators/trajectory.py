@@ -14,7 +14,7 @@ CHUNK_SECONDS = 3600
 
 
 def _in_chunks(df: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
-    """Rows with key and time, and the ``_chunk`` of the time, which rises with it.
+    """All rows with the ``_chunk`` of their time, which rises with it.
 
     A time without zone is counted on its own calendar, so that no clock change
     of the session zone can reorder chunks. Text is read as such a time."""
@@ -28,7 +28,7 @@ def _in_chunks(df: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
         passed = F.unix_date(at.cast("date")).cast("bigint") * 86400 + clock
     else:
         passed = F.unix_timestamp(at)
-    return df.where(F.col(key).isNotNull() & at.isNotNull()).withColumn("_chunk", F.floor(passed / F.lit(seconds)))
+    return df.withColumn("_chunk", F.floor(passed / F.lit(seconds)))
 
 
 def neighbours(
@@ -40,10 +40,15 @@ def neighbours(
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Add ``{value}_lag`` and ``{value}_lead``: the value before and after along
-    the track, null at its ends. Rows without key or time are left out."""
+    the track, null at its ends. Rows without key or time (or with a time text that is
+    none, see :func:`unplaced_rows`) are on no track: they stay, without neighbours."""
     order = [time, *(tie_break or [])]
     lag, lead = f"{value}_lag", f"{value}_lead"
     chunked = _in_chunks(df, key, time, chunk_seconds)
+    placed = F.col(key).isNotNull() & F.col(time).isNotNull()
+    kind = df.schema[value].dataType
+    aside = chunked.where(~placed).drop("_chunk").withColumns({lag: F.lit(None).cast(kind), lead: F.lit(None).cast(kind)})
+    chunked = chunked.where(placed)
     inner = Window.partitionBy(key, "_chunk").orderBy(*order)
     marked = chunked.withColumns(
         {
@@ -57,7 +62,7 @@ def neighbours(
     # keep a group per chunk, so nothing large is gathered.
     group = F.when(~F.col("_first") & ~F.col("_last"), F.col("_chunk"))
     outer = Window.partitionBy(key, "_group").orderBy(*order)
-    return (
+    joined = (
         marked.withColumn("_group", group)
         .withColumns(
             {
@@ -67,6 +72,15 @@ def neighbours(
         )
         .drop("_chunk", "_group", "_first", "_last")
     )
+    return joined.unionByName(aside)
+
+
+def unplaced_rows(df: DataFrame, key: str, time: str) -> DataFrame:
+    """Rows that are on no track, as they came: no key, no time, or a text that is none."""
+    at = F.col(time)
+    if isinstance(df.schema[time].dataType, T.StringType):
+        at = at.try_cast("timestamp_ntz")
+    return df.where(F.col(key).isNull() | at.isNull())
 
 
 def boundaries(
@@ -77,10 +91,12 @@ def boundaries(
     tie_break: list[str] | None = None,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Rows where a stay begins (``enters``) or ends (``leaves``)."""
+    """Rows where a stay begins (``enters``) or ends (``leaves``). Rows without key or
+    time are on no track and bound no stay (see :func:`unplaced_rows`)."""
     # A struct is null only where there is no row, not where the place is null.
     spot = df.withColumn("_spot", F.struct(F.col(place).alias("at")))
     near = neighbours(spot, key, time, "_spot", tie_break, chunk_seconds)
+    near = near.where(F.col(key).isNotNull() & F.col(time).isNotNull())
     flags = {
         "enters": ~F.col("_spot").eqNullSafe(F.col("_spot_lag")),
         "leaves": ~F.col("_spot").eqNullSafe(F.col("_spot_lead")),
@@ -98,11 +114,13 @@ def stays(
 ) -> DataFrame:
     """One row per unbroken stay: ``key, place, {in, out} time, points``.
 
+    Rows without key or time are on no track (see :func:`unplaced_rows`).
     Runs are found per (vehicle, chunk) and reduced to one row each; the runs at
     chunk edges are then glued along the vehicle.
     """
     order = [time, *(tie_break or [])]
     chunked = _in_chunks(df.select(*dict.fromkeys([key, place, *order])), key, time, chunk_seconds)
+    chunked = chunked.where(F.col(key).isNotNull() & F.col(time).isNotNull())
     inner = Window.partitionBy(key, "_chunk").orderBy(*order)
     starts = F.lag(F.lit(True)).over(inner).isNull() | ~F.lag(place).over(inner).eqNullSafe(F.col(place))
     runs = (

@@ -22,7 +22,7 @@ from airway.operators.merging import (
 from airway.operators.spatial import RADIUS_M, SITE, idw, radius_join, site_summary, sites_of, spread_to_centers
 from airway.sources.scans import in_hours, slot_text
 from airway.sources.sinks import stored_or_none, upsert_partitions
-from airway.sources.staging import staged
+from airway.sources.staging import Work, staged
 
 # Station levels with a portrait, the wind sites, and the features
 # in the order they are written.
@@ -63,9 +63,16 @@ def at_point(df: DataFrame, coord: str) -> DataFrame:
     return json_columns(df, coord, {"lon": "lon", "lat": "lat"})
 
 
+def stations_without_position(stations: DataFrame, levels: list[str] = LEVELS) -> DataFrame:
+    """The stations of the levels that get no portrait, for want of a readable position."""
+    known = portrait_stations(stations, levels)
+    return known.where(F.col("lon").isNull() | F.col("lat").isNull()).select(*STATION_KEYS)
+
+
 def portrait_stations(stations: DataFrame, levels: list[str] = LEVELS) -> DataFrame:
-    """One row per station key with its position; stations without a grid cell
-    are left out."""
+    """One row per station key with its position; stations without a grid cell are left
+    out. Nothing is near a station without position: it gets no portrait and is named by
+    :func:`stations_without_position`."""
     chosen = stations.where(F.col("grid_id").isNotNull() & F.col("station_level").isin(levels))
     return one_per_key(at_point(chosen.select(*STATION_KEYS, "coord"), "coord"), STATION_KEYS)
 
@@ -197,7 +204,7 @@ def daily_diffusion(forecast: DataFrame, day: str = "forecast_date") -> DataFram
 
 
 def site_features(
-    t: PortraitTables, stations: DataFrame, hours: HourRange, wind_sites: list[str] | None = None
+    t: PortraitTables, stations: DataFrame, hours: HourRange, wind_sites: list[str] | None = None, work: Work | None = None
 ) -> DataFrame:
     """All eleven feature columns per station location and publication hour.
 
@@ -205,8 +212,8 @@ def site_features(
     hour; these two small mappings are staged before the hourly tables are read.
     """
     sites = sites_of(stations)
-    near = staged(cell_sites(t.cells, sites), "cell-sites")
-    roads = staged(section_sites(t.road_division, sites), "road-sites")
+    near = staged(cell_sites(t.cells, sites), "cell-sites", work)
+    roads = staged(section_sites(t.road_division, sites), "road-sites", work)
     from_partitions = "publish_date" in t.gps.columns
     points = (gps_from_partitions if from_partitions else gps_in_slots)(t.gps, hours)
     joined = assemble(
@@ -236,15 +243,20 @@ def feature_json() -> Column:
 
 
 def station_portrait(
-    t: PortraitTables, hours: HourRange, levels: list[str] = LEVELS, wind_sites: list[str] | None = None
+    t: PortraitTables,
+    hours: HourRange,
+    levels: list[str] = LEVELS,
+    wind_sites: list[str] | None = None,
+    work: Work | None = None,
 ) -> DataFrame:
     """``grid_id, station_code, station_name, data, published_at`` for every
     station and hour of the range, in one job.
 
     Features are computed and written as JSON per location; stations that share
-    one are told apart only at the end."""
-    stations = staged(portrait_stations(t.stations, levels), "stations")
-    per_site = site_features(t, stations, hours, wind_sites).select(
+    one are told apart only at the end. Three small tables are staged while the frame is
+    built; ``work`` (else the session) owns them."""
+    stations = staged(portrait_stations(t.stations, levels), "stations", work)
+    per_site = site_features(t, stations, hours, wind_sites, work).select(
         *SITE, feature_json().alias("data"), F.date_format("published_at", HOUR_START).alias("published_at")
     )
     return spread_to_centers(per_site, stations, STATION_KEYS)
@@ -265,14 +277,15 @@ def backfill_partitions(t: PortraitTables, hours: HourRange, path: str, **option
     """Compute the portraits of the hours and rewrite, in a dataset partitioned by
     ``publish_date``, those of the hours that differ from what is stored."""
     day = F.substring("published_at", 1, 10).alias("publish_date")
-    new = staged(station_portrait(t, hours, **options).select("*", day), "portrait")
-    stored = stored_or_none(new.sparkSession, path)
-    if stored is not None:
-        first, last = hours.published
-        known = stored.where(F.col("publish_date").between(first[:10], last[:10]) & F.col("published_at").between(first, last))
-        changed = portrait_diff(new, known).select("published_at").distinct()
-        new = lookup_join(new, changed, "published_at", "left_semi")
-    upsert_partitions(new, path, KEYS, ("publish_date",))
+    with Work(t.stations.sparkSession) as work:
+        new = staged(station_portrait(t, hours, work=work, **options).select("*", day), "portrait", work)
+        stored = stored_or_none(new.sparkSession, path)
+        if stored is not None:
+            first, last = hours.published
+            known = stored.where(F.col("publish_date").between(first[:10], last[:10]) & F.col("published_at").between(first, last))
+            changed = portrait_diff(new, known).select("published_at").distinct()
+            new = lookup_join(new, staged(changed, "changed", work), "published_at", "left_semi")
+        upsert_partitions(new, path, KEYS, ("publish_date",))
 
 
 def backfill(new: DataFrame, stored: DataFrame) -> DataFrame:

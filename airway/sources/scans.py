@@ -78,14 +78,34 @@ def read_hours(spark: SparkSession, root: str, hours: HourRange, skip_unreadable
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files as ``value``, the header line of each file dropped."""
-    return (
-        spark.read.schema("value string")
-        .option("header", True)
-        .option("sep", "\u0001")
-        .option("quote", "")
-        .csv(path)
-    )
+    """Lines of text files as ``value``, the first line of each file dropped; all others
+    stay, blank ones too. Rows of a file's first split come in their order."""
+
+    def without_first(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        last = None
+        for batch in batches:
+            lines, paths, starts = batch.columns
+            names = paths.to_pylist()
+            opens = [s == 0 and p != q for p, q, s in zip(names, [last, *names[:-1]], starts.to_pylist(), strict=True)]
+            last = names[-1] if names else last
+            kept = lines.filter(pc.invert(pa.array(opens, pa.bool_())))
+            yield pa.RecordBatch.from_arrays([kept], names=["value"])
+
+    rows = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    return rows.mapInArrow(without_first, "value string")
+
+
+def files_without_rows(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` of the Parquet files below ``root`` that give no row when unreadable files
+    are skipped: what :func:`read_partitioned` with ``skip_unreadable`` leaves out."""
+    shape = F.regexp_replace("path", "^([a-z0-9]+:)/+", "$1/").alias("path")
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    listed = reader.load(root).select(shape)
+    read = read_partitioned(spark, root, skip_unreadable=True).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return listed.join(read.select(shape), "path", "left_anti")
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:

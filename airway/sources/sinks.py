@@ -6,14 +6,14 @@ from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from airway.operators.cleaning import one_per_key
 from airway.operators.joining import lookup_join
 from airway.operators.merging import upsert, upsert_json
 from airway.sources.scans import HOUR_KEYS, read_partitioned
-from airway.sources.staging import staged_at, staging_path, unstage
+from airway.sources.staging import Work, staged_at, staging_path, unstage
 
 # Fixed value: size merged files aim at.
 MERGED_FILE_BYTES = 256_000_000
@@ -163,18 +163,33 @@ def compact(
 
     ``pick`` narrows the frame to partitions, e.g. by a predicate on partition
     columns. Partitions that do not exist are simply not there. Staging is
-    overwritten, never appended to, so a repeated run cannot double rows; it is
-    removed only after the target is written.
+    overwritten, never appended to, so a repeated run cannot double rows.
+
+    Files that came or went while rows were staged would be lost by the swap: the picked
+    partitions are listed again before it, and a difference ends the run with the target
+    as it was. Rows are counted by the write itself.
     """
     chosen = pick(read_partitioned(spark, source))
-    work = staging_path(spark, "compact")
-    with file_size(spark, target_bytes):
-        write_partitions(chosen, work, partitions, overwrite=True)
+    before = _files_of(chosen)
+    if not before[0]:
+        return 0
+    with Work(spark) as owner, file_size(spark, target_bytes):
+        work = owner.path("compact")
+        counted = Observation()
+        write_partitions(chosen.observe(counted, F.count(F.lit(1)).alias("n")), work, partitions, overwrite=True)
         copy = stored_or_none(spark, work)
-        expected, written = chosen.count(), copy.count() if copy else 0
+        expected, written = counted.get["n"], copy.count() if copy else 0
         if expected != written:
             raise RuntimeError(f"staged {written} of {expected} rows; {target} left as it was")
+        if _files_of(pick(read_partitioned(spark, source))) != before:
+            raise RuntimeError(f"files of {source} changed meanwhile; {target} left as it was")
         if copy:
             replace_from(copy, target, partitions)
-    unstage(spark, work)
     return written
+
+
+def _files_of(df: DataFrame) -> tuple:
+    """Number and hash of the files that hold the rows; reads no column."""
+    meta = F.col("_metadata")
+    files = df.select(meta["file_path"].alias("p"), meta["file_size"].alias("s"), meta["file_modification_time"].alias("t")).distinct()
+    return tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64("p", "s", "t"))).first())

@@ -188,3 +188,69 @@ def test_compacting_no_partition_changes_nothing(spark):
     sinks.write_partitions(table(spark), path)
     assert sinks.compact(spark, path, path, lambda df: df.where("publish_date = '1999-01-01'")) == 0
     assert scans.read_partitioned(spark, path).count() == 600
+
+
+def test_compaction_fails_when_files_come_meanwhile(spark):
+    path = staging.staging_path(spark, "t")
+    sinks.write_partitions(table(spark), path)
+    calls = []
+
+    def pick(df):
+        if not calls:  # rows land after the first listing
+            sinks.write_partitions(table(spark, 10), path)
+        calls.append(1)
+        return df
+
+    with pytest.raises(RuntimeError, match="changed meanwhile"):
+        sinks.compact(spark, path, path, pick)
+    assert scans.read_partitioned(spark, path).count() == 610
+    assert sinks.compact(spark, path, path, lambda df: df) == 610
+
+
+def test_skipped_files_are_named(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_partitions(table(spark), path)
+    assert scans.files_without_rows(spark, path).count() == 0
+    (tmp_path / "t" / "publish_date=2024-01-01" / "hour=23" / "part-x.parquet").write_text("no parquet")
+    found = [r["path"] for r in scans.files_without_rows(spark, path).collect()]
+    assert [p.rsplit("/", 1)[1] for p in found] == ["part-x.parquet"]
+
+
+def test_text_lines_all_stay_but_the_first_of_each_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("head\n1,\u0001 x\n\n  \nhead\n")
+    (tmp_path / "b.csv").write_text("head\n2\n")
+    (tmp_path / "c.csv").write_text("")
+    found = sorted(r["value"] for r in scans.read_text_lines(spark, str(tmp_path)).collect())
+    assert found == ["", "  ", "1,\u0001 x", "2", "head"]
+
+
+def test_lookup_of_unknown_size_is_broadcast_at_run_time(spark, no_broadcast):
+    from airway.operators.joining import lookup_join
+
+    facts = spark.range(50_000).withColumn("k", F.col("id") % 5)
+    lookup = spark.createDataFrame([(i, str(i)) for i in range(5)], "k long, name string").repartition(2)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10485760")
+    try:
+        joined = lookup_join(facts, lookup, "k")
+        assert joined.count() == 50_000
+        joined.collect()
+        assert "BroadcastHashJoin" in plan_of(joined)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_one_per_key_takes_maps(spark):
+    from airway.operators.cleaning import one_per_key
+
+    df = spark.createDataFrame([(1, {"a": 2}), (1, {"a": 1}), (None, {}), (None, {})], "k int, m map<string,int>")
+    assert sorted((r["k"] or 0, r["m"]) for r in one_per_key(df, ["k"]).collect()) == [(0, {}), (1, {"a": 1})]
+
+
+def test_backfill_leaves_no_staged_tables(spark):
+    owner = staging.Work(spark)
+    kept = owner.stage(spark.range(5), "t")
+    assert kept.count() == 5
+    folder = owner.paths[0]
+    owner.close()
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

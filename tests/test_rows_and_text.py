@@ -109,3 +109,16 @@ def test_flatten_drops_rows_with_any_null(spark):
     data = [(1, payload, "e", "t"), (2, payload, None, "t"), (3, '{"6423":1}', "e", "t")]
     df = spark.createDataFrame(data, "device_id int, dynamic_data string, error_data string, published_at string")
     assert rows(obd.flatten(df)) == [(1, 104.1, 30.5, 7.0, "t")]
+
+
+def test_merge_patch_goes_down_and_takes_the_last_of_repeated_members(spark):
+    rows = [
+        ('{"a":{"x":1,"y":2},"b":1}', '{"a":{"y":3,"x":null},"b":null,"c":{"d":null,"e":1.5}}'),
+        ('{"a":1,"a":2}', '{"b":"é","b":[1,{"z":null}]}'),
+        (None, "no json"),
+        ('{"a":[1]}', '{"a":{"k":7}}'),
+    ]
+    df = spark.createDataFrame(rows, "l string, r string")
+    got = [tuple(r) for r in df.select(records.json_merge_patch("l", "r"), records.json_merge("l", "r")).collect()]
+    assert [g[0] for g in got] == ['{"a":{"y":3},"c":{"e":1.5}}', '{"a":2,"b":[1,{"z":null}]}', "{}", '{"a":{"k":7}}']
+    assert got[1][1] == '{"a":2,"b":[1,{"z":null}]}' and got[3][1] == '{"a":{"k":7}}'
