@@ -15,18 +15,24 @@ ACTIVE_ROWS = 60
 FIRST_HOUR, LAST_HOUR = "2024-01-01 00:00:00", "2024-01-30 23:00:00"
 
 
+# Multipliers, prime modulus and step (in degrees) of positions: no two of fewer keys than
+# the modulus share one, and all lie within 0.4 degrees.
+POINTS = (91909, 72931, 99991, 0.000004)
+SITES = (3637, 5309, 9973, 0.00004)
+
+
 def _place(k: Column, a: int, b: int, modulus: int, step: float) -> tuple[Column, Column]:
-    lon = F.lit(103.9) + ((k * a) % modulus).cast("double") * F.lit(step)
-    lat = F.lit(30.5) + ((k * b) % modulus).cast("double") * F.lit(step)
+    lon = F.lit(103.9) + ((k.cast("long") * a) % modulus).cast("double") * F.lit(step)
+    lat = F.lit(30.5) + ((k.cast("long") * b) % modulus).cast("double") * F.lit(step)
     return lon, lat
 
 
 def point_of(k: Column) -> tuple[Column, Column]:
-    return _place(k, 919, 729, 1000, 0.0004)
+    return _place(k, *POINTS)
 
 
 def site_of(k: Column) -> tuple[Column, Column]:
-    return _place(k, 37, 53, 100, 0.004)
+    return _place(k, *SITES)
 
 
 def coord(lon: Column, lat: Column) -> Column:
@@ -144,12 +150,12 @@ class Fixtures:
             F.lit("[["), F.col("k").cast("string"), F.lit(".4, 1],["), (F.col("event_id") % 7).cast("string"), F.lit(", 2]]")
         )
         return self.events().select(
-            (F.col("event_id") % 200).alias("grid_id"), text.alias("slag_truck_coords"), F.col("hour_at").alias("published_at")
+            F.floor(F.col("event_id") / 5).alias("grid_id"), text.alias("slag_truck_coords"), F.col("hour_at").alias("published_at")
         )
 
     def earthwork(self) -> DataFrame:
         return self.events().select(
-            (F.col("event_id") % 200).alias("grid_id"), F.col("k").alias("truck_num"), F.col("hour_at").alias("published_at")
+            F.floor(F.col("event_id") / 5).alias("grid_id"), F.col("k").alias("truck_num"), F.col("hour_at").alias("published_at")
         )
 
     def road_flow(self) -> DataFrame:
@@ -159,7 +165,7 @@ class Fixtures:
             (F.col("user_id") % 11).alias("small"),
         )
         return self.events().select(
-            (F.floor(F.col("event_id") / 2) % 70).alias("edge_id"),
+            F.floor(F.col("event_id") / 14).alias("edge_id"),
             (F.col("event_id") % 2).alias("driving_direction"),
             F.to_json(data).alias("data"),
             F.col("hour_at").alias("published_at"),
@@ -267,17 +273,17 @@ class Fixtures:
 
 def sql_place(k: str, a: int, b: int, modulus: int, step: str) -> tuple[str, str]:
     return (
-        f"(103.9::DOUBLE + ((({k}) * {a}) % {modulus})::DOUBLE * {step}::DOUBLE)",
-        f"(30.5::DOUBLE + ((({k}) * {b}) % {modulus})::DOUBLE * {step}::DOUBLE)",
+        f"(103.9::DOUBLE + ((({k})::BIGINT * {a}) % {modulus})::DOUBLE * {step}::DOUBLE)",
+        f"(30.5::DOUBLE + ((({k})::BIGINT * {b}) % {modulus})::DOUBLE * {step}::DOUBLE)",
     )
 
 
 def sql_point(k: str) -> tuple[str, str]:
-    return sql_place(k, 919, 729, 1000, "0.0004")
+    return sql_place(k, *POINTS[:3], f"{POINTS[3]:f}")
 
 
 def sql_site(k: str) -> tuple[str, str]:
-    return sql_place(k, 37, 53, 100, "0.004")
+    return sql_place(k, *SITES[:3], f"{SITES[3]:f}")
 
 
 def sql_pick(k: str, options: list[str]) -> str:

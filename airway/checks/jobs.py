@@ -49,7 +49,7 @@ def _portrait_sql(truck: str) -> str:
         CAST({sql_mean('sum(event_id % 97)', 'count(*)', 2)} AS DECIMAL(8,2)) AS humidity,
         CAST({sql_mean('sum(event_id % 7)', 'count(*)', 2)} AS DECIMAL(8,2)) AS solar_radiation FROM near GROUP BY ALL),
     f5 AS (SELECT s.grid_id, s.station_code, s.station_name, e.hour_at, CAST(sum(e.k + e.event_id % 7) AS INTEGER) AS dust_index,
-        sum(e.k)::BIGINT AS earth_num FROM ev e JOIN cell c ON c.id = e.event_id % 200
+        sum(e.k)::BIGINT AS earth_num FROM ev e JOIN cell c ON c.id = e.event_id // 5
         JOIN st s ON {sql_metres('c.lon', 'c.lat', 's.lon', 's.lat')} < 5000 GROUP BY s.grid_id, s.station_code, s.station_name, e.hour_at),
     f6 AS (SELECT {_K}, {WIND_VALUE} AS wind_speed FROM weighed GROUP BY ALL),
     f7 AS (SELECT day, CAST(coalesce(max(digit), '0') AS INTEGER) AS diffusion_conditions FROM (

@@ -116,7 +116,7 @@ def weather_near_stations(fx: Fixtures) -> DataFrame:
 
 DUST_SQL = with_fx("ev st cell", f"""
     SELECT s.grid_id, s.station_code, s.station_name, CAST(sum(t.dust) AS INTEGER) AS dust_index, t.hour_at AS published_at
-    FROM (SELECT event_id % 200 AS cell, hour_at, sum(k + event_id % 7) AS dust FROM ev GROUP BY ALL) t
+    FROM (SELECT event_id // 5 AS cell, hour_at, sum(k + event_id % 7) AS dust FROM ev GROUP BY ALL) t
     JOIN cell c ON c.id = t.cell JOIN st s ON {sql_metres('c.lon', 'c.lat', 's.lon', 's.lat')} < 5000
     GROUP BY s.grid_id, s.station_code, s.station_name, t.hour_at""")
 
@@ -132,7 +132,7 @@ FLOW_BODY = f"""road AS (SELECT c_custkey AS id, c_mktsegment || '-' || c_nation
         {_V1[0]} AS lon1, {_V1[1]} AS lat1, {_V2[0]} AS lon2, {_V2[1]} AS lat2 FROM customer),
     hop AS (SELECT r.id, r.roadname, s.grid_id, s.station_code, s.station_name FROM road r JOIN st s
         ON {sql_metres('r.lon1', 'r.lat1', 's.lon', 's.lat')} < 5000 OR {sql_metres('r.lon2', 'r.lat2', 's.lon', 's.lat')} < 5000),
-    flow AS (SELECT (event_id // 2) % 70 * 2 + event_id % 2 AS id, hour_at,
+    flow AS (SELECT event_id // 14 * 2 + event_id % 2 AS id, hour_at,
         k + CASE WHEN event_id % 3 <> 0 THEN event_id % 5 ELSE 0 END + user_id % 11 AS flow FROM ev),
     best AS (SELECT h.id, h.roadname, h.grid_id, h.station_code, h.station_name, f.hour_at, max(f.flow) AS flow
         FROM flow f JOIN hop h ON f.id = h.id GROUP BY ALL),
@@ -154,7 +154,7 @@ def road_flow_near_stations(fx: Fixtures) -> DataFrame:
 @check(
     "A7 J4 J3",
     with_fx("ev st cell", f"""SELECT s.grid_id, s.station_code, s.station_name, e.hour_at AS published_at, sum(e.k)::BIGINT AS earth_num
-        FROM ev e JOIN cell c ON c.id = e.event_id % 200 JOIN st s ON {sql_metres('c.lon', 'c.lat', 's.lon', 's.lat')} < 5000
+        FROM ev e JOIN cell c ON c.id = e.event_id // 5 JOIN st s ON {sql_metres('c.lon', 'c.lat', 's.lon', 's.lat')} < 5000
         GROUP BY ALL"""),
 )
 def earthwork_near_stations(fx: Fixtures) -> DataFrame:
@@ -252,12 +252,12 @@ def join_on_renamed_key(fx: Fixtures) -> DataFrame:
 @check(
     "J4",
     with_fx("ev", """SELECT e.event_id, c.c_custkey AS section, e.hour_at FROM ev e JOIN customer c
-        ON (e.event_id // 2) % 70 = c.c_custkey // 2 AND e.event_id % 2 = c.c_custkey % 2 AND substr(e.hour_at, 12, 2) = '08'"""),
+        ON e.event_id // 14 = c.c_custkey // 2 AND e.event_id % 2 = c.c_custkey % 2 AND substr(e.hour_at, 12, 2) = '08'"""),
 )
 def join_on_several_keys(fx: Fixtures) -> DataFrame:
     n = F.col("event_id")
     flow = fx.events().select(
-        n, "hour_at", (F.floor(n / 2) % 70).alias("edge_id"), (n % 2).alias("driving_direction")
+        n, "hour_at", F.floor(n / 14).alias("edge_id"), (n % 2).alias("driving_direction")
     ).where(F.substring("hour_at", 12, 2) == "08")
     sections = fx.section_feature().withColumnRenamed("road_congested_section_id", "section")
     return lookup_join(flow, sections, ["edge_id", "driving_direction"]).select("event_id", "section", "hour_at")

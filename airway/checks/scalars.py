@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airway.checks.fixtures import Fixtures, sql_metres, sql_place, sql_site, with_fx
+from airway.checks.fixtures import Fixtures, sql_metres, sql_point, sql_site, with_fx
 from airway.checks.registry import check
 from airway.functions import geo, records, times
 from airway.operators.hours import HourRange, day_grid, day_hour_grid, hour_grid, into_slots
 
-_ELON, _ELAT = sql_place("event_id", 919, 729, 1000, "0.0004")
+_ELON, _ELAT = sql_point("event_id")
 _TLON, _TLAT = sql_site("user_id")
 
 

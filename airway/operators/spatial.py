@@ -171,33 +171,30 @@ def rect_join(
     """Every (point, rectangle) pair with ``bl < p <= tr`` on both axes.
 
     A rectangle is filed under cells at least as wide and as high as itself, so
-    it takes at most 2 x 2 of them whatever its size; a point looks up one cell
-    per cell shape in use.
+    it takes at most 2 x 2 of them whatever its size. Cells are squares of one of a few
+    sizes, each twice the last; a point looks up one cell per size in use.
     """
     west, south, east, north = (F.col(c) for c in RECT)
     proper = rects.where((east > west) & (north > south)).withColumns(
-        {"_sx": _scale(east - west, base_degrees), "_sy": _scale(north - south, base_degrees)}
+        {"_s": _scale(F.greatest(east - west, north - south), base_degrees)}
     )
 
     def cell(value: Column, scale: Column) -> Column:
         return F.floor(value / (F.lit(base_degrees) * F.pow(F.lit(2.0), scale)))
 
-    sx, sy = F.col("_sx"), F.col("_sy")
-    filed = proper.withColumn("_x", F.explode(F.sequence(cell(west, sx), cell(east, sx)))).withColumn(
-        "_y", F.explode(F.sequence(cell(south, sy), cell(north, sy)))
+    s = F.col("_s")
+    filed = proper.withColumn("_x", F.explode(F.sequence(cell(west, s), cell(east, s)))).withColumn(
+        "_y", F.explode(F.sequence(cell(south, s), cell(north, s)))
     )
-    # The shapes in use: a few pairs of small integers, read as one scalar.
-    shapes = proper.agg(F.collect_set(F.struct("_sx", "_sy"))).scalar()
+    # The sizes in use: a few small integers, read as one scalar.
+    sizes = proper.agg(F.collect_set("_s")).scalar()
     px, py = F.col(point_xy[0]), F.col(point_xy[1])
     looked_up = (
-        points.withColumn("_shape", F.explode(shapes))
-        .withColumns({"_sx": F.col("_shape._sx"), "_sy": F.col("_shape._sy")})
-        .withColumns({"_x": cell(px, sx), "_y": cell(py, sy)})
-        .drop("_shape")
+        points.withColumn("_s", F.explode(sizes)).withColumns({"_x": cell(px, s), "_y": cell(py, s)})
     )
-    pairs = lookup_join(looked_up, filed, ["_sx", "_sy", "_x", "_y"], size_of=rects, copies=4)
+    pairs = lookup_join(looked_up, filed, ["_s", "_x", "_y"], size_of=rects, copies=4)
     inside = (px > west) & (py > south) & (px <= east) & (py <= north)
-    return pairs.where(inside).drop("_sx", "_sy", "_x", "_y")
+    return pairs.where(inside).drop("_s", "_x", "_y")
 
 
 def idw(
