@@ -46,6 +46,13 @@ def as_bytes(column: str, name: str | None = None):
     return F.col(column).cast("binary").alias(name or column)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that only few texts at a time are Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_batches(df: DataFrame, start: Callable[[], Callable[[list[list]], list]], schema: str) -> DataFrame:
     """``df`` through a Python function. ``start()`` runs once per task and returns a
     function from the columns of a batch, as lists, to the output columns, as lists or
@@ -55,7 +62,7 @@ def map_batches(df: DataFrame, start: Callable[[], Callable[[list[list]], list]]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = to_arrow_schema(wanted)
         work = start()
-        for batch in batches:
+        for batch in slices(batches):
             made = work([c.to_pylist() for c in batch.columns])
             arrays = [
                 x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(made, kinds, strict=True)

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airway.llm.batches import as_bytes, map_batches, space_words
+from airway.llm.batches import as_bytes, map_batches, slices, space_words
 from airway.llm.quality_rules import class_counts
 from airway.sources.staging import Work, session_work
 
@@ -212,7 +212,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(place).to_pylist()
             kept = batch.filter(pa.array([model.score((t or "").encode("utf-8", "surrogatepass")) >= 0.5 for t in texts], pa.bool_()))
             if kept.num_rows:

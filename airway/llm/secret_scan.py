@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airway.llm.batches import as_bytes, map_batches
+from airway.llm.batches import as_bytes, map_batches, slices
 
 # Patterns, shortest lengths and the order of the kinds.
 ASSIGN = re.compile(rb"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -172,7 +172,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", n_chars:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             old = batch.column(place).to_pylist()
             new = [clean(x) for x in old]
             columns = list(batch.columns)
