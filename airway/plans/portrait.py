@@ -19,7 +19,7 @@ from airway.operators.merging import (
     latest_value,
     upsert,
 )
-from airway.operators.spatial import RADIUS_M, SITE, idw, radius_join, site_summary, sites_of, spread_to_centers
+from airway.operators.spatial import RADIUS_M, SITE, idw, radius_join, site_totals, sites_of, spread_to_centers
 from airway.sources.scans import in_hours, slot_text
 from airway.sources.sinks import stored_or_none, upsert_partitions
 from airway.sources.staging import Work, staged
@@ -108,25 +108,34 @@ def _hourly(df: DataFrame, hours: HourRange) -> DataFrame:
 
 
 def truck_features(points: DataFrame, sites: DataFrame, radius_m: float = RADIUS_M) -> DataFrame:
-    """Distinct vehicles and track points around each location."""
-    aggregates = [
-        F.count_distinct("plate_num", "sim_card").alias("truck_num"),
-        F.count("*").alias("truck_trajectory"),
-    ]
-    return site_summary(points, sites, aggregates, ["published_at"], radius_m)
+    """Distinct vehicles (plate and card known) and track points around each location."""
+    vehicle = ["plate_num", "sim_card"]
+    per_vehicle = site_totals(points, sites, {"n": F.lit(1)}, ["published_at", *vehicle], radius_m)
+    known = F.col(vehicle[0]).isNotNull() & F.col(vehicle[1]).isNotNull()
+    return per_vehicle.groupBy(*SITE_KEYS).agg(
+        F.count_if(known).alias("truck_num"), F.sum("n").alias("truck_trajectory")
+    )
+
+
+def mean_totals(points: DataFrame, sites: DataFrame, names: dict[str, str], kind: str) -> DataFrame:
+    """Hourly means around each location, each as a ``kind``: ``names`` gives the column
+    averaged for each result."""
+    sums = {f"_sum_{n}": F.col(c) for n, c in names.items()}
+    counts = {f"_n_{n}": F.col(c).isNotNull().cast("long") for n, c in names.items()}
+    totals = site_totals(points, sites, sums | counts, ["published_at"])
+    means = [F.try_divide(f"_sum_{n}", f"_n_{n}").try_cast(kind).alias(n) for n in names]
+    return totals.select(*SITE_KEYS, *means)
 
 
 def traffic_index(congestion: DataFrame, sites: DataFrame, hours: HourRange) -> DataFrame:
     points = json_columns(at_point(_hourly(congestion, hours), "grid_center_coord"), "data", {"index": "index"})
-    mean = F.avg("index").try_cast("decimal(10,6)").alias("traffic_index")
-    return site_summary(points, sites, [mean], ["published_at"])
+    return mean_totals(points, sites, {"traffic_index": "index"}, "decimal(10,6)")
 
 
 def weather_features(weather: DataFrame, sites: DataFrame, hours: HourRange) -> DataFrame:
     names = ["rainfall", "humidity", "solar_radiation"]
     points = json_columns(at_point(_hourly(weather, hours), "grid_center_coord"), "data", {n: n for n in names})
-    means = [F.avg(n).try_cast("decimal(8,2)").alias(n) for n in names]
-    return site_summary(points, sites, means, ["published_at"])
+    return mean_totals(points, sites, {n: n for n in names}, "decimal(8,2)")
 
 
 def cell_sites(cells: DataFrame, sites: DataFrame, radius_m: float = RADIUS_M) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airway.functions.geo import haversine_m, wgs84_to_gcj02
-from airway.operators.spatial import CellGrid, covering_cells, idw, radius_join, radius_summary, rect_join
+from airway.operators.spatial import SITE, CellGrid, covering_cells, idw, radius_join, radius_summary, rect_join, site_summary, site_totals
 from tests.helpers import metres, plan_of, rows
 
 
@@ -186,3 +186,36 @@ def test_gcj_shift_leaves_outside_points(spark):
     # Published example values of the shift at this point.
     moved = [r for r in got if r[0] > 100][0]
     assert 0.001 < moved[0] - 104.06 < 0.005 and -0.005 < moved[1] - 30.67 < 0
+
+
+@pytest.mark.parametrize("region", REGIONS)
+@pytest.mark.parametrize("cells_per_radius", [1, 8])
+def test_totals_per_cell_equal_totals_of_pairs(spark, region, cells_per_radius):
+    """Crowded points, null values, keys and positions; sums of whole numbers are exact."""
+    (west, east), (south, north), radius = REGIONS[region]
+    rng = random.Random(11)
+
+    def place():
+        lon = rng.uniform(west, east)
+        return (lon - 360 if lon > 180 else lon), rng.uniform(south, north)
+
+    spots = [place() for _ in range(60)] + [(None, 1.0), (1.0, None)]
+    points = [
+        (*rng.choice(spots), rng.choice(["a", "b", None]), rng.choice([None, 1.0, 2.0, 5.0])) for _ in range(1500)
+    ]
+    df = frame(spark, points, "lon double, lat double, h string, v double")
+    sites = frame(spark, [place() for _ in range(25)], "center_lon double, center_lat double")
+    found = site_totals(df, sites, {"n": F.lit(1), "s": F.col("v")}, ["h"], radius, cells_per_radius)
+    plain = site_summary(df, sites, [F.count("*").alias("n"), F.sum("v").alias("s")], ["h"], radius)
+    columns = [*SITE, "h", "n", "s"]
+    got = rows(found, *columns)
+    assert got and got == rows(plain, *columns)
+    assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
+
+
+def test_cells_beyond_the_circle_are_left_out(spark):
+    """A box around the circle has about 4k^2 cells, the circle reaches about pi k^2 of them."""
+    k = 16
+    centers = frame(spark, [(104.0, 30.0)], "x double, y double")
+    cells = covering_cells(centers, CellGrid(5000 / k), 5000, "x", "y")
+    assert 3.1 * k * k < cells.count() < 3.9 * k * k
