@@ -9,7 +9,6 @@ candidates; the union of two sketches estimates their similarity; full sets deci
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -35,7 +34,7 @@ def shingle_set(words: list[bytes], width: int = WIDTH) -> np.ndarray:
     shingle, no words none."""
     if not words:
         return np.empty(0, np.int64)
-    hashed = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = max(1, len(words) - width + 1)
     mixed = np.full(n, min(len(words), width), np.uint64)
     for i in range(min(width, len(words))):
