@@ -7,7 +7,6 @@ sets decides, and of each component of similar paragraphs all but the first go.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     """One hash for each band of a set's MinHash signature."""
     mixed = shingles.view(np.uint64)[:, None] * _MULTIPLY
     least = (mixed ^ (mixed >> np.uint64(29))).min(0).reshape(BANDS, ROWS)
-    return pd.util.hash_array(np.array([x.tobytes() + bytes([i]) for i, x in enumerate(least)], dtype=object), categorize=False).view(np.int64)
+    return np.array([xxhash.xxh3_64_intdigest(x.tobytes(), seed=i) for i, x in enumerate(least)], np.uint64).view(np.int64)
 
 
 def paragraphs(text: bytes, min_words: int) -> list[tuple[int, int, int, list[bytes]]]:
