@@ -42,6 +42,8 @@ _DIGITS, _LOWER, _UPPER = b"0123456789", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEF
 CLASSES = (
     CharClass(re.compile(rb"[0-9A-F]{32,}|[0-9a-f]{32,}"), 32, 3.0, (_DIGITS, b"abcdefABCDEF")),
     CharClass(re.compile(rb"[A-Z2-7]{24,}"), 24, 3.6, (b"234567", _UPPER)),
+    CharClass(re.compile(rb"[a-z0-9]{20,}"), 20, 3.4, (_DIGITS, _LOWER)),
+    CharClass(re.compile(rb"[A-Z0-9]{20,}"), 20, 3.4, (_DIGITS, _UPPER)),
     CharClass(re.compile(rb"[A-Za-z0-9+/_=-]{20,}"), 20, 3.7, (_DIGITS, _LOWER, _UPPER)),
 )
 # Strings known to be harmless: identifiers in the usual grouping, placeholders, and one
