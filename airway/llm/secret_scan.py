@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -54,6 +56,8 @@ ALLOWED = re.compile(
     rb"|^(.{1,4}?)\2{4,}"
     rb"|^[A-Za-z]+([/_-][A-Za-z]+)*[0-9]{0,4}$"
 )
+SEPARATORS = b"+/_=-"
+NAME = re.compile(rb"[A-Za-z]+([/_-][A-Za-z]+)*")
 
 
 def random_ranges(run: bytes, kind: CharClass) -> list[tuple[int, int]]:
@@ -88,6 +92,27 @@ def random_ranges(run: bytes, kind: CharClass) -> list[tuple[int, int]]:
     return found
 
 
+def left_of(text: bytes, a: int, b: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What the merged spans ``base`` leave of a range. Separators alone, and the words
+    before an assignment ("my_" of "my_token="), are nothing."""
+    for x, kind, y in [*base[bisect_right(base, a, key=lambda span: span[2]) : bisect_left(base, b, key=lambda span: span[0])], (b, -1, b)]:
+        piece = text[a:x].strip(SEPARATORS)
+        if piece and not (kind == 0 and NAME.fullmatch(piece)):
+            yield a, x
+        a = max(a, y)
+
+
+def merge(spans: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans that overlap or touch as one, of the kind of the first."""
+    merged: list[tuple[int, int, int]] = []
+    for a, kind, b in sorted(spans):
+        if merged and a <= merged[-1][2]:
+            merged[-1] = (*merged[-1][:2], max(b, merged[-1][2]))
+        else:
+            merged.append((a, kind, b))
+    return merged
+
+
 def scan(text: bytes) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of every secret, in bytes, sorted by start, then kind."""
     spans = []
@@ -97,24 +122,16 @@ def scan(text: bytes) -> list[tuple[int, int, int]]:
     if b"AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= SHORTEST_ACCESS]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = [(start, end) for start, _, end in spans]
-    more: set[tuple[int, int]] = set()
+    base = merge(spans)
+    more: set[tuple[int, int, int]] = set()
     for m in CANDIDATE.finditer(text):
         if ALLOWED.search(m[0]):
             continue
         for kind in CLASSES:
             for run in kind.run.finditer(text, m.start(), m.end()):
                 for a, b in random_ranges(run[0], kind):
-                    a, b = run.start() + a, run.start() + b
-                    if all(b <= x or y <= a for x, y in base):
-                        more.add((a, b))
-    merged: list[tuple[int, int]] = []
-    for a, b in sorted(more):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-        else:
-            merged.append((a, b))
-    return sorted(spans + [(a, 3, b) for a, b in merged])
+                    more.update((x, 3, y) for x, y in left_of(text, run.start() + a, run.start() + b, base))
+    return sorted(spans + merge(more))
 
 
 def in_code_points(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -132,8 +149,7 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     end exclusive) sorted by start, then kind as in ``KINDS``.
 
     Kinds ``assign``, ``access`` and ``hex`` are what the fixed patterns match. ``entropy``
-    are windows of high entropy that touch none of these and that the allow-list does not
-    explain. Null and empty texts have none. Rows are independent: repeated rows and rows
+    is what these leave of windows of high entropy that the allow-list does not explain. Null and empty texts have none. Rows are independent: repeated rows and rows
     without id give a result each; other columns are not read."""
 
     def start():

@@ -25,3 +25,21 @@ def test_tokens_of_one_case_and_digits_are_found(letters):
         text = f"see {key} there"
         assert len(covered(text) & set(range(4, 44))) >= 30
     assert not covered("donaudampfschifffahrtsgesellschaft and AAAAAAAAAA0000000000 and 20240101000000000000")
+
+
+def test_a_secret_joined_to_a_pattern_is_found():
+    access, digest = "AKIA" + "Z7" * 8, "0a1b2c3d4e5f" * 2
+    for seed in range(20):
+        key = random_text(seed, LOWER + UPPER + DIGITS)
+        for before, joint in [(access, "/"), (access, "+"), (access, "="), (access, "-"), (access, "_"), (digest, "-"), (digest, "_"), (digest, "/")]:
+            text = f"x {before}{joint}{key} y"
+            at = text.index(key)
+            assert set(range(at, at + 38)) <= covered(text)
+            assert secret_scan.scan(text.encode())[0][:1] + secret_scan.scan(text.encode())[0][2:] == (2, 2 + len(before))
+        backwards = f"x {key}-{digest} y"
+        assert set(range(4, 42)) <= covered(backwards)
+
+
+def test_words_before_an_assignment_are_no_secret():
+    text = "my_api_key=q7Zr9TfK2mXv4LpW8sNd"
+    assert [k for _, k, _ in secret_scan.scan(text.encode())] == [0]
