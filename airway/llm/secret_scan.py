@@ -2,7 +2,7 @@
 
 Candidate strings are cut into runs of one character class. A window slides along each
 run; its Shannon entropy follows from counts that change by the character that enters and
-the one that leaves. Runs that an allow-list explains are passed over.
+the one that leaves. What an allow-list explains is cut out of the strings first.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,14 +49,18 @@ CLASSES = (
     CharClass(re.compile(rb"[A-Z0-9]{20,}"), 20, 3.4, (_DIGITS, _UPPER)),
     CharClass(re.compile(rb"[A-Za-z0-9+/_=-]{20,}"), 20, 3.7, (_DIGITS, _LOWER, _UPPER)),
 )
-# Strings known to be harmless: identifiers in the usual grouping, placeholders, and one
+# Strings known to be harmless as a whole: identifiers in the usual grouping, and words.
+ALLOWED = re.compile(rb"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[A-Za-z]+([/_-][A-Za-z]+)*[0-9]{0,4}")
+# What is harmless inside a string: placeholders, the alphabet, and at its start one
 # character or a short pattern over and over.
-ALLOWED = re.compile(
-    rb"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
-    rb"|(?i:example|placeholder|changeme|your[_-]|dummy|x{6,}|0123456789|abcdefgh)"
-    rb"|^(.{1,4}?)\2{4,}"
-    rb"|^[A-Za-z]+([/_-][A-Za-z]+)*[0-9]{0,4}$"
+_ALPHABET = b"abcdefgh" + b"".join(b"(?:%c" % c for c in b"ijklmnopqrstuvwxyz") + b")?" * 18
+HARMLESS = re.compile(
+    rb"(?i:example|placeholder|changeme|your(?:[_-][a-z]+(?![a-z0-9+/]))+|your[_-]|dummy|x{6,}|0123456789|" + _ALPHABET + rb")"
 )
+REPEATED = re.compile(rb"(.{1,4}?)\1{4,}")
+# Between separators, harmless text explains its neighbours too if they are fewer than this.
+FEW = 20
+PART = re.compile(rb"[A-Za-z0-9]+")
 SEPARATORS = b"+/_=-"
 NAME = re.compile(rb"[A-Za-z]+([/_-][A-Za-z]+)*")
 
@@ -113,6 +118,29 @@ def merge(spans: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return merged
 
 
+def unexplained(candidate: bytes) -> list[tuple[int, int]]:
+    """The ranges of a candidate that the allow-list does not explain."""
+    if ALLOWED.fullmatch(candidate):
+        return []
+    start = REPEATED.match(candidate)
+    found = [(0, 0, start.end())] if start else []
+    words = [m.span() for m in HARMLESS.finditer(candidate)]
+    if words:
+        found += [(a, 0, b) for a, b in words]
+        firsts, ends = [a for a, _ in words], [b for _, b in words]
+        for part in PART.finditer(candidate):
+            inside = words[bisect_right(ends, part.start()) : bisect_left(firsts, part.end())]
+            held = sum(min(b, part.end()) - max(a, part.start()) for a, b in inside)
+            if held and part.end() - part.start() - held < FEW:
+                found.append((part.start(), 0, part.end()))
+    left, at = [], 0
+    for a, _, b in [*merge(found), (len(candidate), 0, len(candidate))]:
+        if a > at:
+            left.append((at, a))
+        at = b
+    return left
+
+
 def scan(text: bytes) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of every secret, in bytes, sorted by start, then kind."""
     spans = []
@@ -125,10 +153,8 @@ def scan(text: bytes) -> list[tuple[int, int, int]]:
     base = merge(spans)
     more: set[tuple[int, int, int]] = set()
     for m in CANDIDATE.finditer(text):
-        if ALLOWED.search(m[0]):
-            continue
-        for kind in CLASSES:
-            for run in kind.run.finditer(text, m.start(), m.end()):
+        for kind, (first, end) in product(CLASSES, unexplained(m[0])):
+            for run in kind.run.finditer(text, m.start() + first, m.start() + end):
                 for a, b in random_ranges(run[0], kind):
                     more.update((x, 3, y) for x, y in left_of(text, run.start() + a, run.start() + b, base))
     return sorted(spans + merge(more))

@@ -43,3 +43,29 @@ def test_a_secret_joined_to_a_pattern_is_found():
 def test_words_before_an_assignment_are_no_secret():
     text = "my_api_key=q7Zr9TfK2mXv4LpW8sNd"
     assert [k for _, k, _ in secret_scan.scan(text.encode())] == [0]
+
+
+def test_harmless_words_explain_only_themselves():
+    for seed in range(20):
+        key = random_text(seed, LOWER + UPPER + DIGITS)
+        for before in ("configs/example/", "your_key=", "=====", "-----", "dummy-", "xxxxxx_", "0123456789/"):
+            text = f"x {before}{key} y"
+            at = text.index(key)
+            assert set(range(at, at + 38)) <= covered(text)
+    blob = random_text(3, LOWER + UPPER + DIGITS, 200)
+    assert len(covered(blob[:100] + "dummy" + blob[100:])) >= 190
+
+
+def test_what_is_harmless_stays_unmarked():
+    alphabet = UPPER + LOWER + DIGITS + "+/"
+    for text in (
+        alphabet,
+        DIGITS + LOWER + UPPER,
+        "abC1" * 9,
+        "123E4567-e89b-12d3-a456-426614174000",
+        "YOUR_API_KEY_goes_here_2024",
+        "sk-exampleKey1234567890",
+        "=" * 40,
+        "docs/Example/Release_v1",
+    ):
+        assert not covered(f"x {text} y"), text
