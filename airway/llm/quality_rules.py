@@ -29,7 +29,7 @@ MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.28
 WORD_NOISE = 2.0
 # Shorter documents say too little about their words to be judged by them.
 WORD_GUARD = 100
-# A language of fewer documents is held against all languages together.
+# A language of fewer documents has no reference, and no document of it is rejected by distance.
 LANGUAGE_GUARD = 50
 _UNIT = 1_000_000
 
@@ -116,18 +116,16 @@ def _shares(docs: DataFrame, lang: str, text: str) -> DataFrame:
 
 
 def references(docs: DataFrame, lang: str, text: str, common: int, guard: int, work: Work) -> dict:
-    """Language (None stands for all together) -> (class shares, common words, their
-    shares). Reads the whole corpus; only the common words of each language come to the
-    driver. A language of fewer than ``guard`` documents has no reference of its own."""
+    """Language -> (class shares, common words, their shares). Reads the whole corpus; only
+    the common words of each language come to the driver. A language of fewer than
+    ``guard`` documents has no reference, and no language (null) none either."""
     sums = work.stage(_shares(docs, lang, text), "shares")
     large = work.stage(sums.where(f"kind = -2 AND lang IS NOT NULL AND n >= {guard}").select("lang"), "languages")
     own = sums.join(large, "lang").select("lang", "kind", "word", "n")
-    pooled = sums.groupBy("kind", "word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "kind", "word", "n")
-    both = own.unionByName(pooled)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    words = both.where("kind = -1").withColumn("_rank", rank).where(F.col("_rank") <= common).drop("_rank")
+    words = own.where("kind = -1").withColumn("_rank", rank).where(F.col("_rank") <= common).drop("_rank")
     made: dict = {}
-    for language, kind, word, n in both.where("kind <> -1").unionByName(words).collect():
+    for language, kind, word, n in own.where("kind <> -1").unionByName(words).collect():
         made.setdefault(language, {})[kind, bytes(word)] = n
     result = {}
     for language, found in made.items():
@@ -158,7 +156,8 @@ def judge_quality(
     in repeated 3-word windows; null and empty texts have no words and fail. Others are
     kept if both distances to the reference of their language stay within the bounds (that
     on words grows for short texts by ``WORD_NOISE`` over the root of the word count); texts of fewer than ``word_guard`` words are judged by characters alone (their word
-    distance is null). A null or rare language is held against all languages together.
+    distance is null). A null language, or one of too few documents for a reference, gives
+    no distance: its texts are kept unless they fail the base rules.
     Rows are judged by themselves: repeated rows and rows without id give a row each."""
     work = work or session_work(docs.sparkSession)
     known = references(docs, lang, text, common, LANGUAGE_GUARD, work)
@@ -167,9 +166,8 @@ def judge_quality(
         places = {language: {w: i for i, w in enumerate(top)} for language, (_, top, _) in known.items()}
 
         def distances(language, raw, n_words):
-            if not known or n_words < MIN_WORDS:
+            if language not in known or n_words < MIN_WORDS:
                 return None, None
-            language = language if language in known else None
             chars, top, shares = known[language]
             counts = class_counts(raw)
             by_char = js_distance(counts / counts.sum(), chars)
