@@ -8,7 +8,10 @@ templates.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -104,6 +107,11 @@ NGRAMS = 3
 VARIANTS = 24
 # Share of a template's n-grams that a paragraph must hold to be confirmed.
 CONFIRM = 0.5
+# Words beside a run of words that the model sees with it.
+AROUND = 2
+
+
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
 def grams(words: list[bytes]) -> set[tuple[bytes, ...]]:
@@ -118,6 +126,47 @@ class LicenseModel:
     temperature: float
     templates: dict[str, list[frozenset]]
 
+    def __post_init__(self):
+        self.listed = [t for ts in self.templates.values() for t in ts]
+        self.holders: dict[tuple[bytes, ...], list[int]] = {}
+        for i, t in enumerate(self.listed):
+            for g in t:
+                self.holders.setdefault(g, []).append(i)
+
+    def known(self, words: list[bytes]) -> Iterator[tuple[int, tuple[bytes, ...]]]:
+        """Place and text of every n-gram of the words that is in a template."""
+        places = self.places
+        for i, word in enumerate(words):
+            if (word,) in places:
+                for n in range(1, NGRAMS + 1):
+                    g = tuple(words[i : i + n])
+                    if len(g) < n or g not in places:
+                        break
+                    yield i, g
+
+    def notices(self, words: list[bytes], confirm: float) -> list[tuple[int, int, str, float, float]]:
+        """``first, end, family, probability, likeness`` of the runs of words, as long as a
+        template and with a share of ``confirm`` of its n-grams, that the model names. Of
+        runs that overlap the likest, then the longest stays."""
+        held = list(self.known(words))
+        shared = Counter(i for g in {g for _, g in held} for i in self.holders[g])
+        found = []
+        for i, n in shared.items():
+            if n >= confirm * len(self.listed[i]):
+                for first, end in _runs(held, self.listed[i], len(words), confirm):
+                    family, probability = self.predict(words[max(0, first - AROUND) : end + AROUND])
+                    like = self.likeness(family, words[first:end])
+                    if family != UNKNOWN and like >= confirm:
+                        found.append((first, end, family, probability, like))
+        kept: list = []
+        ends: list[int] = []
+        for run in sorted(found, key=lambda r: (-r[4], r[0] - r[1], -r[3], r[0])):
+            at = bisect_left(ends, run[0] + 1)
+            if at == len(ends) or kept[at][0] >= run[1]:
+                ends.insert(at, run[1])
+                kept.insert(at, run)
+        return kept
+
     def inputs(self, words: list[bytes]) -> tuple[np.ndarray, float]:
         """Known n-grams of a paragraph and the value each has (long paragraphs dilute).
         They lie in runs of known words, so only these are taken apart."""
@@ -145,6 +194,39 @@ class LicenseModel:
         return max((len(held & t) / max(1, min(len(held), len(t))) for t in self.templates.get(family, ())), default=0.0)
 
 
+def _runs(held: list, template: frozenset, n_words: int, confirm: float) -> Iterator[tuple[int, int]]:
+    """The first best of each group of overlapping windows, of the template's length, that
+    hold the share of its n-grams."""
+    size = sum(len(g) == NGRAMS for g in template) + NGRAMS - 1
+    places = [(i, g) for i, g in held if g in template]
+    by_end = sorted(range(len(places)), key=lambda k: places[k][0] + len(places[k][1]))
+    inside: Counter = Counter()
+    entered = bytearray(len(places))
+    best: tuple[int, int] | None = None
+    left = come = 0
+    for start in sorted({i for i, _ in places}):
+        while places[left][0] < start:
+            if entered[left]:
+                g = places[left][1]
+                inside[g] -= 1
+                if not inside[g]:
+                    del inside[g]
+            left += 1
+        while come < len(by_end) and places[by_end[come]][0] + len(places[by_end[come]][1]) <= start + size:
+            i, g = places[by_end[come]]
+            if i >= start:
+                inside[g] += 1
+                entered[by_end[come]] = 1
+            come += 1
+        if best and start >= best[1] + size:
+            yield best[1], min(n_words, best[1] + size)
+            best = None
+        if len(inside) >= confirm * len(template) and (best is None or len(inside) > best[0]):
+            best = len(inside), start
+    if best:
+        yield best[1], min(n_words, best[1] + size)
+
+
 def _variants(rng, words: list[bytes], filler: list[bytes]) -> Iterable[list[bytes]]:
     yield words
     for _ in range(VARIANTS):
@@ -195,6 +277,17 @@ def fit(paragraphs: list[list[bytes]], seed: int = 5) -> LicenseModel:
     return model
 
 
+def word_spots(line: bytes) -> list[tuple[int, int]]:
+    """Start and end of each of the ``plain_words`` of a line in code points."""
+    spots, seen, done = [], 0, 0
+    for m in _WORD.finditer(line):
+        seen += code_points(line[done : m.start()])
+        done = m.end()
+        spots.append((seen, seen + code_points(m[0])))
+        seen = spots[-1][1]
+    return spots
+
+
 def corpus_paragraphs(docs: DataFrame, text: str, sample: int, work: Work) -> list[list[bytes]]:
     """One paragraph each of at most ``sample`` documents, the first by a hash of the text."""
     docs, text = docs.select(F.col(text).alias("text")), "text"
@@ -215,11 +308,13 @@ def find_licenses(
     confirm: float = CONFIRM,
     work: Work | None = None,
 ) -> DataFrame:
-    """One row per paragraph (line) named a licence notice: ``id, paragraph, start, end,
-    family, probability, likeness, confirmed``; fits first, on at most ``sample``
-    paragraphs of the corpus and the templates.
+    """One row per paragraph (line) named a licence notice, and per notice inside a longer
+    one: ``id, paragraph, start, end, family, probability, likeness, confirmed``; fits
+    first, on at most ``sample`` paragraphs of the corpus and the templates.
 
-    ``start`` and ``end`` are code points of the text. ``confirmed``: the paragraph is
+    Whatever the model says of a line, its runs of words that hold a template's share
+    ``confirm`` of n-grams are named by themselves, so that prose around a notice does not
+    hide it. ``start`` and ``end`` (of the line, or the run) are code points of the text. ``confirmed``: the paragraph is
     like a template of the family (``likeness`` of ``confirm`` or more). Null and empty
     texts have no paragraphs; lines without words are passed over. Rows are judged by
     themselves: repeated rows and rows without id give their own rows."""
@@ -237,10 +332,16 @@ def find_licenses(
                     size = code_points(line)
                     words = plain_words(line)
                     if words and not single.isdisjoint(words):
+                        named = []
                         family, probability = model.predict(words)
                         if family != UNKNOWN:
-                            like = model.likeness(family, words)
-                            row = (doc, number, at, at + size, family, round(probability, 6), round(like, 6), like >= confirm)
+                            named.append((0, size, family, probability, model.likeness(family, words)))
+                        parts = [n for n in model.notices(words, confirm) if n[2] != family]
+                        if parts:
+                            spots = word_spots(line)
+                            named += [(spots[n[0]][0], spots[n[1] - 1][1], *n[2:]) for n in parts if family == UNKNOWN or 2 * (n[1] - n[0]) <= len(words)]
+                        for first, end, found, sure, like in named:
+                            row = (doc, number, at + first, at + end, found, round(sure, 6), round(like, 6), like >= confirm)
                             for column, value in zip(out, row, strict=True):
                                 column.append(value)
                     at += size + 1
