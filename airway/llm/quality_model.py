@@ -143,8 +143,9 @@ def held_out(id_column: str) -> Column:
 def train(
     docs: DataFrame, labels: DataFrame, id_column: str, text: str, label: str, sample: int, work: Work
 ) -> FactorisationMachine | float:
-    """Fit on at most ``sample`` labelled rows that are not held out. Ids labelled both
-    ways teach nothing; labels other than 0 and 1 and null ones are passed over."""
+    """Fit on at most ``sample`` labelled rows that are not held out, one for each id: of
+    rows that repeat an id the text of least hash. Ids labelled both ways teach nothing;
+    labels other than 0 and 1 and null ones are passed over."""
     agreed = (
         labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull() & ~held_out(id_column))
         .groupBy(F.col(id_column).alias("_id"))
@@ -161,7 +162,8 @@ def train(
         return run
 
     texts = docs.select(F.col(id_column).alias("_id"), as_bytes(text, "_text"))
-    found = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text")
+    one = F.min(F.struct(F.xxhash64("_text").alias("_print"), "_text")).alias("_one")
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(one).select("_id", "_label", "_one._text")
     schema = "id long, label int, buckets array<long>, values array<double>, stats array<double>"
     table = map_batches(found, start, schema).toArrow().sort_by([("id", "ascending")])
     columns = [table.column(c).combine_chunks() for c in ("buckets", "values", "stats")]
