@@ -1,7 +1,7 @@
 """Main text of web pages: site templates and page furniture removed.
 
-Element subtrees are hashed and counted per host; a subtree that recurs on many pages of
-a host is part of the site's template and deleted. Elements whose tag, role or class
+Element subtrees are hashed and counted per host and per section of its paths; a subtree
+that recurs on many pages of either is part of the site's template and deleted. Elements whose tag, role or class
 names them as furniture (menus, footers, adverts, comments) go before that.
 """
 
@@ -19,8 +19,9 @@ from airway.llm.batches import as_bytes, map_batches
 from airway.llm.linking import BROADCAST_ROWS
 from airway.sources.staging import Work, session_work
 
-# A subtree belongs to a host's template if it is on this many different pages of it, and
-# on this share of them: a higher one inside what the page marks as its article.
+# A subtree belongs to the template of a group of pages (a host, or a section of its paths)
+# if it is on this many different pages of it, and on this share of them: a higher one
+# inside what the page marks as its article.
 TEMPLATE_PAGES, TEMPLATE_SHARE, TEMPLATE_SHARE_IN_ARTICLE = 8, 0.1, 0.5
 
 _TOKEN = re.compile(
@@ -290,38 +291,53 @@ def host_of(url: str) -> Column:
     return F.coalesce(found, F.lit(""))
 
 
+def folders_of(url: str) -> Column:
+    """The folders of a URL's path, the first of them ""; what follows the last slash is the page."""
+    path = F.regexp_extract(F.trim(F.col(url)), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)", 1)
+    return F.split(F.coalesce(F.regexp_extract(path, r"^(.*)/", 1), F.lit("")), "/")
+
+
+def areas_of(host: str, folders: str) -> Column:
+    """A hash for each group that a page is compared in: its host, and every section of
+    the host's paths that it is in."""
+    depths = F.sequence(F.lit(1), F.size(folders))
+    return F.transform(depths, lambda n: F.xxhash64(F.col(host), F.array_join(F.slice(F.col(folders), F.lit(1), n), "/")))
+
+
 def _decoded(raw: bytes | None) -> str:
     return (raw or b"").decode("utf-8", "replace")
 
 
 def template_subtrees(pages: DataFrame, work: Work) -> DataFrame:
-    """``key, marks`` of the pages (``key, host, html``) that hold template subtrees;
-    staged. A subtree counts once for every different main text it occurs with, so copies
-    of a page make nothing a template. Pages without a host are not compared."""
+    """``key, marks`` of the pages (``key, host, areas, html``) that hold template subtrees
+    of any of their areas; staged. A subtree counts once for every different main text it
+    occurs with, so copies of a page make nothing a template. Pages without a host are not
+    compared."""
 
     def start():
         def run(columns):
             out: tuple[list, ...] = ([], [], [], [], [])
-            for key, host, raw in zip(*columns, strict=True):
+            for key, areas, raw in zip(*columns, strict=True):
                 tops, marked = main_elements(parse(_decoded(raw)))
                 found = set().union(*(mark_subtrees(t) for t in tops))
                 text = "\n".join(b for t in tops for b in blocks(t))
                 sign = xxhash.xxh64_intdigest(text) >> 1
                 for mark in [0, *found]:
-                    for column, value in zip(out, (key, host, mark, marked, sign), strict=True):
+                    for column, value in zip(out, (key, areas, mark, marked, sign), strict=True):
                         column.append(value)
             return list(out)
 
         return run
 
-    rows = pages.where("host <> ''").select("key", "host", "html")
-    found = work.stage(map_batches(rows, start, "key string, host string, mark long, marked boolean, sign long"), "subtrees")
-    once = found.select("host", "mark", "marked", "sign").distinct().groupBy("host", "mark", "marked").agg(F.count("*").alias("n"))
-    sizes = once.where("mark = 0").groupBy("host").agg(F.sum("n").alias("pages")).where(F.col("pages") >= TEMPLATE_PAGES)
+    rows = pages.where("host <> ''").select("key", "areas", "html")
+    found = work.stage(map_batches(rows, start, "key string, areas array<long>, mark long, marked boolean, sign long"), "subtrees")
+    placed = found.select("key", F.explode("areas").alias("area"), "mark", "marked", "sign")
+    once = placed.drop("key").distinct().groupBy("area", "mark", "marked").agg(F.count("*").alias("n"))
+    sizes = once.where("mark = 0").groupBy("area").agg(F.sum("n").alias("pages")).where(F.col("pages") >= TEMPLATE_PAGES)
     share = F.when(F.col("marked"), TEMPLATE_SHARE_IN_ARTICLE).otherwise(TEMPLATE_SHARE)
     many = (F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= share * F.col("pages"))
-    template = once.where(f"mark <> 0 AND n >= {TEMPLATE_PAGES}").join(sizes, "host").where(many).select("host", "mark", "marked")
-    hits = found.join(work.stage(template, "template"), ["host", "mark", "marked"])
+    template = once.where(f"mark <> 0 AND n >= {TEMPLATE_PAGES}").join(sizes, "area").where(many).select("area", "mark", "marked")
+    hits = placed.join(work.stage(template, "template"), ["area", "mark", "marked"])
     return work.stage(hits.groupBy("key").agg(F.collect_set("mark").alias("marks")), "hits")
 
 
@@ -341,8 +357,10 @@ def extract_main_text(
     and rows without id or URL give a row each; nothing is cut."""
     work = work or session_work(pages.sparkSession)
     rows = pages.select(F.col(id_column).alias("id"), F.col(url).alias("url"), host_of(url).alias("host"), as_bytes(page, "html"))
-    # Template subtrees depend on host and page alone, so these name the page.
-    rows = rows.withColumn("key", F.md5(F.concat(F.col("host").cast("binary"), F.lit(b"\n"), F.coalesce("html", F.lit(b"")))))
+    rows = rows.withColumn("folders", folders_of("url")).withColumn("areas", areas_of("host", "folders"))
+    # Template subtrees depend on areas and page alone, so these name the page.
+    place = F.concat_ws("/", "host", F.array_join("folders", "/")).cast("binary")
+    rows = rows.withColumn("key", F.md5(F.concat(place, F.lit(b"\n"), F.coalesce("html", F.lit(b"")))))
     hits = template_subtrees(rows, work)
     known = F.broadcast(hits) if hits.count() <= BROADCAST_ROWS else hits
     joined = rows.join(known, "key", "left").select("id", "url", "html", "marks")
