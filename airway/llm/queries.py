@@ -13,6 +13,7 @@ from airway.llm.license_scan import find_licenses
 from airway.llm.mixing import mix_sources
 from airway.llm.near_dedup import near_duplicates
 from airway.llm.paragraph_dedup import repeated_paragraphs
+from airway.llm.passage_dedup import repeated_passages
 from airway.llm.quality_model import score_quality
 from airway.llm.quality_rules import judge_quality
 from airway.llm.secret_scan import find_secrets
@@ -77,6 +78,12 @@ def op6_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"id": "doc_id", "start": "start_at", "end": "end_at", "first_id": "first_doc_id"})
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that repeat, wherever lines begin and end."""
+    found = repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "start": "start_at", "end": "end_at", "first_id": "first_doc_id"})
+
+
 def op7_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wu-Manber search for all benchmark windows in all documents."""
     found = find_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -220,6 +227,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_quality_scores,
         op5_secrets,
         op6_repeated_paragraphs,
+        op6_repeated_passages,
         op7_benchmark_hits,
         op8_main_text,
         op9_token_counts,
