@@ -88,11 +88,14 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     document with the least occurrence of the first unit. Rows without id take no part; a
     repeated row is the same document and repeats nothing."""
     work = work or session_work(docs.sparkSession)
-    found = work.stage(_units(docs, id_column, text), "units")
+    # Most units occur once. They are made twice rather than written, and only hashes are counted.
+    found = _units(docs, id_column, text)
+    often = found.groupBy("a").agg(F.count("*").alias("_n")).where("_n > 1").select("a")
+    known = work.stage(semi_join(found, work.stage(often, "often"), ["a"]), "units")
     here = F.struct("id", "first")
-    nodes = found.groupBy("a", "b").agg(F.min(here).alias("low"), F.max(here).alias("high")).where("low <> high")
+    nodes = known.groupBy("a", "b").agg(F.min(here).alias("low"), F.max(here).alias("high")).where("low <> high")
     nodes = work.stage(nodes.select("a", "b", "low"), "repeated")
-    rows = semi_join(found, nodes, ["a", "b"], "inner").select(
+    rows = semi_join(known, nodes, ["a", "b"], "inner").select(
         "id", "first", "last", "start", "end", F.col("low.id").alias("first_id"), (here != F.col("low")).alias("removed")
     )
     kind = Window.partitionBy("id", "removed").orderBy("first", "last")
