@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airway.llm.decontamination import find_benchmark, hit_words
+from airway.llm.digest_merge import exact_duplicates
 from airway.llm.html_extraction import extract_main_text
 from airway.llm.license_scan import find_licenses
+from airway.llm.merkle_manifest import folded, leaf_hash, merkle_manifest, proof_text, shown
 from airway.llm.mixing import mix_sources
 from airway.llm.near_dedup import near_duplicates
 from airway.llm.paragraph_dedup import repeated_paragraphs
@@ -17,6 +19,7 @@ from airway.llm.passage_dedup import repeated_passages
 from airway.llm.quality_model import score_quality
 from airway.llm.quality_rules import judge_quality
 from airway.llm.secret_scan import find_secrets
+from airway.llm.spelling_variants import spelling_variants
 from airway.llm.token_counts import count_tokens
 
 
@@ -112,6 +115,41 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sorted digest runs merged along a tree: of equal texts the largest doc_id stays."""
+    found = exact_duplicates(_table(spark, sf_dir, "documents"), keep="largest")
+    return found.withColumnsRenamed({"id": "doc_id", "n": "group_size", "sha": "text_sha256"})
+
+
+# Fixed values of the contract: what a leaf hashes, and whose n_chars are altered.
+_LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+_TAMPERED_EVERY = 7
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents, each checked against the root by its proof."""
+    docs = _table(spark, sf_dir, "documents")
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % _TAMPERED_EVERY == 0
+    seen = leaf_hash(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in _LEAF])
+    found = merkle_manifest(docs, _LEAF, carry={"seen": F.when(altered, seen)})
+    fold = folded(F.coalesce("seen", "leaf"), F.col("path"))
+    rows = found.select("*", fold.alias("folded_root"), shown(F.col("root")).alias("root_text"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        shown(F.col("leaf")).alias("leaf"),
+        shown(F.col("subroot")).alias("subroot"),
+        F.col("root_text").alias("root"),
+        F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root_text")).alias("verified"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, their near words and the forms that they are variants of."""
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 # Words of a text as SQL lists: lower-cased A-Z, cut at ASCII white space.
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -218,6 +256,94 @@ SELECT d.doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIG
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP11_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+# CRC-32 by its table, over the bytes of a text.
+_CRC_TABLE = """
+crc AS (
+  SELECT list(list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT) ORDER BY i) AS t
+  FROM range(256) r(i))"""
+_CRC = """xor(list_reduce(list_transform(range(1, strlen({0}) + 1), lambda i: ('0x' || substr(hex(encode({0})), 2 * i - 1, 2))::BIGINT),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295)"""
+
+
+def _leaf_sql(n_chars: str) -> str:
+    parts = [c if c != "n_chars" else n_chars for c in _LEAF]
+    return "sha256(" + " || ".join(f"coalesce(strlen(({p})::VARCHAR) || ':' || ({p})::VARCHAR, '-')" for p in parts) + ")"
+
+
+_OP12_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE},
+rows AS (
+  SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+    CASE WHEN {_CRC.format("doc_id::VARCHAR")} % {_TAMPERED_EVERY} = 0 THEN {_leaf_sql("n_chars + 1")} END AS altered
+  FROM documents, crc),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM rows),
+nodes AS (
+  SELECT 0 AS level, lang, pos, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT level + 1, lang, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY level, lang, pos // 2, n),
+subroots AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 2, n),
+steps AS (
+  SELECT d.doc_id, d.leaf, d.pos, d.lang, m.level AS k, m.pos AS own, s.pos AS other, coalesce(s.h, '') AS h
+  FROM leaves d JOIN nodes m ON m.lang IS NOT DISTINCT FROM d.lang AND m.n > 1 AND m.pos = d.pos >> m.level
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM m.lang AND s.level = m.level AND s.pos // 2 = m.pos // 2 AND s.pos <> m.pos
+  UNION ALL
+  SELECT d.doc_id, d.leaf, d.pos, d.lang, 1000 + m.level, m.pos, s.pos, coalesce(s.h, '')
+  FROM leaves d JOIN subroots r ON r.lang IS NOT DISTINCT FROM d.lang JOIN tops m ON m.n > 1 AND m.pos = r.pos >> m.level
+  LEFT JOIN tops s ON s.level = m.level AND s.pos // 2 = m.pos // 2 AND s.pos <> m.pos),
+paths AS (
+  SELECT lang, pos, string_agg(h, '' ORDER BY k) AS proof, list(CASE WHEN other < own THEN h || '|' ELSE '|' || h END ORDER BY k) AS path
+  FROM steps GROUP BY lang, pos),
+found AS (
+  SELECT d.doc_id, d.leaf, r.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+    list_reduce(coalesce(p.path, []), lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2)), coalesce(d.altered, d.leaf)) AS folded_root
+  FROM leaves d JOIN subroots r ON r.lang IS NOT DISTINCT FROM d.lang
+  LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM d.lang AND p.pos = d.pos)
+SELECT *, folded_root = root AS verified FROM found
+"""
+
+_OP13_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents),
+hashed AS (
+  SELECT run, {_CRC.format("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM runs, crc WHERE length(run) >= 6),
+words AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+skips AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (
+    SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+pairs AS (
+  SELECT x.word AS u, y.word AS v FROM skips x JOIN skips y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, y.word FROM skips x JOIN words y ON y.word = x.a || x.b
+  UNION SELECT y.word, x.word FROM skips x JOIN words y ON y.word = x.a || x.b),
+best AS (
+  SELECT u, count(*) AS n_near, arg_min(v, (-w.n, v)) AS v, max(w.n) AS form_n FROM pairs JOIN words w ON w.word = v GROUP BY u),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN v END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best ON u = word),
+chains AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n
+FROM forms f JOIN chains c ON c.word = f.word JOIN forms e ON e.word = c.at AND e.form IS NULL
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -232,6 +358,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_main_text,
         op9_token_counts,
         op10_quality_rules,
+        op11_exact_dedup,
+        op12_merkle_manifest,
+        op13_spelling_variants,
     )
 }
 SQL: dict[str, str] = {
@@ -239,4 +368,7 @@ SQL: dict[str, str] = {
     "op3_source_mixture": _OP3_SQL,
     "op6_repeated_paragraphs": _OP6_SQL,
     "op7_benchmark_hits": _OP7_SQL,
+    "op11_exact_dedup": _OP11_SQL,
+    "op12_merkle_manifest": _OP12_SQL,
+    "op13_spelling_variants": _OP13_SQL,
 }
