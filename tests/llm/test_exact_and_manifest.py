@@ -186,7 +186,8 @@ def test_variants_equal_all_pairs(spark, docs_of):
 
 
 def test_variants_of_very_long_words(spark, docs_of):
-    long = "".join(random.Random(1).choice("abc") for _ in range(30_000))
+    rng = random.Random(1)
+    long = "".join(rng.choice("abc") for _ in range(30_000))
     other = long[:20_000] + ("a" if long[20_000] != "a" else "b") + long[20_001:]
     rows = [(i, f"{long} " * 5 + long[:-1]) for i in range(5)] + [(9, f"{other} " * 5)]
     found = {w: (len(form or ""), len(root), near) for w, form, root, _, near, _ in found_variants(docs_of(rows))}
