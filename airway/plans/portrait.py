@@ -20,8 +20,8 @@ from airway.operators.merging import (
     upsert,
 )
 from airway.operators.spatial import RADIUS_M, SITE, idw, radius_join, site_totals, sites_of, spread_to_centers
-from airway.sources.scans import in_hours, slot_text
-from airway.sources.sinks import stored_or_none, upsert_partitions
+from airway.sources.scans import in_hours, slot_text, stored_or_none
+from airway.sources.sinks import upsert_partitions
 from airway.sources.staging import Work, staged
 
 # Station levels with a portrait, the wind sites, and the features

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +57,16 @@ def read_partitioned(spark: SparkSession, root: str, skip_unreadable: bool = Fal
         spark.conf.set(key, before)
 
 
+def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The dataset at ``path``, or None before its first write."""
+    try:
+        return read_partitioned(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def slot_text() -> Column:
     """``yyyy-MM-dd HH`` of the partition columns, be they text or typed."""
     day, hour = HOUR_KEYS

@@ -190,7 +190,7 @@ def test_compacting_no_partition_changes_nothing(spark):
     assert scans.read_partitioned(spark, path).count() == 600
 
 
-def test_compaction_fails_when_files_come_meanwhile(spark):
+def test_files_that_come_during_a_compaction_stay(spark):
     path = staging.staging_path(spark, "t")
     sinks.write_partitions(table(spark), path)
     calls = []
@@ -201,8 +201,7 @@ def test_compaction_fails_when_files_come_meanwhile(spark):
         calls.append(1)
         return df
 
-    with pytest.raises(RuntimeError, match="changed meanwhile"):
-        sinks.compact(spark, path, path, pick)
+    assert sinks.compact(spark, path, path, pick) == 600
     assert scans.read_partitioned(spark, path).count() == 610
     assert sinks.compact(spark, path, path, lambda df: df) == 610
 
