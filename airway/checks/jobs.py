@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,13 @@ from airway.checks.fixtures import (
     with_fx,
 )
 from airway.checks.joins import FLOW_BODY, PORTRAIT_NEW, WIND_BODY, WIND_VALUE, portraits_new, portraits_old
-from airway.checks.registry import check
+from airway.checks.registry import CHECKS, check
 from airway.operators.hours import HourRange
 from airway.operators.merging import upsert, upsert_json
 from airway.plans import feeds, obd, portrait, tracks
-from airway.sources.scans import inline_records
+from airway.sources.scans import HOUR_KEYS, inline_records, read_partitioned
+from airway.sources.sinks import create_partitioned_table, insert_positional, upsert_partitions
+from airway.sources.staging import staging_path
 
 ALL_HOURS = HourRange(FIRST_HOUR, LAST_HOUR)
 
@@ -101,6 +105,68 @@ def portrait_backfill(fx: Fixtures) -> DataFrame:
     return portrait.backfill(portraits_new(fx), portraits_old(fx))
 
 
+# Two hours a slot, published two hours later; the result of a run is filled in by a second.
+AHEAD = HourRange("2024-01-05 00:00:00", "2024-01-08 21:00:00", ahead=2, span=2)
+_AHEAD_TRUCKS = f"""SELECT * REPLACE (strftime(slot + INTERVAL 2 HOUR, '%Y-%m-%d %H:00:00') AS hour_at) FROM (
+        SELECT near.*, date_trunc('hour', ts) - back * INTERVAL 1 HOUR AS slot FROM near, (VALUES (0), (1)) b(back) WHERE value > 10)
+    WHERE slot BETWEEN TIMESTAMP '{AHEAD.first}' AND TIMESTAMP '{AHEAD.last}'"""
+
+
+@check(
+    "C3 U2 A11 F5 K6 T2",
+    f"""SELECT *, substr(published_at, 1, 10) AS publish_date FROM ({_portrait_sql(_AHEAD_TRUCKS)})
+        WHERE published_at BETWEEN '{AHEAD.published[0]}' AND '{AHEAD.published[1]}'
+    UNION ALL SELECT s_nationkey, CAST(s_suppkey AS VARCHAR), s_name, '{{"old":1}}', '2024-01-01 05:00:00', '2024-01-01' FROM supplier""",
+)
+def portraits_backfilled_by_digest(fx: Fixtures) -> DataFrame:
+    """Real portraits with look-ahead: some stored hours differ, some lack stations, some are
+    written otherwise but say the same, some lie outside and stay."""
+    path = staging_path(fx.spark, "portraits")
+    tables, first = fx.portrait_tables(), HourRange(AHEAD.first, "2024-01-06 23:00:00", 2, 2)
+    portrait.backfill_partitions(tables, first, path, wind_sites=WIND_SITES)
+    stored = read_partitioned(fx.spark, path)
+    key, hour = F.col("station_code").cast("bigint"), F.substring("published_at", 12, 2)
+    spoiled = stored.where((key % 4 == 0) & (hour == "07")).withColumn("data", F.lit('{"truck_num":-1}'))
+    stations = fx.sites().select("grid_id", "station_code", "station_name")
+    old = stations.select("*", F.lit('{"old":1}').alias("data"), F.lit("2024-01-01 05:00:00").alias("published_at"), F.lit("2024-01-01").alias("publish_date"))
+    upsert_partitions(spoiled.unionByName(old), path, portrait.KEYS, ("publish_date",))
+    # The same said otherwise is no difference.
+    stored = read_partitioned(fx.spark, path)
+    spaced = stored.where(hour == "09").withColumn("data", F.regexp_replace("data", ",", ", "))
+    alike = portrait.portrait_diff(spaced, stored).isEmpty()
+    portrait.backfill_partitions(tables, AHEAD, path, wind_sites=WIND_SITES)
+    return read_partitioned(fx.spark, path).where(F.lit(alike))
+
+
+_FROM_PARTITIONS = """SELECT * FROM near WHERE value > 10 QUALIFY row_number() OVER (
+        PARTITION BY station_code, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') ORDER BY user_id % 50,
+        printf('%.6f', lon), printf('%.6f', lat)) = 1"""
+MISSING = HourRange("2024-01-10 00:00:00", "2024-01-11 23:00:00")
+
+
+@check(
+    "C2 S4 S3 K3",
+    f"""SELECT grid_id, station_code, station_name, CASE WHEN substr(published_at, 12, 2) BETWEEN '03' AND '08' THEN '{{}}' ELSE data END AS data,
+        published_at, substr(published_at, 1, 10) AS publish_date FROM ({_portrait_sql(_FROM_PARTITIONS)})
+        WHERE published_at BETWEEN '{MISSING.first}' AND '{MISSING.last}'""",
+)
+def portraits_of_missing_hours(fx: Fixtures) -> DataFrame:
+    """Tracks in a partitioned catalog table; some hours are stored already. Which are not
+    prunes the partitions of the tracks at run time."""
+    name, path = f"airway_tracks_{uuid.uuid4().hex}", staging_path(fx.spark, "portraits")
+    schema = "plate_num string, sim_card string, speed double, up_time bigint, lon string, lat string, publish_date string, hour string"
+    create_partitioned_table(fx.spark, name, schema, HOUR_KEYS, staging_path(fx.spark, "tracks"))
+    insert_positional(fx.trucks_partitioned(), name, [c.split()[0] for c in schema.split(", ")], HOUR_KEYS)
+    tables = fx.portrait_tables(fx.spark.table(name))
+    known = portrait.portrait_stations(tables.stations).select(*portrait.STATION_KEYS)
+    known = known.select("*", F.lit("{}").alias("data"), F.explode(MISSING.slots()).alias("published_at"))
+    known = known.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+    known = known.where(F.substring("published_at", 12, 2).between("03", "08")).withColumn("publish_date", F.substring("published_at", 1, 10))
+    upsert_partitions(known, path, portrait.KEYS, ("publish_date",))
+    portrait.fill_missing_hours(tables, MISSING, path, wind_sites=WIND_SITES)
+    return read_partitioned(fx.spark, path)
+
+
 @check(
     "K6",
     f"""WITH p AS ({PORTRAIT_NEW}) SELECT grid_id, station_code, station_name, published_at,
@@ -309,6 +375,10 @@ _HEAD, _SHIFTED = _shift_sql()
 )
 def track_import(fx: Fixtures) -> DataFrame:
     """Every track row is there twice."""
+    return tracks.import_track(_raw_tracks(fx))
+
+
+def _raw_tracks(fx: Fixtures) -> DataFrame:
     rows = fx.events().select(
         F.col("user_id").cast("string").alias("plate_num"),
         (F.col("user_id") % 50).cast("string").alias("sim_card"),
@@ -319,4 +389,18 @@ def track_import(fx: Fixtures) -> DataFrame:
         F.col("lat").alias("point_y"),
         F.explode(F.array(F.lit(0), F.lit(1))).alias("_copy"),
     )
-    return tracks.import_track(rows.drop("_copy"))
+    return rows.drop("_copy")
+
+
+@check("C15 K3 P12 S12", CHECKS["track_import"].sql)
+def track_import_repeated(fx: Fixtures) -> DataFrame:
+    """The import into the partitioned track table, run for the first days and then for all:
+    rows that are there are not inserted again."""
+    name = f"airway_tracks_{uuid.uuid4().hex}"
+    schema = """plate_num string, sim_card string, direction bigint, speed double, up_time bigint, raw_lon double, raw_lat double,
+        lon string, lat string, publish_date string, hour string"""
+    create_partitioned_table(fx.spark, name, schema, HOUR_KEYS, staging_path(fx.spark, "tracks"))
+    rows = _raw_tracks(fx)
+    for part in (rows.where(F.col("up_time") < 1704700000), rows):
+        tracks.import_into(part, name)
+    return fx.spark.table(name)

@@ -12,7 +12,7 @@ from airway.checks.joins import PORTRAIT_NEW, portraits_new, portraits_old
 from airway.checks.registry import check
 from airway.operators.hours import HourRange
 from airway.plans import feeds, portrait, tracks
-from airway.sources import scans, sinks, staging
+from airway.sources import scans, sinks, staging, swaps
 
 _SIX = "lpad(CAST(hour(ts) // 6 * 6 AS VARCHAR), 2, '0')"
 
@@ -206,6 +206,99 @@ def compacted_partitions(fx: Fixtures) -> DataFrame:
     return counted.withColumn("files", F.when(merged, F.col("_files"))).drop("_files")
 
 
+@check(
+    "C14 S5 K1",
+    f"""SELECT strftime(ts, '%Y-%m-%d') AS publish_date, {_SIX} AS hour, count(*) AS n, sum(event_id)::BIGINT AS total,
+        CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 1::BIGINT ELSE 2::BIGINT END AS files,
+        CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 0::BIGINT ELSE 2::BIGINT END AS untouched FROM events GROUP BY 1, 2, 5, 6""",
+)
+def small_files_merged(fx: Fixtures) -> DataFrame:
+    """Partitions of early dates have small files, the others files of a good size (here: the
+    mean of theirs is above the bound that the early ones' largest file sets). Which to merge
+    is planned from the listing; ``untouched`` counts files that were there before."""
+    path = _fresh(fx, "sizes")
+    rows = _six_hourly(fx).withColumn("pad", F.lit(""))
+    early = F.col("publish_date") < "2024-01-10"
+    wide = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.sha2(F.concat(F.col("event_id"), i), 512)), "")
+    for part in range(2):
+        mine = rows.where(F.col("event_id") % 2 == part)
+        sinks.write_partitions(mine.where(early), path)
+        sinks.write_partitions(mine.where(~early).withColumn("pad", wide), path)
+    # Both parts are there in every partition.
+    sinks.write_partitions(rows.where(early).limit(0), path)
+    listed = staging.staged(swaps.listed_files(fx.spark, path, scans.HOUR_KEYS), "listed")
+    largest = listed.where(early).agg(F.max("bytes")).first()[0]
+    sinks.merge_small_files(fx.spark, path, below=largest + 1, target_bytes=1_000 * largest)
+    found = swaps.with_files(scans.read_partitioned(fx.spark, path))
+    before = listed.select(swaps.same_form(F.col("_file")).alias("_before"))
+    marked = found.join(before, swaps.same_form(F.col("_file")) == F.col("_before"), "left")
+    return marked.groupBy("publish_date", "hour").agg(
+        F.count("*").alias("n"), F.sum("event_id").alias("total"), F.count_distinct("_file").alias("files"), F.count_distinct("_before").alias("untouched")
+    )
+
+
+@check(
+    "C14 K6",
+    f"SELECT event_id, value + 1 AS value, strftime(ts, '%Y-%m-%d') AS publish_date, {_SIX} AS hour FROM events WHERE ts < TIMESTAMP '2024-01-15' "
+    f"UNION ALL SELECT event_id, value, strftime(ts, '%Y-%m-%d'), {_SIX} FROM events WHERE ts >= TIMESTAMP '2024-01-15'",
+)
+def swap_finished_by_the_next_run(fx: Fixtures) -> DataFrame:
+    """A run promised its swap and died, files landed afterwards; the next run finishes the
+    swap first and loses neither."""
+    path = _fresh(fx, "promised")
+    rows = _six_hourly(fx).select("event_id", "value", *scans.HOUR_KEYS)
+    first, late = rows.where("publish_date < '2024-01-15'"), rows.where("publish_date >= '2024-01-15'")
+    sinks.write_partitions(first, path)
+    swap = swaps.Swap(fx.spark, path)
+    stored = swaps.with_files(scans.read_partitioned(fx.spark, path))
+    sinks.write_partitions(stored.drop("_file").withColumn("value", F.col("value") + 1), swap.data)
+    swap.promise(stored.select("_file"))
+    sinks.write_partitions(late, path)
+    sinks.compact(fx.spark, path, path, lambda df: df)
+    return scans.read_partitioned(fx.spark, path).select("event_id", "value", *scans.HOUR_KEYS)
+
+
+@check(
+    "K6 C17",
+    """SELECT s_suppkey AS station, s_name AS name, CASE WHEN s_suppkey % 7 = 0 THEN 'moved' ELSE 'stayed' END AS state,
+        CASE WHEN s_suppkey % 7 = 0 THEN '2024-02-0' || (s_suppkey % 3 + 1) ELSE '2024-01-0' || (s_suppkey % 5 + 1) END AS publish_date FROM supplier""",
+)
+def keys_that_moved(fx: Fixtures) -> DataFrame:
+    """Keys stored under one day come again under another: each is there once."""
+    path, key = _fresh(fx, "moved"), F.col("station")
+
+    def day(month: str, days: int):
+        return F.concat(F.lit(f"2024-{month}-0"), (key % days + 1).cast("string")).alias("publish_date")
+
+    every = fx.raw("supplier").select(F.col("s_suppkey").alias("station"), F.col("s_name").alias("name"))
+    for state, rows, month, days in (("stayed", every, "01", 5), ("moved", every.where(key % 7 == 0), "02", 3)):
+        batch = rows.select("station", "name", F.lit(state).alias("state"), day(month, days))
+        sinks.upsert_partitions(batch, path, ["station"], ("publish_date",), key_buckets=8)
+    return scans.read_partitioned(fx.spark, path)
+
+
+@check(
+    "S6 S4",
+    f"""SELECT event_id, value, strftime(ts, '%Y-%m-%d') AS publish_date, {_SIX} AS hour FROM events
+        WHERE NOT (strftime(ts, '%d') IN ('05', '17') AND {_SIX} = '06')""",
+)
+def whole_partitions_only(fx: Fixtures) -> DataFrame:
+    """Two partitions hold a broken file beside good ones and are left out; a valid file
+    without rows leaves its partition in."""
+    path = _fresh(fx, "broken")
+    rows = _six_hourly(fx).select("event_id", "value", *scans.HOUR_KEYS)
+    sinks.write_partitions(rows, path)
+    for day in ("05", "17"):
+        folder = f"{path}/publish_date=2024-01-{day}/hour=06"
+        swaps.write_bytes(fx.spark, f"{folder}/part-broken.parquet", b"PAR1 cut short")
+    empty = rows.limit(0).select("event_id", "value").coalesce(1)
+    empty.write.mode("append").parquet(f"{path}/publish_date=2024-01-09/hour=12")
+    found, report = scans.read_whole_partitions(fx.spark, path)
+    # Named in the report are the two broken files and no others; else nothing comes back.
+    named = report.agg((F.count("*") == 2) & F.bool_and(F.col("path").endswith("part-broken.parquet"))).scalar()
+    return found.where(named)
+
+
 @check(
     "C7 K6 S5",
     with_fx("ev obd", "SELECT device_id, lon, lat, oil, published_at FROM obd WHERE oil IS NOT NULL AND error_data IS NOT NULL"),

@@ -43,7 +43,7 @@ def all_nonzero(record: Column, names: Iterable[str]) -> Column:
     return F.exists(F.array(record), check)
 
 
-def _sortable(df: DataFrame, column: str) -> Column:
+def sortable(df: DataFrame, column: str) -> Column:
     """The column, or its JSON text where its type has no order (maps)."""
     kind = df.schema[column].dataType
     ordered = "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
@@ -57,6 +57,6 @@ def one_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None,
     rest = [c for c in df.columns if c not in keys and c not in order]
     if not order and not rest:
         return df.select(*keys).distinct()
-    by = [_sortable(df, c) for c in [*order, *rest]]
+    by = [sortable(df, c) for c in [*order, *rest]]
     window = Window.partitionBy(*keys).orderBy(*[c.desc() if last else c.asc() for c in by])
     return df.withColumn("_place", F.row_number().over(window)).where("_place = 1").drop("_place")

@@ -21,7 +21,7 @@ def difference(new: DataFrame, old: DataFrame) -> DataFrame:
     return both.groupBy(*columns).agg(F.max("_stored").alias("_stored")).where(F.col("_stored") == 0).drop("_stored")
 
 
-def _same_key(keys: list[str], prefix: str) -> Column:
+def same_key(keys: list[str], prefix: str) -> Column:
     """Key columns equal those carrying the prefix; null equals null, so that a
     repeated upsert finds its own rows."""
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
@@ -32,7 +32,7 @@ def upsert(new: DataFrame, old: DataFrame, keys: list[str], order: list[str] | N
     rows of one key the last by ``order`` stays."""
     latest = one_per_key(new.select(*old.columns), keys, order, last=True)
     replaced = latest.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-    kept = lookup_join(old, replaced, _same_key(keys, "_new_"), "left_anti", size_of=new)
+    kept = lookup_join(old, replaced, same_key(keys, "_new_"), "left_anti", size_of=new)
     return kept.select(*old.columns).unionByName(latest)
 
 
@@ -41,7 +41,7 @@ def upsert_json(new: DataFrame, old: DataFrame, keys: list[str], payload: str, o
     win, new members are added, other columns keep their stored value."""
     latest = one_per_key(new.select(*old.columns), keys, order, last=True)
     fresh = latest.select(*[F.col(c).alias(f"_new_{c}") for c in old.columns], F.lit(True).alias("_is_new"))
-    joined = old.withColumn("_is_old", F.lit(True)).join(fresh, _same_key(keys, "_new_"), "full")
+    joined = old.withColumn("_is_old", F.lit(True)).join(fresh, same_key(keys, "_new_"), "full")
 
     def pick(c: str) -> Column:
         stored = F.col(c)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from airway.functions.geo import EARTH_RADIUS_M, haversine_m
 from airway.operators.joining import lookup_join
+from airway.sources.staging import Work, staged
 
 RADIUS_M = 5000
 METRES_PER_DEGREE = EARTH_RADIUS_M * math.pi / 180.0
@@ -273,3 +274,43 @@ def idw(
         .groupBy(*keys, *on)
         .agg(F.coalesce(mean.try_cast("decimal(8,2)").cast("double"), F.lit(default)).alias(value))
     )
+
+
+def spot_weights(sites: DataFrame, spots: DataFrame, blocks: int = 16) -> DataFrame:
+    """Inverse square of the distance of every location to every spot (``_lon, _lat``) not
+    within a metre of it, as ``_w``. Spots are dealt into blocks, and each location goes to
+    each block, so pairs are made by as many tasks."""
+    block = F.pmod(F.xxhash64("_lon", "_lat"), F.lit(blocks)).cast("int")
+    dealt = sites.select(*SITE, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    metres = haversine_m("_lon", "_lat", *SITE).cast("double")
+    pairs = spots.withColumn("_block", block).join(dealt, "_block")
+    return pairs.withColumn("_w", F.try_divide(F.lit(1.0), metres * metres)).where("_w IS NOT NULL").drop("_block")
+
+
+def idw_over_time(
+    sites: DataFrame,
+    slots: Column,
+    samples: DataFrame,
+    time: str,
+    value: str,
+    default: float = 0.0,
+    work: Work | None = None,
+) -> DataFrame:
+    """:func:`idw` of ``samples`` at each location and every time of ``slots`` (an array).
+
+    Samples at one spot and time are summed first and staged. How much a spot weighs at a
+    location does not depend on the time, so the weights are computed once for each pair of
+    places and staged as well; the times are a join with them and a sum."""
+    spots = samples.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).groupBy(
+        time, F.col("lon").alias("_lon"), F.col("lat").alias("_lat")
+    )
+    spots = staged(spots.agg(F.sum(value).alias("_total"), F.count("*").alias("_n")), "spots", work)
+    weights = staged(spot_weights(sites, spots.select("_lon", "_lat").distinct()), "weights", work)
+    met = lookup_join(spots.repartition(time), weights, ["_lon", "_lat"])
+    parts = met.select(*SITE, time, (F.col("_total") * F.col("_w")).alias("_up"), (F.col("_n") * F.col("_w")).alias("_down"))
+    # Every location and time is there, weighed or not.
+    nothing = F.lit(None).cast("double")
+    every = sites.select(*SITE, F.explode(slots).alias(time), nothing.alias("_up"), nothing.alias("_down"))
+    mean = F.try_divide(F.sum("_up"), F.sum("_down"))
+    total = parts.unionByName(every).groupBy(*SITE, time)
+    return total.agg(F.coalesce(mean.try_cast("decimal(8,2)").cast("double"), F.lit(default)).alias(value))

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airway.operators.cleaning import sortable
+
 CHUNK_SECONDS = 3600
 
 
@@ -42,7 +44,9 @@ def neighbours(
     """Add ``{value}_lag`` and ``{value}_lead``: the value before and after along
     the track, null at its ends. Rows without key or time (or with a time text that is
     none, see :func:`unplaced_rows`) are on no track: they stay, without neighbours."""
+    # All columns break ties: both parts of the result must see one order.
     order = [time, *(tie_break or [])]
+    order = [*order, *[sortable(df, c) for c in df.columns if c not in (key, *order)]]
     lag, lead = f"{value}_lag", f"{value}_lead"
     chunked = _in_chunks(df, key, time, chunk_seconds)
     placed = F.col(key).isNotNull() & F.col(time).isNotNull()
@@ -58,21 +62,17 @@ def neighbours(
             "_last": F.lead(F.lit(True)).over(inner).isNull(),
         }
     )
-    # Edge rows of all chunks of a vehicle meet in one small group; the others
-    # keep a group per chunk, so nothing large is gathered.
-    group = F.when(~F.col("_first") & ~F.col("_last"), F.col("_chunk"))
-    outer = Window.partitionBy(key, "_group").orderBy(*order)
-    joined = (
-        marked.withColumn("_group", group)
-        .withColumns(
-            {
-                lag: F.when(F.col("_first"), F.lag(value).over(outer)).otherwise(F.col(lag)),
-                lead: F.when(F.col("_last"), F.lead(value).over(outer)).otherwise(F.col(lead)),
-            }
-        )
-        .drop("_chunk", "_group", "_first", "_last")
+    # Rows at the edges of chunks are few and meet along the vehicle; all others stay where
+    # the first exchange put them, which both parts of the union read.
+    edge = F.col("_first") | F.col("_last")
+    outer = Window.partitionBy(key).orderBy(*order)
+    edges = marked.where(edge).withColumns(
+        {
+            lag: F.when(F.col("_first"), F.lag(value).over(outer)).otherwise(F.col(lag)),
+            lead: F.when(F.col("_last"), F.lead(value).over(outer)).otherwise(F.col(lead)),
+        }
     )
-    return joined.unionByName(aside)
+    return marked.where(~edge).unionByName(edges).drop("_chunk", "_first", "_last").unionByName(aside)
 
 
 def unplaced_rows(df: DataFrame, key: str, time: str) -> DataFrame:

@@ -17,10 +17,11 @@ from airway.operators.merging import (
     difference,
     explode_payload,
     latest_value,
+    same_key,
     upsert,
 )
-from airway.operators.spatial import RADIUS_M, SITE, idw, radius_join, site_totals, sites_of, spread_to_centers
-from airway.sources.scans import in_hours, slot_text, stored_or_none
+from airway.operators.spatial import RADIUS_M, SITE, idw_over_time, radius_join, site_totals, sites_of, spread_to_centers
+from airway.sources.scans import HOUR_KEYS, in_hours, slot_text, stored_or_none
 from airway.sources.sinks import upsert_partitions
 from airway.sources.staging import Work, staged
 
@@ -86,10 +87,13 @@ def gps_in_slots(gps: DataFrame, hours: HourRange) -> DataFrame:
     )
 
 
-def gps_from_partitions(gps: DataFrame, hours: HourRange) -> DataFrame:
+def gps_from_partitions(gps: DataFrame, hours: HourRange, wanted: DataFrame | None = None) -> DataFrame:
     """Moving vehicles of the date/hour partitions of each publication hour, one
-    row per vehicle and moment."""
+    row per vehicle and moment. ``wanted`` (``publish_date, hour``) narrows the hours by
+    data: partitions that it lacks are pruned at run time."""
     moving = in_hours(gps, *hours.published).where(F.col("speed") > 0)
+    if wanted is not None:
+        moving = lookup_join(moving, wanted, list(HOUR_KEYS), "left_semi")
     columns = ["plate_num", "up_time", "publish_date", "hour", "sim_card", "lon", "lat"]
     single = one_per_key(moving.select(*columns), columns[:4])
     return single.select(
@@ -197,13 +201,16 @@ def flow_feature(road_flow: DataFrame, section_feature: DataFrame, near: DataFra
 
 
 def wind_feature(
-    station_weather: DataFrame, sites: DataFrame, hours: HourRange, names: list[str] | None = None
+    station_weather: DataFrame,
+    sites: DataFrame,
+    hours: HourRange,
+    names: list[str] | None = None,
+    work: Work | None = None,
 ) -> DataFrame:
     """Distance-weighted wind at each location and hour; 0 without data."""
     rows = _hourly(station_weather, hours).where(F.col("station_name").isin(names or WIND_SITES))
     samples = json_columns(at_point(rows, "station_coord"), "data", {"wind_speed": "wind_speed"})
-    slots = sites.select(*SITE, F.col(SITE[0]).alias("lon"), F.col(SITE[1]).alias("lat"), F.explode(hours.slots()).alias("published_at"))
-    return idw(slots, samples, ["published_at"], SITE, "wind_speed")
+    return idw_over_time(sites, hours.slots(), samples, "published_at", "wind_speed", work=work)
 
 
 def daily_diffusion(forecast: DataFrame, day: str = "forecast_date") -> DataFrame:
@@ -213,7 +220,12 @@ def daily_diffusion(forecast: DataFrame, day: str = "forecast_date") -> DataFram
 
 
 def site_features(
-    t: PortraitTables, stations: DataFrame, hours: HourRange, wind_sites: list[str] | None = None, work: Work | None = None
+    t: PortraitTables,
+    stations: DataFrame,
+    hours: HourRange,
+    wind_sites: list[str] | None = None,
+    work: Work | None = None,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """All eleven feature columns per station location and publication hour.
 
@@ -224,7 +236,7 @@ def site_features(
     near = staged(cell_sites(t.cells, sites), "cell-sites", work)
     roads = staged(section_sites(t.road_division, sites), "road-sites", work)
     from_partitions = "publish_date" in t.gps.columns
-    points = (gps_from_partitions if from_partitions else gps_in_slots)(t.gps, hours)
+    points = gps_from_partitions(t.gps, hours, wanted) if from_partitions else gps_in_slots(t.gps, hours)
     joined = assemble(
         [
             truck_features(points, sites),
@@ -232,7 +244,7 @@ def site_features(
             traffic_index(t.congestion, sites, hours),
             weather_features(t.weather, sites, hours),
             dust_feature(t.dust, near, hours),
-            wind_feature(t.station_weather, sites, hours, wind_sites),
+            wind_feature(t.station_weather, sites, hours, wind_sites, work),
             earth_feature(t.earthwork, near, hours),
         ],
         SITE_KEYS,
@@ -257,24 +269,43 @@ def station_portrait(
     levels: list[str] = LEVELS,
     wind_sites: list[str] | None = None,
     work: Work | None = None,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """``grid_id, station_code, station_name, data, published_at`` for every
-    station and hour of the range, in one job.
+    station and hour of the range, in one job. ``wanted`` (``publish_date, hour`` as text)
+    narrows the publication hours to those of a small table.
 
     Features are computed and written as JSON per location; stations that share
     one are told apart only at the end. Three small tables are staged while the frame is
     built; ``work`` (else the session) owns them."""
     stations = staged(portrait_stations(t.stations, levels), "stations", work)
-    per_site = site_features(t, stations, hours, wind_sites, work).select(
+    features = site_features(t, stations, hours, wind_sites, work, wanted)
+    if wanted is not None:
+        of_hour = [F.date_format("published_at", "yyyy-MM-dd"), F.date_format("published_at", "HH")]
+        features = features.withColumns(dict(zip(HOUR_KEYS, of_hour, strict=True)))
+        features = lookup_join(features, wanted, list(HOUR_KEYS), "left_semi")
+    per_site = features.select(
         *SITE, feature_json().alias("data"), F.date_format("published_at", HOUR_START).alias("published_at")
     )
     return spread_to_centers(per_site, stations, STATION_KEYS)
 
 
-def portrait_diff(new: DataFrame, stored: DataFrame) -> DataFrame:
-    """Feature values of ``new`` that ``stored`` lacks or has otherwise."""
+def portrait_diff(new: DataFrame, stored: DataFrame, work: Work | None = None) -> DataFrame:
+    """Feature values of ``new`` that ``stored`` lacks or has otherwise.
+
+    Digests of whole portraits are compared first. Only stations and hours with a portrait
+    whose digest is not stored have their members taken apart; which these are is staged, as
+    both sides are narrowed to them."""
     keep = ["published_at", "station_code", "station_name"]
-    return difference(explode_payload(new, keep), explode_payload(stored, keep))
+
+    def digests(df: DataFrame) -> DataFrame:
+        return df.select(*keep, F.sha2("data", 256).alias("_digest"))
+
+    other = difference(digests(new), digests(stored)).select(*[F.col(k).alias(f"_other_{k}") for k in keep]).distinct()
+    other = staged(other, "differing", work)
+    same = same_key(keep, "_other_")
+    left, right = (lookup_join(df, other, same, "left_semi") for df in (new, stored))
+    return difference(explode_payload(left, keep), explode_payload(right, keep))
 
 
 def run_backfill(t: PortraitTables, hours: HourRange, stored: DataFrame, **options) -> DataFrame:
@@ -292,11 +323,33 @@ def backfill_partitions(t: PortraitTables, hours: HourRange, path: str, **option
         if stored is not None:
             first, last = hours.published
             known = stored.where(F.col("publish_date").between(first[:10], last[:10]) & F.col("published_at").between(first, last))
-            changed = portrait_diff(new, known).select("published_at").distinct()
+            changed = portrait_diff(new, known, work).select("published_at").distinct()
             new = lookup_join(new, staged(changed, "changed", work), "published_at", "left_semi")
         upsert_partitions(new, path, KEYS, ("publish_date",))
 
 
+def fill_missing_hours(t: PortraitTables, hours: HourRange, path: str, **options) -> int:
+    """Compute the portraits of the hours that have none in a dataset partitioned by
+    ``publish_date`` and add them; returns how many hours. The hours are found from the
+    data, so partitions of the tracks are pruned by them at run time."""
+    spark = t.stations.sparkSession
+    with Work(spark) as work:
+        slots = spark.range(1).select(F.explode(hours.slots()).alias("published_at"))
+        slots = slots.withColumn("published_at", F.date_format("published_at", HOUR_START))
+        stored = stored_or_none(spark, path)
+        if stored is not None:
+            first, last = hours.published
+            known = stored.where(F.col("publish_date").between(first[:10], last[:10])).select("published_at").distinct()
+            slots = slots.join(known, "published_at", "left_anti")
+        parts = F.substring("published_at", 1, 10), F.substring("published_at", 12, 2)
+        wanted = work.stage(slots.select(*[c.alias(k) for c, k in zip(parts, HOUR_KEYS, strict=True)]), "wanted")
+        n = wanted.count()
+        if n:
+            new = station_portrait(t, hours, work=work, wanted=wanted, **options)
+            upsert_partitions(new.withColumn("publish_date", F.substring("published_at", 1, 10)), path, KEYS, ("publish_date",))
+    return n
+
+
 def backfill(new: DataFrame, stored: DataFrame) -> DataFrame:
     """``stored`` after replacing every hour that has a difference by ``new``."""
     changed = portrait_diff(new, stored).select("published_at").distinct()

@@ -10,6 +10,8 @@ from airway.functions.times import day_of_text, epoch_text
 from airway.operators.cleaning import one_per_key, within
 from airway.operators.spatial import rect_join
 from airway.operators.trajectory import stays
+from airway.sources.scans import HOUR_KEYS
+from airway.sources.sinks import insert_missing
 
 
 def grid_stays(stops: DataFrame, rects: DataFrame, start: str, end: str) -> DataFrame:
@@ -53,6 +55,12 @@ def import_track(track: DataFrame, zone: str | None = None) -> DataFrame:
     ).select(*TRACK)
 
 
+def import_into(track: DataFrame, table: str, zone: str | None = None) -> None:
+    """:func:`import_track` into the partitioned track table. A vehicle's moment that the
+    table has is not inserted again, so an import can be repeated or overlap another."""
+    insert_missing(import_track(track, zone), table, TRACK, HOUR_KEYS, ["plate_num", "up_time"])
+
+
 def window_import(table: DataFrame, time: str, start: str, end: str) -> DataFrame:
     """Rows of the half-open window with their day as partition column, last."""
     return table.where(within(time, start, end)).withColumn("publish_day", day_of_text(F.col(time).cast("string")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,9 @@ from pyspark.sql import types as T
 
 from airway.operators.cleaning import within
 from airway.operators.hours import HourRange
+from airway.operators.joining import lookup_join
+from airway.sources.staging import staged
+from airway.sources.swaps import listed_files, same_form, with_files
 
 HOUR_KEYS = ("publish_date", "hour")
 
@@ -119,6 +123,49 @@ def files_without_rows(spark: SparkSession, root: str) -> DataFrame:
     return listed.join(read.select(shape), "path", "left_anti")
 
 
+def broken_files(spark: SparkSession, root: str, partitions: tuple[str, ...] = HOUR_KEYS) -> DataFrame:
+    """The partition columns and ``path`` of files that are no readable Parquet.
+
+    Row counts are read from all footers in tasks. Only files that give no row are looked at
+    whole: those that are valid and hold no rows are left out. Their names pass the driver, as
+    those of any file that Spark reads. Files of no bytes are not listed; Spark never reads them."""
+    read = with_files(read_partitioned(spark, root, skip_unreadable=True)).select(same_form(F.col("_file")).alias("_read")).distinct()
+    listed = listed_files(spark, root, partitions).withColumn("path", same_form(F.col("_file")))
+    silent = listed.join(read, F.col("path") == F.col("_read"), "left_anti")
+    names = [row["_file"] for row in silent.select("_file").toLocalIterator()]
+
+    def valid(batches):
+        import io
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for path, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                try:
+                    empty = pq.ParquetFile(io.BytesIO(content)).metadata.num_rows == 0
+                except (pa.ArrowException, OSError):
+                    empty = False
+                if empty:
+                    yield pa.RecordBatch.from_pydict({"_empty": [path]})
+
+    if not names:
+        return silent.select(*partitions, "path")
+    empty = spark.read.format("binaryFile").load(names).select("path", "content").mapInArrow(valid, "_empty string")
+    return silent.join(empty.select(same_form(F.col("_empty")).alias("_empty")), F.col("path") == F.col("_empty"), "left_anti").select(*partitions, "path")
+
+
+def read_whole_partitions(spark: SparkSession, root: str, partitions: tuple[str, ...] = HOUR_KEYS) -> tuple[DataFrame, DataFrame]:
+    """Rows of the partitions without any broken file, and the report of those with one
+    (:func:`broken_files`). Half a partition is worse than none, so such a partition is left
+    out with its readable files too."""
+    report = staged(broken_files(spark, root, partitions), "broken")
+    bad = report.select(*[F.col(k).alias(f"_bad_{k}") for k in partitions]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_bad_{k}")) for k in partitions])
+    rows = read_partitioned(spark, root, skip_unreadable=True)
+    return lookup_join(rows, bad, same, "left_anti"), report
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     reader = spark.read.option("header", True)
     return (reader.schema(schema) if schema else reader).csv(path)

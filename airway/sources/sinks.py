@@ -15,7 +15,7 @@ from airway.operators.merging import upsert, upsert_json
 from airway.sources.key_index import KeyIndex
 from airway.sources.scans import HOUR_KEYS, read_partitioned, stored_or_none
 from airway.sources.staging import Work
-from airway.sources.swaps import BIN, Swap, listed_files, recover, with_files
+from airway.sources.swaps import BIN, Swap, listed_files, recover, same_form, with_files
 
 # Size merged files aim at, and the mean size below which files are merged.
 MERGED_FILE_BYTES, SMALL_FILE_BYTES = 256_000_000, 134_217_728
@@ -242,16 +242,11 @@ def merge_small_files(
             return 0
         largest = F.col("_metadata.file_size") < target_bytes // 2
         rows = with_files(read_partitioned(spark, path).where(largest))
-        planned = plan.select(_same_form(F.col("_file")).alias("_of"), BIN)
-        rows = lookup_join(rows, planned, _same_form(F.col("_file")) == F.col("_of"))
+        planned = plan.select(same_form(F.col("_file")).alias("_of"), BIN)
+        rows = lookup_join(rows, planned, same_form(F.col("_file")) == F.col("_of"))
         files = owner.stage(rows.groupBy("_file").agg(F.count("*").alias("n")), "files")
         gathered = rows.drop("_file", "_of").repartition(*partitions, BIN)
         gathered.write.partitionBy(*partitions, BIN).parquet(swap.data)
         _checked(swap, files, path)
         swap.commit(files.select("_file"))
         return files.count()
-
-
-def _same_form(path: Column) -> Column:
-    """Paths of one file alike, however many slashes follow the scheme."""
-    return F.regexp_replace(path, "^([a-z0-9]+:)/+", "$1/")

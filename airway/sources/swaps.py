@@ -26,6 +26,11 @@ def plain_path(encoded: Column) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
+def same_form(path: Column) -> Column:
+    """Paths of one file alike, however many slashes follow the scheme."""
+    return F.regexp_replace(path, "^([a-z0-9]+:)/+", "$1/")
+
+
 def with_files(df: DataFrame) -> DataFrame:
     """The rows of a dataset with their ``_file``."""
     return df.select("*", plain_path(F.col("_metadata.file_path")).alias("_file"))
@@ -61,13 +66,17 @@ class Swap:
 
     def commit(self, gone: DataFrame) -> None:
         """Put the staged files in place and remove the files ``_file`` of ``gone``."""
+        self.promise(gone)
+        replay(self.spark, self.folder)
+
+    def promise(self, gone: DataFrame) -> None:
+        """Write the journal of :meth:`commit`; from here on ``recover`` finishes the swap."""
         place = F.regexp_replace("_file", f"/{FOLDER}/[0-9a-f]{{32}}/data/", "/")
         comes = self.added().select("_file", F.regexp_replace(place, f"/{BIN}=[0-9]+/", "/").alias("target"))
         goes = gone.select("_file", F.lit(None).cast("string").alias("target")).distinct()
         comes.unionByName(goes).write.parquet(f"{self.folder}/journal")
         whole, fs = _path(self.spark, f"{self.folder}/{WHOLE}")
         fs.createNewFile(whole)
-        replay(self.spark, self.folder)
 
     def abandon(self) -> None:
         """Remove what is staged, unless a journal already names it."""
@@ -119,3 +128,13 @@ def _path(spark: SparkSession, name: str):
 def _exists(spark: SparkSession, name: str) -> bool:
     path, fs = _path(spark, name)
     return fs.exists(path)
+
+
+def write_bytes(spark: SparkSession, name: str, content: bytes) -> None:
+    """A small file as it is."""
+    path, fs = _path(spark, name)
+    out = fs.create(path)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
