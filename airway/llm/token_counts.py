@@ -17,8 +17,9 @@ from airway.llm.batches import as_bytes, map_batches
 
 SPACE = "▁"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-# A task forgets its trie when it has this many nodes (about 150 MB); counts stay the same.
-TRIE_NODES = 300_000
+# A task lets go of its trie at this many nodes (about 150 MB) but keeps the counts of whole words; those
+# it forgets at this many words (about 130 MB). What is forgotten is computed again and comes out the same.
+TRIE_NODES, COUNTED_WORDS = 300_000, 1_000_000
 
 
 def load_vocabulary(path: str) -> dict[str, float]:
@@ -58,10 +59,8 @@ class PrefixTrie:
         self.clear()
 
     def clear(self) -> None:
-        # The counts of whole words, by their bytes: the terminal nodes.
         self.root: list = [0.0, 0, {}, ()]
         self.nodes = 1
-        self.counts: dict[bytes, int] = {}
 
     def tokens(self, word: str) -> int:
         """Tokens of the best segmentation."""
@@ -93,6 +92,22 @@ class PrefixTrie:
         return node[1]
 
 
+class WordCounts(dict):
+    """Tokens of words, by their bytes: the terminal nodes of a trie, which fills in those
+    that are not there. They outlive the nodes above them."""
+
+    def __init__(self, trie: PrefixTrie, trie_nodes: int, words: int):
+        self.trie, self.trie_nodes, self.words = trie, trie_nodes, words
+
+    def __missing__(self, word: bytes) -> int:
+        if self.trie.nodes > self.trie_nodes:
+            self.trie.clear()
+        if len(self) >= self.words:
+            self.clear()
+        n = self[word] = self.trie.tokens(SPACE + word.decode("utf-8", "replace"))
+        return n
+
+
 def count_tokens(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -100,6 +115,7 @@ def count_tokens(
     vocabulary: str = VOCABULARY,
     pieces: dict[str, float] | None = None,
     trie_nodes: int = TRIE_NODES,
+    counted_words: int = COUNTED_WORDS,
 ) -> DataFrame:
     """One row per input row: ``id, n_pretokens, n_tokens``.
 
@@ -110,33 +126,17 @@ def count_tokens(
     known = pieces if pieces is not None else load_vocabulary(vocabulary)
 
     def start():
-        trie = PrefixTrie(known)
+        counts = WordCounts(PrefixTrie(known), trie_nodes, counted_words)
 
         def work(columns):
             # A trie has no cycles; looking for some takes longer than making it.
             gc.disable()
             try:
-                return counted(columns)
+                words = [(raw or b"").split() for raw in columns[1]]
+                return columns[0], [len(w) for w in words], [sum(map(counts.__getitem__, w)) for w in words]
             finally:
                 gc.enable()
 
-        def counted(columns):
-            words_of, tokens_of = [], []
-            for raw in columns[1]:
-                words, total = (raw or b"").split(), 0
-                counts = trie.counts
-                for word in words:
-                    n = counts.get(word)
-                    if n is None:
-                        if trie.nodes > trie_nodes:
-                            trie.clear()
-                            counts = trie.counts
-                        n = counts[word] = trie.tokens(SPACE + word.decode("utf-8", "replace"))
-                    total += n
-                words_of.append(len(words))
-                tokens_of.append(total)
-            return columns[0], words_of, tokens_of
-
         return work
 
     rows = docs.select(F.col(id_column).alias("id"), as_bytes(text))
