@@ -1,22 +1,27 @@
 """Ordered operations along a track, safe for a vehicle that owns most rows.
 
 A track is cut into time chunks; windows run per (vehicle, chunk), and only the
-rows at chunk edges are compared across chunks.
+rows at chunk edges are compared across chunks. Where a vehicle has very many rows
+within a chunk's time, :func:`chunk_bounds` cuts it further.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airway.operators.cleaning import sortable
+from airway.operators.joining import lookup_join
+from airway.sources.staging import Work, staged
 
 CHUNK_SECONDS = 3600
+# Rows of a vehicle that one chunk should hold, and how many parts a chunk is cut into at most.
+CHUNK_ROWS, MOST_CUTS = 1_000_000, 1_000
 
 
-def _in_chunks(df: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
-    """All rows with the ``_chunk`` of their time, which rises with it.
+def _clock(df: DataFrame, time: str) -> tuple[DataFrame, Column]:
+    """``df`` with its time read as one, and the microseconds of it.
 
     A time without zone is counted on its own calendar, so that no clock change
     of the session zone can reorder chunks. Text is read as such a time."""
@@ -26,11 +31,44 @@ def _in_chunks(df: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
         kind = T.TimestampNTZType()
     at = F.col(time)
     if isinstance(kind, T.TimestampNTZType):
-        clock = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
-        passed = F.unix_date(at.cast("date")).cast("bigint") * 86400 + clock
-    else:
-        passed = F.unix_timestamp(at)
-    return df.withColumn("_chunk", F.floor(passed / F.lit(seconds)))
+        clock = F.hour(at) * 3600 + F.minute(at) * 60
+        second = (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("bigint")
+        return df, (F.unix_date(at.cast("date")).cast("bigint") * 86400 + clock) * 1_000_000 + second
+    return df, F.unix_micros(at.cast("timestamp"))
+
+
+def _in_chunks(df: DataFrame, key: str, time: str, seconds: int, bounds: DataFrame | None) -> DataFrame:
+    """All rows with the ``_chunk`` of their time, which rises with it; ``bounds`` cut chunks."""
+    df, micros = _clock(df, time)
+    chunk = F.floor(micros / F.lit(seconds * 1_000_000))
+    if bounds is None:
+        return df.withColumn("_chunk", chunk)
+    cuts = bounds.select(F.col("key").alias("_key"), F.col("chunk").alias("_of"), "cuts")
+    df = df.withColumns({"_chunk": chunk, "_micros": micros})
+    found = lookup_join(df, cuts, (F.col(key) == F.col("_key")) & (F.col("_chunk") == F.col("_of")), "left")
+    passed = F.size(F.filter(F.coalesce("cuts", F.array().cast("array<bigint>")), lambda c: c <= F.col("_micros")))
+    return found.withColumn("_chunk", F.struct(F.col("_chunk").alias("time"), passed.alias("part"))).drop("_key", "_of", "cuts", "_micros")
+
+
+def chunk_bounds(
+    df: DataFrame, key: str, time: str, chunk_seconds: int = CHUNK_SECONDS, rows: int = CHUNK_ROWS, work: Work | None = None
+) -> DataFrame:
+    """``key, chunk, cuts``: where to cut the chunks that hold more than ``rows`` rows, staged;
+    runs jobs. For use as ``bounds`` of the operations below.
+
+    A first aggregate counts the rows of every vehicle and chunk; for the few with too many a
+    second one takes quantiles of their times. Bounds decide where rows are worked on and never
+    what comes out, so they may be taken from any frame with about the same rows, such as the
+    table before a join. Rows of one moment stay together."""
+    df, micros = _clock(df.select(key, time), time)
+    timed = df.select(F.col(key).alias("key"), F.floor(micros / F.lit(chunk_seconds * 1_000_000)).alias("chunk"), micros.alias("micros"))
+    counts = timed.groupBy("key", "chunk").agg(F.count("*").alias("n"))
+    crowded = staged(counts.where((F.col("n") > rows) & F.col("key").isNotNull() & F.col("chunk").isNotNull()), "crowded", work)
+    most = crowded.agg(F.max("n")).first()[0] or 0
+    parts = max(2, min(MOST_CUTS, -(-most // rows)))
+    inside = lookup_join(timed, crowded.select("key", "chunk"), ["key", "chunk"], "left_semi")
+    quantiles = F.percentile_approx("micros", [k / parts for k in range(1, parts)], 10 * MOST_CUTS)
+    return staged(inside.groupBy("key", "chunk").agg(F.array_sort(F.array_distinct(quantiles)).alias("cuts")), "cuts", work)
 
 
 def neighbours(
@@ -40,6 +78,7 @@ def neighbours(
     value: str,
     tie_break: list[str] | None = None,
     chunk_seconds: int = CHUNK_SECONDS,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``{value}_lag`` and ``{value}_lead``: the value before and after along
     the track, null at its ends. Rows without key or time (or with a time text that is
@@ -48,7 +87,7 @@ def neighbours(
     order = [time, *(tie_break or [])]
     order = [*order, *[sortable(df, c) for c in df.columns if c not in (key, *order)]]
     lag, lead = f"{value}_lag", f"{value}_lead"
-    chunked = _in_chunks(df, key, time, chunk_seconds)
+    chunked = _in_chunks(df, key, time, chunk_seconds, bounds)
     placed = F.col(key).isNotNull() & F.col(time).isNotNull()
     kind = df.schema[value].dataType
     aside = chunked.where(~placed).drop("_chunk").withColumns({lag: F.lit(None).cast(kind), lead: F.lit(None).cast(kind)})
@@ -90,12 +129,13 @@ def boundaries(
     place: str,
     tie_break: list[str] | None = None,
     chunk_seconds: int = CHUNK_SECONDS,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Rows where a stay begins (``enters``) or ends (``leaves``). Rows without key or
     time are on no track and bound no stay (see :func:`unplaced_rows`)."""
     # A struct is null only where there is no row, not where the place is null.
     spot = df.withColumn("_spot", F.struct(F.col(place).alias("at")))
-    near = neighbours(spot, key, time, "_spot", tie_break, chunk_seconds)
+    near = neighbours(spot, key, time, "_spot", tie_break, chunk_seconds, bounds)
     near = near.where(F.col(key).isNotNull() & F.col(time).isNotNull())
     flags = {
         "enters": ~F.col("_spot").eqNullSafe(F.col("_spot_lag")),
@@ -111,6 +151,7 @@ def stays(
     place: str,
     tie_break: list[str] | None = None,
     chunk_seconds: int = CHUNK_SECONDS,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """One row per unbroken stay: ``key, place, {in, out} time, points``.
 
@@ -119,7 +160,7 @@ def stays(
     chunk edges are then glued along the vehicle.
     """
     order = [time, *(tie_break or [])]
-    chunked = _in_chunks(df.select(*dict.fromkeys([key, place, *order])), key, time, chunk_seconds)
+    chunked = _in_chunks(df.select(*dict.fromkeys([key, place, *order])), key, time, chunk_seconds, bounds)
     chunked = chunked.where(F.col(key).isNotNull() & F.col(time).isNotNull())
     inner = Window.partitionBy(key, "_chunk").orderBy(*order)
     starts = F.lag(F.lit(True)).over(inner).isNull() | ~F.lag(place).over(inner).eqNullSafe(F.col(place))

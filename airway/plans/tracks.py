@@ -9,7 +9,7 @@ from airway.functions.geo import six_decimals, wgs84_to_gcj02
 from airway.functions.times import day_of_text, epoch_text
 from airway.operators.cleaning import one_per_key, within
 from airway.operators.spatial import rect_join
-from airway.operators.trajectory import stays
+from airway.operators.trajectory import chunk_bounds, stays
 from airway.sources.scans import HOUR_KEYS
 from airway.sources.sinks import insert_missing
 
@@ -18,11 +18,13 @@ def grid_stays(stops: DataFrame, rects: DataFrame, start: str, end: str) -> Data
     """When each vehicle entered and left each grid rectangle.
 
     ``stops``: sim_card, lat, lon, published_at, published_at_raw. Copies are
-    dropped first; the earliest raw time of a copy stays."""
+    dropped first; the earliest raw time of a copy stays. A vehicle with very many stops
+    in an hour is cut at bounds taken from the table itself, two columns of it."""
     seen = stops.where(within("published_at", start, end))
+    bounds = chunk_bounds(seen, "sim_card", "published_at_raw")
     seen = one_per_key(seen, ["sim_card", "lat", "lon", "published_at"], ["published_at_raw"])
     placed = rect_join(seen.select("sim_card", "lat", "lon", "published_at_raw"), rects)
-    return stays(placed, "sim_card", "published_at_raw", "grid_id", ["grid_id"]).select(
+    return stays(placed, "sim_card", "published_at_raw", "grid_id", ["grid_id"], bounds=bounds).select(
         "sim_card",
         "grid_id",
         F.col("published_at_raw_in").alias("published_at_in"),

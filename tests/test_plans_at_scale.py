@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from airway.operators.hours import HourRange
 from airway.operators.spatial import idw, idw_over_time, sites_of, spot_weights
-from airway.operators.trajectory import neighbours
+from airway.operators.trajectory import boundaries, chunk_bounds, neighbours, stays
 from airway.plans import portrait
 from airway.sources import scans, sinks, staging, swaps
 from tests.helpers import plan_of, rows
@@ -119,3 +119,45 @@ def test_broken_files_are_reported_with_their_partition(spark):
     found, report = scans.read_whole_partitions(spark, path)
     assert {r["hour"] for r in found.select("hour").distinct().collect()} == {"00", "02"}
     assert sorted((r["hour"], r["path"].rsplit("/", 1)[1]) for r in report.collect()) == [("01", "x.parquet"), ("77", "x.parquet")]
+
+
+def crowded(spark, n):
+    """One vehicle with n rows in one hour and few others, places changing now and then."""
+    rows_of = spark.range(n).select(
+        F.lit("hot").alias("k"), F.timestamp_micros(F.col("id") * 3_500 + 1_700_000_400_000_000).alias("t"), F.floor(F.col("id") / 777).cast("int").alias("place"), "id"
+    )
+    others = spark.range(200).select(
+        F.concat(F.lit("v"), F.col("id") % 7).alias("k"), F.timestamp_seconds(F.col("id") * 60 + 1_700_000_000).alias("t"), (F.col("id") % 3).cast("int").alias("place"), "id"
+    )
+    return rows_of.unionByName(others)
+
+
+def test_an_hour_of_one_vehicle_is_worked_on_by_many_tasks(spark):
+    df = crowded(spark, 1_000_000)
+    bounds = chunk_bounds(df, "k", "t", rows=50_000)
+    assert {r["key"] for r in bounds.collect()} == {"hot"}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = neighbours(df, "k", "t", "id", bounds=bounds).withColumn("_task", F.spark_partition_id())
+        tasks = found.where("k = 'hot'").groupBy("_task").agg(F.count("*").alias("n")).orderBy(F.desc("n")).collect()
+        wrong = found.where("k = 'hot' AND (NOT id_lag <=> nullif(id - 1, -1) OR NOT id_lead <=> nullif(id + 1, 1000000))").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert wrong == 0 and sum(r["n"] for r in tasks) == 1_000_000
+    assert len(tasks) >= 12 and tasks[0]["n"] <= 250_000
+    joined = stays(df, "k", "t", "place", bounds=bounds)
+    assert joined.where("k = 'hot'").agg(F.count("*"), F.sum("points"), F.max("points")).first() == (1288, 1_000_000, 777)
+
+
+@pytest.mark.parametrize("zone", ["timestamp", "timestamp_ntz", "string"])
+def test_bounds_change_no_result(spark, zone):
+    df = crowded(spark, 5_000).withColumn("t", F.col("t").cast(zone))
+    df = df.unionByName(df.where("id % 10 = 0").withColumns({"place": F.lit(None).cast("int"), "id": F.col("id") + 100_000}))
+    bounds = chunk_bounds(df, "k", "t", rows=100)
+    assert bounds.where("k IS NULL OR size(cuts) < 10".replace("k ", "key ")).count() == 0
+    for work in (neighbours, boundaries, stays):
+        args = (df, "k", "t", "place", ["id"])
+        assert rows(work(*args, bounds=bounds)) == rows(work(*args))
+    assert chunk_bounds(df.limit(0), "k", "t").count() == 0
