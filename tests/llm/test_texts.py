@@ -177,7 +177,7 @@ def test_token_counts_equal_one_word_at_a_time(docs_of):
     pieces = token_counts.zipf_scores(["▁", "a", "b", "ab", "▁a", "ba", "aba", "bab", "▁ab", "abba"])
     rows = [(i, " ".join("".join(rng.choice("abé") for _ in range(rng.randrange(1, 9))) for _ in range(40))) for i in range(20, 25)]
     for limit in (10, 300_000):
-        for r in token_counts.count_tokens(docs_of(rows + EDGES[:3]), pieces=pieces, trie_nodes=limit).collect():
+        for r in token_counts.count_tokens(docs_of(rows + EDGES[:3]), pieces=pieces, trie_nodes=limit, counted_words=limit, text_bytes=limit).collect():
             words = (dict(rows + EDGES[:3])[r["id"]] or "").split()
             assert r["n_pretokens"] == len(words)
             assert r["n_tokens"] == sum(best_count("▁" + w, pieces) for w in words)
