@@ -1,9 +1,11 @@
-"""Passages that repeat, wherever lines begin and end.
+"""Passages that repeat, exactly or nearly, wherever lines begin and end.
 
 A text is its words, in one sequence. Words whose hash is the least of a window of
-neighbours are anchors, which depend on content only. From every anchor a unit of words
-reaches to an anchor further on; units with the same words are one node, and adjacent
-units that occur elsewhere are one passage.
+neighbours are anchors, which depend on content only. From every sparse anchor a unit of
+words reaches to a dense anchor further on: these are the paragraphs, whatever the layout.
+Units with the same words are one node. MinHash bands over word shingles put nodes into
+lists; nodes that meet in a list are compared by their exact edit distance in words, and
+components of similar nodes are one passage. Adjacent units that occur elsewhere are joined.
 """
 
 from __future__ import annotations
@@ -11,44 +13,70 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airway.llm.batches import as_bytes, map_batches
-from airway.llm.linking import semi_join
+from airway.llm.linking import components
+from airway.llm.near_dedup import list_array
 from airway.sources.staging import Work, session_work
 
-# An anchor is in any NEIGHBOURS successive words, a unit has LEAST words or up to NEIGHBOURS - 1 more. Two
-# texts that share SURE words share a unit of them: the first anchor that only these words decide is among
-# the first 13, the unit's end among the first 41, and words hash with the GRAM - 1 that follow.
-NEIGHBOURS, LEAST, GRAM = 7, 22, 3
+# A sparse anchor is in any SPARSE successive words, a dense one in any DENSE; a unit has LEAST words or up to
+# DENSE - 1 more. Two texts that share SURE words share a unit of them: the first sparse anchor that only these
+# words decide is among the first 24, the unit's end among the first 48, and words hash with the GRAM - 1 that follow.
+SPARSE, DENSE, LEAST, GRAM = 24, 6, 18, 3
 SURE = 50
+WIDTH = 5
+# Units of Jaccard similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: 0.95 at 0.8, 0.77 where
+# one word in the middle of a unit differs. A passage holds several units.
+BANDS, ROWS = 3, 2
+# Two units are alike if their edit distance in words leaves this percentage of the longer one.
+PERCENT = 80
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\v\f\r")] = True
 _MULTIPLY = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_MIX = np.random.default_rng(6).integers(1, 1 << 63, BANDS * ROWS, np.uint64) | np.uint64(1)
 
 
 def _powers(multiply: int, n: int) -> np.ndarray:
     return np.cumprod(np.append(np.uint64(1), np.full(n, multiply, np.uint64)))
 
 
-def units(text: bytes) -> tuple[np.ndarray, ...]:
-    """``first, last, start, end, a, b`` of the units of a text: words from 0 (``last``
-    exclusive), code points, and 128 bits of hash. A-Z is lowered."""
+def _grams(hashed: np.ndarray, size: int) -> np.ndarray:
+    mixed = np.zeros(len(hashed) - size + 1, np.uint64)
+    for i in range(size):
+        mixed = mixed * np.uint64(_MULTIPLY[0]) + hashed[i : i + len(mixed)]
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+def _anchors(mixed: np.ndarray, window: int) -> np.ndarray:
+    least = np.lib.stride_tricks.sliding_window_view(mixed, window).argmin(1)
+    return np.unique(least + np.arange(len(least)))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
     words = text.lower().split()
-    n = len(words) - GRAM + 1
-    if n < NEIGHBOURS:
-        return tuple(np.empty(0, np.int64) for _ in range(6))
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    mixed = np.zeros(n, np.uint64)
-    for i in range(GRAM):
-        mixed = mixed * np.uint64(_MULTIPLY[0]) + hashed[i : i + n]
-    mixed ^= mixed >> np.uint64(29)
-    least = np.lib.stride_tricks.sliding_window_view(mixed, NEIGHBOURS).argmin(1)
-    anchors = np.unique(least + np.arange(len(least)))
-    ends = np.searchsorted(anchors, anchors + LEAST)
-    first = anchors[ends < len(anchors)]
-    last = anchors[ends[ends < len(anchors)]]
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def unit_words(hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``first, last`` (exclusive) words of the units of a text."""
+    if len(hashed) < SPARSE + GRAM - 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    mixed = _grams(hashed, GRAM)
+    starts, stops = _anchors(mixed, SPARSE), _anchors(mixed, DENSE)
+    ends = np.searchsorted(stops, starts + LEAST)
+    whole = ends < len(stops)
+    return starts[whole], stops[ends[whole]]
+
+
+def units(text: bytes) -> tuple[np.ndarray, ...]:
+    """``first, last, start, end, a, b, band...`` of the units of a text: words from 0 (``last``
+    exclusive), code points, 128 bits of hash, and a hash for each band. A-Z is lowered."""
+    hashed = word_hashes(text)
+    first, last = unit_words(hashed)
+    if not len(first):
+        return tuple(np.empty(0, np.int64) for _ in range(6 + BANDS))
     raw = np.frombuffer(text, np.uint8)
     space = _SPACE[raw]
     points = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
@@ -57,13 +85,33 @@ def units(text: bytes) -> tuple[np.ndarray, ...]:
     keys = []
     for multiply in _MULTIPLY:
         # Sums of hash * multiply ** place, moved to place 0 by the inverse (modulo 2 ** 64).
-        sums = np.append(np.uint64(0), np.cumsum(hashed * _powers(multiply, len(words))[:-1]))
-        back = _powers(pow(multiply, -1, 1 << 64), len(words))
+        sums = np.append(np.uint64(0), np.cumsum(hashed * _powers(multiply, len(hashed))[:-1]))
+        back = _powers(pow(multiply, -1, 1 << 64), len(hashed))
         keys.append(((sums[last] - sums[first]) * back[first]).view(np.int64))
-    return first, last, points[begin[first]], points[stop[last - 1]], *keys
+    # The least of each mixed shingle hash over a unit's shingles, all units at once.
+    shingles = np.append(_grams(hashed, WIDTH), np.uint64(0xFFFFFFFFFFFFFFFF))
+    spans = np.stack([first, last - WIDTH + 1], 1).ravel()
+    least = []
+    for multiply in _MIX:
+        mixed = shingles * multiply
+        mixed ^= mixed >> np.uint64(31)
+        least.append(np.minimum.reduceat(mixed, spans)[::2])
+    bands = []
+    for band in range(BANDS):
+        mixed = np.full(len(first), band + 1, np.uint64)
+        for row in range(ROWS):
+            mixed = (mixed ^ least[band * ROWS + row]) * np.uint64(_MULTIPLY[1])
+            mixed ^= mixed >> np.uint64(32)
+        bands.append(mixed.view(np.int64))
+    return first, last, points[begin[first]], points[stop[last - 1]], *keys, *bands
+
+
+_BANDS = [f"band{i}" for i in range(BANDS)]
 
 
 def _units(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    names = ["first", "last", "start", "end", "a", "b", *_BANDS]
+
     def start():
         def work(columns):
             made = [units(raw or b"") for raw in columns[1]]
@@ -73,30 +121,121 @@ def _units(docs: DataFrame, id_column: str, text: str) -> DataFrame:
         return work
 
     rows = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), as_bytes(text))
-    return map_batches(rows, start, "id long, first long, last long, start long, end long, a long, b long")
+    return map_batches(rows, start, "id long, " + ", ".join(f"{n} {'int' if n in ('first', 'last') else 'long'}" for n in names))
+
+
+def _words_of(docs: DataFrame, id_column: str, text: str, wanted: DataFrame) -> DataFrame:
+    """``a, id, first, words`` of nodes, read from the one occurrence given (``a, id, first``)."""
+    places = wanted.groupBy("id").agg(F.collect_list(F.struct("first", "a")).alias("places"))
+
+    def start():
+        def work(columns):
+            keys, ids, firsts, words = [], [], [], []
+            for i, raw, found in zip(*columns, strict=True):
+                hashed = word_hashes(raw or b"")
+                first, last = unit_words(hashed)
+                ends = dict(zip(first.tolist(), last.tolist(), strict=True))
+                for place in found:
+                    # Another row of this id may have another text.
+                    if place["first"] in ends:
+                        part = hashed[place["first"] : ends[place["first"]]]
+                        if _key(part) == place["a"]:
+                            keys.append(place["a"])
+                            ids.append(i)
+                            firsts.append(place["first"])
+                            words.append(part.view(np.int64))
+            return keys, ids, firsts, list_array(words)
+
+        return work
+
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), as_bytes(text)).join(places, "id").select("id", text, "places")
+    return map_batches(rows, start, "a long, id long, first int, words array<long>").dropDuplicates(["a"])
+
+
+def _key(hashed: np.ndarray) -> int:
+    return int((hashed * _powers(_MULTIPLY[0], len(hashed))[:-1]).sum(dtype=np.uint64).view(np.int64))
+
+
+def edit_distance(x: Column, y: Column) -> Column:
+    """Edit distance of two short arrays: each value becomes the character of its place among
+    the values of both."""
+    both = F.array_distinct(F.concat(x, y))
+
+    def text(values: Column) -> Column:
+        return F.array_join(F.transform(values, lambda w: F.char(F.array_position(both, w) + 32)), "")
+
+    return F.levenshtein(text(x), text(y))
+
+
+def _verified(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are similar. Units that overlap are like each other and repeat nothing."""
+    full = pairs
+    for side in ("x", "y"):
+        full = full.join(words.select(F.col("a").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("id", "first", "words")]), side)
+    full = full.where((F.col("id_x") != F.col("id_y")) | (F.abs(F.col("first_x") - F.col("first_y")) >= LEAST + DENSE))
+    size = F.greatest(F.size("words_x"), F.size("words_y"))
+    near = F.lit(100) * (size - edit_distance(F.col("words_x"), F.col("words_y"))) >= F.lit(percent) * size
+    return full.where(near).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+def _near_roots(docs: DataFrame, id_column: str, text: str, lists: DataFrame, percent: int, work: Work) -> DataFrame:
+    """``node, root`` of nodes that are like another node of one of their lists. ``lists``:
+    staged ``band, a, low``. First each node meets the least of its list; then nodes of
+    different components meet in the lists that still mix some, a pair in one list only."""
+    leaders = lists.groupBy("band").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("band", "x")
+    mixed = work.stage(lists.join(leaders, "band").select("band", "x", "a", "low"), "mixed")
+    ends = mixed.select("a", "low.id", "low.first").groupBy("a").agg(F.min(F.struct("id", "first")).alias("low"))
+    words = work.stage(_words_of(docs, id_column, text, ends.select("a", "low.id", "low.first")), "words")
+    tries = mixed.where("a <> x").select("x", F.col("a").alias("y")).distinct()
+    first = work.stage(_verified(tries, words, percent), "links")
+    roots = components(first, work)
+
+    rooted = mixed.select("band", "a").join(roots, F.col("a") == F.col("node"), "left").select("band", "a", F.coalesce("root", "a").alias("root"))
+    rooted = work.stage(rooted, "rooted")
+    still = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("a").alias("leader")).where("low <> high")
+    open_rows = work.stage(rooted.join(still.select("band", "leader"), "band"), "open")
+    left = open_rows.where("a <> leader").select("band", F.col("a").alias("x"), F.col("root").alias("root_x"))
+    right = open_rows.where("a <> leader").select("band", F.col("a").alias("y"), F.col("root").alias("root_y"))
+    rest = left.join(right, "band").where("root_x < root_y").select("x", "y").distinct()
+    second = work.stage(_verified(rest, words, percent), "links")
+    return roots if second.isEmpty() else components(first.unionByName(second), work)
 
 
-def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "text", work: Work | None = None) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, work: Work | None = None
+) -> DataFrame:
     """One row per passage that repeats: ``id, start, end, n_words, first_id, removed``; runs jobs.
 
-    A passage is a maximal run of overlapping units that occur elsewhere too, in this
-    document or another, whatever lines they are on; the words are compared exactly
-    (between ASCII white space, A-Z lowered). Of every run of ``SURE`` words that
-    occurs twice a unit is found; shorter ones of ``LEAST`` words or more may be. ``start``
-    and ``end`` are code points. Units that occur earlier (by id and place) make passages
-    that are ``removed``, their least occurrences passages that stay; ``first_id`` is the
-    document with the least occurrence of the first unit. Rows without id take no part; a
-    repeated row is the same document and repeats nothing."""
+    A passage is a maximal run of adjoining units that occur elsewhere too, in this
+    document or another, with the same words (between ASCII white space, A-Z lowered) or with
+    an edit distance in words that leaves ``percent`` of the longer unit. Of every run of
+    ``SURE`` words that occurs twice a unit is found; shorter ones of ``LEAST`` words or more
+    may be. Similar units are found by their bands, so a unit may be missed where the other
+    units of its passage are not. ``start`` and ``end`` are code points. Of every component of
+    similar units the least occurrence by id and place stays, all others are ``removed``;
+    ``first_id`` is the document with the least occurrence of the passage's first unit. Null and
+    empty texts have no units, texts of any length are read whole, an empty table gives no rows.
+    Rows without id take no part; a repeated row is the same document and repeats nothing.
+    Ids are integers; other columns are not read."""
     work = work or session_work(docs.sparkSession)
-    # Most units occur once. They are made twice rather than written, and only hashes are counted.
-    found = _units(docs, id_column, text)
-    often = found.groupBy("a").agg(F.count("*").alias("_n")).where("_n > 1").select("a")
-    known = work.stage(semi_join(found, work.stage(often, "often"), ["a"]), "units")
-    here = F.struct("id", "first")
-    nodes = known.groupBy("a", "b").agg(F.min(here).alias("low"), F.max(here).alias("high")).where("low <> high")
-    nodes = work.stage(nodes.select("a", "b", "low"), "repeated")
-    rows = semi_join(known, nodes, ["a", "b"], "inner").select(
-        "id", "first", "last", "start", "end", F.col("low.id").alias("first_id"), (here != F.col("low")).alias("removed")
+    found = work.stage(_units(docs, id_column, text), "units")
+    banded = found.select(F.explode(F.array(*_BANDS)).alias("band"), "a", "id", "first")
+    often = banded.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1").select("band")
+    place = F.struct("id", "first")
+    shared = banded.join(often.hint("shuffle_hash"), "band", "left_semi")
+    lists = shared.groupBy("band", "a").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    lists = work.stage(lists, "lists")
+    roots = _near_roots(docs, id_column, text, lists, percent, work)
+
+    # Nodes that occur twice, or that are like another node.
+    nodes = lists.groupBy("a").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    nodes = nodes.join(roots, F.col("a") == F.col("node"), "left").select("a", F.coalesce("root", "a").alias("root"), "low", "high")
+    nodes = work.stage(nodes, "nodes")
+    firsts = nodes.groupBy("root").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
+    repeated = work.stage(nodes.select("a", "root").join(firsts.select("root", F.col("low").alias("least")), "root").select("a", "least"), "repeated")
+
+    rows = found.select("id", "first", "last", "start", "end", "a").join(repeated.hint("shuffle_hash"), "a").select(
+        "id", "first", "last", "start", "end", F.col("least.id").alias("first_id"), (place != F.col("least")).alias("removed")
     )
     kind = Window.partitionBy("id", "removed").orderBy("first", "last")
     before = F.max("last").over(kind.rowsBetween(Window.unboundedPreceding, -1))
@@ -105,7 +244,7 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     made = runs.agg(
         F.min("start").alias("start"),
         F.max("end").alias("end"),
-        (F.max("last") - F.min("first")).alias("n_words"),
+        (F.max("last") - F.min("first")).cast("long").alias("n_words"),
         F.min(F.struct("first", "first_id")).alias("_first"),
     )
     return made.select("id", "start", "end", "n_words", F.col("_first.first_id").alias("first_id"), "removed")

@@ -82,7 +82,7 @@ def op6_repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Passages that repeat, wherever lines begin and end."""
+    """Passages that repeat, exactly or nearly, wherever lines begin and end."""
     found = repeated_passages(_table(spark, sf_dir, "documents"))
     return found.withColumnsRenamed({"id": "doc_id", "start": "start_at", "end": "end_at", "first_id": "first_doc_id"})
 
@@ -352,8 +352,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_source_mixture,
         op4_quality_scores,
         op5_secrets,
-        op6_repeated_paragraphs,
         op6_repeated_passages,
+        op6_repeated_paragraphs,
         op7_benchmark_hits,
         op8_main_text,
         op9_token_counts,

@@ -2,7 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from airway.llm import passage_dedup
+from airway.sources import staging
 
 
 def prose(rng, n):
@@ -23,7 +26,8 @@ def test_passages_of_fifty_words_are_found_in_any_lines(docs_of):
     rows += [(6000, " ".join(prose(rng, 300)))]
     twice = prose(rng, 60)
     rows += [(7000, " ".join([*twice, *prose(rng, 30), *twice]))]
-    found = passage_dedup.repeated_passages(docs_of(rows)).collect()
+    # Alike means equal here; units that reach a word beyond the passage would be nearly so.
+    found = passage_dedup.repeated_passages(docs_of(rows), percent=100).collect()
     by_id = {}
     for r in found:
         by_id.setdefault(r["id"], []).append(r)
@@ -36,3 +40,79 @@ def test_passages_of_fifty_words_are_found_in_any_lines(docs_of):
     assert all(not r["removed"] for i in range(40) for r in by_id[i]) and all(r["removed"] for i in range(1000, 1040) for r in by_id[i])
     assert sorted(r["removed"] for r in by_id[7000]) == [False, True]
     assert passage_dedup.repeated_passages(docs_of([])).collect() == []
+
+
+def test_passages_with_some_words_changed_are_found(docs_of):
+    rng = random.Random(21)
+    rows = []
+    for case in range(150):
+        shared = prose(rng, 60)
+        other = [w if rng.random() >= 0.04 else f"x{rng.randrange(9999)}" for w in shared]
+        for i, part in ((case, shared), (1000 + case, other)):
+            rows.append((i, " ".join([*prose(rng, 40), *part, *prose(rng, 40)])))
+    rows += [(5000 + i, " ".join(prose(rng, 150))) for i in range(50)]
+    found = passage_dedup.repeated_passages(docs_of(rows)).collect()
+    ids = {r["id"] for r in found}
+    assert not [i for i in ids if i >= 5000]
+    assert sum(i in ids and 1000 + i in ids for i in range(150)) >= 0.9 * 150
+    assert all(r["first_id"] == r["id"] % 1000 for r in found)
+
+
+def plain_distance(x, y):
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        before, row[0] = row[0], i
+        for j, b in enumerate(y, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (a != b))
+    return row[-1]
+
+
+def test_links_equal_all_pairs_of_a_list(spark, docs_of):
+    """A family of variants of one unit: components equal those of all pairs that share a band."""
+    rng = random.Random(3)
+    base = prose(rng, 150)
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            words[rng.randrange(150)] = f"y{rng.randrange(9999)}"
+        rows.append((i, " ".join(words)))
+    nodes = {}
+    for i, text in rows:
+        made = passage_dedup.units(text.encode())
+        hashed = passage_dedup.word_hashes(text.encode())
+        for first, last, _, _, a, _, *bands in zip(*made, strict=True):
+            nodes.setdefault(int(a), (tuple(hashed[first:last].tolist()), {int(b) for b in bands}, i, int(first)))
+    keys = sorted(nodes)
+    root = {a: a for a in keys}
+
+    def top(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            (x, of_x, i_x, first_x), (y, of_y, i_y, first_y) = nodes[a], nodes[b]
+            size = max(len(x), len(y))
+            if i_x == i_y and abs(first_x - first_y) < 24:
+                continue
+            if of_x & of_y and 100 * (size - plain_distance(x, y)) >= 80 * size:
+                low, high = sorted((top(a), top(b)))
+                root[high] = low
+    want = {a: top(a) for a in keys}
+    docs = docs_of(rows)
+    banded = spark.createDataFrame([(b, a, (i, f)) for i, t in rows for f, _, _, _, a, _, *bs in zip(*[c.tolist() for c in passage_dedup.units(t.encode())], strict=True) for b in bs],
+                                   "band long, a long, place struct<id: long, first: int>")
+    lists = staging.staged(banded.groupBy("band", "a").agg(F.min("place").alias("low")), "lists")
+    found = passage_dedup._near_roots(docs, "doc_id", "text", lists, 80, staging.session_work(spark))
+    got = {a: a for a in keys} | {r["node"]: r["root"] for r in found.collect()}
+    assert got == want and len(set(want.values())) < len(keys)
+
+
+def test_edit_distance_of_word_arrays(spark):
+    rng = random.Random(5)
+    pairs = [([rng.randrange(6) for _ in range(rng.randrange(24))], [rng.randrange(6) for _ in range(rng.randrange(24))]) for _ in range(60)]
+    df = spark.createDataFrame(pairs, "x array<long>, y array<long>")
+    found = df.select("x", "y", passage_dedup.edit_distance(F.col("x"), F.col("y")).alias("d")).collect()
+    assert [r["d"] for r in found] == [plain_distance(r["x"], r["y"]) for r in found]
