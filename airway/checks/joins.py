@@ -75,6 +75,28 @@ def trucks_near_stations(fx: Fixtures) -> DataFrame:
     return radius_summary(points, fx.sites(), PLACE, aggs)
 
 
+@check(
+    "A1 A2 J1",
+    with_fx("ev st near", f"""SELECT {GROUP}, hour_at AS published_at, count(DISTINCT (user_id, user_id % 50)) AS truck_num,
+        count(*) AS truck_trajectory FROM near WHERE value > 10 GROUP BY ALL"""),
+)
+def truck_features_hourly(fx: Fixtures) -> DataFrame:
+    """The truck features as portraits have them: vehicles summed per cell first."""
+    sites = fx.sites()
+    return hourly(P.truck_features(P.gps_in_slots(fx.trucks(), ALL_HOURS), sites_of(sites)), sites)
+
+
+@check(
+    "A3 J1",
+    with_fx("ev st near", f"""SELECT {GROUP}, hour_at AS published_at,
+        CAST({sql_mean('sum(k)', 'count(k)', 6)} AS DECIMAL(10,6)) AS traffic_index FROM near GROUP BY ALL"""),
+)
+def traffic_index_hourly(fx: Fixtures) -> DataFrame:
+    """The traffic index as portraits have it."""
+    sites = fx.sites()
+    return hourly(P.traffic_index(fx.congestion(), sites_of(sites), ALL_HOURS), sites)
+
+
 @check(
     "A1",
     """SELECT event_type, count(DISTINCT CASE WHEN event_id % 3 <> 0 AND event_id % 5 <> 0 THEN (user_id % 20, event_id % 5) END)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +22,13 @@ def local_session(cores: str | int = "*", app: str = "airway", partitions: int =
 
 def work_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir``, or where that is
-    unset a folder below the warehouse, which all executors share as well."""
+    unset a folder below the warehouse. On a cluster a warehouse on the driver's own disk is
+    refused: executors would write to theirs."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     root = root or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/airway-work").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and urlparse(warehouse).scheme in ("", "file"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/airway-work".rstrip("/")

@@ -161,3 +161,19 @@ def test_bounds_change_no_result(spark, zone):
         args = (df, "k", "t", "place", ["id"])
         assert rows(work(*args, bounds=bounds)) == rows(work(*args))
     assert chunk_bounds(df.limit(0), "k", "t").count() == 0
+
+
+def test_a_local_warehouse_is_no_work_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from airway.session import work_root
+
+    def session(master, warehouse, folder=None):
+        conf = SimpleNamespace(get=lambda key, default=None: warehouse if key == "spark.sql.warehouse.dir" else default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda key: folder)))
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        work_root(session("yarn", "file:/home/x/warehouse"))
+    assert work_root(session("local[2]", "file:/home/x/warehouse")) == "file:/home/x/warehouse/airway-work"
+    assert work_root(session("yarn", "hdfs://n/warehouse")) == "hdfs://n/warehouse/airway-work"
+    assert work_root(session("yarn", "file:/w", "file:///shared/")) == "file:///shared"
