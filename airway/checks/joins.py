@@ -30,7 +30,7 @@ from airway.operators.merging import (
     merge_payloads,
     rows_of_frequent_keys,
 )
-from airway.operators.spatial import idw, radius_join, radius_summary, rect_join, sites_of, spread_to_centers
+from airway.operators.spatial import CellGrid, idw, radius_join, radius_summary, rect_join, sites_of, spread_to_centers
 from airway.operators.trajectory import boundaries, neighbours, stays
 from airway.plans import portrait as P
 
@@ -61,6 +61,19 @@ def radius_pairs(fx: Fixtures) -> DataFrame:
     return pairs.select("event_id", "station_code", haversine_m("lon", "lat", "center_lon", "center_lat").alias("metres"))
 
 
+@check(
+    "J1 F23",
+    with_fx("ev st", f"""SELECT a.event_id, s.station_code FROM ev a JOIN st s
+        ON {sql_metres('a.lon', 'a.lat', 's.lon', 's.lat')} < 5000 WHERE a.value > 10"""),
+)
+def radius_pairs_of_crowded_cells(fx: Fixtures) -> DataFrame:
+    """The same where cells with many points (here: more than the mean) are cut finer."""
+    points, cell = moving(fx), CellGrid(5000 / 4)
+    mean = cell.place(points, "lon", "lat").groupBy("_cell").agg(F.count("*").alias("n")).agg(F.avg("n")).first()[0]
+    centers = fx.sites().select("station_code", F.col("lon").alias("center_lon"), F.col("lat").alias("center_lat"))
+    return radius_join(points, centers, crowded_rows=int(mean)).select("event_id", "station_code")
+
+
 @check(
     "A1 A2 J1 P5",
     with_fx("ev st near", f"""SELECT {GROUP}, count(DISTINCT (user_id, user_id % 50)) AS truck_num,

@@ -105,11 +105,15 @@ def radius_join(
     point_xy: tuple[str, str] = ("lon", "lat"),
     center_xy: tuple[str, str] = ("center_lon", "center_lat"),
     cells_per_radius: int = 4,
+    crowded_rows: int | None = None,
+    work: Work | None = None,
 ) -> DataFrame:
     """Every (point, center) pair closer than ``radius_m`` whole metres (strict).
 
     Column names of the two sides must differ. Small cells keep the candidate
-    area close to the circle even when points and centers crowd one spot.
+    area close to the circle even when points and centers crowd one spot. With
+    ``crowded_rows`` the points of cells are counted first, and those of cells with more points
+    meet the centers in cells an eighth as wide, so that a crowded cell is 64 keys.
     """
     shared = set(points.columns) & set(centers.columns)
     if shared:
@@ -119,10 +123,27 @@ def radius_join(
     placed = grid.place(points, *point_xy)
     # About (2k+2)^2 cells per center, and not three times as many even at a pole.
     copies = 3 * (2 * cells_per_radius + 2) ** 2
-    pairs = lookup_join(placed, cells, "_cell", size_of=centers, copies=copies)
     close = haversine_m(*point_xy, *center_xy) < F.lit(radius_m)
-    return pairs.where(F.col("_inside") | close).drop("_cell", "_inside")
 
+    def meet(rows: DataFrame, of_centers: DataFrame, more: int) -> DataFrame:
+        pairs = lookup_join(rows, of_centers, "_cell", size_of=centers, copies=copies * more)
+        return pairs.where(F.col("_inside") | close).drop("_cell", "_inside")
+
+    if crowded_rows is None:
+        return meet(placed, cells, 1)
+    full = grid.place(points.select(*point_xy), *point_xy).groupBy("_cell").agg(F.count("*").alias("_n"))
+    full = staged(full.where(F.col("_n") > crowded_rows).select("_cell"), "crowded", work)
+    few = lookup_join(placed, full, "_cell", "left_anti")
+    many = lookup_join(placed, full, "_cell", "left_semi").drop("_cell")
+    # Only centers that reach a crowded cell are filed under the finer cells.
+    touching = lookup_join(cells, full, "_cell", "left_semi").drop("_cell", "_inside").distinct()
+    finer = CellGrid(radius_m / (cells_per_radius * FINER))
+    fine = covering_cells(touching, finer, radius_m, *center_xy)
+    return meet(few, cells, 1).unionByName(meet(finer.place(many, *point_xy), fine, FINER**2))
+
+
+# How much narrower the cells are that crowded ones are cut into.
+FINER = 8
 
 # Columns of a location that one or more centers share.
 SITE = ["center_lon", "center_lat"]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airway.operators.hours import HourRange
-from airway.operators.spatial import idw, idw_over_time, sites_of, spot_weights
+from airway.operators.spatial import idw, idw_over_time, radius_join, sites_of, spot_weights
 from airway.operators.trajectory import boundaries, chunk_bounds, neighbours, stays
 from airway.plans import portrait
 from airway.sources import scans, sinks, staging, swaps
@@ -177,3 +177,26 @@ def test_a_local_warehouse_is_no_work_folder_on_a_cluster():
     assert work_root(session("local[2]", "file:/home/x/warehouse")) == "file:/home/x/warehouse/airway-work"
     assert work_root(session("yarn", "hdfs://n/warehouse")) == "hdfs://n/warehouse/airway-work"
     assert work_root(session("yarn", "file:/w", "file:///shared/")) == "file:///shared"
+
+
+def test_a_crowded_cell_is_many_keys(spark, no_broadcast):
+    """All points in one cell, no broadcast: the pairs are made by many tasks."""
+    rng = random.Random(4)
+    points = spark.createDataFrame([(i, 104.0 + rng.random() / 250, 30.0 + rng.random() / 250) for i in range(40_000)], "i long, lon double, lat double")
+    centers = spark.createDataFrame([(c, 104.0 + rng.random() / 10, 30.0 + rng.random() / 10) for c in range(12)], "c long, center_lon double, center_lat double")
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        plain = radius_join(points, centers)
+        found = radius_join(points, centers, crowded_rows=1_000)
+        counts = [
+            [r["n"] for r in df.groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()] for df in (plain, found)
+        ]
+        assert rows(found, "i", "c") == rows(plain, "i", "c")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
+    assert sum(counts[0]) == sum(counts[1]) > 50_000
+    assert len(counts[0]) <= 4 and len(counts[1]) > 8 and max(counts[1]) < max(counts[0]) / 2
+    assert rows(radius_join(points, centers, crowded_rows=10**9), "i", "c") == rows(plain, "i", "c")
