@@ -204,11 +204,14 @@ def score_quality(
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the rows predicted 0; all columns stay. Rows are judged by their
-    text alone, so this reads each text once more and needs no join."""
+    text alone, so this reads each text once more and needs no join. Without labels, or with
+    labels of 1 only, no row is rejected; labels of 0 only would reject all, and are an error."""
     work = options.pop("work", None) or session_work(docs.sparkSession)
     model = train(docs, labels, id_column, text, options.get("label", "quality"), options.get("sample", SAMPLE), work)
     if isinstance(model, float):
-        return docs if model >= 0.5 else docs.limit(0)
+        if model < 0.5:
+            raise ValueError("the labels that may be learned from are all 0: nothing tells good documents")
+        return docs
     place = docs.schema.fieldNames().index(text)
 
     def run(batches):
