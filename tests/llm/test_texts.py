@@ -156,7 +156,7 @@ def test_quality_without_labels_or_with_one_class(spark, docs_of):
     assert len({r["score"] for r in quality_model.score_quality(docs_of(EDGES), one).collect()}) == 1
     assert quality_model.good_documents(docs_of(EDGES), one).count() == len(EDGES)
     assert quality_model.good_documents(docs_of(EDGES), none).count() == len(EDGES)
-    bad = spark.createDataFrame([(2, 0, 0), (3, 0, 0), (6, 0, 0)], "doc_id long, quality int, toxic int")
+    bad = spark.createDataFrame([(i, 0, 0) for i in range(1, 7)], "doc_id long, quality int, toxic int")
     with pytest.raises(ValueError, match="all 0"):
         quality_model.good_documents(docs_of(EDGES), bad)
 
