@@ -1,8 +1,9 @@
 """Main text of web pages: site templates and page furniture removed.
 
-Element subtrees are hashed and counted per host and per section of its paths; a subtree
-that recurs on many pages of either is part of the site's template and deleted. Elements whose tag, role or class
-names them as furniture (menus, footers, adverts, comments) go before that.
+Element subtrees of whole pages are hashed and counted per host and per section of its paths; a
+subtree that recurs on many pages of either is part of the site's template and deleted. What a
+page says about itself narrows the rest: its article, tags and roles of menus, footers and
+forms, and containers named for such a part.
 """
 
 from __future__ import annotations
@@ -57,29 +58,56 @@ _DROPPED = frozenset(
     "noscript template audio video label fieldset xmp".split()
 )
 _DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-_COMMENT_NAMES = frozenset("comment comments commentlist disqus replies reply respond".split())
-_DROPPED_NAMES = _COMMENT_NAMES | frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookies footer gdpr header "
-    "login masthead menu modal nav navbar navigation newsletter notice notification pager pagination paywall popup promo "
-    "promotion recommended related share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar "
+# A name is the noun a class ends in: "site-footer", "related-posts" and "ad slot-2" name furniture,
+# "related-work", "notice-period" and "with-sidebar" do not.
+_COMMENT_NAMES = frozenset("comment comments commentlist disqus replies reply respond responses discussion".split())
+_ADVERT_NAMES = frozenset("ad ads advert adverts advertisement advertising promo promotion sponsor sponsored".split())
+_DROPPED_NAMES = _COMMENT_NAMES | _ADVERT_NAMES | frozenset(
+    "banner breadcrumb breadcrumbs consent cookie cookies footer gdpr header "
+    "login masthead menu modal nav navbar navigation newsletter notice notification pager pagination paywall popup "
+    "recommended related share sharing sidebar signup skip social subscribe subscription toolbar "
     "widget".split()
 )
+_PLACES = frozenset(
+    "area articles bar block bottom box button buttons container form group icons inner item items left link links list main "
+    "outer panel posts primary right row secondary section slot stories text top unit wrap wrapper".split()
+)
+_STATES = frozenset("has is no non not with without".split())
+# Elements that a name may make furniture: never headings, paragraphs or words. An id counts on the
+# second ones only, for sections are given ids made from their headings.
+_CONTAINERS = frozenset("article aside center details div dl figure ol section table ul".split())
+_ID_CONTAINERS = frozenset("aside div ol table ul".split())
+# Of these, what no closing tag ends before the page does is not trusted to be furniture.
+_BOUNDED = frozenset("nav aside form menu dialog fieldset label select button".split())
 # Blocks that are a menu if most of their text is links.
 _LISTS = frozenset("ul ol div p table section".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+def noun_of(token: str) -> str:
+    """The last part of a class name that is more than a place; empty for names of states."""
+    parts = _NAME.findall(_CAMEL.sub(" ", token).lower())
+    if _STATES.intersection(parts):
+        return ""
+    while len(parts) > 1 and parts[-1] in _PLACES:
+        parts.pop()
+    return parts[-1] if parts else ""
+
+
 class Element:
-    __slots__ = ("tag", "names", "role", "hidden", "parent", "parts", "mark", "size", "linked")
+    __slots__ = ("tag", "names", "role", "hidden", "open", "parent", "parts", "mark", "size", "linked")
 
     def __init__(self, tag: str, parent: Element | None, raw: str = ""):
         self.tag, self.parent, self.parts, self.mark, self.size, self.linked = tag, parent, [], 0, 0, 0
-        self.names, self.role, self.hidden = frozenset(), "", False
+        self.names, self.role, self.hidden, self.open = frozenset(), "", False, True
         if raw and not raw.isspace():
             for m in _ATTRIBUTE.finditer(raw):
                 key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
                 if key in ("class", "id"):
-                    self.names |= set(_NAME.findall(_CAMEL.sub(" ", html.unescape(value)).lower()))
+                    if tag in (_CONTAINERS if key == "class" else _ID_CONTAINERS):
+                        self.names |= {noun_of(token) for token in html.unescape(value).split()}
+                    elif key == "id" and tag in _CONTAINERS:
+                        self.names |= {noun_of(value)} & {"comment", "comments", "disqus", "replies"}
                 elif key == "role":
                     self.role = value.strip().lower()
                 elif key == "itemprop":
@@ -116,6 +144,11 @@ def parse(page: str) -> Element:
                 while up is not None and up.tag != tag:
                     up = up.parent
                 if up is not None and up.parent is not None:
+                    if tag not in ("body", "html"):  # what the element holds ends with it
+                        inner = here
+                        while inner is not up:
+                            inner.open, inner = False, inner.parent
+                        up.open = False
                     here = up.parent
                 elif tag == "br":
                     here.parts.append(" ")
@@ -161,37 +194,45 @@ def measure(root: Element) -> None:
 
 
 def _is_article(e: Element) -> bool:
-    return (e.tag in ("article", "main") or e.role in ("main", "article")) and not e.names & _COMMENT_NAMES
+    named = e.names & (_COMMENT_NAMES | _ADVERT_NAMES)
+    return not named and (e.tag in ("article", "main") or e.role in ("main", "article"))
 
 
-def _furniture(e: Element, in_article: bool, holds_article: bool, whole: int) -> bool:
+def _furniture(e: Element, in_article: bool, holds_article: bool, holds_title: bool) -> bool:
     """Whether an element's tag, role or names say that it is not part of the article."""
     if e.hidden or e.tag in _DROPPED or e.role in _DROPPED_ROLES:
-        return not holds_article
+        endless = e.open and (e.tag in _BOUNDED or e.role in _DROPPED_ROLES) and not e.hidden
+        return not holds_article and not endless and not (e.tag == "form" and holds_title)
     if e.tag == "header":
         return not in_article and not holds_article
     found = e.names & _DROPPED_NAMES
-    if not found or holds_article or e.tag in ("html", "body"):
-        return False
-    if _is_article(e):
-        return False
-    if found <= {"header", "banner", "notice"} and in_article and any(x.tag in _HEADINGS for x in e.within()):
+    # A wrapper named for one of its parts holds the title of the page.
+    if not found or holds_article or holds_title or e.open or _is_article(e):
         return False
-    # A wrapper named for one of its parts ("with-sidebar") holds most of the page.
-    return bool(found & _COMMENT_NAMES) or 2 * e.size <= whole
+    return not (found <= {"header", "banner", "notice"} and in_article and any(x.tag in _HEADINGS for x in e.within()))
+
+
+def _titled(root: Element) -> set[int]:
+    """The elements, by their ``id()``, that hold every ``h1`` of the page."""
+    order = list(root.within())
+    whole = sum(e.tag == "h1" for e in order)
+    held: dict[int, int] = {}
+    for e in reversed(order):
+        held[id(e)] = sum((x.tag == "h1") + held[id(x)] for x in e.parts if not isinstance(x, str))
+    return {e for e, n in held.items() if n == whole} if whole else set()
 
 
 def main_elements(root: Element) -> tuple[list[Element], bool]:
     """What holds the main text, furniture removed, and whether the page marks it."""
-    holds = set()
+    holds: set[int] = set()
     for e in root.within():
         if _is_article(e) and not e.hidden:
             up = e.parent
             while up is not None and id(up) not in holds:
                 holds.add(id(up))
                 up = up.parent
+    titled = _titled(root)
     measure(root)
-    whole = root.size
     marked: list[Element] = []
 
     def clean(e: Element, in_article: bool, below_article: bool) -> None:
@@ -202,7 +243,9 @@ def main_elements(root: Element) -> tuple[list[Element], bool]:
             for x in here.parts:
                 if isinstance(x, str):
                     kept.append(x)
-                elif not _furniture(x, inside, id(x) in holds, whole):
+                elif here.tag == "nav" and x.tag in ("a", "ul", "ol"):  # a nav that is not trusted still has its menu
+                    continue
+                elif not _furniture(x, inside, id(x) in holds, id(x) in titled):
                     first = not inside and _is_article(x)
                     if first:
                         marked.append(x)
@@ -235,11 +278,15 @@ def _above(e: Element) -> Iterator[Element]:
         yield e
 
 
-def mark_subtrees(top: Element) -> set[int]:
-    """Hash every element below ``top`` by its tag, text and children; returns the hashes
-    of the blocks that hold text (words inside a sentence are no template)."""
+def mark_subtrees(root: Element) -> set[tuple[int, bool]]:
+    """Hash every element of the page by its tag, text and children; returns the hashes of the
+    blocks that hold text (words inside a sentence are no template), and whether each is
+    inside an article."""
     found = set()
-    order = list(top.within())
+    order = list(root.within())
+    inside: dict[int, bool] = {}
+    for e in order:
+        inside[id(e)] = e.parent is not None and (inside[id(e.parent)] or _is_article(e.parent))
     texts: dict[int, bool] = {}
     for e in reversed(order):
         digest, some = xxhash.xxh64(e.tag), False
@@ -252,9 +299,9 @@ def mark_subtrees(top: Element) -> set[int]:
                 some = some or texts[id(x)]
                 digest.update(x.mark.to_bytes(8, "big"))
         e.mark, texts[id(e)] = digest.intdigest(), some
-        if some and e is not top and e.tag in _BLOCK:
-            found.add(e.mark)
-    return {m - (1 << 64) if m >> 63 else m for m in found}
+        if some and e is not root and e.tag in _BLOCK:
+            found.add((e.mark - (1 << 64) if e.mark >> 63 else e.mark, inside[id(e)]))
+    return found
 
 
 def blocks(top: Element, deleted: frozenset[int] | set[int] = frozenset()) -> list[str]:
@@ -281,6 +328,8 @@ def blocks(top: Element, deleted: frozenset[int] | set[int] = frozenset()) -> li
                 flush()
                 stack.append(None)
             stack.extend(reversed(here.parts))
+        elif here.tag in _BLOCK:
+            flush()
     flush()
     return out
 
@@ -310,34 +359,37 @@ def _decoded(raw: bytes | None) -> str:
 
 def template_subtrees(pages: DataFrame, work: Work) -> DataFrame:
     """``key, marks`` of the pages (``key, host, areas, html``) that hold template subtrees
-    of any of their areas; staged. A subtree counts once for every different main text it
-    occurs with, so copies of a page make nothing a template. Pages without a host are not
-    compared."""
+    of any of their areas; staged. Subtrees of the whole page are counted, those inside an
+    article by themselves. A subtree counts once for every different main text it occurs
+    with, so copies of a page make nothing a template. Pages without a host are not compared."""
 
     def start():
         def run(columns):
-            out: tuple[list, ...] = ([], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [])
             for key, areas, raw in zip(*columns, strict=True):
-                tops, marked = main_elements(parse(_decoded(raw)))
-                found = set().union(*(mark_subtrees(t) for t in tops))
+                root = parse(_decoded(raw))
+                found = mark_subtrees(root)
+                tops, marked = main_elements(root)
                 text = "\n".join(b for t in tops for b in blocks(t))
                 sign = xxhash.xxh64_intdigest(text) >> 1
-                for mark in [0, *found]:
-                    for column, value in zip(out, (key, areas, mark, marked, sign), strict=True):
+                for mark, inside in [(0, False), *found]:
+                    for column, value in zip(out, (key, areas, mark, inside, marked, sign), strict=True):
                         column.append(value)
             return list(out)
 
         return run
 
     rows = pages.where("host <> ''").select("key", "areas", "html")
-    found = work.stage(map_batches(rows, start, "key string, areas array<long>, mark long, marked boolean, sign long"), "subtrees")
-    placed = found.select("key", F.explode("areas").alias("area"), "mark", "marked", "sign")
-    once = placed.drop("key").distinct().groupBy("area", "mark", "marked").agg(F.count("*").alias("n"))
-    sizes = once.where("mark = 0").groupBy("area").agg(F.sum("n").alias("pages")).where(F.col("pages") >= TEMPLATE_PAGES)
-    share = F.when(F.col("marked"), TEMPLATE_SHARE_IN_ARTICLE).otherwise(TEMPLATE_SHARE)
-    many = (F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= share * F.col("pages"))
-    template = once.where(f"mark <> 0 AND n >= {TEMPLATE_PAGES}").join(sizes, "area").where(many).select("area", "mark", "marked")
-    hits = placed.join(work.stage(template, "template"), ["area", "mark", "marked"])
+    schema = "key string, areas array<long>, mark long, inside boolean, marked boolean, sign long"
+    found = work.stage(map_batches(rows, start, schema), "subtrees")
+    placed = found.withColumn("area", F.explode("areas"))
+    once = placed.select("area", "mark", "inside", "sign").distinct().groupBy("area", "mark", "inside").agg(F.count("*").alias("n"))
+    sizes = once.where("mark = 0").select("area", F.col("n").alias("pages")).where(F.col("pages") >= TEMPLATE_PAGES)
+    share = F.when(F.col("inside"), TEMPLATE_SHARE_IN_ARTICLE).otherwise(TEMPLATE_SHARE)
+    many = F.col("n") >= share * F.col("pages")
+    template = once.where(f"mark <> 0 AND n >= {TEMPLATE_PAGES}").join(sizes, "area").where(many).select("area", "mark", "inside")
+    # Of a page that marks its article only that is read.
+    hits = placed.where("inside = marked").join(work.stage(template, "template"), ["area", "mark", "inside"])
     return work.stage(hits.groupBy("key").agg(F.collect_set("mark").alias("marks")), "hits")
 
 
@@ -353,8 +405,10 @@ def extract_main_text(
     ``text`` joins the blocks of the main text by line breaks, character references
     decoded and white space inside a block made one space; empty for null and empty
     pages and where nothing is left. Where a page marks its article (or main part), only
-    that is read. A page whose blocks would all go as template keeps them. Repeated rows
-    and rows without id or URL give a row each; nothing is cut."""
+    that is read. A page of template alone has no text. Names count on containers only, and
+    not where an element holds the article or the page's title. Pages of any length are read
+    whole, an empty table gives no rows. Repeated rows and rows without id or URL give a row
+    each, copies of a page the same text; other columns are not read."""
     work = work or session_work(pages.sparkSession)
     rows = pages.select(F.col(id_column).alias("id"), F.col(url).alias("url"), host_of(url).alias("host"), as_bytes(page, "html"))
     rows = rows.withColumn("folders", folders_of("url")).withColumn("areas", areas_of("host", "folders"))
@@ -369,13 +423,11 @@ def extract_main_text(
         def run(columns):
             texts = []
             for raw, marks in zip(columns[2], columns[3], strict=True):
-                tops, _ = main_elements(parse(_decoded(raw)))
-                found = []
+                root = parse(_decoded(raw))
                 if marks:
-                    for t in tops:
-                        mark_subtrees(t)
-                    found = [b for t in tops for b in blocks(t, set(marks))]
-                texts.append("\n".join(found or [b for t in tops for b in blocks(t)]))
+                    mark_subtrees(root)
+                deleted = frozenset(marks or ())
+                texts.append("\n".join(b for t in main_elements(root)[0] for b in blocks(t, deleted)))
             return columns[0], columns[1], texts, [len(t) for t in texts]
 
         return run
