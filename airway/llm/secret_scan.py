@@ -33,22 +33,32 @@ CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{20,}")
 class CharClass:
     """Characters of one alphabet, the window that slides over their runs and the
     entropy (bits a character) from which a window is taken for random. ``needs``: sets
-    of characters of which a window must hold at least one each."""
+    of characters of which a window must hold at least ``least`` each."""
 
     run: re.Pattern
     window: int
     bits: float
     needs: tuple[bytes, ...]
+    least: int = 1
 
 
 _DIGITS, _LOWER, _UPPER = b"0123456789", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Random strings of the window's length reach the bound in 99 cases of 100.
 CLASSES = (
-    CharClass(re.compile(rb"[0-9A-F]{32,}|[0-9a-f]{32,}"), 32, 3.0, (_DIGITS, b"abcdefABCDEF")),
-    CharClass(re.compile(rb"[A-Z2-7]{24,}"), 24, 3.6, (b"234567", _UPPER)),
-    CharClass(re.compile(rb"[a-z0-9]{20,}"), 20, 3.4, (_DIGITS, _LOWER)),
-    CharClass(re.compile(rb"[A-Z0-9]{20,}"), 20, 3.4, (_DIGITS, _UPPER)),
-    CharClass(re.compile(rb"[A-Za-z0-9+/_=-]{20,}"), 20, 3.7, (_DIGITS, _LOWER, _UPPER)),
+    CharClass(re.compile(rb"[0-9A-F]{20,}|[0-9a-f]{20,}"), 20, 2.85, (_DIGITS, b"abcdefABCDEF")),
+    CharClass(re.compile(rb"[A-Z2-7]{24,}"), 24, 3.5, (b"234567", _UPPER)),
+    CharClass(re.compile(rb"[a-z0-9]{20,}"), 20, 3.35, (_DIGITS, _LOWER)),
+    CharClass(re.compile(rb"[A-Z0-9]{20,}"), 20, 3.35, (_DIGITS, _UPPER)),
+    CharClass(re.compile(rb"[A-Za-z0-9+/_=-]{20,}"), 20, 3.55, (_DIGITS, _LOWER, _UPPER)),
 )
+# Words put together hold few letters of one of the cases; that, not their form, tells them apart.
+LETTERS = CharClass(re.compile(rb"[A-Za-z0-9]{20,}"), 20, 3.5, (_LOWER, _UPPER), 6)
+# Strings with dots and signs inside, looked for where there are such; addresses of mail are none.
+JOINED = re.compile(rb"[A-Za-z0-9+/_=.!@#$%^&*-]{20,}")
+SIGN = re.compile(rb"[A-Za-z0-9+/_=-][.!@#$%^&*]+[A-Za-z0-9+/_=-]")
+SIGNS = CharClass(JOINED, 20, 3.65, (_LOWER, _UPPER, _DIGITS + b"!@#$%^&*"), 2)
+ADDRESS = re.compile(rb"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
+_ENDS = b".!*"
 # Strings known to be harmless as a whole: identifiers in the usual grouping, and words.
 ALLOWED = re.compile(rb"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[A-Za-z]+([/_-][A-Za-z]+)*[0-9]{0,4}")
 # What is harmless inside a string: placeholders, the alphabet, and at its start one
@@ -73,7 +83,7 @@ def random_ranges(run: bytes, kind: CharClass) -> list[tuple[int, int]]:
     cost = [0.0] + [c * math.log2(c) for c in range(1, w + 1)]
     needs = [frozenset(s) for s in kind.needs]
     counts = [0] * 256
-    missing = [0] * len(needs)
+    held = [0] * len(needs)
     total = 0.0  # sum of c * log2(c)
     found: list[tuple[int, int]] = []
     bound = (math.log2(w) - kind.bits) * w + 1e-9
@@ -81,14 +91,14 @@ def random_ranges(run: bytes, kind: CharClass) -> list[tuple[int, int]]:
         total += cost[counts[c] + 1] - cost[counts[c]]
         counts[c] += 1
         for k, s in enumerate(needs):
-            missing[k] += c in s
+            held[k] += c in s
         if i >= w:
             old = run[i - w]
             total += cost[counts[old] - 1] - cost[counts[old]]
             counts[old] -= 1
             for k, s in enumerate(needs):
-                missing[k] -= old in s
-        if i >= w - 1 and total <= bound and all(missing):
+                held[k] -= old in s
+        if i >= w - 1 and total <= bound and min(held) >= kind.least:
             start = i - w + 1
             if found and start <= found[-1][1]:
                 found[-1] = (found[-1][0], i + 1)
@@ -118,9 +128,10 @@ def merge(spans: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return merged
 
 
-def unexplained(candidate: bytes) -> list[tuple[int, int]]:
-    """The ranges of a candidate that the allow-list does not explain."""
-    if ALLOWED.fullmatch(candidate):
+def unexplained(candidate: bytes, names: bool = True) -> list[tuple[int, int]]:
+    """The ranges of a candidate that the allow-list does not explain. Without ``names`` a
+    string is not taken for harmless because it has the form of a name."""
+    if names and ALLOWED.fullmatch(candidate):
         return []
     start = REPEATED.match(candidate)
     found = [(0, 0, start.end())] if start else []
@@ -141,6 +152,23 @@ def unexplained(candidate: bytes) -> list[tuple[int, int]]:
     return left
 
 
+def entropy_ranges(text: bytes) -> Iterator[tuple[int, int]]:
+    """The ranges of high entropy of every class, wherever the allow-list does not explain them."""
+    for m in CANDIDATE.finditer(text):
+        looked = [*product(CLASSES, unexplained(m[0])), *product([LETTERS], unexplained(m[0], names=False))]
+        for kind, (first, end) in looked:
+            for run in kind.run.finditer(text, m.start() + first, m.start() + end):
+                for a, b in random_ranges(run[0], kind):
+                    yield run.start() + a, run.start() + b
+    for m in JOINED.finditer(text):
+        if SIGN.search(m[0]) and not ADDRESS.fullmatch(m[0].strip(_ENDS)):
+            for first, end in unexplained(m[0]):
+                for a, b in random_ranges(m[0][first:end], SIGNS):
+                    found = m[0][first + a : first + b]
+                    start = m.start() + first + a + len(found) - len(found.lstrip(_ENDS))
+                    yield start, start + len(found.strip(_ENDS))
+
+
 def scan(text: bytes) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of every secret, in bytes, sorted by start, then kind."""
     spans = []
@@ -152,11 +180,8 @@ def scan(text: bytes) -> list[tuple[int, int, int]]:
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = merge(spans)
     more: set[tuple[int, int, int]] = set()
-    for m in CANDIDATE.finditer(text):
-        for kind, (first, end) in product(CLASSES, unexplained(m[0])):
-            for run in kind.run.finditer(text, m.start() + first, m.start() + end):
-                for a, b in random_ranges(run[0], kind):
-                    more.update((x, 3, y) for x, y in left_of(text, run.start() + a, run.start() + b, base))
+    for a, b in entropy_ranges(text):
+        more.update((x, 3, y) for x, y in left_of(text, a, b, base))
     return sorted(spans + merge(more))
 
 
@@ -175,8 +200,9 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     end exclusive) sorted by start, then kind as in ``KINDS``.
 
     Kinds ``assign``, ``access`` and ``hex`` are what the fixed patterns match. ``entropy``
-    is what these leave of windows of high entropy that the allow-list does not explain. Null and empty texts have none. Rows are independent: repeated rows and rows
-    without id give a result each; other columns are not read."""
+    is what these leave of windows of high entropy that the allow-list does not explain. Null
+    and empty texts have none, texts of any length are read whole, an empty table gives no rows. Rows
+    are independent: repeated rows and rows without id give a result each; other columns are not read."""
 
     def start():
         def work(columns):
