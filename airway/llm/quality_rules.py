@@ -29,8 +29,9 @@ MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.28
 WORD_NOISE = 2.0
 # Shorter documents say too little about their words to be judged by them.
 WORD_GUARD = 100
-# A language of fewer documents has no reference, and no document of it is rejected by distance.
-LANGUAGE_GUARD = 50
+# A reference made from few documents is uncertain itself: both bounds grow by this over the root of
+# their number, whatever it is.
+REFERENCE_NOISE = 1.0
 _UNIT = 1_000_000
 
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "quote", "symbol", "other", "beyond")
@@ -115,13 +116,12 @@ def _shares(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return parts.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
 
 
-def references(docs: DataFrame, lang: str, text: str, common: int, guard: int, work: Work) -> dict:
-    """Language -> (class shares, common words, their shares). Reads the whole corpus; only
-    the common words of each language come to the driver. A language of fewer than
-    ``guard`` documents has no reference, and no language (null) none either."""
+def references(docs: DataFrame, lang: str, text: str, common: int, work: Work) -> dict:
+    """Language -> (class shares, common words, their shares, documents). Reads the whole
+    corpus; only the common words of each language come to the driver. No language (null)
+    has no reference."""
     sums = work.stage(_shares(docs, lang, text), "shares")
-    large = work.stage(sums.where(f"kind = -2 AND lang IS NOT NULL AND n >= {guard}").select("lang"), "languages")
-    own = sums.join(large, "lang").select("lang", "kind", "word", "n")
+    own = sums.where("lang IS NOT NULL")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     words = own.where("kind = -1").withColumn("_rank", rank).where(F.col("_rank") <= common).drop("_rank")
     made: dict = {}
@@ -129,11 +129,11 @@ def references(docs: DataFrame, lang: str, text: str, common: int, guard: int, w
         made.setdefault(language, {})[kind, bytes(word)] = n
     result = {}
     for language, found in made.items():
-        total = found[-2, b""] * _UNIT
+        n_docs = found[-2, b""]
         chars = np.array([found.get((k, b""), 0) for k in range(len(CLASSES))], float)
         top = sorted(w for k, w in found if k == -1)
-        share = np.array([found[-1, w] / total for w in top])
-        result[language] = (chars / chars.sum(), top, np.append(share, max(0.0, 1 - share.sum())))
+        share = np.array([found[-1, w] / (n_docs * _UNIT) for w in top])
+        result[language] = (chars / chars.sum(), top, np.append(share, max(0.0, 1 - share.sum())), n_docs)
     return result
 
 
@@ -154,21 +154,24 @@ def judge_quality(
 
     A text fails the base rules with fewer than 50 words or more than half of its words
     in repeated 3-word windows; null and empty texts have no words and fail. Others are
-    kept if both distances to the reference of their language stay within the bounds (that
-    on words grows for short texts by ``WORD_NOISE`` over the root of the word count); texts of fewer than ``word_guard`` words are judged by characters alone (their word
-    distance is null). A null language, or one of too few documents for a reference, gives
-    no distance: its texts are kept unless they fail the base rules.
-    Rows are judged by themselves: repeated rows and rows without id give a row each."""
+    kept if both distances to the reference of their language stay within the bounds. These
+    grow by ``REFERENCE_NOISE`` over the root of the number of documents that the reference
+    is made from, that on words also for short texts by ``WORD_NOISE`` over the root of the
+    word count; texts of fewer than ``word_guard`` words are judged by characters alone (their
+    word distance is null). A null language gives no distance: its texts are kept unless
+    they fail the base rules. Texts of any length are read whole, an empty table gives no
+    rows; words of equal shares are common in byte order. Rows are judged by themselves:
+    repeated rows and rows without id give a row each; other columns are not read."""
     work = work or session_work(docs.sparkSession)
-    known = references(docs, lang, text, common, LANGUAGE_GUARD, work)
+    known = references(docs, lang, text, common, work)
 
     def start():
-        places = {language: {w: i for i, w in enumerate(top)} for language, (_, top, _) in known.items()}
+        places = {language: {w: i for i, w in enumerate(top)} for language, (_, top, _, _) in known.items()}
 
         def distances(language, raw, n_words):
             if language not in known or n_words < MIN_WORDS:
                 return None, None
-            chars, top, shares = known[language]
+            chars, top, shares, _ = known[language]
             counts = class_counts(raw)
             by_char = js_distance(counts / counts.sum(), chars)
             words = plain_words(raw)
@@ -187,8 +190,9 @@ def judge_quality(
                 base = base_counts(raw, space_words(raw))
                 failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
                 near = distances(language, raw, base[0])
-                noise = WORD_NOISE / max(1, base[0]) ** 0.5
-                far = (near[0] or 0.0) > max_char_distance or (near[1] or 0.0) > max_word_distance + noise
+                slack = REFERENCE_NOISE / known[language][3] ** 0.5 if language in known else 0.0
+                noise = slack + WORD_NOISE / max(1, base[0]) ** 0.5
+                far = (near[0] or 0.0) > max_char_distance + slack or (near[1] or 0.0) > max_word_distance + noise
                 rows.append((*base, *near, failed, not failed and not far))
             return [ids, *(list(c) for c in zip(*rows))] if rows else [[] for _ in range(10)]
 
