@@ -1,13 +1,14 @@
 """Benchmark texts in documents, by Wu-Manber search over words.
 
 The strings to find are windows of consecutive item words. A table gives for every block
-of two words how far the search may move on; only where it may not move, a bucket of the
-window's last words names the windows to compare directly. Windows of one length share a
-table, so that a short item does not shorten the steps of the others.
+of two words how far the search may move on; only where it may not move, the bucket of a
+suffix hash, over all words of a window, names the places of item words to compare directly.
+Windows of one length share a table, so that a short item does not shorten the steps of the others.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -18,27 +19,44 @@ from airway.llm.linking import semi_join
 from airway.sources.staging import Work, session_work
 
 WINDOW = 10
-# Item words searched for in one pass over the documents; a larger benchmark takes several passes.
-PASS_WORDS = 2_000_000
+# Item words, and bytes of item texts, searched for in one pass over the documents; a larger benchmark
+# takes several passes. A task's tables take about 250 bytes a word.
+PASS_WORDS, PASS_BYTES = 500_000, 16_000_000
 
 
 class WordSearch:
-    """Wu-Manber tables of all windows that have one length."""
+    """Wu-Manber tables of all windows that have one length. ``words`` are those of all items
+    in one list, ``starts`` the place of each item's first."""
 
-    def __init__(self, length: int):
-        self.length = length
+    def __init__(self, length: int, words: list[bytes], starts: list[int]):
+        self.length, self.words, self.starts = length, words, starts
         self.block = min(2, length)
-        self.shift: dict[tuple, int] = {}
-        self.buckets: dict[tuple, dict[tuple, list[int]]] = {}
+        # By hashes: of two blocks that share one the smaller step holds.
+        self.shift: dict[int, int] = {}
+        self.buckets: dict[int, list[int] | int] = {}
 
-    def add(self, window: tuple, item: int) -> None:
+    def _item(self, place: int) -> int:
+        return bisect_right(self.starts, place) - 1
+
+    def add(self, place: int) -> None:
         m, b = self.length, self.block
+        window = tuple(self.words[place : place + m])
         for end in range(b, m + 1):
-            block = window[end - b : end]
+            block = hash(window[end - b : end])
             self.shift[block] = min(self.shift.get(block, m), m - end)
-        known = self.buckets.setdefault(window[m - b :], {}).setdefault(window, [])
-        if not known or known[-1] != item:
-            known.append(item)
+        key = hash(window)
+        known = self.buckets.get(key)
+        if known is None:
+            self.buckets[key] = place
+            return
+        places = known if isinstance(known, list) else [known]
+        # Items come one after the other: a window that this item has already is not listed again.
+        if self._item(places[-1]) != self._item(place) or not self._holds(places[-1], window):
+            places.append(place)
+            self.buckets[key] = places
+
+    def _holds(self, place: int, window: tuple) -> bool:
+        return tuple(self.words[place : place + self.length]) == window
 
     def find(self, words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
         """Start and items of every occurrence."""
@@ -47,26 +65,35 @@ class WordSearch:
         end = m
         while end <= n:
             block = (words[end - 2], words[end - 1]) if b == 2 else (words[end - 1],)
-            step = shift.get(block, far)
+            step = shift.get(hash(block), far)
             if step:
                 end += step
                 continue
-            items = buckets[block].get(tuple(words[end - m : end]))
-            if items is not None:
-                yield end - m, items
+            window = tuple(words[end - m : end])
+            known = buckets.get(hash(window))
+            if known is not None:
+                items = [self._item(p) for p in (known if isinstance(known, list) else [known]) if self._holds(p, window)]
+                if items:
+                    yield end - m, items
             end += 1
 
 
 def build(items: list[list[bytes]], window: int) -> list[WordSearch]:
     """Tables for the windows of items given as words, by window length."""
     tables: dict[int, WordSearch] = {}
-    for number, words in enumerate(items):
-        length = min(window, len(words))
+    one: dict[bytes, bytes] = {}  # equal words are one object
+    words: list[bytes] = []
+    starts: list[int] = []
+    for item in items:
+        starts.append(len(words))
+        words.extend(one.setdefault(w, w) for w in item)
+    for start, item in zip(starts, items, strict=True):
+        length = min(window, len(item))
         if not length:
             continue
-        table = tables.setdefault(length, WordSearch(length))
-        for start in range(len(words) - length + 1):
-            table.add(tuple(words[start : start + length]), number)
+        table = tables.setdefault(length, WordSearch(length, words, starts))
+        for place in range(start, start + len(item) - length + 1):
+            table.add(place)
     return list(tables.values())
 
 
@@ -86,16 +113,17 @@ def search(tables: list[WordSearch], words: list[bytes]) -> tuple[list[tuple[int
     return merged, items
 
 
-def _passes(benchmark: DataFrame, id_column: str, text: str, limit: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items as words, streamed to the driver in groups of about ``limit`` words."""
-    group, held = [], 0
+def _passes(benchmark: DataFrame, id_column: str, text: str, limit: int, limit_bytes: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+    """Items as words, streamed to the driver in groups of about ``limit`` words or ``limit_bytes``."""
+    group, held, size = [], 0, 0
     for name, raw in benchmark.select(F.col(id_column).cast("string"), as_bytes(text)).toLocalIterator(prefetchPartitions=False):
         words = plain_words(bytes(raw or b""))
         group.append((name or "", words))
         held += len(words)
-        if held >= limit:
+        size += len(raw or b"")
+        if held >= limit or size >= limit_bytes:
             yield group
-            group, held = [], 0
+            group, held, size = [], 0, 0
     yield group
 
 
@@ -108,6 +136,7 @@ def find_benchmark(
     item_text: str = "text",
     window: int = WINDOW,
     pass_words: int = PASS_WORDS,
+    pass_bytes: int = PASS_BYTES,
     work: Work | None = None,
 ) -> DataFrame:
     """One row per document: ``id, print, n_words, hits, items``; reads the benchmark.
@@ -119,8 +148,11 @@ def find_benchmark(
     texts have no words, on either side. An item without id is searched for under the
     empty id. Repeated rows give repeated results; ``print`` is ``xxhash64`` of the text.
 
+    Texts of any length are read whole; empty tables give no rows or no hits. Other columns of
+    either table are not read. Items with equal windows are all named.
+
     Item words are bounded per pass: documents are scanned once for every
-    ``pass_words`` item words and the results of the passes united."""
+    ``pass_words`` item words, or ``pass_bytes`` of their texts, and the results of the passes united."""
     rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("print"), as_bytes(text))
 
     def scan(group):
@@ -144,7 +176,7 @@ def find_benchmark(
         schema = "id long, print long, n_words long, hits array<struct<from:long,to:long>>, items array<string>"
         return map_batches(rows, start, schema)
 
-    scans = [scan(group) for group in _passes(benchmark, item_id, item_text, pass_words)]
+    scans = [scan(group) for group in _passes(benchmark, item_id, item_text, pass_words, pass_bytes)]
     if len(scans) == 1:
         return scans[0]
     work = work or session_work(docs.sparkSession)
