@@ -224,14 +224,14 @@ def distances(fx: Fixtures) -> DataFrame:
 )
 def distance_in_sql_text(fx: Fixtures) -> DataFrame:
     """The distance function called from SQL on joined rows."""
-    from airway.operators.spatial import radius_join
+    from airway.operators.spatial import SITE, radius_join, sites_of, spread_to_centers
 
     geo.register_sql_functions(fx.spark)
-    centers = fx.sites().select("station_code", F.col("lon").alias("center_lon"), F.col("lat").alias("center_lat"))
-    points = fx.events().select("event_id", "lon", "lat")
-    pairs = radius_join(points, centers, 5000)
+    sites, points = fx.sites(), fx.events().select("event_id", "lon", "lat")
+    pairs = radius_join(points, sites_of(sites), 5000)
     close = pairs.where(F.expr("distance(lon, lat, center_lon, center_lat) < 2000 AND dis2(lon, lat, center_lon, center_lat) < 4000000"))
-    return close.groupBy("station_code").agg(F.count("*").alias("points"))
+    counted = spread_to_centers(close.groupBy(*SITE).agg(F.count("*").alias("points")), sites, ["station_code"])
+    return counted.groupBy("station_code").agg(F.sum("points").alias("points"))
 
 
 _GX, _GY = f"({_ELON} - 105.0)", f"({_ELAT} - 35.0)"
