@@ -40,14 +40,19 @@ def file_size(spark: SparkSession, target_bytes: int) -> Iterator[None]:
 
 
 def write_partitions(
-    df: DataFrame, path: str, keys: tuple[str, ...] = HOUR_KEYS, overwrite: bool = False
+    df: DataFrame,
+    path: str,
+    keys: tuple[str, ...] = HOUR_KEYS,
+    overwrite: bool = False,
+    derived: Mapping[str, Column] | None = None,
 ) -> None:
     """Append to, or replace, the partitions present in ``df``.
 
     Rows of a partition are brought together, so a small one becomes one file;
-    a large one is split by size rather than left to a single task.
+    a large one is split by size rather than left to a single task. ``derived`` columns are
+    computed from the gathered rows, so they are not shuffled and do not count as their size.
     """
-    gathered = df.hint("rebalance", *[F.col(k) for k in keys])
+    gathered = df.hint("rebalance", *[F.col(k) for k in keys]).withColumns(dict(derived or {}))
     _write(gathered, path, keys, overwrite)
 
 

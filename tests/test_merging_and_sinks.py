@@ -253,3 +253,19 @@ def test_backfill_leaves_no_staged_tables(spark):
     owner.close()
     target = spark._jvm.org.apache.hadoop.fs.Path(folder)
     assert not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def test_derived_columns_are_not_shuffled(spark):
+    """Wide columns neither cross the exchange nor split a partition into more files."""
+    path = staging.staging_path(spark, "wide")
+    df = spark.range(0, 2000, 1, 4).select("id", F.lit("2024-01-01").alias("publish_date"), F.lit("05").alias("hour"))
+    wide = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.sha2(F.concat(F.col("id"), i), 512)), "")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200000")
+    try:
+        sinks.write_partitions(df, path, derived={"pad": wide})
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    stored = scans.read_partitioned(spark, path)
+    assert stored.where("length(pad) = 5120").count() == 2000
+    assert swaps.listed_files(spark, path, scans.HOUR_KEYS).count() == 1
