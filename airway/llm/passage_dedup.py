@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,25 +108,28 @@ def units(text: bytes) -> tuple[np.ndarray, ...]:
 
 
 _BANDS = [f"band{i}" for i in range(BANDS)]
+_PLACES = ("first", "last", "start", "end")
 
 
 def _units(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    names = ["first", "last", "start", "end", "a", "b", *_BANDS]
+    names = ["first", "last", "start", "end", "a", *_BANDS]
 
     def start():
         def work(columns):
-            made = [units(raw or b"") for raw in columns[1]]
+            # Without the second half of the hash, which no step reads.
+            made = [[c for i, c in enumerate(units(raw or b"")) if i != 5] for raw in columns[1]]
             ids = np.repeat(np.array(columns[0], np.int64), [len(m[0]) for m in made]) if made else np.empty(0, np.int64)
             return [pa.array(ids), *(pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*made, strict=True))]
 
         return work
 
     rows = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), as_bytes(text))
-    return map_batches(rows, start, "id long, " + ", ".join(f"{n} {'int' if n in ('first', 'last') else 'long'}" for n in names))
+    return map_batches(rows, start, "id long, " + ", ".join(f"{n} {'int' if n in _PLACES else 'long'}" for n in names))
 
 
 def _words_of(docs: DataFrame, id_column: str, text: str, wanted: DataFrame) -> DataFrame:
-    """``a, id, first, words`` of nodes, read from the one occurrence given (``a, id, first``)."""
+    """``a, id, first, words`` of nodes, read from the one occurrence given (``a, id, first``); as often
+    as rows of this id have it."""
     places = wanted.groupBy("id").agg(F.collect_list(F.struct("first", "a")).alias("places"))
 
     def start():
@@ -149,27 +153,53 @@ def _words_of(docs: DataFrame, id_column: str, text: str, wanted: DataFrame) ->
         return work
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"), as_bytes(text)).join(places, "id").select("id", text, "places")
-    return map_batches(rows, start, "a long, id long, first int, words array<long>").dropDuplicates(["a"])
+    return map_batches(rows, start, "a long, id long, first int, words array<long>")
 
 
 def _key(hashed: np.ndarray) -> int:
     return int((hashed * _powers(_MULTIPLY[0], len(hashed))[:-1]).sum(dtype=np.uint64).view(np.int64))
 
 
+def _padded(arrays: pa.ListArray, fill: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes, and a column for each position with the values there, ``fill`` where there are none."""
+    sizes = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    found = np.full((len(sizes), int(sizes.max(initial=0))), fill, np.int64)
+    found[np.arange(found.shape[1]) < sizes[:, None]] = arrays.flatten().to_numpy(zero_copy_only=False)
+    return sizes, np.ascontiguousarray(found.T)
+
+
+def distances(x: pa.ListArray, y: pa.ListArray) -> np.ndarray:
+    """Edit distances of arrays of numbers, pair by pair. The table of a pair is filled row by
+    row, each cell for all pairs at once; a pair's distance stands where both arrays end."""
+    (size_x, of_x), (size_y, of_y) = _padded(x, 0), _padded(y, 0)
+    found = np.where(size_x == 0, size_y, 0).astype(np.int32)
+    row = [np.full(len(found), j, np.int32) for j in range(len(of_y) + 1)]
+    for i, values in enumerate(of_x, 1):
+        before, row[0] = row[0], np.full(len(found), i, np.int32)
+        for j, others in enumerate(of_y, 1):
+            cell = np.minimum(row[j], row[j - 1]) + np.int32(1)
+            np.minimum(cell, before + (values != others), out=cell)
+            before, row[j] = row[j], cell
+        ended = np.flatnonzero(size_x == i)
+        if len(ended):
+            found[ended] = np.stack([r[ended] for r in row])[size_y[ended], np.arange(len(ended))]
+    return found
+
+
 def edit_distance(x: Column, y: Column) -> Column:
-    """Edit distance of two short arrays: each value becomes the character of its place among
-    the values of both."""
-    both = F.array_distinct(F.concat(x, y))
+    """Edit distance of two short arrays."""
 
-    def text(values: Column) -> Column:
-        return F.array_join(F.transform(values, lambda w: F.char(F.array_position(both, w) + 32)), "")
+    @F.arrow_udf("int")
+    def of(xs: pa.Array, ys: pa.Array) -> pa.Array:
+        steps = range(0, len(xs), 4096)
+        return pa.array(np.concatenate([distances(xs.slice(i, 4096), ys.slice(i, 4096)) for i in steps]) if len(xs) else [], pa.int32())
 
-    return F.levenshtein(text(x), text(y))
+    return of(x, y)
 
 
 def _verified(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
     """The pairs that are similar. Units that overlap are like each other and repeat nothing."""
-    full = pairs
+    full, words = pairs, words.dropDuplicates(["a"])
     for side in ("x", "y"):
         full = full.join(words.select(F.col("a").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("id", "first", "words")]), side)
     full = full.where((F.col("id_x") != F.col("id_y")) | (F.abs(F.col("first_x") - F.col("first_y")) >= LEAST + DENSE))
@@ -182,23 +212,26 @@ def _near_roots(docs: DataFrame, id_column: str, text: str, lists: DataFrame, pe
     """``node, root`` of nodes that are like another node of one of their lists. ``lists``:
     staged ``band, a, low``. First each node meets the least of its list; then nodes of
     different components meet in the lists that still mix some, a pair in one list only."""
-    leaders = lists.groupBy("band").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("band", "x")
-    mixed = work.stage(lists.join(leaders, "band").select("band", "x", "a", "low"), "mixed")
-    ends = mixed.select("a", "low.id", "low.first").groupBy("a").agg(F.min(F.struct("id", "first")).alias("low"))
-    words = work.stage(_words_of(docs, id_column, text, ends.select("a", "low.id", "low.first")), "words")
-    tries = mixed.where("a <> x").select("x", F.col("a").alias("y")).distinct()
-    first = work.stage(_verified(tries, words, percent), "links")
-    roots = components(first, work)
-
-    rooted = mixed.select("band", "a").join(roots, F.col("a") == F.col("node"), "left").select("band", "a", F.coalesce("root", "a").alias("root"))
-    rooted = work.stage(rooted, "rooted")
-    still = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("a").alias("leader")).where("low <> high")
-    open_rows = work.stage(rooted.join(still.select("band", "leader"), "band"), "open")
-    left = open_rows.where("a <> leader").select("band", F.col("a").alias("x"), F.col("root").alias("root_x"))
-    right = open_rows.where("a <> leader").select("band", F.col("a").alias("y"), F.col("root").alias("root_y"))
-    rest = left.join(right, "band").where("root_x < root_y").select("x", "y").distinct()
-    second = work.stage(_verified(rest, words, percent), "links")
-    return roots if second.isEmpty() else components(first.unionByName(second), work)
+    of_list = Window.partitionBy("band")
+    with Work(docs.sparkSession) as own:
+        ends = lists.select("band", "a", "low", F.min("a").over(of_list).alias("x"), F.max("a").over(of_list).alias("_y"))
+        mixed = own.stage(ends.where("x <> _y").drop("_y"), "mixed")
+        places = mixed.select("a", "low.id", "low.first").groupBy("a").agg(F.min(F.struct("id", "first")).alias("low"))
+        words = own.stage(_words_of(docs, id_column, text, places.select("a", "low.id", "low.first")), "words")
+        tries = mixed.where("a <> x").select("x", F.col("a").alias("y")).distinct()
+        first = own.stage(_verified(tries, words, percent), "links")
+        roots = components(first, work)
+
+        # ``x`` is the leader of the list, which all others have met.
+        rooted = mixed.select("band", "a", "x").join(roots, F.col("a") == F.col("node"), "left")
+        rooted = rooted.select("band", "a", "x", F.coalesce("root", "a").alias("root"))
+        still = rooted.select("*", F.min("root").over(of_list).alias("_low"), F.max("root").over(of_list).alias("_high"))
+        open_rows = own.stage(still.where("_low <> _high AND a <> x").select("band", "a", "root"), "open")
+        left = open_rows.select("band", F.col("a").alias("x"), F.col("root").alias("root_x"))
+        right = open_rows.select("band", F.col("a").alias("y"), F.col("root").alias("root_y"))
+        rest = left.join(right, "band").where("root_x < root_y").select("x", "y").distinct()
+        second = own.stage(_verified(rest, words, percent), "links")
+        return roots if second.isEmpty() else components(first.unionByName(second), work)
 
 
 def repeated_passages(
@@ -219,12 +252,12 @@ def repeated_passages(
     Ids are integers; other columns are not read."""
     work = work or session_work(docs.sparkSession)
     found = work.stage(_units(docs, id_column, text), "units")
-    banded = found.select(F.explode(F.array(*_BANDS)).alias("band"), "a", "id", "first")
-    often = banded.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1").select("band")
+    banded = found.select(F.explode(F.array(*_BANDS)).alias("band"), "a", "id", "first").repartition("band")
     place = F.struct("id", "first")
-    shared = banded.join(often.hint("shuffle_hash"), "band", "left_semi")
-    lists = shared.groupBy("band", "a").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    lists = work.stage(lists, "lists")
+    # Rows travel once: where a band is, its nodes are made and its rows counted.
+    shared = banded.groupBy("band", "a").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("_n"))
+    shared = shared.withColumn("_rows", F.sum("_n").over(Window.partitionBy("band"))).where("_rows > 1")
+    lists = work.stage(shared.drop("_n", "_rows"), "lists")
     roots = _near_roots(docs, id_column, text, lists, percent, work)
 
     # Nodes that occur twice, or that are like another node.
@@ -242,8 +275,8 @@ def repeated_passages(
     rows = rows.distinct().withColumn("_new", F.coalesce(F.col("first") > before, F.lit(True)).cast("int"))
     runs = rows.withColumn("_run", F.sum("_new").over(kind.rowsBetween(Window.unboundedPreceding, 0))).groupBy("id", "removed", "_run")
     made = runs.agg(
-        F.min("start").alias("start"),
-        F.max("end").alias("end"),
+        F.min("start").cast("long").alias("start"),
+        F.max("end").cast("long").alias("end"),
         (F.max("last") - F.min("first")).cast("long").alias("n_words"),
         F.min(F.struct("first", "first_id")).alias("_first"),
     )

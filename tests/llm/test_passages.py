@@ -116,3 +116,17 @@ def test_edit_distance_of_word_arrays(spark):
     df = spark.createDataFrame(pairs, "x array<long>, y array<long>")
     found = df.select("x", "y", passage_dedup.edit_distance(F.col("x"), F.col("y")).alias("d")).collect()
     assert [r["d"] for r in found] == [plain_distance(r["x"], r["y"]) for r in found]
+
+
+def test_words_and_lists_do_not_outlive_their_step(spark, docs_of):
+    """What only the comparison of units reads is gone from disk before passages are made."""
+    rng = random.Random(8)
+    shared = prose(rng, 80)
+    rows = [(i, " ".join([*prose(rng, 40), *shared[: 40 + i], f"z{i}", *shared[41 + i :], *prose(rng, 40)])) for i in range(12)]
+    with staging.Work(spark) as work:
+        found = passage_dedup.repeated_passages(docs_of(rows), work=work)
+        kept = {path.rsplit("/", 1)[1].split("-")[0] for path in work.paths}
+        assert not kept & {"mixed", "words", "links", "rooted", "open"}
+        # Texts of a repeated row are compared once.
+        twice = passage_dedup.repeated_passages(docs_of([*rows, *rows]), work=work)
+        assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, found.collect())) != []
