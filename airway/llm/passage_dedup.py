@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from airway.llm.batches import as_bytes, map_batches
 from airway.llm.linking import components
 from airway.llm.near_dedup import list_array
-from airway.sources.staging import Work, session_work
+from airway.sources.staging import Work, session_work, shuffles_removed
 
 # A sparse anchor is in any SPARSE successive words, a dense one in any DENSE; a unit has LEAST words or up to
 # DENSE - 1 more. Two texts that share SURE words share a unit of them: the first sparse anchor that only these
@@ -33,6 +33,8 @@ WIDTH = 5
 BANDS, ROWS = 3, 2
 # Two units are alike if their edit distance in words leaves this percentage of the longer one.
 PERCENT = 80
+# Bytes of text whose words are hashed and mixed at a time.
+GROUP = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\v\f\r")] = True
 _MULTIPLY = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -50,9 +52,19 @@ def _grams(hashed: np.ndarray, size: int) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _anchors(mixed: np.ndarray, window: int) -> np.ndarray:
-    least = np.lib.stride_tricks.sliding_window_view(mixed, window).argmin(1)
-    return np.unique(least + np.arange(len(least)))
+def _anchors(mixed: np.ndarray, window: int, usable: np.ndarray | None = None) -> np.ndarray:
+    """Places of the first least value of every window, or of those whose first places are ``usable``."""
+    value, least, size = mixed, np.arange(len(mixed)), 1
+    while size < window:
+        # Of two windows that adjoin or overlap the left one's least stays unless the right one's is less.
+        step = min(size, window - size)
+        less = value[step:] < value[:-step]
+        value = np.where(less, value[step:], value[:-step])
+        least = np.where(less, least[step:], least[:-step])
+        size += step
+    if usable is not None:
+        least = least[usable[: len(least)]]
+    return least[np.append(True, least[1:] != least[:-1])[: len(least)]]
 
 
 def word_hashes(text: bytes) -> np.ndarray:
@@ -60,29 +72,41 @@ def word_hashes(text: bytes) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def unit_words(hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``first, last`` (exclusive) words of the units of a text."""
+def unit_words(hashed: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``first, last`` (exclusive) words of the units of a text, or of texts one after the other;
+    then ``ends`` has for each word where its text ends."""
     if len(hashed) < SPARSE + GRAM - 1:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     mixed = _grams(hashed, GRAM)
-    starts, stops = _anchors(mixed, SPARSE), _anchors(mixed, DENSE)
-    ends = np.searchsorted(stops, starts + LEAST)
-    whole = ends < len(stops)
-    return starts[whole], stops[ends[whole]]
+    ends = np.full(len(hashed), len(hashed)) if ends is None else ends
+    left = ends - np.arange(len(hashed))
+    starts, stops = (_anchors(mixed, window, left >= window + GRAM - 1) for window in (SPARSE, DENSE))
+    found = np.searchsorted(stops, starts + LEAST)
+    last = np.append(stops, len(hashed))[found]
+    whole = last < ends[starts]
+    return starts[whole], last[whole]
 
 
 def units(text: bytes) -> tuple[np.ndarray, ...]:
     """``first, last, start, end, a, b, band...`` of the units of a text: words from 0 (``last``
     exclusive), code points, 128 bits of hash, and a hash for each band. A-Z is lowered."""
-    hashed = word_hashes(text)
-    first, last = unit_words(hashed)
-    if not len(first):
-        return tuple(np.empty(0, np.int64) for _ in range(6 + BANDS))
+    return units_of([text])[1:]
+
+
+def units_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Place of the text, and its ``units``, of all texts at once."""
+    text = b" ".join(texts)
     raw = np.frombuffer(text, np.uint8)
     space = _SPACE[raw]
+    begin = np.flatnonzero(~space & np.append(True, space[:-1])[: len(raw)])
+    stop = np.flatnonzero(~space & np.append(space[1:], True)[: len(raw)]) + 1
+    hashed = word_hashes(text)
+    at = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    words = np.searchsorted(begin, at)
+    first, last = unit_words(hashed, np.repeat(words[1:], np.diff(words)))
+    if not len(first):
+        return tuple(np.empty(0, np.int64) for _ in range(7 + BANDS))
     points = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
-    begin = np.flatnonzero(~space & np.append(True, space[:-1]))
-    stop = np.flatnonzero(~space & np.append(space[1:], True)) + 1
     keys = []
     for multiply in _MULTIPLY:
         # Sums of hash * multiply ** place, moved to place 0 by the inverse (modulo 2 ** 64).
@@ -104,7 +128,9 @@ def units(text: bytes) -> tuple[np.ndarray, ...]:
             mixed = (mixed ^ least[band * ROWS + row]) * np.uint64(_MULTIPLY[1])
             mixed ^= mixed >> np.uint64(32)
         bands.append(mixed.view(np.int64))
-    return first, last, points[begin[first]], points[stop[last - 1]], *keys, *bands
+    of = np.searchsorted(words, first, "right") - 1
+    zero = points[at[of]]
+    return of, first - words[of], last - words[of], points[begin[first]] - zero, points[stop[last - 1]] - zero, *keys, *bands
 
 
 _BANDS = [f"band{i}" for i in range(BANDS)]
@@ -116,10 +142,15 @@ def _units(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
     def start():
         def work(columns):
-            # Without the second half of the hash, which no step reads.
-            made = [[c for i, c in enumerate(units(raw or b"")) if i != 5] for raw in columns[1]]
-            ids = np.repeat(np.array(columns[0], np.int64), [len(m[0]) for m in made]) if made else np.empty(0, np.int64)
-            return [pa.array(ids), *(pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*made, strict=True))]
+            made = [[np.empty(0, np.int64)] * (1 + len(names))]
+            ids, texts = np.array(columns[0], np.int64), [raw or b"" for raw in columns[1]]
+            # Together as many texts as make some GROUP bytes.
+            groups = np.cumsum([len(t) for t in texts]) // GROUP
+            for group in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(groups)) + 1):
+                of, *found = units_of([texts[i] for i in group])
+                # Without the second half of the hash, which no step reads.
+                made.append([ids[group[of]], *(c for i, c in enumerate(found) if i != 5)])
+            return [pa.array(np.concatenate(c)) for c in zip(*made, strict=True)]
 
         return work
 
@@ -152,7 +183,7 @@ def _words_of(docs: DataFrame, id_column: str, text: str, wanted: DataFrame) ->
 
         return work
 
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), as_bytes(text)).join(places, "id").select("id", text, "places")
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), as_bytes(text)).join(places.hint("shuffle_hash"), "id").select("id", text, "places")
     return map_batches(rows, start, "a long, id long, first int, words array<long>")
 
 
@@ -197,12 +228,16 @@ def edit_distance(x: Column, y: Column) -> Column:
     return of(x, y)
 
 
+def _apart(x: str, y: str) -> Column:
+    """Whether the units at two places do not overlap. Units that overlap are like each other and repeat nothing."""
+    return (F.col(f"{x}.id") != F.col(f"{y}.id")) | (F.abs(F.col(f"{x}.first") - F.col(f"{y}.first")) >= LEAST + DENSE)
+
+
 def _verified(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are similar. Units that overlap are like each other and repeat nothing."""
+    """The pairs that are similar."""
     full, words = pairs, words.dropDuplicates(["a"])
     for side in ("x", "y"):
-        full = full.join(words.select(F.col("a").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("id", "first", "words")]), side)
-    full = full.where((F.col("id_x") != F.col("id_y")) | (F.abs(F.col("first_x") - F.col("first_y")) >= LEAST + DENSE))
+        full = full.join(words.select(F.col("a").alias(side), F.col("words").alias(f"words_{side}")), side)
     size = F.greatest(F.size("words_x"), F.size("words_y"))
     near = F.lit(100) * (size - edit_distance(F.col("words_x"), F.col("words_y"))) >= F.lit(percent) * size
     return full.where(near).select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -211,25 +246,27 @@ def _verified(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
 def _near_roots(docs: DataFrame, id_column: str, text: str, lists: DataFrame, percent: int, work: Work) -> DataFrame:
     """``node, root`` of nodes that are like another node of one of their lists. ``lists``:
     staged ``band, a, low``. First each node meets the least of its list; then nodes of
-    different components meet in the lists that still mix some, a pair in one list only."""
+    different components meet in the lists that still mix some, a pair in one list only.
+    Lists whose units all overlap, and pairs that do, are left out before words are read."""
     of_list = Window.partitionBy("band")
     with Work(docs.sparkSession) as own:
-        ends = lists.select("band", "a", "low", F.min("a").over(of_list).alias("x"), F.max("a").over(of_list).alias("_y"))
-        mixed = own.stage(ends.where("x <> _y").drop("_y"), "mixed")
-        places = mixed.select("a", "low.id", "low.first").groupBy("a").agg(F.min(F.struct("id", "first")).alias("low"))
+        leader = F.min(F.struct("a", "low")).over(of_list)
+        ends = lists.select("band", "a", "low", leader.alias("x"), F.min("low").over(of_list).alias("_low"), F.max("low").over(of_list).alias("_high"))
+        mixed = own.stage(ends.where(_apart("_low", "_high")).drop("_low", "_high"), "mixed")
+        tries = own.stage(mixed.where((F.col("a") != F.col("x.a")) & _apart("low", "x.low")).select("x.a", F.col("a").alias("y")).toDF("x", "y").distinct(), "tries")
+        places = mixed.select("a", "low").groupBy("a").agg(F.min("low").alias("low"))
         words = own.stage(_words_of(docs, id_column, text, places.select("a", "low.id", "low.first")), "words")
-        tries = mixed.where("a <> x").select("x", F.col("a").alias("y")).distinct()
         first = own.stage(_verified(tries, words, percent), "links")
         roots = components(first, work)
 
         # ``x`` is the leader of the list, which all others have met.
-        rooted = mixed.select("band", "a", "x").join(roots, F.col("a") == F.col("node"), "left")
-        rooted = rooted.select("band", "a", "x", F.coalesce("root", "a").alias("root"))
+        rooted = mixed.where("a <> x.a").select("band", "a", "low").join(roots, F.col("a") == F.col("node"), "left")
+        rooted = rooted.select("band", "a", "low", F.coalesce("root", "a").alias("root"))
         still = rooted.select("*", F.min("root").over(of_list).alias("_low"), F.max("root").over(of_list).alias("_high"))
-        open_rows = own.stage(still.where("_low <> _high AND a <> x").select("band", "a", "root"), "open")
-        left = open_rows.select("band", F.col("a").alias("x"), F.col("root").alias("root_x"))
-        right = open_rows.select("band", F.col("a").alias("y"), F.col("root").alias("root_y"))
-        rest = left.join(right, "band").where("root_x < root_y").select("x", "y").distinct()
+        open_rows = own.stage(still.where("_low <> _high").select("band", "a", "low", "root"), "open")
+        left, right = [open_rows.select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("a", "low", "root")]) for side in "xy"]
+        meet = (F.col("root_x") < F.col("root_y")) & _apart("low_x", "low_y")
+        rest = left.join(right, "band").where(meet).select(F.col("a_x").alias("x"), F.col("a_y").alias("y")).distinct()
         second = own.stage(_verified(rest, words, percent), "links")
         return roots if second.isEmpty() else components(first.unionByName(second), work)
 
@@ -251,28 +288,31 @@ def repeated_passages(
     Rows without id take no part; a repeated row is the same document and repeats nothing.
     Ids are integers; other columns are not read."""
     work = work or session_work(docs.sparkSession)
-    found = work.stage(_units(docs, id_column, text), "units")
-    banded = found.select(F.explode(F.array(*_BANDS)).alias("band"), "a", "id", "first").repartition("band")
     place = F.struct("id", "first")
-    # Rows travel once: where a band is, its nodes are made and its rows counted.
-    shared = banded.groupBy("band", "a").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("_n"))
-    shared = shared.withColumn("_rows", F.sum("_n").over(Window.partitionBy("band"))).where("_rows > 1")
-    lists = work.stage(shared.drop("_n", "_rows"), "lists")
-    roots = _near_roots(docs, id_column, text, lists, percent, work)
-
-    # Nodes that occur twice, or that are like another node.
-    nodes = lists.groupBy("a").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    nodes = nodes.join(roots, F.col("a") == F.col("node"), "left").select("a", F.coalesce("root", "a").alias("root"), "low", "high")
-    nodes = work.stage(nodes, "nodes")
-    firsts = nodes.groupBy("root").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
-    repeated = work.stage(nodes.select("a", "root").join(firsts.select("root", F.col("low").alias("least")), "root").select("a", "least"), "repeated")
+    with shuffles_removed(docs.sparkSession):
+        found = work.stage(_units(docs, id_column, text), "units")
+        banded = found.select(F.explode(F.array(*_BANDS)).alias("band"), "a", "id", "first").repartition("band")
+        # Rows travel once: where a band is, its nodes are made and its rows counted.
+        shared = banded.groupBy("band", "a").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("_n"))
+        shared = shared.withColumn("_rows", F.sum("_n").over(Window.partitionBy("band"))).where("_rows > 1")
+        lists = work.stage(shared.drop("_n", "_rows"), "lists")
+        roots = _near_roots(docs, id_column, text, lists, percent, work)
+
+        # Nodes that occur twice, or that are like another node.
+        nodes = lists.groupBy("a").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        nodes = nodes.join(roots, F.col("a") == F.col("node"), "left").where("node IS NOT NULL OR low <> high")
+        nodes = work.stage(nodes.select("a", F.coalesce("root", "a").alias("root"), "low", "high"), "nodes")
+        firsts = nodes.groupBy("root").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
+        repeated = work.stage(nodes.select("a", "root").join(firsts.select("root", F.col("low").alias("least")), "root").select("a", "least"), "repeated")
 
     rows = found.select("id", "first", "last", "start", "end", "a").join(repeated.hint("shuffle_hash"), "a").select(
         "id", "first", "last", "start", "end", F.col("least.id").alias("first_id"), (place != F.col("least")).alias("removed")
     )
     kind = Window.partitionBy("id", "removed").orderBy("first", "last")
     before = F.max("last").over(kind.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.distinct().withColumn("_new", F.coalesce(F.col("first") > before, F.lit(True)).cast("int"))
+    # Copies of a row, windows and runs all lie within an id and kind, so rows travel once.
+    rows = rows.repartition("id", "removed").distinct()
+    rows = rows.withColumn("_new", F.coalesce(F.col("first") > before, F.lit(True)).cast("int"))
     runs = rows.withColumn("_run", F.sum("_new").over(kind.rowsBetween(Window.unboundedPreceding, 0))).groupBy("id", "removed", "_run")
     made = runs.agg(
         F.min("start").cast("long").alias("start"),
