@@ -33,6 +33,10 @@ WIDTH = 5
 BANDS, ROWS = 3, 2
 # Two units are alike if their edit distance in words leaves this percentage of the longer one.
 PERCENT = 80
+# Rows of a list that all meet; in longer lists only those that share a rare word do.
+FEW = 16
+# Words that head a unit, where pairs are told apart by few bits.
+HEAD = 8
 # Bytes of text whose words are hashed and mixed at a time.
 GROUP = 1 << 18
 _SPACE = np.zeros(256, bool)
@@ -235,7 +239,7 @@ def _apart(x: str, y: str) -> Column:
 
 def _verified(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
     """The pairs that are similar."""
-    full, words = pairs, words.dropDuplicates(["a"])
+    full = pairs
     for side in ("x", "y"):
         full = full.join(words.select(F.col("a").alias(side), F.col("words").alias(f"words_{side}")), side)
     size = F.greatest(F.size("words_x"), F.size("words_y"))
@@ -243,10 +247,50 @@ def _verified(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
     return full.where(near).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
+def _marked(words: DataFrame, percent: int) -> DataFrame:
+    """``a, words`` and ``mark``: the most edits that leave a unit like one of its size, and bits of its words; of
+    those before HEAD and of those that ``edits`` of the longest unit cannot move there."""
+    longest = (100 - percent) * (LEAST + DENSE - 1) // 100
+
+    def bits(of: str) -> Column:
+        return F.expr(f"aggregate({of}, 0L, (bits, word) -> bits | shiftleft(1L, cast(word & 63 AS int)))")
+
+    edits = F.floor(F.lit(100 - percent) * F.size("words") / 100).cast("int")
+    tail = f"slice(words, {HEAD + longest + 1}, {LEAST + DENSE})"
+    return words.select("a", "words", F.struct(edits.alias("edits"), bits("words").alias("all"), bits(f"slice(words, 1, {HEAD})").alias("head"), bits(tail).alias("tail")).alias("mark"))
+
+
+def _may_be_near(x: str, y: str) -> Column:
+    """False only for pairs of marked units that are not alike. A word that the other unit lacks costs an edit; one edit
+    never replaces a word of a head by one of the other's tail, so what both lack there adds up."""
+
+    def lacking(part: str, one: str, other: str) -> Column:
+        return F.bit_count(F.col(f"{one}.{part}").bitwiseAND(F.bitwise_not(F.col(f"{other}.all"))))
+
+    edits = F.greatest(f"{x}.edits", f"{y}.edits")
+    found = F.lit(True)
+    for one, other in ((x, y), (y, x)):
+        found = found & (lacking("all", one, other) <= edits) & (lacking("head", one, other) + lacking("tail", other, one) <= edits)
+    return found
+
+
+def _keyed(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` with ``keys`` for their ``words``: only null in a list of up to FEW rows, in others the rarest words of the
+    list, one more than the edits that leave the longest unit alike. Units that are alike share one of these: else
+    one of them would have so many words that the other lacks."""
+    most = (100 - percent) * (LEAST + DENSE - 1) // 100 + 1
+    of_word = rows.withColumn("_rows", F.count("*").over(Window.partitionBy("band"))).where(F.col("_rows") > FEW)
+    of_word = of_word.select("band", "a", F.explode(F.array_distinct("words")).alias("word"))
+    rare = of_word.withColumn("_n", F.count("*").over(Window.partitionBy("band", "word"))).groupBy("band", "a")
+    rare = rare.agg(F.slice(F.sort_array(F.collect_list(F.struct("_n", "word"))), 1, most)["word"].alias("keys"))
+    return rows.drop("words").join(rare, ["band", "a"], "left").withColumn("keys", F.coalesce("keys", F.array(F.lit(None).cast("long"))))
+
+
 def _near_roots(docs: DataFrame, id_column: str, text: str, lists: DataFrame, percent: int, work: Work) -> DataFrame:
     """``node, root`` of nodes that are like another node of one of their lists. ``lists``:
-    staged ``band, a, low``. First each node meets the least of its list; then nodes of
-    different components meet in the lists that still mix some, a pair in one list only.
+    staged ``band, a, low``. First each node meets the least of its list; in long lists that still
+    mix components it meets the least of those that share a rare word with it; then nodes
+    of different components meet, in long lists if they share a rare word.
     Lists whose units all overlap, and pairs that do, are left out before words are read."""
     of_list = Window.partitionBy("band")
     with Work(docs.sparkSession) as own:
@@ -255,7 +299,7 @@ def _near_roots(docs: DataFrame, id_column: str, text: str, lists: DataFrame, pe
         mixed = own.stage(ends.where(_apart("_low", "_high")).drop("_low", "_high"), "mixed")
         tries = own.stage(mixed.where((F.col("a") != F.col("x.a")) & _apart("low", "x.low")).select("x.a", F.col("a").alias("y")).toDF("x", "y").distinct(), "tries")
         places = mixed.select("a", "low").groupBy("a").agg(F.min("low").alias("low"))
-        words = own.stage(_words_of(docs, id_column, text, places.select("a", "low.id", "low.first")), "words")
+        words = own.stage(_words_of(docs, id_column, text, places.select("a", "low.id", "low.first")).dropDuplicates(["a"]), "words")
         first = own.stage(_verified(tries, words, percent), "links")
         roots = components(first, work)
 
@@ -263,12 +307,27 @@ def _near_roots(docs: DataFrame, id_column: str, text: str, lists: DataFrame, pe
         rooted = mixed.where("a <> x.a").select("band", "a", "low").join(roots, F.col("a") == F.col("node"), "left")
         rooted = rooted.select("band", "a", "low", F.coalesce("root", "a").alias("root"))
         still = rooted.select("*", F.min("root").over(of_list).alias("_low"), F.max("root").over(of_list).alias("_high"))
-        open_rows = own.stage(still.where("_low <> _high").select("band", "a", "low", "root"), "open")
-        left, right = [open_rows.select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("a", "low", "root")]) for side in "xy"]
-        meet = (F.col("root_x") < F.col("root_y")) & _apart("low_x", "low_y")
-        rest = left.join(right, "band").where(meet).select(F.col("a_x").alias("x"), F.col("a_y").alias("y")).distinct()
-        second = own.stage(_verified(rest, words, percent), "links")
-        return roots if second.isEmpty() else components(first.unionByName(second), work)
+        still = still.where("_low <> _high").select("band", "a", "low", "root")
+        open_rows = own.stage(_keyed(still.join(_marked(words, percent), "a"), percent), "open")
+        key = Window.partitionBy("band", "key")
+        posts = open_rows.where("keys[0] IS NOT NULL").select("*", F.explode("keys").alias("key"))
+        led = posts.select("a", "low", "root", "mark", F.min(F.struct("a", "low", "root", "mark")).over(key).alias("x"))
+        led = led.where((F.col("root") != F.col("x.root")) & _apart("low", "x.low") & _may_be_near("mark", "x.mark"))
+        second = own.stage(_verified(led.select("x.a", F.col("a").alias("y")).toDF("x", "y").distinct(), words, percent), "links")
+        if not second.isEmpty():
+            first = first.unionByName(second)
+            roots = components(first, work)
+            open_rows = open_rows.drop("root").join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a"))
+
+        sides = open_rows.select("band", F.explode("keys").alias("key"), "a", "low", "root", "mark", "keys")
+        left, right = [sides.select("band", "key", *[F.col(c).alias(f"{c}_{side}") for c in ("a", "low", "root", "mark", "keys")]) for side in "xy"]
+        meet = (left["band"] == right["band"]) & left["key"].eqNullSafe(right["key"]) & (F.col("root_x") < F.col("root_y"))
+        meet = meet & _apart("low_x", "low_y") & _may_be_near("mark_x", "mark_y")
+        # A pair meets at the first key that both have.
+        meet = meet & F.array_intersect("keys_x", "keys_y")[0].eqNullSafe(left["key"])
+        rest = left.join(right, meet).select(F.col("a_x").alias("x"), F.col("a_y").alias("y"))
+        third = own.stage(_verified(rest.distinct(), words, percent), "links")
+        return roots if third.isEmpty() else components(first.unionByName(third), work)
 
 
 def repeated_passages(

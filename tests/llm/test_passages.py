@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from airway.llm import passage_dedup
@@ -130,3 +132,94 @@ def test_words_and_lists_do_not_outlive_their_step(spark, docs_of):
         # Texts of a repeated row are compared once.
         twice = passage_dedup.repeated_passages(docs_of([*rows, *rows]), work=work)
         assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, found.collect())) != []
+
+
+def staged_rows(monkeypatch):
+    """Rows of every table staged from now on, by name."""
+    counts, stage = {}, staging.Work.stage
+
+    def counting(self, df, name):
+        made = stage(self, df, name)
+        counts.setdefault(name, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(staging.Work, "stage", counting)
+    return counts
+
+
+def test_units_of_many_texts_are_those_of_each():
+    rng = random.Random(2)
+    for _ in range(60):
+        texts = []
+        for _ in range(rng.randrange(1, 7)):
+            words = [f"É{rng.randrange(rng.choice([1, 2, 4, 900]))}" for _ in range(rng.choice([0, 1, 24, 25, 26, 27, 40, 200]))]
+            texts.append((rng.choice(["", " \n"]) + rng.choice([" ", "\t ", "\n"]).join(words) + rng.choice(["", "\x0b"])).encode())
+        of, *found = passage_dedup.units_of(texts)
+        for i, text in enumerate(texts):
+            hashed, own = passage_dedup.word_hashes(text), passage_dedup.units(text)
+            assert all(np.array_equal(x, y[of == i]) for x, y in zip(own, found, strict=True))
+            if len(hashed) < passage_dedup.SPARSE + passage_dedup.GRAM - 1:
+                assert not len(own[0])
+                continue
+            mixed = passage_dedup._grams(hashed, passage_dedup.GRAM)
+            starts, stops = [sorted({w + int(np.argmin(mixed[w : w + n])) for w in range(len(mixed) - n + 1)}) for n in (passage_dedup.SPARSE, passage_dedup.DENSE)]
+            want = [(s, min(e for e in stops if e >= s + passage_dedup.LEAST)) for s in starts if stops[-1] >= s + passage_dedup.LEAST]
+            assert list(zip(own[0].tolist(), own[1].tolist(), strict=True)) == want
+
+
+def test_overlapping_units_are_not_compared(docs_of, monkeypatch):
+    """Units of one place share bands and words; none is read or tried, and the shuffles of a step go with it."""
+    rng = random.Random(31)
+    counts = staged_rows(monkeypatch)
+    docs = docs_of([(i, " ".join(prose(rng, 600))) for i in range(20)])
+    before = docs.sparkSession.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    assert passage_dedup.repeated_passages(docs).collect() == []
+    assert counts["lists"][0] > 100 and counts["mixed"] == counts["tries"] == counts["words"] == [0]
+    assert docs.sparkSession.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == before
+
+
+@pytest.mark.parametrize("percent", [80, 60])
+def test_marks_and_rare_words_rule_out_no_pair_that_is_alike(spark, percent):
+    rng = random.Random(17)
+    rows = []
+    for a in range(120):
+        shift = rng.randrange(8)
+        words = [j % rng.choice([5, 64, 99]) + 3 if rng.random() < 0.15 else j for j in range(shift, shift + rng.randrange(18, 24))]
+        rows.append((1, a, words))
+    units = spark.createDataFrame(rows, "band long, a long, words array<long>")
+    kept = passage_dedup._keyed(units.select("band", "a").join(passage_dedup._marked(units, percent), "a"), percent).collect()
+    assert len(kept) == len(rows) and all(1 < len(r["keys"]) for r in kept)
+    made = spark.createDataFrame(kept).join(units.select("a", "words"), "a")
+    x, y = [made.select(*[F.col(c).alias(f"{c}_{side}") for c in ("a", "words", "mark", "keys")]) for side in "xy"]
+    near = passage_dedup._may_be_near("mark_x", "mark_y") & F.arrays_overlap("keys_x", "keys_y")
+    pairs = x.crossJoin(y).where("a_x < a_y").select("words_x", "words_y", near.alias("near")).collect()
+    alike = 0
+    for r in pairs:
+        size = max(len(r["words_x"]), len(r["words_y"]))
+        if 100 * (size - plain_distance(r["words_x"], r["words_y"])) >= percent * size:
+            alike += 1
+            assert r["near"]
+    assert alike > 100 and sum(not r["near"] for r in pairs) > 100
+
+
+def test_units_that_share_a_phrase_only_do_not_all_meet(spark, docs_of, monkeypatch):
+    """A list of many units that are unlike but for a phrase makes no pair for each two of them."""
+    rng = random.Random(41)
+    counts, verified = staged_rows(monkeypatch), passage_dedup._verified
+    tried = []
+
+    def counting(pairs, words, percent):
+        tried.append(pairs.count())
+        return verified(pairs, words, percent)
+
+    monkeypatch.setattr(passage_dedup, "_verified", counting)
+    phrase = prose(rng, 14)
+    rows = [(i, " ".join([*(f"u{i}x{j}" for j in range(40)), *phrase, *(f"v{i}x{j}" for j in range(40))])) for i in range(150)]
+    lists = []
+    for i, text in rows:
+        made = passage_dedup.units(text.encode())
+        lists += [(1, int(a), (i, int(first))) for first, a in zip(made[0], made[4], strict=True)]
+    lists = staging.staged(spark.createDataFrame(lists, "band long, a long, low struct<id: long, first: int>"), "lists")
+    n = lists.count()
+    passage_dedup._near_roots(docs_of(rows), "doc_id", "text", lists, 80, staging.session_work(spark))
+    assert n > 600 and counts["open"][0] > 500 and sum(tried) < 20 * n < n * n / 20
