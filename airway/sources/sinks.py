@@ -45,24 +45,24 @@ def write_partitions(
     keys: tuple[str, ...] = HOUR_KEYS,
     overwrite: bool = False,
     derived: Mapping[str, Column] | None = None,
+    compression: str | None = None,
 ) -> None:
     """Append to, or replace, the partitions present in ``df``.
 
     Rows of a partition are brought together, so a small one becomes one file;
     a large one is split by size rather than left to a single task. ``derived`` columns are
     computed from the gathered rows, so they are not shuffled and do not count as their size.
+    ``compression`` is the session's unless given.
     """
     gathered = df.hint("rebalance", *[F.col(k) for k in keys]).withColumns(dict(derived or {}))
-    _write(gathered, path, keys, overwrite)
+    _write(gathered, path, keys, overwrite, compression)
 
 
-def _write(df: DataFrame, path: str, keys: tuple[str, ...], overwrite: bool) -> None:
-    (
-        df.write.mode("overwrite" if overwrite else "append")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
+def _write(df: DataFrame, path: str, keys: tuple[str, ...], overwrite: bool, compression: str | None) -> None:
+    writer = df.write.mode("overwrite" if overwrite else "append").option("partitionOverwriteMode", "dynamic")
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.partitionBy(*keys).parquet(path)
 
 
 def insert_positional(

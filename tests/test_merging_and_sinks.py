@@ -269,3 +269,17 @@ def test_derived_columns_are_not_shuffled(spark):
     stored = scans.read_partitioned(spark, path)
     assert stored.where("length(pad) = 5120").count() == 2000
     assert swaps.listed_files(spark, path, scans.HOUR_KEYS).count() == 1
+
+
+def test_padding_of_good_files_takes_half_its_length_on_disk(spark, monkeypatch):
+    """``small_files_merged`` pads 7,680 characters a row of hex text."""
+    from airway.checks import load_checks, tables
+
+    paths, fresh = [], tables._fresh
+    monkeypatch.setattr(tables, "_fresh", lambda fx, name: (paths.append(fresh(fx, name)), paths[-1])[1])
+    assert load_checks()["small_files_merged"].run(spark, "/root/testdata/sf0.01").agg(F.sum("n")).first()[0] == 10_000
+    late = F.col("publish_date") >= "2024-01-10"
+    padded = scans.read_partitioned(spark, paths[0]).where(late)
+    bytes_of = swaps.listed_files(spark, paths[0], scans.HOUR_KEYS).where(late).agg(F.sum("bytes")).first()[0]
+    assert padded.where("length(pad) = 7680").count() == padded.count() > 0
+    assert bytes_of < 5000 * padded.count()
