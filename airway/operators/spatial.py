@@ -379,7 +379,11 @@ def idw_over_time(
     )
     spots = staged(spots.agg(F.sum(value).alias("_total"), F.count("*").alias("_n")), "spots", work)
     weights = staged(spot_weights(sites, spots.select("_lon", "_lat").distinct()), "weights", work)
-    met = lookup_join(spots.repartition(time), weights, ["_lon", "_lat"])
+    # Spots are few, so a join by them would be few tasks: one side is broadcast, weights if they fit.
+    if fits_broadcast(weights):
+        met = spots.repartition(time).join(F.broadcast(weights), ["_lon", "_lat"])
+    else:
+        met = lookup_join(weights.repartition(*SITE), spots, ["_lon", "_lat"])
     parts = met.select(*SITE, time, (F.col("_total") * F.col("_w")).alias("_up"), (F.col("_n") * F.col("_w")).alias("_down"))
     # Every location and time is there, weighed or not.
     nothing = F.lit(None).cast("double")

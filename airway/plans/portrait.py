@@ -39,6 +39,8 @@ FEATURES = [
 
 STATION_KEYS = ["grid_id", "station_code", "station_name"]
 KEYS = [*STATION_KEYS, "published_at"]
+# Vertices of a road section, as many as its join must have room for.
+VERTICES = 8
 SITE_KEYS = [*SITE, "published_at"]
 
 
@@ -155,7 +157,7 @@ def cell_sites(cells: DataFrame, sites: DataFrame, radius_m: float = RADIUS_M) -
 
 def _per_cell_totals(per_cell: DataFrame, cells: DataFrame, sites: DataFrame, name: str) -> DataFrame:
     """Hourly sums over the cells around each location."""
-    placed = lookup_join(per_cell, cell_centres(cells), "grid_id")
+    placed = lookup_join(per_cell, cell_centres(cells), "grid_id", as_read=True)
     return site_totals(placed, sites, {name: F.col(name)}, ["published_at"])
 
 
@@ -202,11 +204,12 @@ def flow_feature(
     flows = _hourly(road_flow, hours).withColumn("flow", json_sum("data", VEHICLE_CLASSES))
     edges = section_feature.select("edge_id", "driving_direction", F.col("road_congested_section_id").alias("id"))
     per_section = (
-        lookup_join(flows, edges, ["edge_id", "driving_direction"])
+        lookup_join(flows, edges, ["edge_id", "driving_direction"], as_read=True)
         .groupBy("id", "published_at")
         .agg(F.max("flow").alias("flow"))
     )
-    points = lookup_join(per_section, section_vertices(road_division), "id").select("published_at", "id", "roadname", "flow", "lon", "lat")
+    points = lookup_join(per_section, section_vertices(road_division), "id", copies=VERTICES, as_read=True)
+    points = points.select("published_at", "id", "roadname", "flow", "lon", "lat")
 
     def make(schema):
         return tiles.sums_of_means(["published_at"], ["roadname"], ["id"], "flow", radius_m, schema)

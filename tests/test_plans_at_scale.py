@@ -66,6 +66,40 @@ def test_weights_over_time_equal_the_mean_of_all_pairs(spark):
     assert "asin" not in plan and "sin(" not in plan and "cartesian" not in plan and "nestedloop" not in plan
 
 
+def test_weights_beyond_the_bound_stay_spread_by_location(spark, monkeypatch):
+    from airway.operators import spatial
+
+    hours = HourRange("2024-01-01 00:00:00", "2024-01-01 09:00:00")
+    sites = sites_of(spark.range(40).select((F.col("id") / 50).alias("lon"), F.lit(0.05).alias("lat")))
+    want = rows(idw_over_time(sites, hours.slots(), weather(spark), "published_at", "v"))
+    monkeypatch.setattr(spatial, "fits_broadcast", lambda df, copies=1: False)
+    found = idw_over_time(sites, hours.slots(), weather(spark), "published_at", "v")
+    assert rows(found) == want and len(want) == 400
+    join, below = plan_of(found).split("BroadcastHashJoin", 1)
+    streamed, _ = below.split("BroadcastExchange", 1)
+    assert "BuildRight" in below.splitlines()[0] and "hashpartitioning(center_lon" in streamed and "_w#" in streamed
+
+
+def stored_keys(spark, n):
+    """A table of n keys, a few bytes each on disk."""
+    path = staging.staging_path(spark, "keys")
+    spark.range(0, n, 1, 4).select("id", F.lit('{"lon": 104.0, "lat": 30.0}').alias("center_coord")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_a_large_table_of_keys_does_not_go_through_the_driver(spark):
+    """1.5 million cells are a few MB on disk and more than 70 MB in a hash table."""
+    hours = HourRange("2024-01-01 00:00:00", "2024-01-01 09:00:00")
+    sites = sites_of(spark.createDataFrame([(104.0, 30.0)], "lon double, lat double"))
+    dust = spark.createDataFrame([(7, "[[1.6, 5]]", "2024-01-01 08:00:00"), (9, "[[2, 5]]", "2024-01-01 08:00:00")], "grid_id long, slag_truck_coords string, published_at string")
+    plans = {}
+    for n in (1_000, 1_500_000):
+        found = portrait.dust_feature(dust, stored_keys(spark, n), sites, hours)
+        assert [r["dust_index"] for r in found.collect()] == [4]
+        plans[n] = plan_of(found)
+    assert "BroadcastHashJoin" in plans[1_000] and "Broadcast" not in plans[1_500_000].split("Initial Plan")[0]
+
+
 def test_weights_leave_out_the_spot_itself(spark):
     sites = sites_of(spark.createDataFrame([(1.0, 1.0)], "lon double, lat double"))
     spots = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "_lon double, _lat double")
