@@ -316,7 +316,7 @@ def portrait_diff(new: DataFrame, stored: DataFrame, work: Work | None = None) -
     other = difference(digests(new), digests(stored)).select(*[F.col(k).alias(f"_other_{k}") for k in keep]).distinct()
     other = staged(other, "differing", work)
     same = same_key(keep, "_other_")
-    left, right = (lookup_join(df, other, same, "left_semi") for df in (new, stored))
+    left, right = (lookup_join(df, other, same, "left_semi", as_read=True) for df in (new, stored))
     return difference(explode_payload(left, keep), explode_payload(right, keep))
 
 

@@ -100,6 +100,16 @@ def test_a_large_table_of_keys_does_not_go_through_the_driver(spark):
     assert "BroadcastHashJoin" in plans[1_000] and "Broadcast" not in plans[1_500_000].split("Initial Plan")[0]
 
 
+def test_many_differing_portraits_do_not_go_through_the_driver(spark):
+    schema = "grid_id int, station_code string, station_name string, data string, published_at string"
+    code = F.lpad(F.col("id").cast("string"), 9, "0")
+    new = spark.range(0, 400_000, 1, 4).select(F.lit(1).alias("grid_id"), code.alias("station_code"), F.sha1(code).alias("station_name"), F.lit('{"x":1}').alias("data"), F.lit("h").alias("published_at"))
+    stored = spark.createDataFrame([(1, "000000005", None, '{"x":1}', "h")], schema)
+    found = portrait.portrait_diff(new, stored)
+    assert "Broadcast" not in plan_of(found)
+    assert found.count() == 400_000
+
+
 def test_weights_leave_out_the_spot_itself(spark):
     sites = sites_of(spark.createDataFrame([(1.0, 1.0)], "lon double, lat double"))
     spots = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "_lon double, _lat double")
