@@ -11,7 +11,7 @@ from airway.operators.spatial import idw, idw_over_time, radius_join, sites_of,
 from airway.operators.trajectory import boundaries, chunk_bounds, neighbours, stays
 from airway.plans import portrait
 from airway.sources import scans, sinks, staging, swaps
-from tests.helpers import plan_of, rows
+from tests.helpers import metres, plan_of, rows
 
 
 def final_plan(df):
@@ -244,3 +244,23 @@ def test_a_crowded_cell_is_many_keys(spark, no_broadcast):
     assert sum(counts[0]) == sum(counts[1]) > 50_000
     assert len(counts[0]) <= 4 and len(counts[1]) > 8 and max(counts[1]) < max(counts[0]) / 2
     assert rows(radius_join(points, centers, crowded_rows=10**9), "i", "c") == rows(plain, "i", "c")
+
+
+def test_pairs_of_cells_and_stations_are_not_shuffled(spark, no_broadcast, tmp_path):
+    """Stations meet their locations before the pairs are made; copies and null keys as ever."""
+    from airway.checks import load_checks
+    from airway.checks.fixtures import POINTS, SITES
+
+    keys = [*range(60), 7, 7, None]
+    stations = spark.createDataFrame([(k, f"s{k}", 1) for k in keys], "s_suppkey long, s_name string, s_nationkey int")
+    stations.write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([(k,) for k in [*range(200), 9, None]], "p_partkey long").write.parquet(str(tmp_path / "part.parquet"))
+
+    def at(k, a, b, modulus, step):
+        return 103.9 + k * a % modulus * step, 30.5 + k * b % modulus * step
+
+    found = load_checks()["cells_of_stations"].run(spark, str(tmp_path))
+    want = [(c, str(k)) for c in [*range(200), 9] for k in keys[:-1] if metres(*at(c, *POINTS), *at(k, *SITES)) < 5000]
+    above, below = plan_of(found).split("SortMergeJoin", 1)
+    assert "Exchange" not in above and "_cell" in below.splitlines()[0]
+    assert rows(found, "cell", "station_code") == sorted(want, key=repr) and len(want) > 100
